@@ -35,10 +35,10 @@ def soft_membership(points: DataFrame, regions: DataFrame, bandwidth: float = 1.
             + (F.col("y") - r.getField("cy")) * (F.col("y") - r.getField("cy"))
         ) / bandwidth**2
         names.append(f"_m{b}")
-        out = out.withColumn(
+        out = out.withColumn("_c", block.scalar()).withColumn(
             names[-1],
-            F.transform(block.scalar(), lambda r: F.struct(r.getField("code").alias("code"), d2(r).alias("d2"))),
-        )
+            F.transform("_c", lambda r: F.struct(r.getField("code").alias("code"), d2(r).alias("d2"))),
+        ).drop("_c")
     every = F.col(names[0]) if blocks == 1 else F.array_sort(F.concat(*names))
     out = out.withColumn("_all", every).drop(*names)
     out = out.withColumn("_near", F.array_min(F.transform("_all", lambda r: r.getField("d2"))))
