@@ -96,6 +96,17 @@ def archive_plan(spark, sf):
     return plan.select("p_partkey", "url", "out_name")
 
 
+def archive_actions(spark, sf):
+    """Archives of the parts: shipped parts are on disk, returned ones already unpacked."""
+    plan = archive_plan(spark, sf).select("p_partkey", F.concat(
+        F.regexp_replace("out_name", r"\.zip$", ""), F.lit("_"), st.text("p_partkey"), F.lit(".zip")).alias("out_name"))
+    names = plan.withColumnRenamed("p_partkey", "l_partkey")
+    shipped = st.table(spark, sf, "lineitem").groupBy("l_partkey").agg(F.bool_or(F.col("l_returnflag") == "R").alias("r"))
+    on_disk = shipped.join(names, "l_partkey")
+    stems = on_disk.where("r").select(F.regexp_replace("out_name", r"\.zip$", "").alias("stem"))
+    return fp.archive_actions(plan, on_disk, stems)
+
+
 def _audit(spark, sf):
     part = st.table(spark, sf, "part")
     folder = F.concat(F.lit("data/raw/"), st.text("p_partkey"))
@@ -203,7 +214,7 @@ audit AS (
   FROM src LEFT JOIN cnt USING (source))"""
 
 QUERIES = {f.__name__: f for f in (
-    fetch_plan, plan_limit, plan_skip_existing, plan_dry_run, coverage_resolve, archive_plan, source_audit,
+    fetch_plan, plan_limit, plan_skip_existing, plan_dry_run, coverage_resolve, archive_plan, archive_actions, source_audit,
     source_audit_overall, source_audit_json, crs_filter, cells_by_source, sink_roundtrip,
 )}
 
@@ -219,6 +230,9 @@ SELECT p_partkey, name, CASE name WHEN 'conus' THEN 'CU' WHEN 'alaska' THEN 'AK'
   name IN ('conus', 'alaska', 'hawaii') AS known FROM k""",
     "archive_plan": """WITH k AS (SELECT p_partkey, 'Annual_NLCD_LndCov_' || (1985 + p_size % 40) || '_CU_C1V1.zip' AS out_name FROM part)
 SELECT p_partkey, 'https://www.mrlc.gov/downloads/sciweb1/shared/mrlc/data-bundles/' || out_name AS url, out_name FROM k""",
+    "archive_actions": """WITH s AS (SELECT l_partkey, bool_or(l_returnflag = 'R') AS r FROM lineitem GROUP BY 1)
+SELECT p_partkey, 'Annual_NLCD_LndCov_' || (1985 + p_size % 40) || '_CU_C1V1_' || p_partkey || '.zip' AS out_name,
+  CASE WHEN r THEN 'skip' WHEN l_partkey IS NOT NULL THEN 'extract' ELSE 'fetch' END AS action FROM part LEFT JOIN s ON l_partkey = p_partkey""",
     "source_audit": f"WITH {_AUDIT} SELECT * FROM audit",
     "source_audit_overall": f"WITH {_AUDIT} SELECT bool_and(ok) AS ok, CASE WHEN bool_and(ok) THEN 0 ELSE 2 END AS exit_code FROM audit",
     "source_audit_json": f"""WITH {_AUDIT} SELECT source, '{{"source":"' || source || '","ok":' || ok || ',"rule":"' || rule || '"' ||

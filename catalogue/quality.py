@@ -4,7 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from terracell.functions.names import pad_month
 from terracell.operators import qa, regions as ops, repair as rp, zonal as zs
+from terracell.plans import geo_checks
 from terracell.sources.catalog import source_variables
 
 from . import raster, standins as st
@@ -64,6 +66,21 @@ def qa_outside_extent(spark, sf):
     return qa.outside_extent(ops.region_bounds(st.polygons(spark, sf), ["code"]), extent).select("code")
 
 
+def qa_geo_checks(spark, sf):
+    """Months of orders as rasters of one row, a column per region."""
+    cells = st.monthly(spark, sf).select(
+        F.lit("orders").alias("source"), F.lit("tas").alias("var"), F.year("month").alias("year"),
+        pad_month(F.month("month")).alias("month"), F.when(F.col("v") < 250000, F.lit(-1.0)).otherwise(F.col("v")).alias("value"),
+    )
+    crs = F.when(F.col("month") == "02", "EPSG:5070").otherwise("EPSG:4326")
+    meta = cells.select("source", "var", "year", "month").distinct().select(
+        "*", crs.alias("crs"), F.lit(0.0).alias("x0"), F.lit(0.0).alias("y0"), F.lit(1.0).alias("dx"), F.lit(1.0).alias("dy"),
+        F.lit(9).alias("width"), F.lit(1000000).alias("height"), F.lit(-1.0).alias("nodata"),
+    )
+    bounds = ops.region_bounds(st.polygons(spark, sf), ["code"]).withColumnRenamed("code", "uid")
+    return geo_checks.run_checks(meta, cells, bounds).select("check", "entity", "status")
+
+
 def qa_pct_sum(spark, sf):
     cover = zs.class_cover(raster._labelled(spark, sf), ["code"])
     return qa.pct_sums(cover, ["code"]).withColumn("pct_sum", F.round("pct_sum", 6))
@@ -160,7 +177,7 @@ _EXPECTED = ", ".join(f"('{v}', '{s}')" for v, s in STATS)
 
 QUERIES = {f.__name__: f for f in (
     qa_row_counts, qa_crs, qa_precision, qa_geometry, qa_missing_stats, qa_ranges, qa_extent_gaps, qa_outside_extent,
-    qa_pct_sum, qa_null_rate, qa_distribution, qa_alignment, qa_duplicates, qa_leakage, qa_outliers, qa_active_flags,
+    qa_geo_checks, qa_pct_sum, qa_null_rate, qa_distribution, qa_alignment, qa_duplicates, qa_leakage, qa_outliers, qa_active_flags,
     qa_report,
 )}
 
@@ -180,6 +197,11 @@ EXCEPT SELECT region_uid, variable, stat FROM l WHERE value IS NOT NULL""",
 WHERE NOT EXISTS (SELECT 1 FROM cells x WHERE x."row" = r."row" AND x.col = c.col AND x.value >= 0)""",
     "qa_outside_extent": f"""WITH {st.CELLS}, {st.BOUNDS}, e AS (SELECT min(cx) AS x0, min(cy) AS y0, max(cx) AS x1, max(cy) AS y1 FROM cells WHERE value > 9000)
 SELECT code FROM bounds CROSS JOIN e WHERE xmin < x0 OR ymin < y0 OR xmax > x1 OR ymax > y1""",
+    "qa_geo_checks": f"""WITH {st.MONTHLY}, {st.BOUNDS}, r AS (SELECT 'orders/tas/' || year(month) || '/' || lpad(CAST(month(month) AS VARCHAR), 2, '0') AS entity,
+  month(month) AS m, count(*) FILTER (v < 250000) / count(*) AS share FROM monthly GROUP BY 1, 2)
+SELECT 'crs' AS "check", entity, CASE WHEN m = 2 THEN 'fail' ELSE 'pass' END AS status FROM r
+UNION ALL SELECT 'nodata', entity, CASE WHEN share >= 1 THEN 'fail' WHEN share > 0.5 THEN 'warn' ELSE 'pass' END FROM r
+UNION ALL SELECT 'bounds', code, CASE WHEN xmax > 9 THEN 'warn' ELSE 'pass' END FROM bounds""",
     "qa_pct_sum": f"WITH {raster._ZONAL} SELECT code, round(sum(pct), 6) AS pct_sum, 'pass' AS status FROM cov GROUP BY 1",
     "qa_null_rate": f"WITH {_NULLS} SELECT event_type, n_rows, \"column\", round(null_rate, 6) AS null_rate, status FROM rates",
     "qa_distribution": f"""WITH {st.MONTHLY}, y AS (SELECT region, year(month) AS period, count(*) AS n, var_pop(v / 1000) AS variance, min(v) = max(v) AS is_constant FROM monthly GROUP BY 1, 2),

@@ -45,7 +45,7 @@ def boundless_clip(spark, sf):
     c = F.col
     wide = box(c("bbox.xmin") - 2, c("bbox.ymin") - 2, c("bbox.xmax") + 2, c("bbox.ymax") + 2)
     window = _aoi(spark, sf).select(st.GRID.window(wide).alias("win"))
-    return clip.boundless_clip(st.cells(spark, sf).select("row", "col", "value"), window, NODATA, [])
+    return clip.boundless_clip(st.cells(spark, sf).select("row", "col", "value"), window, NODATA)
 
 
 def nodata_filter(spark, sf):

@@ -104,6 +104,14 @@ def dissolve_edges(spark, sf):
     return ds.edge_measures(outline, ["code"])
 
 
+def dissolve_by_name(spark, sf):
+    """Bounds of each region name after uniting all its polygons."""
+    named = st.polygons(spark, sf).join(st.regions(spark, sf).select(
+        normalize_code(F.col("code")).alias("code"), F.col("scheme").alias("name")), "code")
+    outline = ds.dissolve_outline(ds.feature_edges(named, ["name"]), "name")
+    return ds.edge_measures(outline, ["name"]).select("name", "xmin", "ymin", "xmax", "ymax", "n_edges")
+
+
 def outline_rings(spark, sf):
     outline = ds.dissolve_outline(ds.feature_edges(st.polygons(spark, sf), ["code"]), "code")
     rings = ds.outline_rings(outline, "code")
@@ -241,7 +249,7 @@ _ASIA = f"SELECT uid, code, name FROM regions WHERE scheme = '{SCHEME}' AND leve
 
 QUERIES = {f.__name__: f for f in (
     code_normalize, region_select, dup_codes, wanted_codes, missing_codes, code_sample, code_field_scores,
-    coerce_bbox, union_bbox, aoi_resolve, region_bounds, feature_bounds, dissolve_edges, outline_rings,
+    coerce_bbox, union_bbox, aoi_resolve, region_bounds, feature_bounds, dissolve_edges, dissolve_by_name, outline_rings,
     polygon_area_km2, reproject_albers, transform_bounds, repair_flags, simplify, valid_geometry_sorted,
     prepared_regions, merge_suspects, catalog_load,
 )}
@@ -285,6 +293,11 @@ SELECT uid, code, name, CAST(x AS DOUBLE) AS xmin, CAST(y AS DOUBLE) AS ymin, CA
 SELECT code, abs(sum(x1 * y2 - x2 * y1)) / 2 AS area, CAST(count(*) AS DOUBLE) AS perimeter,
   min(least(x1, x2)) AS xmin, min(least(y1, y2)) AS ymin, max(greatest(x1, x2)) AS xmax,
   max(greatest(y1, y2)) AS ymax, count(*) AS n_edges FROM o GROUP BY code""",
+    "dissolve_by_name": f"""WITH {st.REGIONS}, {st.SQUARE_EDGES}, o AS (
+  SELECT scheme AS name, min(x1) AS x1, min(y1) AS y1, min(x2) AS x2, min(y2) AS y2 FROM edges JOIN regions USING (code)
+  GROUP BY scheme, least(x1, x2), least(y1, y2), greatest(x1, x2), greatest(y1, y2) HAVING count(*) = 1)
+SELECT name, min(least(x1, x2)) AS xmin, min(least(y1, y2)) AS ymin, max(greatest(x1, x2)) AS xmax,
+  max(greatest(y1, y2)) AS ymax, count(*) AS n_edges FROM o GROUP BY 1""",
     "polygon_area_km2": f"WITH {_geo_edges_sql()} SELECT code, count(*) AS n, round(sum(a), 3) AS area_km2 FROM area GROUP BY code",
     "reproject_albers": f"""WITH {st.CELLS}, g AS (SELECT cell_id, cx - 100 AS lon, CAST("row" AS DOUBLE) % 20 + 25.25::DOUBLE AS lat FROM cells)
 SELECT cell_id, round({_AX}, 3) AS px, round({_AY}, 3) AS py, round(lon, 6) AS lon, round(lat, 6) AS lat FROM g""",

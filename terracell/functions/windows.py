@@ -54,10 +54,3 @@ def window_origin(win: Column, x0: Column, y0: Column, dx: Column, dy: Column) -
         (x0 + win.getField("col_off") * dx).alias("x0"),
         (y0 + win.getField("row_off") * dy).alias("y0"),
     )
-
-
-def in_window(row: Column, col: Column, win: Column) -> Column:
-    return (
-        (row >= win.getField("row_off")) & (row < win.getField("row_off") + win.getField("height"))
-        & (col >= win.getField("col_off")) & (col < win.getField("col_off") + win.getField("width"))
-    )

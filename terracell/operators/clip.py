@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from ..functions.windows import in_window, window_of, window_origin
+from ..functions.windows import window_of, window_origin
 
 
 def clip_to_window(cells: DataFrame, window: DataFrame) -> DataFrame:
@@ -21,38 +21,39 @@ def clip_to_window(cells: DataFrame, window: DataFrame) -> DataFrame:
     return cells.where(F.col("row").between(row_lo, row_hi) & F.col("col").between(col_lo, col_hi))
 
 
-def window_cells(window: DataFrame) -> DataFrame:
-    """Every (row, col) of the one-row ``window`` table.
+def window_cells(window: DataFrame, rasters: DataFrame | None = None) -> DataFrame:
+    """Every (row, col) of the one-row ``window`` table, for each row of ``rasters``.
 
-    Rows are spread over the cluster before each is expanded into its columns.
+    Window rows are spread over the cluster before each is expanded into its
+    columns, so no task holds a whole window.
     """
-    rows = window.select(
+    win = F.col("win")
+    if rasters is None:
+        rasters, keys = window.select(win), []
+    else:
+        keys = rasters.columns
+        rasters = rasters.withColumn("win", window.select(win).scalar())
+    rows = rasters.select(
+        *keys,
         F.explode(F.sequence(F.col("win.row_off"), F.col("win.row_off") + F.col("win.height") - 1)).alias("row"),
         F.col("win.col_off").alias("_c"), F.col("win.width").alias("_w"),
     )
-    return rows.repartition("row").select(
-        "row", F.explode(F.sequence(F.col("_c"), F.col("_c") + F.col("_w") - 1)).alias("col")
+    return rows.repartition(*keys, "row").select(
+        *keys, "row", F.explode(F.sequence(F.col("_c"), F.col("_c") + F.col("_w") - 1)).alias("col")
     )
 
 
-def boundless_clip(cells: DataFrame, window: DataFrame, nodata: float | None, keys: list[str]) -> DataFrame:
+def boundless_clip(cells: DataFrame, window: DataFrame, nodata: float | None, keys: list[str] | None = None) -> DataFrame:
     """Clip in which cells outside the raster are filled with nodata (0 without one).
 
     ``keys`` identify a raster; each raster present in ``cells`` gets the full
     window.
     """
-    grid = window_cells(window)
+    keys = keys or []
+    full = window_cells(window, cells.select(*keys).distinct() if keys else None)
     inside = clip_to_window(cells, window)
-    if not keys:
-        full = grid.join(inside, ["row", "col"], "left")
-    else:
-        rasters = cells.select(*keys).distinct()
-        spread = grid.withColumn("_all", F.lit(1)).join(
-            rasters.groupBy().agg(F.collect_list(F.struct(*keys)).alias("_k")).withColumn("_all", F.lit(1)), "_all"
-        ).select("row", "col", F.explode("_k").alias("_k")).select("row", "col", "_k.*")
-        full = spread.join(inside, [*keys, "row", "col"], "left")
     fill = F.lit(0.0 if nodata is None else float(nodata))
-    return full.withColumn("value", F.coalesce("value", fill))
+    return full.join(inside, [*keys, "row", "col"], "left").withColumn("value", F.coalesce("value", fill))
 
 
 def drop_empty_windows(cells: DataFrame, keys: list[str], nodata: Column) -> DataFrame:
@@ -82,8 +83,3 @@ def nodata_to_null(cells: DataFrame, nodata: Column) -> DataFrame:
     same = F.col("value").eqNullSafe(nodata)
     return cells.withColumn("value", F.when(~same | nodata.isNull(), F.col("value")))
 
-
-__all__ = [
-    "boundless_clip", "clip_to_window", "clipped_meta", "drop_empty_windows",
-    "in_window", "nodata_to_null", "window_cells",
-]

@@ -6,6 +6,7 @@ from pyspark.ml import Pipeline
 from pyspark.ml.evaluation import RegressionEvaluator
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.regression import RandomForestRegressor
+from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
 from pyspark.sql import DataFrame, functions as F
 
 from .scenario import unit_hash
@@ -25,6 +26,19 @@ def fit_forest(train: DataFrame, features: list[str], label: str, trees: int = 2
     return Pipeline(stages=[assembler, forest]).fit(train)
 
 
+def tune_forest(train: DataFrame, features: list[str], label: str, trees: list[int], depths: list[int],
+                folds: int = 3, seed: int = 7):
+    """Forest with the tree count and depth that do best in cross-validation."""
+    assembler = VectorAssembler(inputCols=features, outputCol="features", handleInvalid="skip")
+    forest = RandomForestRegressor(featuresCol="features", labelCol=label, seed=seed)
+    choices = ParamGridBuilder().addGrid(forest.numTrees, trees).addGrid(forest.maxDepth, depths).build()
+    search = CrossValidator(
+        estimator=Pipeline(stages=[assembler, forest]), estimatorParamMaps=choices,
+        evaluator=RegressionEvaluator(labelCol=label), numFolds=folds, seed=seed,
+    )
+    return search.fit(train).bestModel
+
+
 def forest_metrics(model, test: DataFrame, label: str) -> dict[str, float]:
     scored = model.transform(test)
     return {

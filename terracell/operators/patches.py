@@ -80,16 +80,20 @@ def merge_labels(links: DataFrame) -> DataFrame:
     a hub's links stay spread over tasks.
     """
     edges = materialize(links.where("u <> v"), "links")
+    state = _fingerprint(edges)
     while True:
         large = _star(edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v"))), larger=True)
         down = large.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v"))
-        nxt = materialize(_star(down, larger=False), "links")
-        changed = not nxt.exceptAll(edges).isEmpty() or not edges.exceptAll(nxt).isEmpty()
-        edges = nxt
-        if not changed:
-            break
-    roots = edges.groupBy(F.col("u").alias("node")).agg(F.min("v").alias("root"))
-    return roots
+        edges = materialize(_star(down, larger=False), "links")
+        before, state = state, _fingerprint(edges)
+        if state == before:
+            return edges.groupBy(F.col("u").alias("node")).agg(F.min("v").alias("root"))
+
+
+def _fingerprint(edges: DataFrame) -> tuple:
+    """Order-free digest of the links, one row from the cluster per round."""
+    h = F.xxhash64("u", "v")
+    return tuple(edges.agg(F.count("*"), F.bit_xor(h), F.sum(h.cast("decimal(20,0)"))).first())
 
 
 def _star(links: DataFrame, larger: bool) -> DataFrame:

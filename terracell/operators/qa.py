@@ -83,18 +83,21 @@ def out_of_range(df: DataFrame, variable: str, value: str, rules: dict[str, tupl
     return df.where(known & broken)
 
 
-def extent_gaps(cells: DataFrame, width: int, group: str = "row") -> DataFrame:
-    """Missing cells per raster row, as (row, col).
+def extent_gaps(cells: DataFrame, width: int, height: int | None = None) -> DataFrame:
+    """Cells of the raster extent without a value, as (row, col).
 
-    The rows come from the table, the columns from the raster width, and the
-    expected cells meet the present ones in an anti join.
+    Without ``height`` the rows are those of the table. Expected and present
+    cells meet in an anti join on both numbers.
     """
-    rows = cells.select(group).distinct()
-    expected = rows.withColumn("col", F.explode(F.sequence(F.lit(0), F.lit(width - 1)))).select(
-        group, F.col("col").cast("bigint").alias("col")
+    if height is None:
+        rows = cells.select("row").distinct()
+    else:
+        rows = cells.sparkSession.range(height).select(F.col("id").alias("row"))
+    expected = rows.select(
+        "row", F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(width - 1).cast("bigint"))).alias("col")
     )
-    present = cells.where(F.col("value").isNotNull()).select(group, "col")
-    return expected.join(present, [group, "col"], "left_anti")
+    present = cells.where(F.col("value").isNotNull()).select("row", "col")
+    return expected.join(present, ["row", "col"], "left_anti")
 
 
 def outside_extent(bounds: DataFrame, extent: DataFrame) -> DataFrame:
@@ -106,6 +109,13 @@ def outside_extent(bounds: DataFrame, extent: DataFrame) -> DataFrame:
     )
 
 
+def nodata_shares(cells: DataFrame, keys: list[str], nodata: Column, limit: float) -> DataFrame:
+    """Share of nodata cells per raster; a raster without any value fails."""
+    empty = F.col("value").isNull() | F.col("value").eqNullSafe(nodata)
+    share = cells.groupBy(*keys).agg((F.count_if(empty) / F.count("*")).alias("nodata_share"))
+    return share.withColumn("status", verdict(F.col("nodata_share") >= 1, F.col("nodata_share") > limit))
+
+
 def row_counts(tables: dict[str, DataFrame], expected: dict[str, int] | None = None) -> DataFrame:
     expected = expected or {}
     parts = []

@@ -8,6 +8,7 @@ from ..session import materialize
 from .joins import lookup_join
 
 BUCKETS = 128
+CUT_ROWS = 20_000  # groups whose bucket limits (about 1 kB each) may be broadcast
 
 
 def grouped_quantiles(
@@ -31,7 +32,7 @@ def grouped_quantiles(
         F.array_distinct(F.percentile_approx("_v", shares, 1000)).alias("_cuts")
     )
     bucketed = materialize(
-        lookup_join(counted, cuts, keys).select(
+        lookup_join(counted, cuts, keys, limit=CUT_ROWS).select(
             *keys, "_v", "_c", F.size(F.filter("_cuts", lambda c: c < F.col("_v"))).alias("_b")
         ),
         "buckets",

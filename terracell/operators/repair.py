@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from ..functions.rings import geom_area, geom_edges, geom_perimeter, is_usable, repair, ring_flags
+from ..functions.rings import geom_area, geom_bounds, geom_edges, geom_perimeter, is_usable, repair, ring_flags
 
 
 def repair_features(features: DataFrame) -> DataFrame:
@@ -27,37 +27,40 @@ def defect_flags(features: DataFrame, key: str = "feature_id") -> DataFrame:
 def crossing_features(features: DataFrame, key: str = "feature_id") -> DataFrame:
     """Features with two edges that properly cross.
 
-    Edges meet only inside the small bins they run through; a feature's bins
-    are sized so that an average bin holds few of its edges.
+    Edges are compared only inside the small bins they run through. A feature
+    with n edges gets n vertical slabs; within a slab an edge covers just the
+    heights it has there, so edges along an outline share few bins.
     """
-    edges = features.select(key, F.posexplode(geom_edges(F.col("geom"))).alias("i", "e"), F.size(
-        geom_edges(F.col("geom"))
-    ).alias("n")).where("n > 3").select(key, "i", "n", "e.*")
-    span = features.select(key, F.flatten(F.col("geom")).alias("v")).select(
-        key,
-        F.array_min(F.transform("v", lambda p: p.getField("x"))).alias("bx"),
-        F.array_min(F.transform("v", lambda p: p.getField("y"))).alias("by"),
-        F.greatest(
-            F.array_max(F.transform("v", lambda p: p.getField("x"))) - F.array_min(F.transform("v", lambda p: p.getField("x"))),
-            F.array_max(F.transform("v", lambda p: p.getField("y"))) - F.array_min(F.transform("v", lambda p: p.getField("y"))),
-        ).alias("size"),
-    ).where("size > 0")
-    placed = edges.join(span, key).withColumn("step", F.col("size") / F.ceil(F.sqrt("n")))
-    slot = lambda c, o: F.floor((c - F.col(o)) / F.col("step"))
-    lo_x, hi_x = slot(F.least("x1", "x2"), "bx"), slot(F.greatest("x1", "x2"), "bx")
-    lo_y, hi_y = slot(F.least("y1", "y2"), "by"), slot(F.greatest("y1", "y2"), "by")
-    binned = placed.withColumn("gx", F.explode(F.sequence(lo_x, hi_x))).withColumn(
-        "gy", F.explode(F.sequence(lo_y, hi_y))
-    ).select(key, "gx", "gy", "i", "x1", "y1", "x2", "y2")
-    other = binned.select(key, "gx", "gy", *[F.col(c).alias(f"o_{c}") for c in ("i", "x1", "y1", "x2", "y2")])
-    side = lambda px, py, a, b, c, d: (c - a) * (py - b) - (d - b) * (px - a)
     c = F.col
-    d1 = side(c("o_x1"), c("o_y1"), c("x1"), c("y1"), c("x2"), c("y2"))
-    d2 = side(c("o_x2"), c("o_y2"), c("x1"), c("y1"), c("x2"), c("y2"))
-    d3 = side(c("x1"), c("y1"), c("o_x1"), c("o_y1"), c("o_x2"), c("o_y2"))
-    d4 = side(c("x2"), c("y2"), c("o_x1"), c("o_y1"), c("o_x2"), c("o_y2"))
+    boxed = features.select(
+        key, geom_edges(c("geom")).alias("edges"), geom_bounds(c("geom")).alias("b")
+    ).select(
+        key, c("b.xmin").alias("bx"), c("b.ymin").alias("by"), F.size("edges").alias("n"),
+        F.greatest(c("b.xmax") - c("b.xmin"), c("b.ymax") - c("b.ymin")).alias("size"),
+        F.posexplode("edges").alias("i", "e"),
+    ).where("n > 3 and size > 0").select(
+        key, "i", "e.*", "bx", "by", (c("size") / c("n")).alias("step"),
+        (c("size") / F.ceil(F.sqrt("n"))).alias("rise"), (c("size") * 1e-9).alias("eps"),
+    )
+    slab = lambda x: F.floor((x - c("bx")) / c("step"))
+    lo, hi = F.least("x1", "x2"), F.greatest("x1", "x2")
+    slabs = boxed.withColumn("gx", F.explode(F.sequence(slab(lo), slab(hi))))
+    left = F.greatest(lo, c("bx") + c("gx") * c("step"))
+    right = F.least(hi, c("bx") + (c("gx") + 1) * c("step"))
+    at = lambda x: c("y1") + (x - c("x1")) * (c("y2") - c("y1")) / F.nullif(c("x2") - c("x1"), F.lit(0.0))
+    upright = c("x1") == c("x2")
+    bottom = F.when(upright, F.least("y1", "y2")).otherwise(F.least(at(left), at(right))) - c("eps")
+    top = F.when(upright, F.greatest("y1", "y2")).otherwise(F.greatest(at(left), at(right))) + c("eps")
+    level = lambda y: F.floor((y - c("by")) / c("rise"))
+    binned = slabs.withColumn("gy", F.explode(F.sequence(level(bottom), level(top)))).select(
+        key, "gx", "gy", "i", "x1", "y1", "x2", "y2"
+    )
+    other = binned.select(key, "gx", "gy", *[c(f).alias(f"o_{f}") for f in ("i", "x1", "y1", "x2", "y2")])
+    side = lambda px, py, ax, ay, bx, by: F.signum((bx - ax) * (py - ay) - (by - ay) * (px - ax))
+    own, far = [c(f) for f in ("x1", "y1", "x2", "y2")], [c(f"o_{f}") for f in ("x1", "y1", "x2", "y2")]
+    apart = lambda line, p: side(p[0], p[1], *line) * side(p[2], p[3], *line) < 0
     met = binned.join(other, [key, "gx", "gy"]).where(
-        (c("i") < c("o_i")) & (F.signum(d1) * F.signum(d2) < 0) & (F.signum(d3) * F.signum(d4) < 0)
+        (c("i") < c("o_i")) & apart(own, far) & apart(far, own)
     )
     return met.select(key).distinct()
 

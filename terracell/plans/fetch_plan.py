@@ -93,3 +93,20 @@ def archive_plan(sources: DataFrame, context: dict[str, Column]) -> DataFrame:
     return sources.withColumn("url", render_template(F.col("url_template"), context)).withColumn(
         "out_name", file_name(F.col("url"))
     )
+
+
+def archive_actions(plan: DataFrame, archives: DataFrame, extracted: DataFrame, overwrite: bool = False) -> DataFrame:
+    """What is left to do per archive: skip, extract or fetch.
+
+    ``archives`` lists the archive files present (out_name), ``extracted`` the
+    folders that already hold unpacked data (stem, the name without its ending).
+    """
+    have = archives.select("out_name").distinct().withColumn("_zip", F.lit(True))
+    done = extracted.select("stem").distinct().withColumn("_dir", F.lit(True))
+    both = plan.withColumn("stem", F.regexp_replace("out_name", r"\.[^.]*$", "")).join(
+        have, "out_name", "left"
+    ).join(done, "stem", "left")
+    return both.withColumn(
+        "action",
+        F.when(F.lit(overwrite), "fetch").when(F.col("_dir"), "skip").when(F.col("_zip"), "extract").otherwise("fetch"),
+    ).drop("_zip", "_dir", "stem")
