@@ -41,7 +41,7 @@ def _requests(spark, sf):
 
 
 def _plan(spark, sf):
-    return fp.with_urls(fp.expand_plan(_requests(spark, sf)), F.lit(MONTHLY_TEMPLATE), _context()).drop("path")
+    return fp.with_urls(fp.expand_plan(_requests(spark, sf)), MONTHLY_TEMPLATE, _context()).drop("path")
 
 
 def _existing(spark, sf):
@@ -51,7 +51,7 @@ def _existing(spark, sf):
         pad_month(F.month("l_shipdate")).alias("month"),
     ).distinct()
     first = _requests(spark, sf).select("source", "path", F.get("vars", F.lit(0)).alias("var"))
-    url = render_template(F.lit(MONTHLY_TEMPLATE), {
+    url = render_template(MONTHLY_TEMPLATE, {
         **_context(), "var": F.col("var"), "year": F.col("year"), "month": F.col("month")
     })
     return shipped.join(first, "source").select("source", aoi_name(file_name(url)).alias("out_name"))

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, functions as F
 
 
@@ -11,26 +13,37 @@ def pad_month(month: Column) -> Column:
     return F.when(F.length(text) < 2, F.lpad(text, 2, "0")).otherwise(text)
 
 
-def render_template(template: Column, values: dict[str, Column]) -> Column:
+def _missing(key: Column) -> Column:
+    return F.raise_error(F.concat(F.lit("url_template has no value for: "), key)).cast("string")
+
+
+def render_template(template: str | Column, values: dict[str, Column]) -> Column:
     """Fill ``{key}`` placeholders from ``values`` in a single pass.
 
-    An unknown key or a NULL value stops the job: a half-filled URL must never
-    reach a plan.
+    A NULL value stops the job, an unknown key too: a half-filled URL must never
+    reach a plan. A template known up front becomes a plain concatenation; a
+    template column is filled row by row.
     """
+    if isinstance(template, str):
+        parts = re.split("[{}]", template)  # even parts are text, odd parts are keys
+        unknown = sorted({k for k in parts[1::2] if k not in values})
+        if unknown:
+            raise KeyError(f"url_template has no value for: {', '.join(unknown)}")
+        filled = [
+            F.lit(p) if i % 2 == 0 else F.coalesce(values[p].cast("string"), _missing(F.lit(p)))
+            for i, p in enumerate(parts) if i % 2 or p
+        ]
+        return F.concat(*filled)
     context = F.create_map(*[p for k, v in values.items() for p in (F.lit(k), v.cast("string"))])
-    parts = F.split(template, "[{}]")  # even parts are text, odd parts are keys
 
     def fill(part, i):
-        missing = F.raise_error(F.concat(F.lit("url_template has no value for: "), part))
-        return F.when(i % 2 == 0, part).otherwise(
-            F.coalesce(F.try_element_at(context, part), missing.cast("string"))
-        )
+        return F.when(i % 2 == 0, part).otherwise(F.coalesce(F.try_element_at(context, part), _missing(part)))
 
-    return F.array_join(F.transform(parts, fill), "")
+    return F.array_join(F.transform(F.split(template, "[{}]"), fill), "")
 
 
 def file_name(url: Column) -> Column:
-    return F.regexp_extract(url, "([^/]+)/*$", 1)
+    return F.substring_index(F.rtrim(url, F.lit("/")), "/", -1)
 
 
 def aoi_name(name: Column) -> Column:
@@ -55,10 +68,11 @@ def glob_folder(glob: Column) -> Column:
     return F.regexp_extract(fixed, r"^(.*)/[^/]*$", 1)
 
 
-def folders_of(path: Column) -> Column:
-    """All ancestor folders of a path, '' first."""
-    parts = F.split(path, "/")
-    depth = F.size(parts) - 1
-    return F.transform(
-        F.sequence(F.lit(0), depth), lambda i: F.array_join(F.slice(parts, F.lit(1), i), "/")
-    )
+def folder_depth(path: Column) -> Column:
+    """Number of folders above the file."""
+    return F.length(path) - F.length(F.replace(path, F.lit("/"), F.lit("")))
+
+
+def folder_at(path: str, depth: str) -> Column:
+    """The ancestor folder ``depth`` levels below the root ('' for 0)."""
+    return F.call_function("substring_index", F.col(path), F.lit("/"), F.col(depth))

@@ -54,8 +54,10 @@ def soft_membership(points: DataFrame, regions: DataFrame, bandwidth: float = 1.
 
 def best_member(membership: Column) -> Column:
     """Struct (code, p) of the likeliest region; equal shares go to the first code."""
-    best = F.array_max(F.transform(membership, lambda m: m.getField("p")))
-    return F.get(F.filter(membership, lambda m: m.getField("p") == best), F.lit(0))
+    none = F.struct(F.lit(None).cast("string").alias("code"), F.lit(-1.0).alias("p"))
+    return F.aggregate(
+        membership, none, lambda best, m: F.when(m.getField("p") > best.getField("p"), m).otherwise(best)
+    )
 
 
 def membership_entropy(membership: Column) -> Column:

@@ -2,19 +2,25 @@
 
 from __future__ import annotations
 
+import sys
+
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, functions as F
+from pyspark import cloudpickle
+from pyspark.sql import DataFrame, functions as F, types as T
 
 from ..constants import TILE
 from ..session import materialize
 
+# Executors get the tile function itself, so they need not have this package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 
-def _label_tile(pdf: pd.DataFrame) -> pd.DataFrame:
+def _label_tile(pdf: pd.DataFrame, tile: int) -> pd.DataFrame:
     """Smallest cell id of the patch of each cell, seen within one tile."""
-    r = pdf["row"].to_numpy() % TILE
-    c = pdf["col"].to_numpy() % TILE
-    kind = np.full((TILE + 2, TILE + 2), -1, dtype=np.int64)
+    r = pdf["row"].to_numpy() % tile
+    c = pdf["col"].to_numpy() % tile
+    kind = np.full((tile + 2, tile + 2), -1, dtype=np.int64)
     kind[r + 1, c + 1] = pd.factorize(pdf["k"])[0]
     label = np.full(kind.shape, np.iinfo(np.int64).max)
     label[r + 1, c + 1] = pdf["cell_id"].to_numpy()
@@ -24,50 +30,52 @@ def _label_tile(pdf: pd.DataFrame) -> pd.DataFrame:
     while changed:
         before = label.copy()
         # Sweep minima down, up, right and left; each sweep crosses the tile.
-        for i in range(1, TILE + 2):
+        for i in range(1, tile + 2):
             np.minimum(label[i], label[i - 1], out=label[i], where=same_v[i - 1])
-        for i in range(TILE, -1, -1):
+        for i in range(tile, -1, -1):
             np.minimum(label[i], label[i + 1], out=label[i], where=same_v[i])
-        for j in range(1, TILE + 2):
+        for j in range(1, tile + 2):
             np.minimum(label[:, j], label[:, j - 1], out=label[:, j], where=same_h[:, j - 1])
-        for j in range(TILE, -1, -1):
+        for j in range(tile, -1, -1):
             np.minimum(label[:, j], label[:, j + 1], out=label[:, j], where=same_h[:, j])
         changed = bool((before != label).any())
-    return pdf[["cell_id", "row", "col", "k"]].assign(local=label[r + 1, c + 1])
+    return pdf.assign(local=label[r + 1, c + 1])
 
 
-def patches(cells: DataFrame, cls: str) -> DataFrame:
-    """Cells (cell_id, row, col, class) with ``patch``, the smallest cell id of their patch.
+def patches(cells: DataFrame, cls: str, keys: list[str] | None = None, tile: int = TILE) -> DataFrame:
+    """Cells with ``patch``, the smallest cell id of their patch.
 
-    Tiles are labelled one by one (a tile has at most TILE × TILE cells); only
-    the patch pieces that touch across tile borders enter the merge, which
-    runs until nothing changes.
+    ``cells`` has cell_id (unique over all rasters), row, col and the class;
+    ``keys`` identify a raster. Tiles are labelled one by one (a tile has at most
+    tile × tile cells); only the patch pieces that touch across tile borders enter
+    the merge, which runs until nothing changes.
     """
+    keys = keys or []
     keyed = cells.where(F.col(cls).isNotNull()).select(
-        "cell_id", "row", "col", F.col(cls).alias("k"),
-        F.floor(F.col("row") / TILE).alias("tr"), F.floor(F.col("col") / TILE).alias("tc"),
-    )
-    local = materialize(
-        keyed.groupBy("tr", "tc").applyInPandas(
-            lambda pdf: _label_tile(pdf), "cell_id long, row long, col long, k string, local long"
-        ),
-        "tiles",
+        *keys, F.col("cell_id").cast("bigint").alias("cell_id"), F.col("row").cast("bigint").alias("row"),
+        F.col("col").cast("bigint").alias("col"), F.col(cls).alias("k"),
     )
-    merged = merge_labels(_border_links(local))
+    tiles = keyed.groupBy(*keys, F.floor(F.col("row") / tile).alias("tr"), F.floor(F.col("col") / tile).alias("tc"))
+    labelled = T.StructType(keyed.schema.fields + [T.StructField("local", T.LongType())])
+    local = materialize(tiles.applyInPandas(lambda pdf: _label_tile(pdf, tile), labelled), "tiles")
+    merged = merge_labels(_border_links(local, keys, tile))
     return local.join(merged, F.col("local") == F.col("node"), "left").select(
-        "cell_id", "row", "col", F.col("k").alias(cls), F.coalesce("root", "local").alias("patch")
+        *keys, "cell_id", "row", "col", F.col("k").alias(cls), F.coalesce("root", "local").alias("patch")
     )
 
 
-def _border_links(local: DataFrame) -> DataFrame:
+def _border_links(local: DataFrame, keys: list[str], tile: int) -> DataFrame:
     """Pairs of pieces that meet across a tile border."""
     links = []
     for step, line in (("row", "col"), ("col", "row")):
-        at_end = F.pmod(F.col(step), F.lit(TILE)) == TILE - 1
-        at_start = F.pmod(F.col(step), F.lit(TILE)) == 0
-        ends = local.where(at_end).select((F.col(step) + 1).alias("s"), F.col(line).alias("l"), "k", F.col("local").alias("u"))
-        starts = local.where(at_start).select(F.col(step).alias("s"), F.col(line).alias("l"), "k", F.col("local").alias("v"))
-        links.append(ends.join(starts, ["s", "l", "k"]).select("u", "v"))
+        place = F.pmod(F.col(step), F.lit(tile))
+        ends = local.where(place == tile - 1).select(
+            *keys, (F.col(step) + 1).alias("s"), F.col(line).alias("l"), "k", F.col("local").alias("u")
+        )
+        starts = local.where(place == 0).select(
+            *keys, F.col(step).alias("s"), F.col(line).alias("l"), "k", F.col("local").alias("v")
+        )
+        links.append(ends.join(starts, [*keys, "s", "l", "k"]).select("u", "v"))
     return links[0].unionByName(links[1]).distinct()
 
 

@@ -34,19 +34,30 @@ def zscore(value: Column, group) -> Column:
     return (value - F.avg(value).over(group)) / F.nullif(F.stddev_pop(value).over(group), F.lit(0.0))
 
 
+def sorted_quantile(values: Column, prob: float) -> Column:
+    """Quantile of a sorted array, with linear interpolation."""
+    spot = (F.size(values) - 1) * F.lit(float(prob))
+    low = F.get(values, F.floor(spot).cast("int"))
+    high = F.get(values, F.ceil(spot).cast("int"))
+    return low + (high - low) * (spot - F.floor(spot))
+
+
 def doy_thresholds(df: DataFrame, keys: list[str], day: str, value: str, probs: dict[str, float],
                    half_window: int = DOY_HALF_WINDOW) -> DataFrame:
     """Quantiles per entity and day of year over the days within ``half_window``.
 
-    A threshold sees one value per year and offset, which the calendar bounds.
+    Values are gathered per day of year first (one per year) and only those
+    short arrays are handed to the neighbouring days; the calendar bounds both.
     """
-    doy = F.dayofyear(F.col(day))
+    per_doy = df.where(F.col(value).isNotNull()).groupBy(*keys, F.dayofyear(F.col(day)).alias("_at")).agg(
+        F.collect_list(F.col(value).cast("double")).alias("_vs")
+    )
     offsets = F.sequence(F.lit(-half_window), F.lit(half_window))
-    near = F.transform(offsets, lambda o: (doy - 1 + o + 366) % 366 + 1)
-    spread = df.select(*keys, F.col(value).alias("_v"), F.explode(near).alias("doy"))
-    return spread.groupBy(*keys, "doy").agg(
-        *[F.percentile("_v", F.lit(p)).alias(name) for name, p in probs.items()]
+    near = F.transform(offsets, lambda o: (F.col("_at") - 1 + o + 366) % 366 + 1)
+    pooled = per_doy.select(*keys, "_vs", F.explode(near).alias("doy")).groupBy(*keys, "doy").agg(
+        F.array_sort(F.flatten(F.collect_list("_vs"))).alias("_vs")
     )
+    return pooled.select(*keys, "doy", *[sorted_quantile(F.col("_vs"), p).alias(n) for n, p in probs.items()])
 
 
 def beyond_doy_threshold(df: DataFrame, keys: list[str], day: str, value: str, prob: float, above: bool) -> DataFrame:

@@ -52,7 +52,7 @@ def expand_plan(requests: DataFrame) -> DataFrame:
     return wide.withColumn("n", n).drop("_v", "_y", "_m", "_py", "_pv")
 
 
-def with_urls(plan: DataFrame, template: Column, context: dict[str, Column]) -> DataFrame:
+def with_urls(plan: DataFrame, template: str | Column, context: dict[str, Column]) -> DataFrame:
     """Adds the url and the name of the clipped output."""
     values = {**context, "var": F.col("var"), "year": F.col("year"), "month": F.col("month")}
     return plan.withColumn("url", render_template(template, values)).withColumn(

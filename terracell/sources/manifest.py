@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from ..constants import FILE_SAMPLE
 from ..functions.codes import is_blank
-from ..functions.names import folders_of, glob_folder, glob_regex
+from ..functions.names import folder_at, folder_depth, glob_folder, glob_regex
 
 
 def list_files(spark: SparkSession, root: str) -> DataFrame:
@@ -40,7 +40,8 @@ def audit_sources(sources: DataFrame, files: DataFrame, wanted: DataFrame | None
         .otherwise(F.regexp_replace("cache_dir", "/+$", "")).alias("folder"),
         F.when(F.col("rule") == "local_glob", glob_regex(F.col("local_glob"))).alias("pattern"),
     )
-    placed = files.select("path", F.explode(folders_of(F.col("path"))).alias("folder"))
+    levels = files.select("path", F.explode(F.sequence(F.lit(0), folder_depth(F.col("path")))).alias("depth"))
+    placed = levels.select("path", folder_at("path", "depth").alias("folder"))
     hits = placed.join(rules, "folder").where(
         F.col("pattern").isNull() | F.expr("path rlike pattern")
     ).select("source", "path")
