@@ -191,7 +191,10 @@ def valid_geometry_sorted(spark, sf):
 
 
 def prepared_regions(spark, sf):
-    done = prepare_regions(st.regions(spark, sf), st.geo_polygons(spark, sf).drop("code"), scheme=SCHEME)
+    features = st.geo_polygons(spark, sf)
+    present = features.select(F.lpad("code", 2, "0").alias("code"))
+    wanted = st.regions(spark, sf).join(present, "code", "left_semi")
+    done = prepare_regions(wanted, features.drop("code"), scheme=SCHEME)
     b = done.bounds
     return b.select("uid", "code", "name", *[F.round(c, 6).alias(c) for c in ("xmin", "ymin", "xmax", "ymax")],
                     F.round("area_km2", 3).alias("area_km2"))

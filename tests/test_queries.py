@@ -5,7 +5,7 @@ import pytest
 import __spark_entry__ as entry
 from check_queries import compare, connect
 
-SF = "/root/testdata/sf0.001"
+SF = "/root/testdata/sf0.01"
 ROWS_ONLY = {"outline_rings", "rf_metrics"}
 
 
