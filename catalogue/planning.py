@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from terracell.functions import crs
-from terracell.functions.names import aoi_name, file_name, pad_month, render_template
+from terracell.functions.names import aoi_name, file_name, pad_month, render_template, stem
 from terracell.plans import fetch_plan as fp
 from terracell.session import scratch_path
 from terracell.sources import cells as cs, manifest, polygons as layers
@@ -99,11 +99,11 @@ def archive_plan(spark, sf):
 def archive_actions(spark, sf):
     """Archives of the parts: shipped parts are on disk, returned ones already unpacked."""
     plan = archive_plan(spark, sf).select("p_partkey", F.concat(
-        F.regexp_replace("out_name", r"\.zip$", ""), F.lit("_"), st.text("p_partkey"), F.lit(".zip")).alias("out_name"))
+        stem(F.col("out_name")), F.lit("_"), st.text("p_partkey"), F.lit(".zip")).alias("out_name"))
     names = plan.withColumnRenamed("p_partkey", "l_partkey")
     shipped = st.table(spark, sf, "lineitem").groupBy("l_partkey").agg(F.bool_or(F.col("l_returnflag") == "R").alias("r"))
     on_disk = shipped.join(names, "l_partkey")
-    stems = on_disk.where("r").select(F.regexp_replace("out_name", r"\.zip$", "").alias("stem"))
+    stems = on_disk.where("r").select(stem(F.col("out_name")).alias("stem"))
     return fp.archive_actions(plan, on_disk, stems)
 
 
@@ -135,8 +135,7 @@ def source_audit_json(spark, sf):
 
 
 def crs_filter(spark, sf):
-    names = F.array(*[F.lit(n) for n in ("epsg:4326", " WGS84", "EPSG:5070", "Epsg:4326", "EPSG:3857")])
-    c = st.cells(spark, sf).withColumn("crs", F.get(names, (F.col("cell_id") % 5).cast("int")))
+    c = st.cells_with_crs(spark, sf)
     return c.where(crs.is_geographic(F.col("crs"))).select("cell_id", "crs")
 
 
@@ -237,8 +236,8 @@ SELECT p_partkey, 'Annual_NLCD_LndCov_' || (1985 + p_size % 40) || '_CU_C1V1_' |
     "source_audit_overall": f"WITH {_AUDIT} SELECT bool_and(ok) AS ok, CASE WHEN bool_and(ok) THEN 0 ELSE 2 END AS exit_code FROM audit",
     "source_audit_json": f"""WITH {_AUDIT} SELECT source, '{{"source":"' || source || '","ok":' || ok || ',"rule":"' || rule || '"' ||
   CASE WHEN count IS NULL THEN '' ELSE ',"count":' || count END || '}}' AS json FROM audit""",
-    "crs_filter": """SELECT c_custkey AS cell_id, CASE c_custkey % 5 WHEN 0 THEN 'epsg:4326' WHEN 1 THEN ' WGS84' ELSE 'Epsg:4326' END AS crs
-FROM customer WHERE c_custkey % 5 IN (0, 1, 3)""",
+    "crs_filter": f"""WITH {st.CELLS}, c AS (SELECT cell_id, {st.CRS_SQL} AS crs FROM cells)
+SELECT * FROM c WHERE upper(trim(crs)) IN ('EPSG:4326', 'WGS84')""",
     "cells_by_source": f"""WITH {st.MONTHLY}
 SELECT 'customer' AS source, 'acctbal' AS var, 1995 AS year, '01' AS month, count(*) AS n, round(sum(c_acctbal), 2) AS total FROM customer
 UNION ALL SELECT 'orders', 'tas', year(month), lpad(CAST(month(month) AS VARCHAR), 2, '0'), count(*), round(sum(v), 2)

@@ -25,9 +25,7 @@ def qa_row_counts(spark, sf):
 
 
 def qa_crs(spark, sf):
-    names = F.array(F.lit("EPSG:4326"), F.lit("epsg:4326 "), F.lit("EPSG:5070"), F.lit(None).cast("string"))
-    meta = st.cells(spark, sf).withColumn("crs", F.get(names, (F.col("cell_id") % 4).cast("int")))
-    return qa.crs_mismatch(meta, "EPSG:4326").select("cell_id", "crs")
+    return qa.crs_mismatch(st.cells_with_crs(spark, sf), "EPSG:4326").select("cell_id", "crs")
 
 
 def qa_precision(spark, sf):
@@ -183,7 +181,8 @@ QUERIES = {f.__name__: f for f in (
 
 SQL = {
     "qa_row_counts": f"WITH {_COUNTS} SELECT * FROM counts",
-    "qa_crs": """SELECT c_custkey AS cell_id, CASE c_custkey % 4 WHEN 2 THEN 'EPSG:5070' END AS crs FROM customer WHERE c_custkey % 4 IN (2, 3)""",
+    "qa_crs": f"""WITH {st.CELLS}, c AS (SELECT cell_id, {st.CRS_SQL} AS crs FROM cells)
+SELECT * FROM c WHERE crs IS NULL OR upper(trim(crs)) <> 'EPSG:4326'""",
     "qa_precision": """WITH p AS (SELECT vec_id, CAST(embedding[1] AS DOUBLE) AS x, CAST(embedding[2] AS DOUBLE) AS y FROM embeddings)
 SELECT vec_id FROM p WHERE sqrt((x - round(x, 2)) ** 2 + (y - round(y, 2)) ** 2) > 0.004""",
     "qa_geometry": """WITH g AS (SELECT s_suppkey AS feature_id, abs(s_acctbal / 10000) AS h FROM supplier),

@@ -140,9 +140,9 @@ def reproject_albers(spark, sf):
 
 
 def transform_bounds(spark, sf):
-    box = st.geo_polygons(spark, sf).select("feature_id", rg.geom_bounds(F.col("geom")).alias("b"))
-    flat = box.select("feature_id", crs.reproject_box(F.col("b"), "EPSG:4326", "EPSG:5070").alias("p"))
-    return flat.select("feature_id", *[F.round(f"p.{c}", 3).alias(c) for c in ("xmin", "ymin", "xmax", "ymax")])
+    box = ops.feature_bounds(st.geo_polygons(spark, sf).withColumnRenamed("feature_id", "uid").drop("code"))
+    flat = ops.reproject_bounds(box, ["uid"], "EPSG:4326", "EPSG:5070")
+    return flat.select(F.col("uid").alias("feature_id"), *[F.round(c, 3).alias(c) for c in ("xmin", "ymin", "xmax", "ymax")])
 
 
 def _defective(spark, sf):

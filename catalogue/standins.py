@@ -134,6 +134,18 @@ CELLS = """cells AS (
          c_acctbal AS value, c_mktsegment AS class
   FROM customer)"""
 
+# A reference system per class, spelled in several ways and missing for one.
+CRS_NAMES = {
+    "AUTOMOBILE": "epsg:4326", "BUILDING": " WGS84", "FURNITURE": "EPSG:5070", "HOUSEHOLD": "EPSG:4326",
+}
+CRS_SQL = "CASE class " + " ".join(f"WHEN '{k}' THEN '{v}'" for k, v in CRS_NAMES.items()) + " END"
+
+
+def cells_with_crs(spark, sf) -> DataFrame:
+    names = F.create_map(*[F.lit(t) for pair in CRS_NAMES.items() for t in pair])
+    return cells(spark, sf).withColumn("crs", F.try_element_at(names, F.col("class")))
+
+
 LABELLED = f"""{CELLS}, {SQUARES}, labelled AS (
   SELECT code, cell_id, "row", col, value, class FROM cells
   JOIN squares ON cx >= x AND cx < x + 1 AND cy >= y AND cy < y + 1)"""

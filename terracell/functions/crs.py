@@ -107,23 +107,3 @@ def reproject(x: Column, y: Column, source: str, target: str) -> Point:
     if dst == "EPSG:3857":
         return _mercator_forward(x, y)
     return x, y
-
-
-def reproject_box(bbox: Column, source: str, target: str, added: int = 21) -> Column:
-    """Box around the reprojected outline of ``bbox``, with ``added`` points per edge."""
-    steps = F.sequence(F.lit(0), F.lit(added + 1))
-    share = lambda i: i / float(added + 1)
-    x0, y0, x1, y1 = (bbox.getField(k) for k in ("xmin", "ymin", "xmax", "ymax"))
-    pt = lambda x, y: F.struct(*[c.alias(n) for c, n in zip(reproject(x, y, source, target), "xy")])
-    outline = F.concat(
-        F.transform(steps, lambda i: pt(x0 + (x1 - x0) * share(i), y0)),
-        F.transform(steps, lambda i: pt(x0 + (x1 - x0) * share(i), y1)),
-        F.transform(steps, lambda i: pt(x0, y0 + (y1 - y0) * share(i))),
-        F.transform(steps, lambda i: pt(x1, y0 + (y1 - y0) * share(i))),
-    )
-    xs = F.transform(outline, lambda p: p.getField("x"))
-    ys = F.transform(outline, lambda p: p.getField("y"))
-    return F.struct(
-        F.array_min(xs).alias("xmin"), F.array_min(ys).alias("ymin"),
-        F.array_max(xs).alias("xmax"), F.array_max(ys).alias("ymax"),
-    )

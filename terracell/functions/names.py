@@ -6,6 +6,8 @@ import re
 
 from pyspark.sql import Column, functions as F
 
+from .binding import let
+
 
 def pad_month(month: Column) -> Column:
     """Two-digit month text; longer texts are left alone (lpad would cut them)."""
@@ -36,16 +38,25 @@ def render_template(template: str | Column, values: dict[str, Column]) -> Column
         return F.concat(*filled)
     context = F.create_map(*[p for k, v in values.items() for p in (F.lit(k), v.cast("string"))])
 
-    def fill(part, i):
-        return F.when(i % 2 == 0, part).otherwise(F.coalesce(F.try_element_at(context, part), _missing(part)))
+    def fill_all(known):
+        fill = lambda part, i: F.when(i % 2 == 0, part).otherwise(
+            F.coalesce(F.try_element_at(known, part), _missing(part))
+        )
+        return F.array_join(F.transform(F.split(template, "[{}]"), fill), "")
 
-    return F.array_join(F.transform(F.split(template, "[{}]"), fill), "")
+    return let(context, fill_all)
 
 
 def file_name(url: Column) -> Column:
     return F.substring_index(F.rtrim(url, F.lit("/")), "/", -1)
 
 
+def stem(name: Column) -> Column:
+    """File name without its last ending."""
+    ending = F.length(F.substring_index(name, ".", -1)) + 1
+    return F.when(F.contains(name, F.lit(".")), F.substr(name, F.lit(1), F.length(name) - ending)).otherwise(name)
+
+
 def aoi_name(name: Column) -> Column:
     """Name of the clipped copy of a raster file."""
     return F.replace(name, F.lit(".tif"), F.lit("_AOI.tif"))

@@ -10,6 +10,8 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, functions as F
 
+from .binding import let
+
 Point = tuple[Column, Column]
 
 
@@ -17,17 +19,12 @@ def _vertex(x: Column, y: Column) -> Column:
     return F.struct(x.alias("x"), y.alias("y"))
 
 
-def _let(value: Column, body: Callable[[Column], Column]) -> Column:
-    """Evaluate ``value`` once and use it several times in ``body``."""
-    return F.get(F.transform(F.array(value), body), F.lit(0))
-
-
 def close_ring(ring: Column) -> Column:
     def closed(r):
         first, last = F.get(r, F.lit(0)), F.get(r, F.size(r) - 1)
         return F.when((F.size(r) > 0) & (first != last), F.concat(r, F.array(first))).otherwise(r)
 
-    return _let(ring, closed)
+    return let(ring, closed)
 
 
 def ring_edges(ring: Column) -> Column:
@@ -42,7 +39,7 @@ def ring_edges(ring: Column) -> Column:
             ),
         )
 
-    return _let(close_ring(ring), edges)
+    return let(close_ring(ring), edges)
 
 
 def geom_edges(geom: Column) -> Column:
@@ -126,7 +123,7 @@ def repair(geom: Column) -> Column:
 
         return F.transform(kept, oriented)
 
-    return _let(usable, orient_all)
+    return let(usable, orient_all)
 
 
 def ring_flags(geom: Column) -> Column:

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from ..functions.binding import let
 from ..session import materialize
 
 REGIONS_PER_BLOCK = 2048
@@ -22,34 +23,32 @@ def soft_membership(points: DataFrame, regions: DataFrame, bandwidth: float = 1.
     split into blocks, each a scalar subquery of bounded size.
     """
     regions = materialize(regions.select("code", "cx", "cy"), "centroids")
-    total = regions.count()
-    blocks = max(1, -(-total // REGIONS_PER_BLOCK))
-    out = points
-    names = []
+    blocks = max(1, -(-regions.count() // REGIONS_PER_BLOCK))
+    out, parts = points, []
     for b in range(blocks):
         block = regions.where(F.pmod(F.xxhash64("code"), F.lit(blocks)) == b).agg(
             F.array_sort(F.collect_list(F.struct("code", "cx", "cy"))).alias("c")
         )
-        d2 = lambda r: (
-            (F.col("x") - r.getField("cx")) * (F.col("x") - r.getField("cx"))
-            + (F.col("y") - r.getField("cy")) * (F.col("y") - r.getField("cy"))
-        ) / bandwidth**2
-        names.append(f"_m{b}")
-        out = out.withColumn("_c", block.scalar()).withColumn(
-            names[-1],
-            F.transform("_c", lambda r: F.struct(r.getField("code").alias("code"), d2(r).alias("d2"))),
-        ).drop("_c")
-    every = F.col(names[0]) if blocks == 1 else F.array_sort(F.concat(*names))
-    out = out.withColumn("_all", every).drop(*names)
-    out = out.withColumn("_near", F.array_min(F.transform("_all", lambda r: r.getField("d2"))))
-    weight = lambda r: F.exp(F.col("_near") - r.getField("d2"))
-    out = out.withColumn("_sum", F.aggregate("_all", F.lit(0.0), lambda acc, r: acc + weight(r)))
-    return out.withColumn(
-        "membership",
-        F.transform("_all", lambda r: F.struct(
-            r.getField("code").alias("code"), (weight(r) / F.col("_sum")).alias("p")
-        )),
-    ).drop("_all", "_near", "_sum")
+        parts.append(f"_c{b}")
+        out = out.withColumn(parts[-1], block.scalar())
+    centres = F.col(parts[0]) if blocks == 1 else F.array_sort(F.concat(*parts))
+    return out.withColumn("membership", let(centres, lambda c: _softmax(c, bandwidth))).drop(*parts)
+
+
+def _softmax(centres: Column, bandwidth: float) -> Column:
+    def distance(r):
+        dx, dy = F.col("x") - r.getField("cx"), F.col("y") - r.getField("cy")
+        return (dx * dx + dy * dy) / F.lit(float(bandwidth) ** 2)
+
+    # Distances are taken from the nearest centroid, so the largest weight is 1.
+    weights = let(
+        F.transform(centres, distance),
+        lambda d: let(F.array_min(d), lambda near: F.transform(d, lambda v: F.exp(near - v))),
+    )
+    total = lambda w: F.aggregate(w, F.lit(0.0), lambda acc, v: acc + v)
+    return let(weights, lambda w: let(total(w), lambda s: F.zip_with(
+        centres, w, lambda r, v: F.struct(r.getField("code").alias("code"), (v / s).alias("p"))
+    )))
 
 
 def best_member(membership: Column) -> Column:

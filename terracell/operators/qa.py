@@ -172,7 +172,10 @@ def leakage(features: DataFrame, targets: DataFrame, on: list[str], feature_ts:
 
 
 def outliers(df: DataFrame, keys: list[str], value: str, k: float) -> DataFrame:
-    """Rows further than k scaled MADs from the group's median."""
+    """Rows further than k scaled MADs from the group's median.
+
+    For tables with one row per entity and period, whose groups the calendar bounds.
+    """
     group = Window.partitionBy(*keys)
     centred = df.withColumn("_m", F.median(value).over(group)).withColumn("_d", F.abs(F.col(value) - F.col("_m")))
     spread = centred.withColumn("_mad", F.median("_d").over(group) * MAD_SCALE)

@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from ..constants import CODE_SAMPLE, DEFAULT_LEVEL, DEFAULT_SCHEME, OUTPUT_COLUMNS
 from ..functions.codes import normalize_code, with_code
+from ..functions.crs import reproject
 from ..functions.rings import geom_bounds, is_usable
 
 
@@ -133,6 +134,29 @@ def region_bounds(features: DataFrame, keys: list[str]) -> DataFrame:
     )
 
 
+def reproject_bounds(boxes: DataFrame, keys: list[str], source: str, target: str, added: int = 21) -> DataFrame:
+    """Boxes (xmin..ymax per key) in another CRS, with ``added`` points per edge.
+
+    The points are rows for a moment, so the projection runs as compiled code;
+    they are combined again before the shuffle.
+    """
+    c = F.col
+    share = c("_i") / F.lit(float(added + 1))
+    across = c("xmin") + (c("xmax") - c("xmin")) * share
+    along = c("ymin") + (c("ymax") - c("ymin")) * share
+    points = F.array(*[
+        F.struct(x.alias("x"), y.alias("y"))
+        for x, y in ((across, c("ymin")), (across, c("ymax")), (c("xmin"), along), (c("xmax"), along))
+    ])
+    steps = boxes.select(*keys, "xmin", "ymin", "xmax", "ymax", F.explode(
+        F.sequence(F.lit(0), F.lit(added + 1))).alias("_i"))
+    outline = steps.select(*keys, F.explode(points).alias("_p")).select(*keys, "_p.x", "_p.y")
+    x, y = reproject(c("x"), c("y"), source, target)
+    return outline.select(*keys, x.alias("x"), y.alias("y")).groupBy(*keys).agg(
+        F.min("x").alias("xmin"), F.min("y").alias("ymin"), F.max("x").alias("xmax"), F.max("y").alias("ymax")
+    )
+
+
 def merge_suspects(features: DataFrame) -> DataFrame:
     """uids that carry more than one code or name."""
     pairs = features.groupBy("uid").agg(

@@ -10,6 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..constants import DOY_HALF_WINDOW
+from ..functions.binding import let
 
 
 def _day_number(day: str) -> Column:
@@ -34,7 +35,7 @@ def zscore(value: Column, group) -> Column:
     return (value - F.avg(value).over(group)) / F.nullif(F.stddev_pop(value).over(group), F.lit(0.0))
 
 
-def sorted_quantile(values: Column, prob: float) -> Column:
+def _sorted_quantile(values: Column, prob: float) -> Column:
     """Quantile of a sorted array, with linear interpolation."""
     spot = (F.size(values) - 1) * F.lit(float(prob))
     low = F.get(values, F.floor(spot).cast("int"))
@@ -55,9 +56,10 @@ def doy_thresholds(df: DataFrame, keys: list[str], day: str, value: str, probs:
     offsets = F.sequence(F.lit(-half_window), F.lit(half_window))
     near = F.transform(offsets, lambda o: (F.col("_at") - 1 + o + 366) % 366 + 1)
     pooled = per_doy.select(*keys, "_vs", F.explode(near).alias("doy")).groupBy(*keys, "doy").agg(
-        F.array_sort(F.flatten(F.collect_list("_vs"))).alias("_vs")
+        F.flatten(F.collect_list("_vs")).alias("_vs")
     )
-    return pooled.select(*keys, "doy", *[sorted_quantile(F.col("_vs"), p).alias(n) for n, p in probs.items()])
+    limits = let(F.sort_array("_vs"), lambda v: F.struct(*[_sorted_quantile(v, p).alias(n) for n, p in probs.items()]))
+    return pooled.select(*keys, "doy", limits.alias("_q")).select(*keys, "doy", "_q.*")
 
 
 def beyond_doy_threshold(df: DataFrame, keys: list[str], day: str, value: str, prob: float, above: bool) -> DataFrame:

@@ -18,17 +18,16 @@ from .joins import lookup_join
 def row_runs(edges: DataFrame, grid: Grid, key: str = "uid") -> DataFrame:
     """Runs (key, row, tile, col_lo, col_hi) of cells whose centre is inside.
 
-    An edge crosses the rows whose centre lies in [min y, max y). Crossings
-    carry the edge's direction; a point is inside where the running sum of
-    directions is not zero. That makes the union of overlapping or repeated
-    features exact, and edges shared by neighbours cancel in the first
-    aggregation. The window runs over the crossings of one raster row by one
-    region.
+    An edge crosses the rows whose centre lies in [min y, max y); from there on,
+    to the right, the depth changes by the edge's direction. Crossings are added
+    up by the first column they affect and a cell is inside where the running
+    sum is not zero. That makes the union of overlapping or repeated features
+    exact, and edges shared by neighbours cancel in the map-side aggregation. A
+    window sees one raster row of one region, so at most a value per column.
     """
     r1 = (F.col("y1") - grid.y0) / grid.dy - 0.5
     r2 = (F.col("y2") - grid.y0) / grid.dy - 0.5
-    lo, hi = F.floor(F.least(r1, r2)), F.ceil(F.greatest(r1, r2))
-    lo = F.greatest(lo, F.lit(0))
+    lo, hi = F.greatest(F.floor(F.least(r1, r2)), F.lit(0)), F.ceil(F.greatest(r1, r2))
     if grid.height is not None:
         hi = F.least(hi, F.lit(grid.height - 1))
     sloped = edges.where((F.col("y1") != F.col("y2")) & F.col(key).isNotNull()).withColumns(
@@ -36,21 +35,18 @@ def row_runs(edges: DataFrame, grid: Grid, key: str = "uid") -> DataFrame:
     )
     rows = sloped.where("_lo <= _hi").withColumn("row", F.explode(F.sequence("_lo", "_hi")))
     y = grid.y(F.col("row"))
-    crossing = rows.where((F.col("y1") > y) != (F.col("y2") > y)).select(
-        key, "row",
-        (F.col("x1") + (y - F.col("y1")) * (F.col("x2") - F.col("x1")) / (F.col("y2") - F.col("y1"))).alias("x"),
-        F.when(F.col("y2") > F.col("y1"), 1).otherwise(-1).alias("turn"),
-    )
-    merged = crossing.groupBy(key, "row", "x").agg(F.sum("turn").alias("turn")).where("turn <> 0")
-    along = Window.partitionBy(key, "row").orderBy("x")
-    spans = merged.select(
-        key, "row", "x", F.lead("x").over(along).alias("x_end"), F.sum("turn").over(along).alias("depth")
-    ).where("depth <> 0 and x_end is not null")
-    at = lambda c: F.ceil((F.col(c) - grid.x0) / grid.dx - 0.5)
-    first, last = F.greatest(at("x"), F.lit(0)), at("x_end") - 1
+    x = F.col("x1") + (y - F.col("y1")) * (F.col("x2") - F.col("x1")) / (F.col("y2") - F.col("y1"))
+    first = F.greatest(F.ceil((x - grid.x0) / grid.dx - 0.5), F.lit(0))
     if grid.width is not None:
-        last = F.least(last, F.lit(grid.width - 1))
-    runs = spans.select(key, "row", first.alias("col_lo"), last.alias("col_hi")).where("col_lo <= col_hi")
+        first = F.least(first, F.lit(grid.width))
+    turns = rows.where((F.col("y1") > y) != (F.col("y2") > y)).select(
+        key, "row", first.alias("col_lo"), F.when(F.col("y2") > F.col("y1"), 1).otherwise(-1).alias("turn")
+    ).groupBy(key, "row", "col_lo").agg(F.sum("turn").alias("turn")).where("turn <> 0")
+    along = Window.partitionBy(key, "row").orderBy("col_lo")
+    runs = turns.select(
+        key, "row", "col_lo", (F.lead("col_lo").over(along) - 1).alias("col_hi"),
+        F.sum("turn").over(along).alias("depth"),
+    ).where("depth <> 0 and col_hi is not null")
     return runs.select(
         key, "row", "col_lo", "col_hi",
         F.explode(F.sequence(_tile("col_lo"), _tile("col_hi"))).alias("tile"),

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from ..functions.names import aoi_name, file_name, pad_month, render_template
+from ..functions.names import aoi_name, file_name, pad_month, render_template, stem
 
 _ALL_MONTHS = [f"{m:02d}" for m in range(1, 13)]
 
@@ -103,7 +103,7 @@ def archive_actions(plan: DataFrame, archives: DataFrame, extracted: DataFrame,
     """
     have = archives.select("out_name").distinct().withColumn("_zip", F.lit(True))
     done = extracted.select("stem").distinct().withColumn("_dir", F.lit(True))
-    both = plan.withColumn("stem", F.regexp_replace("out_name", r"\.[^.]*$", "")).join(
+    both = plan.withColumn("stem", stem(F.col("out_name"))).join(
         have, "out_name", "left"
     ).join(done, "stem", "left")
     return both.withColumn(

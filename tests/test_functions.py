@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from conftest import ring, square
 from terracell import schemas
 from terracell.functions import boxes, climate, codes, crs, names, rings, windows
+from terracell.operators import regions as rg
 from terracell.plans import fetch_plan as fp
 
 
@@ -91,6 +92,11 @@ def test_pad_month(spark, raw, want):
     assert one(spark, names.pad_month(F.lit(raw)))[0] == want
 
 
+@pytest.mark.parametrize("name, want", [("a.b.zip", "a.b"), ("plain", "plain"), ("x.tif", "x")])
+def test_stem(spark, name, want):
+    assert one(spark, names.stem(F.lit(name)))[0] == want
+
+
 @pytest.mark.parametrize("glob, path, hit", [
     ("data/raw/*.7z", "data/raw/a.7z", True), ("data/raw/*.7z", "data/raw/x/a.7z", False),
     ("data/**/a?.tif", "data/x/y/ab.tif", True), ("data/**/a?.tif", "data/ab.tif", True),
@@ -123,11 +129,11 @@ def test_crs_allow_list(spark):
 
 
 def test_reprojected_box_is_wider_than_its_corners(spark):
-    b = boxes.box(F.lit(-105.0), F.lit(30.0), F.lit(-85.0), F.lit(40.0))
-    px, py = crs.reproject(F.lit(-96.0), F.lit(30.0), "EPSG:4326", "EPSG:5070")
-    r = one(spark, crs.reproject_box(b, "EPSG:4326", "EPSG:5070").alias("b"), py.alias("mid"))
+    df = spark.createDataFrame([(1, -105.0, 30.0, -85.0, 40.0)], "k INT, xmin DOUBLE, ymin DOUBLE, xmax DOUBLE, ymax DOUBLE")
+    got = rg.reproject_bounds(df, ["k"], "EPSG:4326", "EPSG:5070").first()
+    mid = crs.reproject(F.lit(-96.0), F.lit(30.0), "EPSG:4326", "EPSG:5070")[1]
     corner = crs.reproject(F.lit(-105.0), F.lit(30.0), "EPSG:4326", "EPSG:5070")[1]
-    assert r.b.ymin < one(spark, corner)[0] and abs(r.b.ymin - r.mid) < 2000
+    assert got.ymin < one(spark, corner)[0] and abs(got.ymin - one(spark, mid)[0]) < 2000
 
 
 def geoms(spark, *values):
