@@ -169,7 +169,7 @@ _M = ", ".join(
 _MONTH = "CAST(month AS VARCHAR) AS month"
 _BY = "PARTITION BY region ORDER BY month"
 
-_YEARLY = """votes AS (SELECT l_partkey AS cell, year(l_shipdate) AS year, l_returnflag AS class, count(*) AS n FROM lineitem GROUP BY 1, 2, 3),
+_YEARLY = """votes AS (SELECT l_partkey AS cell, CAST(year(l_shipdate) AS INTEGER) AS year, l_returnflag AS class, count(*) AS n FROM lineitem GROUP BY 1, 2, 3),
 yearly AS (SELECT cell, year, class FROM (SELECT *, row_number() OVER (PARTITION BY cell, year ORDER BY n DESC, class) AS r FROM votes) WHERE r = 1)"""
 
 QUERIES = {f.__name__: f for f in (
@@ -187,9 +187,9 @@ dry AS (SELECT region, day, v FROM rain JOIN q USING (region) WHERE v < t), {_RU
 SELECT region, CAST(start_day AS VARCHAR) AS start_day, CAST(end_day AS VARCHAR) AS end_day, n_days, intensity FROM runs""",
     "event_stats": f"""WITH {_beyond(0.8, '>')}, {_RUNS.format(src='beyond', agg='max')}
 SELECT region, count(*) AS n_events, CAST(sum(n_days) AS BIGINT) AS event_days, max(n_days) AS longest, round(avg(n_days), 6) AS mean_days,
-  round(max(intensity), 6) AS max_intensity, month(arg_max(start_day, n_days * 1000000 - (start_day - DATE '1970-01-01'))) AS start_month FROM runs GROUP BY 1""",
+  round(max(intensity), 6) AS max_intensity, CAST(month(arg_max(start_day, n_days * 1000000 - (start_day - DATE '1970-01-01'))) AS INTEGER) AS start_month FROM runs GROUP BY 1""",
     "days_since_event": f"""WITH {st.DAILY}, l AS (SELECT region, day, max(CASE WHEN v > 400000 THEN day END) OVER (PARTITION BY region ORDER BY day) AS e FROM daily)
-SELECT region, CAST(day AS VARCHAR) AS day, day - e AS days_since FROM l""",
+SELECT region, CAST(day AS VARCHAR) AS day, CAST(day - e AS INTEGER) AS days_since FROM l""",
     "compound_heat_dry": f"""WITH {st.DAILY}, {st.RAIN}, a AS (SELECT region, day, (v - avg(v) OVER p) / stddev_pop(v) OVER p AS z FROM daily WINDOW p AS (PARTITION BY region)),
 b AS (SELECT region, day, (v - avg(v) OVER p) / stddev_pop(v) OVER p AS z FROM rain WINDOW p AS (PARTITION BY region)),
 hits AS (SELECT region, day, a.z AS v FROM a JOIN b USING (region, day) WHERE a.z > 0.5 AND b.z < -0.5), {_RUNS.format(src='hits', agg='max')}
@@ -211,24 +211,24 @@ FROM t JOIN lim ON lim.region = t.region AND doy = dayofyear(day) GROUP BY 1""",
     "regime_shift": f"""WITH {st.MONTHLY}, s AS (SELECT region, month, avg(v) OVER ({_BY} ROWS BETWEEN CURRENT ROW AND 11 FOLLOWING)
   - avg(v) OVER ({_BY} ROWS BETWEEN 12 PRECEDING AND 1 PRECEDING) AS shift, stddev_pop(v) OVER (PARTITION BY region) AS sd FROM monthly)
 SELECT region, {_MONTH}, round(shift, 4) AS shift, abs(shift) > sd AS is_shift FROM s WHERE shift IS NOT NULL""",
-    "seasonal_summary": f"""WITH {st.MONTHLY} SELECT region, year(month) AS year, round(avg(v), 4) AS mean, round(max(v), 6) AS peak,
+    "seasonal_summary": f"""WITH {st.MONTHLY} SELECT region, CAST(year(month) AS INTEGER) AS year, round(avg(v), 4) AS mean, round(max(v), 6) AS peak,
   round(max(v) - min(v), 6) AS amplitude FROM monthly GROUP BY 1, 2""",
-    "phenology": f"""WITH {st.MONTHLY}, y AS (SELECT region, year(month) AS year, month(month) AS m, v, min(v) OVER w AS lo, max(v) OVER w AS hi
+    "phenology": f"""WITH {st.MONTHLY}, y AS (SELECT region, CAST(year(month) AS INTEGER) AS year, CAST(month(month) AS INTEGER) AS m, v, min(v) OVER w AS lo, max(v) OVER w AS hi
   FROM monthly WINDOW w AS (PARTITION BY region, year(month)))
 SELECT region, year, min(m) FILTER (v > lo + (hi - lo) * 0.5::DOUBLE) AS green_up, max(m) FILTER (v > lo + (hi - lo) * 0.5::DOUBLE) AS senescence FROM y GROUP BY 1, 2""",
     "monthly_anomaly": f"""WITH {st.MONTHLY} SELECT region, {_MONTH}, round(v, 6) AS v, round(avg(v) OVER w, 4) AS normal,
   round(v - avg(v) OVER w, 4) AS anomaly FROM monthly WINDOW w AS (PARTITION BY region, month(month))""",
     "aridity": f"""WITH {st.MONTHLY}, {st.RAIN}, r AS (SELECT region, CAST(date_trunc('month', day) AS DATE) AS month, sum(v) AS pr FROM rain GROUP BY 1, 2)
-SELECT region, year(month) AS year, round(sum(pr), 4) AS precip, round(sum(v / 100), 4) AS pet, round(sum(pr) / sum(v / 100), 4) AS aridity
+SELECT region, CAST(year(month) AS INTEGER) AS year, round(sum(pr), 4) AS precip, round(sum(v / 100), 4) AS pet, round(sum(pr) / sum(v / 100), 4) AS aridity
 FROM r JOIN monthly USING (region, month) GROUP BY 1, 2""",
-    "gdd": f"""WITH {st.DAILY} SELECT region, year(day) AS year, round(sum(greatest((hi / 10000 + lo / 10000) / 2 - 10, 0)), 7) AS gdd FROM daily GROUP BY 1, 2""",
+    "gdd": f"""WITH {st.DAILY} SELECT region, CAST(year(day) AS INTEGER) AS year, round(sum(greatest((hi / 10000 + lo / 10000) / 2 - 10, 0)), 7) AS gdd FROM daily GROUP BY 1, 2""",
     "vpd": f"""WITH {st.DAILY}, {st.RAIN}, b AS (SELECT region, daily.v / 10000 AS t, least(rain.v, 100.0) AS rh FROM daily JOIN rain USING (region, day)),
 e AS (SELECT region, 0.6108::DOUBLE * exp(17.27::DOUBLE * t / (t + 237.3::DOUBLE)) * (1 - rh / 100) AS vpd FROM b)
 SELECT region, round(avg(vpd), 6) AS vpd_mean, round(max(vpd), 6) AS vpd_max FROM e GROUP BY 1""",
     "soil_bucket": f"""WITH RECURSIVE {st.MONTHLY}, s AS (SELECT region, v, row_number() OVER ({_BY}) AS i, count(*) OVER (PARTITION BY region) AS n FROM monthly),
 f AS (SELECT region, 0::BIGINT AS i, 0.0::DOUBLE AS w FROM (SELECT DISTINCT region FROM monthly)
   UNION ALL SELECT s.region, s.i, greatest(0.0::DOUBLE, least(200000.0::DOUBLE, w + (s.v - 300000))) FROM f JOIN s ON s.region = f.region AND s.i = f.i + 1)
-SELECT f.region, n AS n_periods, round(w, 6) AS storage FROM f JOIN s ON s.region = f.region AND s.i = f.i WHERE f.i = n""",
+SELECT f.region, CAST(n AS INTEGER) AS n_periods, round(w, 6) AS storage FROM f JOIN s ON s.region = f.region AND s.i = f.i WHERE f.i = n""",
     "yearly_landcover": f"WITH {_YEARLY} SELECT * FROM yearly",
     "transition_rates": f"""WITH {_YEARLY}, p AS (SELECT a.class AS from_class, b.class AS to_class, count(*) AS n FROM yearly a JOIN yearly b ON a.cell = b.cell AND b.year = a.year + 1 GROUP BY 1, 2)
 SELECT from_class, to_class, n, round(n / sum(n) OVER (PARTITION BY from_class), 6) AS rate FROM p""",

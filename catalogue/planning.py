@@ -184,7 +184,7 @@ _PLAN = """req AS (
     CASE WHEN p_retailprice < 950 THEN ['01', '07', '12'] ELSE ['01','02','03','04','05','06','07','08','09','10','11','12'] END AS months
   FROM part),
 loop AS (
-  SELECT source, path, vars[v] AS var, y0 + y AS year, months[m] AS month,
+  SELECT source, path, vars[v] AS var, CAST(y0 + y AS INTEGER) AS year, months[m] AS month,
     CAST((v - 1) * (extra + 1) * len(months) + y * len(months) + m AS BIGINT) AS n
   FROM req, LATERAL unnest(range(1, len(vars) + 1)) AS a(v), LATERAL unnest(range(0, extra + 1)) AS b(y),
     LATERAL unnest(range(1, len(months) + 1)) AS c(m)),
@@ -240,7 +240,7 @@ SELECT p_partkey, 'Annual_NLCD_LndCov_' || (1985 + p_size % 40) || '_CU_C1V1_' |
 SELECT * FROM c WHERE upper(trim(crs)) IN ('EPSG:4326', 'WGS84')""",
     "cells_by_source": f"""WITH {st.MONTHLY}
 SELECT 'customer' AS source, 'acctbal' AS var, 1995 AS year, '01' AS month, count(*) AS n, round(sum(c_acctbal), 2) AS total FROM customer
-UNION ALL SELECT 'orders', 'tas', year(month), lpad(CAST(month(month) AS VARCHAR), 2, '0'), count(*), round(sum(v), 2)
+UNION ALL SELECT 'orders', 'tas', CAST(year(month) AS INTEGER), lpad(CAST(month(month) AS VARCHAR), 2, '0'), count(*), round(sum(v), 2)
 FROM monthly WHERE year(month) BETWEEN 1996 AND 1998 AND month(month) IN (1, 6) AND region BETWEEN 5 AND 20 GROUP BY 3, 4""",
     "sink_roundtrip": f"""WITH {st.REGIONS}, {st.SQUARES}, u AS (SELECT uid, count(*) AS n FROM squares
   JOIN (SELECT uid, code FROM regions WHERE scheme = 'ASIA') USING (code) GROUP BY 1)

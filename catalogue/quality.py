@@ -203,7 +203,7 @@ UNION ALL SELECT 'nodata', entity, CASE WHEN share >= 1 THEN 'fail' WHEN share >
 UNION ALL SELECT 'bounds', code, CASE WHEN xmax > 9 THEN 'warn' ELSE 'pass' END FROM bounds""",
     "qa_pct_sum": f"WITH {raster._ZONAL} SELECT code, round(sum(pct), 6) AS pct_sum, 'pass' AS status FROM cov GROUP BY 1",
     "qa_null_rate": f"WITH {_NULLS} SELECT event_type, n_rows, \"column\", round(null_rate, 6) AS null_rate, status FROM rates",
-    "qa_distribution": f"""WITH {st.MONTHLY}, y AS (SELECT region, year(month) AS period, count(*) AS n, var_pop(v / 1000) AS variance, min(v) = max(v) AS is_constant FROM monthly GROUP BY 1, 2),
+    "qa_distribution": f"""WITH {st.MONTHLY}, y AS (SELECT region, CAST(year(month) AS INTEGER) AS period, count(*) AS n, var_pop(v / 1000) AS variance, min(v) = max(v) AS is_constant FROM monthly GROUP BY 1, 2),
 r AS (SELECT *, variance / nullif(lag(variance) OVER (PARTITION BY region ORDER BY period), 0) AS ratio FROM y)
 SELECT region, period, n, round(variance, 4) AS variance, is_constant, round(ratio, 4) AS ratio,
   CASE WHEN coalesce(ratio > 2.0, false) THEN 'fail' WHEN is_constant THEN 'warn' ELSE 'pass' END AS status FROM r""",
@@ -211,7 +211,7 @@ SELECT region, period, n, round(variance, 4) AS variance, is_constant, round(rat
   SELECT region, CAST(d AS DATE) AS d FROM (SELECT DISTINCT region FROM daily) CROSS JOIN range(DATE '1995-01-01', DATE '1996-01-01', INTERVAL 1 DAY) AS c(d)
   EXCEPT SELECT region, day FROM daily)""",
     "qa_duplicates": """SELECT l_suppkey, CAST(CAST(l_shipdate AS DATE) AS VARCHAR) AS day, count(*) AS n FROM lineitem GROUP BY 1, 2 HAVING count(*) > 1""",
-    "qa_leakage": """SELECT l_orderkey AS k, l_linenumber, l_partkey, datediff('day', CAST(o_orderdate AS DATE), CAST(l_shipdate AS DATE)) AS ahead
+    "qa_leakage": """SELECT l_orderkey AS k, l_linenumber, l_partkey, CAST(datediff('day', CAST(o_orderdate AS DATE), CAST(l_shipdate AS DATE)) AS INTEGER) AS ahead
 FROM lineitem JOIN orders ON l_orderkey = o_orderkey WHERE CAST(l_shipdate AS DATE) > CAST(o_orderdate AS DATE) + 60""",
     "qa_outliers": f"""WITH {st.DAILY}, m AS (SELECT region, median(v) AS m FROM daily GROUP BY 1),
 d AS (SELECT region, day, v, m, abs(v - m) AS d FROM daily JOIN m USING (region)),

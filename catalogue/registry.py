@@ -312,7 +312,7 @@ SELECT feature_id, true AS usable, k = 1 AS open_ring, k = 2 AS repeated_vertex,
 v AS (SELECT feature_id, i, round((x + vx) / 0.5::DOUBLE) AS sx, round((y + vy) / 0.5::DOUBLE) AS sy FROM d,
   LATERAL (VALUES (0, 0.0::DOUBLE, 0.0::DOUBLE), (1, d, 0.0), (2, 0.9, 0.1), (3, 1.0, 0.0), (4, 1.0, 1.0), (5, 0.0, d), (6, 0.0, 0.0)) AS t(i, vx, vy)),
 w AS (SELECT *, lag(sx) OVER o AS px, lag(sy) OVER o AS py FROM v WINDOW o AS (PARTITION BY feature_id ORDER BY i))
-SELECT feature_id, 7 AS n_before, count(*) FILTER (i = 0 OR sx <> px OR sy <> py) AS n_after FROM w GROUP BY 1""",
+SELECT feature_id, 7 AS n_before, CAST(count(*) FILTER (i = 0 OR sx <> px OR sy <> py) AS INTEGER) AS n_after FROM w GROUP BY 1""",
     "valid_geometry_sorted": f"""WITH {st.REGIONS}, {st.SQUARES}
 SELECT uid, '{SCHEME}' AS scheme, 3 AS level, code, name, 1.0::DOUBLE AS area_km2 FROM squares JOIN ({_ASIA}) USING (code)
 WHERE NOT amount < 0 AND NOT amount > 9000 ORDER BY code""",
