@@ -10,6 +10,7 @@ from terracell.functions.rings import geom_bounds
 from terracell.functions.windows import window_of, window_origin
 from terracell.operators import clip, grid, regions as ops, zonal as zs, zones
 from terracell.plans.region_features import label_by_region
+from terracell.session import materialize
 
 from . import standins as st
 
@@ -105,11 +106,11 @@ def zonal_counts(spark, sf):
 
 
 def _long(spark, sf):
-    cells = _labelled(spark, sf)
+    summary = materialize(zs.class_summary(_labelled(spark, sf), ["code"]), "classes")
     stats = zs.to_long(
-        zs.zonal_stats(cells, ["code"]), "code", F.lit("customer"), F.lit("acctbal"), ["mean", "std", "min", "max"]
+        zs.stats_from_classes(summary, ["code"]), "code", F.lit("customer"), F.lit("acctbal"), ["mean", "std", "min", "max"]
     )
-    cover = zs.class_cover(cells, ["code"]).select(
+    cover = zs.cover_from_classes(summary, ["code"]).select(
         F.col("code").alias("region_uid"), F.lit("customer").alias("source"), F.lower("class").alias("variable"),
         F.lit("pct").alias("stat"), F.col("pct").alias("value"),
     )

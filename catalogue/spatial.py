@@ -7,6 +7,7 @@ from pyspark.sql import Window, functions as F
 from terracell.operators import fingerprint, grid, membership as mb, model, patches as pt, scenario as sc, seasonal as sn
 from terracell.operators import series as sr, zonal as zs
 from terracell.plans import region_features as rf
+from terracell.session import materialize
 
 from . import raster, standins as st
 
@@ -52,7 +53,7 @@ def _feature_tables(spark, sf):
     ))
     zonal = rf.pivot_features(long, wanted)
     region = F.col("region").cast("string").alias("region_uid")
-    m = st.monthly(spark, sf)
+    m = materialize(st.monthly(spark, sf), "monthly")
     seasons = sn.seasonal_summary(m, ["region"], "month", "v").groupBy(region).agg(F.max("amplitude").alias("max_amplitude"))
     hot = sr.runs(m.where(F.col("v") > 260000).withColumnRenamed("month", "day"), ["region"], "day", "v")
     events = hot.groupBy(region).agg(F.count("*").alias("n_hot"))

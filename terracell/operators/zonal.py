@@ -44,6 +44,39 @@ def class_cover(labelled: DataFrame, keys: list[str], cls: str = "class") -> Dat
     return counts.withColumn("pct", F.col("n") / total)
 
 
+def class_summary(labelled: DataFrame, keys: list[str], cls: str = "class", value: str = "value") -> DataFrame:
+    """Counts and moments per region and class, the one pass over the cells from
+    which both the statistics and the class cover of a region follow."""
+    return labelled.groupBy(*keys, F.col(cls).alias("class")).agg(
+        F.count("*").alias("n_cells"), F.count(value).alias("n"), F.avg(value).alias("mean"),
+        F.var_pop(value).alias("var"), F.min(value).alias("min"), F.max(value).alias("max"),
+    )
+
+
+def stats_from_classes(summary: DataFrame, keys: list[str]) -> DataFrame:
+    """n, mean, std, min, max per region, merged from its classes.
+
+    The variance is the mean variance within classes plus the variance between
+    their means, which loses no digits to large sums of squares.
+    """
+    n = F.sum("n").over(Window.partitionBy(*keys))
+    centre = F.sum(F.col("n") * F.col("mean")).over(Window.partitionBy(*keys)) / F.nullif(n, F.lit(0))
+    spread = summary.withColumn("_m", centre).withColumn(
+        "_ss", F.col("n") * (F.col("var") + (F.col("mean") - F.col("_m")) * (F.col("mean") - F.col("_m")))
+    )
+    return spread.groupBy(*keys).agg(
+        F.sum("n").alias("n"), F.max("_m").alias("mean"),
+        F.sqrt(F.sum("_ss") / F.nullif(F.sum("n"), F.lit(0))).alias("std"),
+        F.min("min").alias("min"), F.max("max").alias("max"),
+    )
+
+
+def cover_from_classes(summary: DataFrame, keys: list[str]) -> DataFrame:
+    """Cell count and fraction per class, as ``class_cover`` gives."""
+    valid = summary.where(F.col("class").isNotNull()).select(*keys, "class", F.col("n_cells").alias("n"))
+    return valid.withColumn("pct", F.col("n") / F.sum("n").over(Window.partitionBy(*keys)))
+
+
 def counts(labelled: DataFrame, keys: list[str], value: str = "value") -> DataFrame:
     """Cells, valid cells and the valid proportion."""
     agg = labelled.groupBy(*keys).agg(F.count("*").alias("n_cells"), F.count(value).alias("n_valid"))

@@ -61,6 +61,21 @@ def test_zonal_statistics(spark):
     assert zs.counts(df, ["uid"]).where("uid = 'a'").first().valid_share == pytest.approx(2 / 3)
 
 
+def test_class_summary_gives_the_same_statistics(spark):
+    rng = np.random.default_rng(1)
+    rows = [("ab"[int(v) % 2], None if i % 9 == 0 else float(v) + 1e6, None if i % 7 == 0 else "xyz"[i % 3]) for i, v in enumerate(rng.normal(size=400) * 5)]
+    df = spark.createDataFrame(rows + [("none", None, "x")], "uid STRING, value DOUBLE, class STRING")
+    summary = zs.class_summary(df, ["uid"])
+    a = {r.uid: r for r in zs.zonal_stats(df, ["uid"]).collect()}
+    b = {r.uid: r for r in zs.stats_from_classes(summary, ["uid"]).collect()}
+    assert set(a) == set(b) == {"a", "b", "none"}
+    for uid in a:
+        for name in ("n", "mean", "std", "min", "max"):
+            assert b[uid][name] == (None if a[uid][name] is None else pytest.approx(a[uid][name], rel=1e-9))
+    pct = lambda t: sorted((r.uid, r["class"], r.n, round(r.pct, 12)) for r in t.collect())
+    assert pct(zs.cover_from_classes(summary, ["uid"])) == pct(zs.class_cover(df, ["uid"]))
+
+
 def test_boundless_clip_fills_outside(spark):
     df, _ = raster(spark, 4, 4, lambda r, c: (float(r * 4 + c), "k"))
     win = spark.createDataFrame([((2, 2, 5, 4),)], "win STRUCT<col_off: BIGINT, row_off: BIGINT, width: BIGINT, height: BIGINT>")
