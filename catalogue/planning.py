@@ -2,16 +2,19 @@
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
+from functools import reduce
 
+from pyspark.sql import DataFrame, functions as F
+
+from terracell import schemas
 from terracell.functions import crs
 from terracell.functions.names import aoi_name, file_name, pad_month, render_template, stem
-from terracell.plans import fetch_plan as fp
+from terracell.plans import fetch_plan as fp, region_features as rf
 from terracell.session import scratch_path
 from terracell.sources import cells as cs, manifest, polygons as layers
 from terracell.operators import regions as ops
 
-from . import standins as st
+from . import raster, standins as st
 
 # URL templates of the monthly climate and annual land-cover archives.
 MONTHLY_TEMPLATE = "{base_url}/{coverage_path}/{temporal_path}/{var}/{year}/CHELSA_{var}_{month}_{year}_V.{version}.tif"
@@ -169,12 +172,26 @@ def sink_roundtrip(spark, sf):
     layers.write_bounds(ops.feature_bounds(back), f"{root}/bounds")
     layers.write_qa_csv(back, f"{root}/qa")
     csv = spark.read.option("header", True).schema(back.drop("geom").schema).csv(f"{root}/qa")
+    zonal = rf.zonal_table(raster._labelled(spark, sf), "code", F.lit("customer"), F.lit("acctbal"))
+    cs.write_table(zonal, f"{root}/zonal_stats")
+    meta = st.cells(spark, sf).groupBy(F.lower("class").alias("var")).agg(
+        F.max("col").alias("c"), F.max("row").alias("r")
+    ).select(
+        F.lit("customer").alias("source"), "var", F.lit(1995).alias("year"), F.lit("01").alias("month"),
+        F.lit("EPSG:4326").alias("crs"), F.lit(st.GRID.x0).alias("x0"), F.lit(st.GRID.y0).alias("y0"),
+        F.lit(st.GRID.dx).alias("dx"), F.lit(st.GRID.dy).alias("dy"), (F.col("c") + 1).alias("width"),
+        (F.col("r") + 1).alias("height"), F.lit(None).cast("double").alias("nodata"),
+    )
+    cs.write_meta(meta, f"{root}/meta")
     parts = [
+        spark.read.schema(schemas.ZONAL).parquet(f"{root}/zonal_stats").select(
+            F.lit("zonal").alias("artifact"), F.col("region_uid").alias("uid")),
+        cs.read_meta(spark, f"{root}/meta").select(F.lit("meta").alias("artifact"), F.concat_ws(":", "var", "width", "height").alias("uid")),
         back.select(F.lit("regions").alias("artifact"), "uid"),
         layers.read_bounds(spark, f"{root}/bounds").select(F.lit("bounds").alias("artifact"), "uid"),
         csv.select(F.lit("csv").alias("artifact"), "uid"),
     ]
-    return parts[0].union(parts[1]).union(parts[2]).groupBy("artifact", "uid").agg(F.count("*").alias("n"))
+    return reduce(DataFrame.unionByName, parts).groupBy("artifact", "uid").agg(F.count("*").alias("n"))
 
 
 _PLAN = """req AS (
@@ -242,7 +259,9 @@ SELECT * FROM c WHERE upper(trim(crs)) IN ('EPSG:4326', 'WGS84')""",
 SELECT 'customer' AS source, 'acctbal' AS var, 1995 AS year, '01' AS month, count(*) AS n, round(sum(c_acctbal), 2) AS total FROM customer
 UNION ALL SELECT 'orders', 'tas', CAST(year(month) AS INTEGER), lpad(CAST(month(month) AS VARCHAR), 2, '0'), count(*), round(sum(v), 2)
 FROM monthly WHERE year(month) BETWEEN 1996 AND 1998 AND month(month) IN (1, 6) AND region BETWEEN 5 AND 20 GROUP BY 3, 4""",
-    "sink_roundtrip": f"""WITH {st.REGIONS}, {st.SQUARES}, u AS (SELECT uid, count(*) AS n FROM squares
+    "sink_roundtrip": f"""WITH {st.REGIONS}, {st.LABELLED}, u AS (SELECT uid, count(*) AS n FROM squares
   JOIN (SELECT uid, code FROM regions WHERE scheme = 'ASIA') USING (code) GROUP BY 1)
-SELECT artifact, uid, n FROM u CROSS JOIN (VALUES ('regions'), ('bounds'), ('csv')) AS t(artifact)""",
+SELECT artifact, uid, n FROM u CROSS JOIN (VALUES ('regions'), ('bounds'), ('csv')) AS t(artifact)
+UNION ALL SELECT 'zonal', code, 4 FROM (SELECT DISTINCT code FROM labelled)
+UNION ALL SELECT 'meta', lower(class) || ':' || (max(col) + 1) || ':' || (max("row") + 1), 1 FROM cells GROUP BY class""",
 }

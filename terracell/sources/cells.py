@@ -68,7 +68,8 @@ def write_region_clips(clips: DataFrame, path: str) -> None:
 
 
 def write_meta(meta: DataFrame, path: str) -> None:
-    meta.select(*[c for c in meta.columns]).write.mode("append").parquet(path)
+    """Add raster_meta rows: one per (source, var, year, month)."""
+    meta.write.mode("append").parquet(path)
 
 
 def read_meta(spark: SparkSession, path: str) -> DataFrame:
