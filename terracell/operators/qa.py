@@ -86,18 +86,33 @@ def out_of_range(df: DataFrame, variable: str, value: str, rules: dict[str, tupl
 def extent_gaps(cells: DataFrame, width: int, height: int | None = None) -> DataFrame:
     """Cells of the raster extent without a value, as (row, col).
 
-    Without ``height`` the rows are those of the table. Expected and present
-    cells meet in an anti join on both numbers.
+    The columns present are folded into one bit mask per 64 columns before the
+    shuffle, so one row moves for 64 cells and only words with a gap are
+    unfolded. Without ``height`` the rows are those of the table.
     """
+    bit = F.when(F.col("value").isNotNull(), F.call_function(
+        "shiftleft", F.lit(1).cast("bigint"), F.pmod(F.col("col"), F.lit(64)).cast("int")
+    ))
+    words = cells.groupBy("row", F.floor(F.col("col") / 64).alias("word")).agg(
+        F.coalesce(F.bit_or(bit), F.lit(0).cast("bigint")).alias("seen")
+    )
     if height is None:
         rows = cells.select("row").distinct()
     else:
         rows = cells.sparkSession.range(height).select(F.col("id").alias("row"))
-    expected = rows.select(
-        "row", F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(width - 1).cast("bigint"))).alias("col")
+    last = (width - 1) // 64
+    expected = rows.select("row", F.explode(F.sequence(F.lit(0), F.lit(last)).cast("array<bigint>")).alias("word"))
+    bits = F.when(F.col("word") < last, 64).otherwise(width - 64 * last)
+    full = F.call_function("shiftrightunsigned", F.lit(-1).cast("bigint"), F.lit(64) - bits)
+    seen = F.coalesce("seen", F.lit(0).cast("bigint"))
+    partial = expected.join(words, ["row", "word"], "left").where(seen.bitwiseAND(full) != full)
+    absent = F.filter(
+        F.sequence(F.lit(0), bits - 1),
+        lambda i: F.call_function("shiftright", seen, i).bitwiseAND(F.lit(1).cast("bigint")) == 0,
+    )
+    return partial.select("row", "word", F.explode(absent).alias("_i")).select(
+        "row", (F.col("word") * 64 + F.col("_i")).alias("col")
     )
-    present = cells.where(F.col("value").isNotNull()).select("row", "col")
-    return expected.join(present, ["row", "col"], "left_anti")
 
 
 def outside_extent(bounds: DataFrame, extent: DataFrame) -> DataFrame:

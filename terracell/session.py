@@ -31,8 +31,12 @@ def shared_dir(spark: SparkSession) -> str:
 
 
 def scratch_path(spark: SparkSession, stem: str) -> str:
-    """A fresh path below the shared folder."""
-    return f"{shared_dir(spark)}/{stem}-{uuid.uuid4().hex}"
+    """A fresh path below the shared folder.
+
+    All paths of an application share one folder, to be deleted when it is done.
+    """
+    app = spark.sparkContext.applicationId
+    return f"{shared_dir(spark)}/terracell-{app}/{stem}-{uuid.uuid4().hex}"
 
 
 def materialize(df: DataFrame, stem: str = "stage") -> DataFrame:

@@ -157,6 +157,15 @@ def test_checks_find_what_is_planted(spark):
     assert {r.status for r in flat} == {"warn"}
 
 
+@pytest.mark.parametrize("width", [1, 63, 64, 65, 130])
+def test_extent_gaps_at_word_borders(spark, width):
+    absent = {(r, c) for r in range(3) for c in (0, 31, 62, 63, 64, 127, 128, 129) if c < width and (r + c) % 3}
+    rows = [(r, c, 1.0) for r in range(3) for c in range(width) if (r, c) not in absent]
+    df = spark.createDataFrame(rows + rows[:5], "row BIGINT, col BIGINT, value DOUBLE")
+    want = absent | {(3, c) for c in range(width)}
+    assert {tuple(r) for r in qa.extent_gaps(df, width, 4).collect()} == want
+
+
 def test_geo_checks_choose_and_refuse(spark):
     keys = "source STRING, var STRING, year INT, month STRING"
     meta = spark.createDataFrame([("s", "v", 2000, "01", "EPSG:4326", 0.0, 10.0, 1.0, -1.0, 10, 10, -9.0)],
