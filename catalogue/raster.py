@@ -8,6 +8,7 @@ from terracell.functions.boxes import box, union_boxes
 from terracell.functions.climate import to_celsius
 from terracell.functions.rings import geom_bounds
 from terracell.functions.windows import window_of, window_origin
+from terracell.operators.dissolve import feature_edges
 from terracell.operators import clip, grid, regions as ops, zonal as zs, zones
 from terracell.plans.region_features import label_by_region
 from terracell.session import materialize
@@ -66,6 +67,14 @@ def region_clip(spark, sf):
     return zones.cells_in_boxes(st.cells(spark, sf), tiles).select("code", "cell_id", "value")
 
 
+def region_overlap(spark, sf):
+    """Squares widened by half overlap their right neighbours of the same code."""
+    x, y = F.col("x"), F.col("y")
+    ring = F.array(st.vertex(x, y), st.vertex(x + 1.5, y), st.vertex(x + 1.5, y + 1), st.vertex(x, y + 1), st.vertex(x, y))
+    wide = st.corners(spark, sf).select(F.col("US_L3CODE").alias("code"), F.array(ring).alias("geom"))
+    return zones.coverage(feature_edges(wide, ["code"]), st.GRID, "code")
+
+
 def unit_convert(spark, sf):
     c = st.cells(spark, sf)
     units = F.when(F.col("class") == "BUILDING", "K").otherwise("1")
@@ -144,7 +153,7 @@ long AS (
   UNION ALL SELECT code, 'customer', lower(class), 'pct', pct FROM cov)"""
 
 QUERIES = {f.__name__: f for f in (
-    window_clip, window_profile, boundless_clip, nodata_filter, region_clip, unit_convert, class_names, grid_align,
+    window_clip, window_profile, boundless_clip, nodata_filter, region_clip, region_overlap, unit_convert, class_names, grid_align,
     zonal_basic, zonal_quantiles, zonal_class_pct, zonal_counts, zonal_long, zonal_wide,
 )}
 
@@ -159,6 +168,9 @@ SELECT g."row", g.col, coalesce(value, -9999.0::DOUBLE) AS value FROM g LEFT JOI
 FROM customer GROUP BY 1 HAVING count(*) FILTER (c_acctbal >= 0) > 0""",
     "region_clip": f"""WITH {st.CELLS}, {st.BOUNDS} SELECT code, cell_id, value FROM cells
 JOIN bounds ON cx BETWEEN xmin AND xmax AND cy BETWEEN ymin AND ymax""",
+    "region_overlap": f"""WITH {st.CELLS}, {st.SQUARES}, c AS (SELECT code, cell_id, count(*) AS k FROM cells
+  JOIN squares ON cx >= x AND cx < x + 1.5 AND cy >= y AND cy < y + 1 GROUP BY 1, 2)
+SELECT code, count(*) AS n_cells, count(*) FILTER (k > 1) AS n_overlap FROM c GROUP BY 1""",
     "unit_convert": """SELECT c_custkey AS cell_id, round(CASE WHEN c_mktsegment = 'BUILDING' THEN c_acctbal - 273.15::DOUBLE ELSE c_acctbal END, 6) AS value FROM customer""",
     "class_names": """SELECT c_custkey AS cell_id, CASE c_mktsegment WHEN 'AUTOMOBILE' THEN 'developed' WHEN 'BUILDING' THEN 'barren'
   WHEN 'FURNITURE' THEN 'forest' WHEN 'HOUSEHOLD' THEN 'wetland' ELSE 'unclassified' END AS class_name FROM customer""",

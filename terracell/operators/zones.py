@@ -15,15 +15,14 @@ from ..functions.windows import Grid
 from .joins import lookup_join
 
 
-def row_runs(edges: DataFrame, grid: Grid, key: str = "uid") -> DataFrame:
-    """Runs (key, row, tile, col_lo, col_hi) of cells whose centre is inside.
+def _depth_runs(edges: DataFrame, grid: Grid, key: str) -> DataFrame:
+    """Runs (key, row, col_lo, col_hi, depth): how many features lie over each run.
 
     An edge crosses the rows whose centre lies in [min y, max y); from there on,
     to the right, the depth changes by the edge's direction. Crossings are added
-    up by the first column they affect and a cell is inside where the running
-    sum is not zero. That makes the union of overlapping or repeated features
-    exact, and edges shared by neighbours cancel in the map-side aggregation. A
-    window sees one raster row of one region, so at most a value per column.
+    up by the first column they affect, so edges shared by neighbours cancel in
+    the map-side aggregation and the window sees at most a value per column of
+    one raster row and region.
     """
     r1 = (F.col("y1") - grid.y0) / grid.dy - 0.5
     r2 = (F.col("y2") - grid.y0) / grid.dy - 0.5
@@ -43,16 +42,37 @@ def row_runs(edges: DataFrame, grid: Grid, key: str = "uid") -> DataFrame:
         key, "row", first.alias("col_lo"), F.when(F.col("y2") > F.col("y1"), 1).otherwise(-1).alias("turn")
     ).groupBy(key, "row", "col_lo").agg(F.sum("turn").alias("turn")).where("turn <> 0")
     along = Window.partitionBy(key, "row").orderBy("col_lo")
-    runs = turns.select(
+    return turns.select(
         key, "row", "col_lo", (F.lead("col_lo").over(along) - 1).alias("col_hi"),
-        F.sum("turn").over(along).alias("depth"),
-    ).where("depth <> 0 and col_hi is not null")
-    return runs.select(
+        F.abs(F.sum("turn").over(along)).alias("depth"),
+    ).where("depth > 0 and col_hi is not null")
+
+
+def row_runs(edges: DataFrame, grid: Grid, key: str = "uid") -> DataFrame:
+    """Runs (key, row, tile, col_lo, col_hi) of cells whose centre is inside.
+
+    A cell is inside where the depth is not zero, so the union of overlapping or
+    repeated features is exact.
+    """
+    return _depth_runs(edges, grid, key).select(
         key, "row", "col_lo", "col_hi",
         F.explode(F.sequence(_tile("col_lo"), _tile("col_hi"))).alias("tile"),
     )
 
 
+def coverage(edges: DataFrame, grid: Grid, key: str = "uid") -> DataFrame:
+    """Cells inside each region and how many of them several features cover.
+
+    Flags regions whose features overlap, at the resolution of the grid; for
+    those the summed polygon area is an upper bound and ``n_cells`` times the
+    cell area the estimate that counts shared ground once.
+    """
+    length = F.col("col_hi") - F.col("col_lo") + 1
+    return _depth_runs(edges, grid, key).groupBy(key).agg(
+        F.sum(length).alias("n_cells"), F.sum(F.when(F.col("depth") > 1, length).otherwise(0)).alias("n_overlap")
+    )
+
+
 def _tile(column: str):
     return F.floor(F.col(column) / TILE)
 

@@ -225,6 +225,13 @@ def test_zone_labels_match_ray_casting(spark, dy, monkeypatch):
     assert got == sorted(want)  # a cell in two features of one region counts once
 
 
+def test_coverage_counts_shared_ground_once(spark):
+    feats = layer(spark, ("a", [square(0, 0, 4, 4)]), ("a", [square(2, 2, 4, 4)]), ("b", [square(0, 0, 2, 2)]), ("b", [square(2, 0, 2, 2)]))
+    edges = ds.feature_edges(feats.withColumnRenamed("US_L3CODE", "uid"), ["uid"])
+    got = {r.uid: (r.n_cells, r.n_overlap) for r in zones.coverage(edges, Grid(0, 0, 1, 1)).collect()}
+    assert got == {"a": (28, 4), "b": (8, 0)}
+
+
 def test_boxes_match_brute_force(spark, monkeypatch):
     monkeypatch.setattr(zones, "TILE", 3)
     grid = Grid(x0=0.0, y0=10.0, dx=1.0, dy=-1.0)
