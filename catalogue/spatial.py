@@ -132,8 +132,8 @@ QUERIES = {f.__name__: f for f in (
 SQL = {
     "neighborhood_mean": f"""WITH {st.CELLS} SELECT a."row", a.col, count(*) AS n_near, round(avg(b.value), 6) AS near_mean FROM cells a
 JOIN cells b ON (a.cx - b.cx) ** 2 + (a.cy - b.cy) ** 2 <= 0.49 AND b."row" BETWEEN a."row" - 3 AND a."row" + 3 GROUP BY 1, 2""",
-    "edge_density": f"""WITH {st.CELLS}, p AS (SELECT a.class <> b.class AS u FROM cells a JOIN cells b
-  ON (b."row" = a."row" AND b.col = a.col + 1) OR (b."row" = a."row" + 1 AND b.col = a.col))
+    "edge_density": f"""WITH {st.CELLS}, p AS (SELECT a.class <> b.class AS u FROM cells a JOIN cells b ON b."row" = a."row" AND b.col = a.col + 1
+  UNION ALL SELECT a.class <> b.class FROM cells a JOIN cells b ON b."row" = a."row" + 1 AND b.col = a.col)
 SELECT count(*) AS n_pairs, count(*) FILTER (u) AS n_unlike, round(count(*) FILTER (u) / count(*), 6) AS edge_density FROM p""",
     "patches": f"{_PATCH} SELECT * FROM out",
     "patch_sizes": f"{_PATCH} SELECT patch, class, count(*) AS n_cells FROM out GROUP BY 1, 2",
