@@ -9,7 +9,9 @@ from .decontam import decontaminate
 from .jaccard import join_components
 from .langid import identify
 from .mixing import mix
+from .records import index, write
 from .sharding import shard
+from .toxicity import score, train
 
 
 def op1_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -22,10 +24,23 @@ def op2_shard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shard(table(spark, sf_dir, "documents"), scratch_path(spark, "slot-map"), 16)
 
 
+def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    model = train(docs, labels)
+    return score(docs.select("doc_id", "text"), model).select("doc_id", "held_out", "score", "predicted")
+
+
 def op4_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return join_components(table(spark, sf_dir, "documents"))
 
 
+def op6_tokens(spark: SparkSession, sf_dir: str, tokenizer: str | None = None) -> DataFrame:
+    import public_tokenizers
+    path = scratch_path(spark, "token-records")
+    write(table(spark, sf_dir, "documents"), path, tokenizer or public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.PATTERN)
+    return index(spark, path).withColumnRenamed("key", "doc_id").select("doc_id", "start", "n_tokens", "ids_crc32", "offset", "length")
+
+
 def op8_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
     return identify(docs).select("doc_id", "held_out", "lang_pred", "score", "bits_per_char", "accepted")
@@ -38,7 +53,9 @@ def op10_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_decontaminate": op1_decontaminate,
     "op2_shard": op2_shard,
+    "op3_toxicity": op3_toxicity,
     "op4_jaccard": op4_jaccard,
+    "op6_tokens": op6_tokens,
     "op8_language": op8_language,
     "op10_mix": op10_mix,
 }

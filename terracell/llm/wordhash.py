@@ -12,6 +12,8 @@ _LOWER = np.arange(256, dtype="uint8")
 _LOWER[65:91] += 32
 _SPACE = np.zeros(256, dtype=bool)
 _SPACE[[32, 9, 10, 11, 12, 13]] = True
+_NO_LETTER = np.arange(256) < 128  # ASCII other than letters; bytes of other characters count as letters
+_NO_LETTER[65:91] = _NO_LETTER[97:123] = False
 
 
 def mix(h: np.ndarray) -> np.ndarray:
@@ -46,15 +48,17 @@ def run_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, powers: P
     return mix((total[ends] - total[starts]) * down[starts] + (ends - starts).astype("uint64"))
 
 
-def word_hashes(data: np.ndarray, borders: np.ndarray, powers: Powers):
+def word_hashes(data: np.ndarray, borders: np.ndarray, powers: Powers, letters: bool = False, stem: int = 0):
     """(hashes, words per text) of the white-space separated words of texts laid end to end.
 
-    ``borders`` holds the first byte of each text and the end; A-Z count as a-z.
+    ``borders`` holds the first byte of each text and the end; A-Z count as
+    a-z. With ``letters`` words are runs of letters instead; with
+    ``stem`` only that many first bytes of a word are hashed.
     """
     if not len(data):
         return np.zeros(0, "uint64"), np.zeros(len(borders) - 1, "int64")
     data = _LOWER[data]
-    inside = ~_SPACE[data]
+    inside = ~(_NO_LETTER if letters else _SPACE)[data]
     first, last = inside.copy(), inside.copy()
     first[1:] &= ~inside[:-1]
     last[:-1] &= ~inside[1:]
@@ -64,6 +68,8 @@ def word_hashes(data: np.ndarray, borders: np.ndarray, powers: Powers):
     last[cuts - 1] = inside[cuts - 1]
     starts, ends = np.flatnonzero(first), np.flatnonzero(last) + 1
     counts = np.diff(np.searchsorted(starts, borders))
+    if stem:
+        ends = np.minimum(ends, starts + stem)
     return run_hashes(data, starts, ends, powers), counts
 
 
@@ -82,7 +88,7 @@ def chunks(column: pa.Array, limit: int = CHUNK):
         row = end
 
 
-def text_words(column: pa.Array, powers: Powers):
+def text_words(column: pa.Array, powers: Powers, letters: bool = False, stem: int = 0):
     """The word hashes of each text of a column, in order."""
     for _, data, borders in chunks(column):
         if len(borders) == 2 and len(data) > 4 * CHUNK:  # a very long text goes in pieces cut at white space
@@ -91,11 +97,11 @@ def text_words(column: pa.Array, powers: Powers):
                 k = np.searchsorted(spaces, at + CHUNK)
                 end = int(spaces[k]) if k < len(spaces) else len(data)
                 piece = data[at:end]
-                parts.append(word_hashes(piece, np.array([0, len(piece)]), powers)[0])
+                parts.append(word_hashes(piece, np.array([0, len(piece)]), powers, letters, stem)[0])
                 at = max(end, at + 1)
             yield np.concatenate(parts)
             continue
-        hashes, counts = word_hashes(data, borders, powers)
+        hashes, counts = word_hashes(data, borders, powers, letters, stem)
         edges = np.concatenate([[0], np.cumsum(counts)])
         for i in range(len(counts)):
             yield hashes[edges[i]: edges[i + 1]]
