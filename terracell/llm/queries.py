@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from .ann import search
 from .common import scratch_path, table
 from .decontam import decontaminate
 from .jaccard import join_components
@@ -34,6 +35,10 @@ def op4_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return join_components(table(spark, sf_dir, "documents"))
 
 
+def op5_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return search(table(spark, sf_dir, "embeddings"), k=20, every=20)
+
+
 def op6_tokens(spark: SparkSession, sf_dir: str, tokenizer: str | None = None) -> DataFrame:
     import public_tokenizers
     path = scratch_path(spark, "token-records")
@@ -55,6 +60,7 @@ QUERIES = {
     "op2_shard": op2_shard,
     "op3_toxicity": op3_toxicity,
     "op4_jaccard": op4_jaccard,
+    "op5_nearest": op5_nearest,
     "op6_tokens": op6_tokens,
     "op8_language": op8_language,
     "op10_mix": op10_mix,
