@@ -10,6 +10,7 @@ from .decontam import decontaminate
 from .jaccard import join_components
 from .langid import identify
 from .mixing import mix
+from .pii import extract
 from .records import index, write
 from .sharding import shard
 from .toxicity import score, train
@@ -51,6 +52,10 @@ def op8_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return identify(docs).select("doc_id", "held_out", "lang_pred", "score", "bits_per_char", "accepted")
 
 
+def op9_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extract(table(spark, sf_dir, "documents")).drop("contexts")
+
+
 def op10_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix(table(spark, sf_dir, "documents"))
 
@@ -63,6 +68,7 @@ QUERIES = {
     "op5_nearest": op5_nearest,
     "op6_tokens": op6_tokens,
     "op8_language": op8_language,
+    "op9_personal_data": op9_personal_data,
     "op10_mix": op10_mix,
 }
 
