@@ -13,6 +13,7 @@ from .mixing import mix
 from .pii import extract
 from .records import index, write
 from .sharding import shard
+from .suffix import remove_repeats
 from .toxicity import score, train
 
 
@@ -47,6 +48,11 @@ def op6_tokens(spark: SparkSession, sf_dir: str, tokenizer: str | None = None) -
     return index(spark, path).withColumnRenamed("key", "doc_id").select("doc_id", "start", "n_tokens", "ids_crc32", "offset", "length")
 
 
+def op7_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return remove_repeats(table(spark, sf_dir, "documents")).select(
+        "doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op8_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
     return identify(docs).select("doc_id", "held_out", "lang_pred", "score", "bits_per_char", "accepted")
@@ -67,6 +73,7 @@ QUERIES = {
     "op4_jaccard": op4_jaccard,
     "op5_nearest": op5_nearest,
     "op6_tokens": op6_tokens,
+    "op7_repeats": op7_repeats,
     "op8_language": op8_language,
     "op9_personal_data": op9_personal_data,
     "op10_mix": op10_mix,
