@@ -49,11 +49,11 @@ def frames(data: bytes, name: str = "file"):
     at = 0
     while at < len(data):
         head = data[at:at + 8]
-        if len(head) < 8 or struct.unpack_from("<I", data, at + 8)[0] != masked(head):
+        if len(head) < 8 or data[at + 8: at + 12] != struct.pack("<I", masked(head)):
             raise ValueError(f"{name}: damaged length at byte {at}")
         size = struct.unpack("<Q", head)[0]
         body = data[at + 12: at + 12 + size]
-        if len(body) < size or struct.unpack_from("<I", data, at + 12 + size)[0] != masked(body) or data[at + 16 + size: at + 17 + size] != b"\n":
+        if len(body) < size or data[at + 12 + size: at + 17 + size] != struct.pack("<I", masked(body)) + b"\n":
             raise ValueError(f"{name}: damaged record at byte {at}")
         yield at, body
         at += size + _EXTRA
