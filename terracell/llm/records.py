@@ -17,7 +17,10 @@ from __future__ import annotations
 
 import os
 import struct
+import sys
+import types
 import zlib
+from array import array
 
 import numpy as np
 import pyarrow as pa
@@ -26,9 +29,9 @@ from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 from .common import materialize
 
 END_ID = 0
-RANGE_BYTES = 32 << 20   # text per range of ids
+RANGE_BYTES = 8 << 20    # text per range of ids
 CHUNK_BYTES = 8 << 20    # a file is closed once its records reach this; one longer record has a file of its own
-CACHE = 400_000          # encodings of pieces of text a task remembers
+CACHE = 150_000          # encodings of pieces of text after which the older half is forgotten
 
 _MASK = 0xA282EAD8       # fixed value: the constant of masked checksums
 _EXTRA = 17              # bytes of a record besides its body
@@ -65,6 +68,30 @@ def _tokenizer(path: str):
     return Tokenizer.from_file(path)
 
 
+def _byte_letters() -> list[str]:
+    """The character that stands for each byte in a byte-level vocabulary: itself if printable, else the next past 255."""
+    shown = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    rest = [b for b in range(256) if b not in set(shown)]
+    return [chr(b) if b not in rest else chr(256 + rest.index(b)) for b in range(256)]
+
+
+def _piece_encoder(tok):
+    """A function from a list of pieces to the ids of each; the model alone where pieces are byte-level BPE."""
+    import json
+    made = json.loads(tok.to_str())
+    if made["model"]["type"] == "BPE" and made["pre_tokenizer"] and made["pre_tokenizer"]["type"] == "ByteLevel" and not (
+            made["pre_tokenizer"]["add_prefix_space"] or made["normalizer"]):
+        model, letters = tok.model, dict(enumerate(_byte_letters()))
+        return lambda pieces: [[t.id for t in model.tokenize(p.encode().decode("latin-1").translate(letters))] for p in pieces]
+    return lambda pieces: [e.ids for e in tok.encode_batch_fast(pieces, add_special_tokens=False)]
+
+
+def _remembered(path: str):
+    """Encodings of pieces, newer and older, that outlive a task in its Python process."""
+    process = sys.modules.setdefault("terracell_process_cache", types.ModuleType("terracell_process_cache"))
+    return process.__dict__.setdefault(path, [{}, {}])
+
+
 def encoder(path: str, pattern: str | None):
     """A function from texts to their ids as bytes, and the id type.
 
@@ -75,26 +102,27 @@ def encoder(path: str, pattern: str | None):
     """
     import regex
     tok = _tokenizer(path)
-    kind = "<u2" if tok.get_vocab_size(with_added_tokens=True) <= 1 << 16 else "<u4"
-    pack = lambda e: np.array(e.ids, dtype=kind).tobytes()
+    wide = tok.get_vocab_size(with_added_tokens=True) > 1 << 16
+    kind, code = ("<u4", "I") if wide else ("<u2", "H")
+    pack = lambda ids: array(code, ids).tobytes()
     special = [t.content for t in tok.get_added_tokens_decoder().values()]
     odd = regex.compile("|".join([regex.escape(s) for s in special] + [r"[\x1c-\x1f\x85]"]))
     split = regex.compile(pattern).findall if pattern else None
-    known: dict[str, bytes] = {}
+    ids_of, held = _piece_encoder(tok), _remembered(path)
 
     def encode(texts):
         for at in range(0, len(texts), 256):
             group = texts[at:at + 256]
             pieces = [split(t) if split and not odd.search(t) else None for t in group]
-            new = list({p for ps in pieces if ps for p in ps} - known.keys())
-            if len(known) + len(new) > CACHE:
-                known.clear()
-                new = list({p for ps in pieces if ps for p in ps})
-            for i in range(0, len(new), 4096):
-                part = new[i:i + 4096]
-                known.update(zip(part, map(pack, tok.encode_batch_fast(part, add_special_tokens=False)), strict=True))
+            if len(held[0]) > CACHE:
+                held[:] = [{}, held[0]]
+            known, old = held
+            new = set().union(*(ps for ps in pieces if ps)).difference(known)
+            known.update((p, old[p]) for p in new if p in old)
+            new = [p for p in new if p not in known]
+            known.update(zip(new, map(pack, ids_of(new)), strict=True))
             for t, ps in zip(group, pieces, strict=True):
-                yield pack(tok.encode(t, add_special_tokens=False)) if ps is None else b"".join(map(known.__getitem__, ps))
+                yield pack(tok.encode(t, add_special_tokens=False).ids) if ps is None else b"".join(map(known.__getitem__, ps))
 
     return encode, kind
 
