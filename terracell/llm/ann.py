@@ -10,12 +10,11 @@ from .common import add_columns, materialize, share, shared, without
 
 SAMPLE = 6000        # vectors the partitions and the router are fitted on
 DEGREE = 10          # neighbours per vertex of the graph
-PART_ROWS = 1024     # rows per partition aimed at, within the limits below
-PARTS = (1, 256)
+PARTS = 64           # learned partitions, at any number of rows
 SPARE = 1.1          # a partition holds at most this times its fair share of the sample
 HIDDEN = 64          # width of the router's hidden layer
 RECALL = 0.95        # recall the number of probed partitions is set for, on held-out vectors of the sample
-BLOCK = 4096         # rows and queries compared in one group
+BLOCK = 16384        # rows and queries compared in one group
 
 
 def usable(vectors: DataFrame, key: str, vector: str) -> DataFrame:
@@ -170,10 +169,7 @@ def search(
     spark = vectors.sparkSession
     rows = usable(vectors, key, vector).select(F.col(key).cast("long").alias("id"), F.col(vector).alias("v"))
     taken = rows.orderBy(F.xxhash64("id"), "id").limit(sample).select("v").toArrow()["v"].combine_chunks()
-    total = rows.count()
-    parts = PARTS[0]
-    while parts * PART_ROWS < total and parts < PARTS[1]:
-        parts *= 2
+    parts = PARTS
     router, mass = fit(_matrix(taken), parts, k)
     held = share(spark, router)
 
@@ -194,7 +190,7 @@ def search(
     sizes = routed.groupBy("part").agg(F.count("*").alias("n")).withColumn("blocks", F.ceil(F.col("n") / BLOCK).cast("int")).drop("n")
     asked = routed.where(F.col("id") % every == 0)
     turns = max(1, -(-asked.count() // BLOCK))
-    sides = F.broadcast(sizes)  # one row per partition, at most PARTS[1]
+    sides = F.broadcast(sizes)  # one row per partition, PARTS rows
     stored = routed.join(sides, "part").select(
         "part", F.pmod("seq", "blocks").cast("int").alias("block"), F.explode(F.sequence(F.lit(0), F.lit(turns - 1))).alias("turn"), "id", "v")
     posed = asked.select(F.col("id").alias("qid"), F.col("v").alias("q"), F.pmod("seq", F.lit(turns)).cast("int").alias("q_turn"), F.explode("ask").alias("part")).join(sides, "part").select(
