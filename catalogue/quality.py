@@ -182,7 +182,7 @@ QUERIES = {f.__name__: f for f in (
 SQL = {
     "qa_row_counts": f"WITH {_COUNTS} SELECT * FROM counts",
     "qa_crs": f"""WITH {st.CELLS}, c AS (SELECT cell_id, {st.CRS_SQL} AS crs FROM cells)
-SELECT * FROM c WHERE crs IS NULL OR upper(trim(crs)) <> 'EPSG:4326'""",
+SELECT * FROM c WHERE crs IS NULL OR upper(trim(crs)) NOT IN ('EPSG:4326', 'WGS84')""",
     "qa_precision": """WITH p AS (SELECT vec_id, CAST(embedding[1] AS DOUBLE) AS x, CAST(embedding[2] AS DOUBLE) AS y FROM embeddings)
 SELECT vec_id FROM p WHERE sqrt((x - round(x, 2)) ** 2 + (y - round(y, 2)) ** 2) > 0.004""",
     "qa_geometry": """WITH g AS (SELECT s_suppkey AS feature_id, abs(s_acctbal / 10000) AS h FROM supplier),

@@ -89,6 +89,12 @@ def canonical(crs: str) -> str:
     return name
 
 
+def same_crs(crs: Column, expected: str) -> Column:
+    """Whether a reference system is the expected one under any of its names; false for a missing one."""
+    name = F.upper(F.trim(crs))
+    return F.coalesce(F.when(name == "WGS84", "EPSG:4326").otherwise(name) == canonical(expected), F.lit(False))
+
+
 def is_geographic(crs: Column) -> Column:
     """True where a raster needs no reprojection of a degree box."""
     return F.upper(F.trim(crs)).isin("EPSG:4326", "WGS84")

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..constants import MAD_SCALE, PCT_SUM_EPS
+from ..functions.crs import same_crs
 
 PASS, WARN, FAIL = "pass", "warn", "fail"
 
@@ -38,8 +39,7 @@ def all_findings(*findings: DataFrame) -> DataFrame:
 
 def crs_mismatch(meta: DataFrame, expected: str) -> DataFrame:
     """Rasters whose reference system is missing or not the expected one."""
-    same = F.upper(F.trim("crs")) == expected.upper()
-    return meta.where(~F.coalesce(same, F.lit(False)))
+    return meta.where(~same_crs(F.col("crs"), expected))
 
 
 def precision_loss(df: DataFrame, x: str, y: str, digits: int, tolerance: float) -> DataFrame:
@@ -83,8 +83,8 @@ def out_of_range(df: DataFrame, variable: str, value: str, rules: dict[str, tupl
     return df.where(known & broken)
 
 
-def extent_gaps(cells: DataFrame, width: int, height: int | None = None) -> DataFrame:
-    """Cells of the raster extent without a value, as (row, col).
+def extent_gaps(cells: DataFrame, width: int, height: int | None = None, keys: list[str] | None = None) -> DataFrame:
+    """Cells of the raster extent without a value, as (row, col), per raster if ``keys`` name its columns.
 
     The columns present are folded into one bit mask per 64 columns before the
     shuffle, so one row moves for 64 cells and only words with a gap are
@@ -93,25 +93,28 @@ def extent_gaps(cells: DataFrame, width: int, height: int | None = None) -> Data
     bit = F.when(F.col("value").isNotNull(), F.call_function(
         "shiftleft", F.lit(1).cast("bigint"), F.pmod(F.col("col"), F.lit(64)).cast("int")
     ))
-    words = cells.groupBy("row", F.floor(F.col("col") / 64).alias("word")).agg(
+    keys = keys or []
+    words = cells.groupBy(*keys, "row", F.floor(F.col("col") / 64).alias("word")).agg(
         F.coalesce(F.bit_or(bit), F.lit(0).cast("bigint")).alias("seen")
     )
     if height is None:
-        rows = cells.select("row").distinct()
+        rows = cells.select(*keys, "row").distinct()
+    elif keys:
+        rows = cells.select(*keys).distinct().withColumn("row", F.explode(F.sequence(F.lit(0), F.lit(height - 1)).cast("array<bigint>")))
     else:
         rows = cells.sparkSession.range(height).select(F.col("id").alias("row"))
     last = (width - 1) // 64
-    expected = rows.select("row", F.explode(F.sequence(F.lit(0), F.lit(last)).cast("array<bigint>")).alias("word"))
+    expected = rows.select(*keys, "row", F.explode(F.sequence(F.lit(0), F.lit(last)).cast("array<bigint>")).alias("word"))
     bits = F.when(F.col("word") < last, 64).otherwise(width - 64 * last)
     full = F.call_function("shiftrightunsigned", F.lit(-1).cast("bigint"), F.lit(64) - bits)
     seen = F.coalesce("seen", F.lit(0).cast("bigint"))
-    partial = expected.join(words, ["row", "word"], "left").where(seen.bitwiseAND(full) != full)
+    partial = expected.join(words, [*keys, "row", "word"], "left").where(seen.bitwiseAND(full) != full)
     absent = F.filter(
         F.sequence(F.lit(0), bits - 1),
         lambda i: F.call_function("shiftright", seen, i).bitwiseAND(F.lit(1).cast("bigint")) == 0,
     )
-    return partial.select("row", "word", F.explode(absent).alias("_i")).select(
-        "row", (F.col("word") * 64 + F.col("_i")).alias("col")
+    return partial.select(*keys, "row", "word", F.explode(absent).alias("_i")).select(
+        *keys, "row", (F.col("word") * 64 + F.col("_i")).alias("col")
     )
 
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from ..constants import WORKING_CRS
+from ..functions.crs import same_crs
 from ..operators import qa
 
 CHECKS = ("crs", "bounds", "nodata")
@@ -18,7 +19,7 @@ def run_checks(
 
     ``meta`` is raster metadata, ``cells`` the cell table with the same raster
     keys, ``bounds`` the region bounds. A region outside the joint extent of the
-    rasters is a warning.
+    rasters is a warning, one without bounds fails; a region is reported once.
     """
     if check != "all" and check not in CHECKS:
         raise ValueError(f"unknown check {check!r}; use all or one of {CHECKS}")
@@ -27,18 +28,17 @@ def run_checks(
     raster = F.concat_ws("/", *keys)
     parts = []
     if "crs" in wanted:
-        same = F.coalesce(F.upper(F.trim("crs")) == crs.upper(), F.lit(False))
-        parts.append(qa.finding(meta, "crs", raster, qa.verdict(~same), F.col("crs")))
+        parts.append(qa.finding(meta, "crs", raster, qa.verdict(~same_crs(F.col("crs"), crs)), F.col("crs")))
     if "bounds" in wanted:
         far_x, far_y = F.col("x0") + F.col("dx") * F.col("width"), F.col("y0") + F.col("dy") * F.col("height")
         extent = meta.agg(
             F.min(F.least("x0", far_x)).alias("xmin"), F.min(F.least("y0", far_y)).alias("ymin"),
             F.max(F.greatest("x0", far_x)).alias("xmax"), F.max(F.greatest("y0", far_y)).alias("ymax"),
         )
-        out = qa.outside_extent(bounds, extent).select("uid").withColumn("_out", F.lit(True))
-        marked = bounds.select("uid").join(out, "uid", "left")
-        status = qa.verdict(F.lit(False), F.coalesce("_out", F.lit(False)))
-        parts.append(qa.finding(marked, "bounds", F.col("uid"), status, F.lit(None)))
+        e = lambda c: extent.select(c).scalar()
+        within = (F.col("xmin") >= e("xmin")) & (F.col("ymin") >= e("ymin")) & (F.col("xmax") <= e("xmax")) & (F.col("ymax") <= e("ymax"))
+        marked = bounds.groupBy("uid").agg(F.max(within.isNull()).alias("unknown"), F.min(F.coalesce(within, F.lit(True))).alias("within"))
+        parts.append(qa.finding(marked, "bounds", F.col("uid"), qa.verdict(F.col("unknown"), ~F.col("within")), F.lit(None)))
     if "nodata" in wanted:
         nodata = meta.select(*keys, "nodata")
         shares = qa.nodata_shares(cells.join(nodata, keys, "left"), keys, F.col("nodata"), nodata_limit)

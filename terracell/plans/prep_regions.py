@@ -79,13 +79,14 @@ def _dissolved(clean: DataFrame, crs: str, target_crs: str, area_crs: str) -> Pr
 
 
 def _check_complete(wanted: DataFrame, clean: DataFrame, coded: DataFrame) -> None:
-    lost = [r["code"] for r in rg.missing_codes(wanted, clean).orderBy("code").limit(25).collect()]
+    # the wanted codes are a caller's selection, so the error can name every one that is missing
+    lost = [r["code"] for r in rg.missing_codes(wanted, clean).orderBy("code").collect()]
     if not lost:
         return
     if clean.isEmpty():
         seen = [r["code"] for r in rg.code_sample(coded, "code").collect()]
         raise ValueError(f"no wanted code matched; wanted {lost}, codes in the layer {seen}")
-    raise ValueError(f"codes without a usable feature: {lost}")
+    raise ValueError(f"{len(lost)} codes without a usable feature: {lost}")
 
 
 def store_regions(prepared: PreparedRegions, root: str, *, layer: str = "regions", version: str | None = None,

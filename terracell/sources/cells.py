@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from .. import schemas
@@ -48,9 +49,12 @@ def select_cells(df, source=None, var=None, years=None, months=None, rows=None,
 def write_cells(df: DataFrame, path: str, overwrite: bool = False, keys: list[str] | None = None) -> None:
     """One folder per raster. Rows are ordered by tile inside each file, so a
     window read skips row groups; ``overwrite`` replaces only the rasters
-    present in ``df``. A large raster is spread over several files by row tile.
+    present in ``df``, without it a raster that is there already is an error.
+    A large raster is spread over several files by row tile.
     """
     keys = keys or RASTER_KEYS
+    if not overwrite:
+        _refuse_present(df, path, keys)
     tile_row = F.floor(F.col("row") / TILE)
     tile_col = F.floor(F.col("col") / TILE)
     laid_out = df.repartition(*keys, tile_row).sortWithinPartitions(*keys, tile_row, tile_col, "row", "col")
@@ -63,12 +67,31 @@ def write_cells(df: DataFrame, path: str, overwrite: bool = False, keys: list[st
 
 
 def write_region_clips(clips: DataFrame, path: str) -> None:
-    """Per-region clipped rasters: ``source=…/region_uid=…`` folders."""
-    write_cells(clips, path, overwrite=True, keys=["source", "region_uid"])
+    """Per-region clipped rasters: ``source=…/region_uid=…/var=…/year=…/month=…`` folders.
+
+    Writing one variable or month of a region leaves its others as they are.
+    """
+    write_cells(clips, path, overwrite=True, keys=["source", "region_uid", "var", "year", "month"])
+
+
+def _refuse_present(df: DataFrame, path: str, keys: list[str]) -> None:
+    """Raise if a raster of ``df`` is stored below ``path`` already."""
+    try:
+        stored = df.sparkSession.read.schema(df.schema).parquet(path)
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return
+    again = df.select(*keys).distinct().join(stored.select(*keys).distinct(), keys, "left_semi").orderBy(*keys).first()
+    if again:
+        raise ValueError(f"{path} already holds {again.asDict()}")
 
 
 def write_meta(meta: DataFrame, path: str) -> None:
-    """Add raster_meta rows: one per (source, var, year, month)."""
+    """Add raster_meta rows: one per (source, var, year, month); rows of a raster that is there already are an error."""
+    if not meta.groupBy(*RASTER_KEYS).count().where("count > 1").isEmpty():
+        raise ValueError("several metadata rows for one raster")
+    _refuse_present(meta, path, RASTER_KEYS)
     meta.write.mode("append").parquet(path)
 
 

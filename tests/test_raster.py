@@ -253,3 +253,18 @@ def test_content_hash_ignores_order_and_partitioning(spark):
     b = fingerprint.content_hash(df.repartition(7).orderBy(F.desc("id")), df.columns).first()
     c = fingerprint.content_hash(df.withColumn("v", F.col("v") + 1), df.columns).first()
     assert a == b and a != c
+
+
+def test_a_stored_raster_is_not_doubled(spark, tmp_path):
+    path = str(tmp_path / "again")
+    cs.write_cells(cell_rows(spark, "s", "tas", 2000, 20, 1), path)
+    with pytest.raises(ValueError, match="already holds"):
+        cs.write_cells(cell_rows(spark, "s", "tas", 2000, 20, 1), path)
+    assert spark.read.parquet(path).count() == 20
+
+
+def test_clips_of_two_variables_stay(spark, tmp_path):
+    path = str(tmp_path / "both")
+    for var in ("pr", "tas"):
+        cs.write_region_clips(cell_rows(spark, "s", var, 2000, 10, 1).withColumn("region_uid", F.lit("u")), path)
+    assert {r["var"] for r in spark.read.parquet(path).select("var").distinct().collect()} == {"pr", "tas"}

@@ -188,3 +188,14 @@ def test_forest_learns_and_repeats(spark):
     tuned = model.tune_forest(train, ["x", "z"], "y", [5], [2, 6], folds=2)
     imp = model.importances(tuned, ["x", "z"])
     assert imp["x"] > imp["z"]
+
+
+def test_extent_gaps_by_raster_with_a_missing_row(spark):
+    cells = spark.createDataFrame([("a", 0, 0, 1.0), ("a", 0, 1, 1.0), ("b", 1, 0, 1.0)], "r STRING, row BIGINT, col BIGINT, value DOUBLE")
+    got = sorted(tuple(r) for r in qa.extent_gaps(cells, 2, 2, ["r"]).collect())
+    assert got == [("a", 1, 0), ("a", 1, 1), ("b", 0, 0), ("b", 0, 1), ("b", 1, 1)]
+
+
+def test_names_of_one_reference_system(spark):
+    meta = spark.createDataFrame([("a", "wgs84 "), ("b", "EPSG:5070"), ("c", None)], "id STRING, crs STRING")
+    assert sorted(r["id"] for r in qa.crs_mismatch(meta, "EPSG:4326").collect()) == ["b", "c"]
