@@ -311,8 +311,9 @@ def repeated_starts(docs: DataFrame, text: str = "text") -> DataFrame:
     ``tid`` is ``text_id`` of the text. Texts shorter than WINDOW have none.
     """
     spark = docs.sparkSession
-    rows = materialize(_segment_rows(docs, text), "segments")
-    kinds = materialize(rows.groupBy("seg", "chk", "anchor").agg(F.count("*").alias("c"), F.first("n").alias("n")), "kinds")
+    # copies of a text have the same rows: each is kept once with their number, so no text outgrows a task
+    rows = materialize(_segment_rows(docs, text).groupBy("seg", "chk", "anchor", "tid", "lo", "n").agg(F.count("*").alias("copies")), "segments")
+    kinds = materialize(rows.groupBy("seg", "chk", "anchor").agg(F.sum("copies").alias("c"), F.first("n").alias("n")), "kinds")
     anchors = kinds.groupBy("anchor").agg(F.count("*").alias("kinds")).where("kinds > 1")
     # segments that occur twice are repeated throughout; the others are compared within their anchor
     wanted = materialize(kinds.join(anchors, "anchor").select("anchor", "seg", "chk", "kinds"), "wanted")
@@ -323,6 +324,7 @@ def repeated_starts(docs: DataFrame, text: str = "text") -> DataFrame:
     found = _sorted_groups(sortable.select("anchor", "seg", "chk", "off", "n", "body"))
     if not wanted.where(F.col("kinds") > HOT).isEmpty():
         found = found.unionByName(_hashed_groups(bodies.where(F.col("kinds") > HOT)))
+    found = found.join(kinds.where("c > 1"), ["seg", "chk"], "left_anti")
     whole = kinds.where("c > 1").select("seg", "chk", F.array(F.struct(F.lit(0).cast("long").alias("a"), F.col("n").alias("b"))).alias("spans"))
     hits = materialize(found.union(whole), "hits")
     placed = rows.join(hits, ["seg", "chk"]).select("tid", F.explode("spans").alias("s"), "lo")
