@@ -69,8 +69,7 @@ def plan_limit(spark, sf):
 
 
 def plan_skip_existing(spark, sf):
-    limited = fp.limit_plan(_plan(spark, sf), 24)
-    return fp.skip_existing(limited, _existing(spark, sf), ["source", "out_name"]).select("source", "n", "out_name")
+    return fp.skip_existing(_plan(spark, sf), _existing(spark, sf), ["source", "out_name"]).select("source", "n", "out_name")
 
 
 def plan_dry_run(spark, sf):
@@ -237,8 +236,8 @@ QUERIES = {f.__name__: f for f in (
 SQL = {
     "fetch_plan": f"WITH {_PLAN} SELECT * FROM plan",
     "plan_limit": f"WITH {_PLAN} SELECT source, n, out_name FROM plan WHERE n <= 24",
-    "plan_skip_existing": f"""WITH {_HAVE} SELECT source, n, out_name FROM plan WHERE n <= 24
-  AND NOT EXISTS (SELECT 1 FROM have h WHERE h.source = plan.source AND h.out_name = plan.out_name)""",
+    "plan_skip_existing": f"""WITH {_HAVE} SELECT source, n, out_name FROM plan
+  WHERE NOT EXISTS (SELECT 1 FROM have h WHERE h.source = plan.source AND h.out_name = plan.out_name)""",
     "plan_dry_run": f"""WITH {_HAVE} SELECT source, CASE WHEN h.out_name IS NULL THEN 'fetch' ELSE 'skip' END AS action, count(*) AS n
   FROM plan LEFT JOIN have h USING (source, out_name) GROUP BY 1, 2""",
     "coverage_resolve": """WITH k AS (SELECT p_partkey, CASE p_size % 5 WHEN 0 THEN 'conus' WHEN 1 THEN 'ak' WHEN 2 THEN 'hawaii' WHEN 3 THEN 'alaska' ELSE 'conus' END AS name FROM part)
