@@ -1,13 +1,14 @@
 """Corpus pipeline: five stages over ``documents``, each stored as Parquet before the next.
 
 A stage takes all rows its predecessor kept. All but the last return the
-columns of ``documents``:
+columns of ``documents``, mix with the row's place as one column more:
 
 * language_id drops the rows that language identification rejects;
 * near_duplicates keeps one document of each group of near copies;
 * decontaminate drops the documents that the contamination rule names; texts of the others are untouched;
-* mix keeps every row and stores them in the order that interleaves the sources by their target weights;
-* shard gives each row its shard and its place in it.
+* mix keeps every row and stores them in the order that interleaves the sources by their target weights,
+  with their place in it as POSITION;
+* shard gives each row its shard and its place in it: the slots of a shard follow the mixture.
 
 Rows with null columns pass as each operator's docstring says.
 """
@@ -24,6 +25,7 @@ from terracell.llm.mixing import in_order, mix
 from terracell.llm.sharding import shard
 
 SHARDS = 16
+POSITION = "mix_position"
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -39,11 +41,11 @@ def clean_of_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 
 def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return in_order(docs, mix(docs))
+    return in_order(docs, mix(docs), position=POSITION)
 
 
 def shards(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return shard(docs, scratch_path(spark, "slot-map"), SHARDS)
+    return shard(docs, scratch_path(spark, "slot-map"), SHARDS, position=POSITION)
 
 
 STAGES = [

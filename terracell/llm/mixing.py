@@ -129,13 +129,15 @@ def number_starts(sizes: DataFrame) -> DataFrame:
         "_bucket", "slot", (F.col("_own") + F.col("_base")).alias("_start"))
 
 
-def in_order(docs: DataFrame, mixed: DataFrame, key: str = "doc_id") -> DataFrame:
+def in_order(docs: DataFrame, mixed: DataFrame, key: str = "doc_id", position: str | None = None) -> DataFrame:
     """``docs`` in the order of the mixture: ranges of positions to files, sorted within.
 
     Rows with a null key, or a key that ``mixed`` lacks, come first. Of rows
-    that repeat a key, all take the first position of that key.
+    that repeat a key, all take the first position of that key. With
+    ``position`` that place stays as a column of this name, null for the rows
+    that come first.
     """
     at = mixed.where(F.col(key).isNotNull()).groupBy(F.col(key).alias("_key")).agg(F.min("position").alias("_position"))
-    rest = without(docs, ["_position", "_key"])
-    return rest.join(at, rest[key] == at["_key"], "left").drop("_key").repartitionByRange("_position").sortWithinPartitions(
-        "_position").drop("_position")
+    rest = without(docs, ["_position", "_key", *([position] if position else [])])
+    placed = rest.join(at, rest[key] == at["_key"], "left").drop("_key").repartitionByRange("_position").sortWithinPartitions("_position")
+    return placed.withColumnRenamed("_position", position) if position else placed.drop("_position")

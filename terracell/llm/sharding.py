@@ -10,6 +10,7 @@ from .common import materialize, without
 from .numbering import PARTS, number_rows
 
 SLOTS = 4096       # fixed for the life of a data set
+RANGE = 4096       # positions whose rows are numbered together
 SLACK = 0.001      # shards may differ by this share of the mean before slots move
 
 
@@ -93,24 +94,32 @@ def next_version(spark: SparkSession, path: str, version: int, sized: DataFrame,
     return version + 1
 
 
-def shard(docs: DataFrame, path: str, shards: int = 16, key: str = "doc_id", text: str = "text", slots: int = SLOTS) -> DataFrame:
+def shard(
+    docs: DataFrame, path: str, shards: int = 16, key: str = "doc_id", text: str = "text", slots: int = SLOTS, position: str | None = None,
+) -> DataFrame:
     """Rows (key, size, text_crc32, virtual_slot, map_version, law, shard, slot, grown_shard) for every row of ``docs``.
 
     The law is ``bytes``: the first version of the map, stored below ``path``,
     spreads the slots so that shards have nearly equal bytes. ``slot`` numbers
-    the rows of a shard from 0. Rows with equal keys share a virtual slot and a
-    shard; an empty table gives no rows.
+    the rows of a shard from 0, in the order of the column ``position`` if one
+    is named, rows without a position first. Rows with equal keys share a
+    virtual slot and a shard; an empty table gives no rows.
     """
     spark = docs.sparkSession
+    place = F.col(position).cast("long") if position else F.lit(None).cast("long")
     thin = materialize(
-        with_slot(docs, key, text, slots).select(
-            key, "size", "text_crc32", "virtual_slot", F.pmod(F.spark_partition_id(), F.lit(PARTS)).alias("_part")),
+        with_slot(docs.withColumn("_place", place), key, text, slots).select(
+            key, "size", "text_crc32", "virtual_slot", "_place", F.pmod(F.spark_partition_id(), F.lit(PARTS)).alias("_part")),
         "sized",
     )
     weight = slot_bytes(thin)
     write_map(spark, path, 0, shards, rebalance({}, weight, shards, slots), weight)
     held = read_map(spark, path, 0).select("virtual_slot", "shard", "map_version")  # SLOTS rows
-    placed = thin.join(F.broadcast(held), "virtual_slot").withColumn("_cell", F.col("virtual_slot") * PARTS + F.col("_part"))
-    return number_rows(placed, "shard", "_cell", [key, "text_crc32"], "slot").select(
+    if position:
+        cell = F.coalesce(F.floor(F.col("_place") / RANGE), F.col("_part") - PARTS)
+    else:
+        cell = F.col("virtual_slot") * PARTS + F.col("_part")
+    placed = thin.join(F.broadcast(held), "virtual_slot").withColumn("_cell", cell.cast("long"))
+    return number_rows(placed, "shard", "_cell", ["_place", key, "text_crc32"], "slot").select(
         key, "size", "text_crc32", "virtual_slot", "map_version", F.lit("bytes").alias("law"), "shard", "slot",
         F.lit(None).cast("int").alias("grown_shard"))
