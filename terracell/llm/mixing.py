@@ -2,94 +2,111 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+import heapq
+import math
+from collections.abc import Iterator
+from fractions import Fraction
 
-from .common import materialize, without
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+
+from .common import materialize, scratch_path, without
 from .numbering import PARTS, number_rows
 
 BLOCK = 32        # rows of a block
-PERIOD = 1000     # slots of the timetable; raised to four times the number of sources
-BUCKET = 4096     # slots whose starts are summed together
+PERIOD = 1000     # slots of a period at least
+ROOT = 10**6      # square roots are kept to one part in so many
+CHUNK = 1 << 18   # blocks of the timetable stored at once
+
+
+def source_key(source: str) -> Column:
+    return F.coalesce(F.concat(F.lit("="), F.col(source).cast("string")), F.lit("null"))
 
 
-def target_shares(docs: DataFrame, source: str = "source", weights: dict | None = None) -> DataFrame:
-    """(source_key, units, period): whole slots per period and source, at least one each, period in all.
+def target_shares(counts: dict[str, int], weights: dict | None = None) -> tuple[dict[str, int], int]:
+    """Units of each source and the period: units / period is exactly the target weight, normalised to one.
 
     Without ``weights`` a source counts with the square root of its rows, so a
     source that dominates the input gets less and a rare one more. ``weights``
-    maps sources to targets; sources it lacks count as the smallest one given.
-    A null source is a source of its own.
+    maps sources to targets, read as the decimals they are written as; sources
+    it lacks count as the smallest one given. A null source is a source of its own.
     """
-    counted = docs.groupBy(source_key(source).alias("source_key")).agg(F.count("*").alias("_n"))
+    if not counts:
+        return {}, 0
     if weights is None:
-        raw = F.floor(F.sqrt(F.col("_n").cast("double")) * 1000)
+        raw = {k: Fraction(math.isqrt(n * ROOT * ROOT)) for k, n in counts.items()}
     else:
-        least = min(weights.values())
-        table = F.create_map(*[F.lit(x) for k, w in weights.items() for x in (f"={k}", float(w) / least)])
-        raw = F.floor(F.coalesce(F.element_at(table, F.col("source_key")), F.lit(1.0)) * 1000)
-    every = Window.partitionBy(F.lit(0))
-    ranked = counted.withColumn("_r", raw.cast("long")).withColumns({
-        "_sum": F.sum("_r").over(every), "_j": F.count("*").over(every),
-    }).withColumn("period", F.greatest(F.lit(PERIOD), F.col("_j") * 4).cast("long"))
-    based = ranked.withColumn("_base", F.expr("1 + (period - _j) * _r div _sum"))
-    first = F.row_number().over(every.orderBy(F.desc("_r"), "source_key"))
-    return based.withColumn("_left", F.col("period") - F.sum("_base").over(every)).select(
-        "source_key", (F.col("_base") + F.when(first <= F.col("_left"), 1).otherwise(0)).alias("units"), "period")
-
-
-def source_key(source: str) -> Column:
-    return F.coalesce(F.concat(F.lit("="), F.col(source).cast("string")), F.lit("null"))
-
-
-def timetable(shares: DataFrame) -> DataFrame:
-    """(source_key, units, period, turn, release, deadline, offset): one period, earliest deadline first.
-
-    Block k of a source with u of Q slots may run from slot floor(k Q / u) and
+        given = {f"={k}": Fraction(str(w)) for k, w in weights.items()}
+        least = min(given.values())
+        if least <= 0:
+            raise ValueError("weights must be positive")
+        raw = {k: given.get(k, least) for k in counts}
+    whole = math.lcm(*(w.denominator for w in raw.values()))
+    units = {k: int(w * whole) for k, w in raw.items()}
+    least = math.gcd(*units.values())
+    times = -(-PERIOD * least // sum(units.values()))  # whole periods up to PERIOD slots
+    units = {k: u // least * times for k, u in units.items()}
+    if (period := sum(units.values())) >= 1 << 63:
+        raise ValueError("the weights have no common period below 2^63 slots")
+    return units, period
+
+
+def timetable(counts: dict[str, int], units: dict[str, int], period: int, block: int) -> Iterator[tuple]:
+    """(source_key, block, release, deadline, slot, start) of every block of the run, by slot.
+
+    Block k of a source with u of Q units may run from slot floor(k Q / u) and
     must have run by slot ceil((k + 1) Q / u). One block runs per slot: the
     released one of the earliest deadline, ties to the first source by name. As
     the units fill the period, every block meets its window, which keeps each
-    source within one block of its target at all times.
+    source that has not run out within one block of its target at all times. A
+    source that has run out has no blocks any more, and slots for which no
+    block is released stay empty. ``start`` counts the rows of the blocks before.
     """
-    listed = shares.agg(
-        F.sort_array(F.collect_list(F.struct("source_key", "units"))).alias("s"), F.max("period").alias("period"))
-    far = F.lit(1 << 62)
-
-    def pick(state, t):
-        def window(k, i):
-            u = F.get("units", i)
-            opens = F.floor(k * F.col("period") / u)
-            ends = F.ceil((k + 1) * F.col("period") / u)
-            return F.struct(F.when((k < u) & (opens <= t), ends).otherwise(far).alias("ends"), i.alias("i"))
-        best = F.array_min(F.transform(state["done"], window))["i"]
-        return F.struct(
-            F.transform(state["done"], lambda k, i: k + F.when(i == best, F.lit(1)).otherwise(F.lit(0)).cast("long")).alias("done"),
-            F.concat(state["run"], F.array(best)).alias("run"))
-
-    start = F.struct(
-        F.transform("units", lambda u: F.lit(0).cast("long")).alias("done"), F.array().cast("array<int>").alias("run"))
-    run = (
-        listed.where(F.size("s") > 0).select("s", "period", F.col("s.units").alias("units"))
-        .select("s", "period", F.aggregate(F.sequence(F.lit(0).cast("long"), F.col("period") - 1), start, pick)["run"].alias("run"))
-        .select("s", "period", F.posexplode("run").alias("offset", "i"))
-        .select(F.get("s", "i").alias("s"), "period", F.col("offset").cast("long").alias("offset"))
-        .select("s.*", "period", "offset")
-    )
-    turn = F.row_number().over(Window.partitionBy("source_key").orderBy("offset")) - 1
-    return run.withColumn("turn", turn.cast("long")).withColumns({
-        "release": F.floor(F.col("turn") * F.col("period") / F.col("units")).cast("long"),
-        "deadline": F.ceil((F.col("turn") + 1) * F.col("period") / F.col("units")).cast("long"),
-    })
+    def window(s, k):
+        return k * period // units[s], -(-(k + 1) * period // units[s])
+
+    waiting = [(0, s, 0) for s in counts]
+    heapq.heapify(waiting)
+    ready: list[tuple] = []
+    t = start = 0
+    while waiting or ready:
+        if not ready:
+            t = max(t, waiting[0][0])
+        while waiting and waiting[0][0] <= t:
+            release, s, k = heapq.heappop(waiting)
+            heapq.heappush(ready, (window(s, k)[1], s, k, release))
+        deadline, s, k, release = heapq.heappop(ready)
+        yield s, k, release, deadline, t, start
+        start += min(block, counts[s] - k * block)
+        t += 1
+        if (k + 1) * block < counts[s]:
+            heapq.heappush(waiting, (window(s, k + 1)[0], s, k + 1))
+
+
+def store_timetable(spark: SparkSession, blocks: Iterator[tuple]) -> DataFrame:
+    """The timetable as a stored table. The driver holds CHUNK blocks at a time."""
+    path = scratch_path(spark, "timetable")
+    schema = pa.schema([("source_key", pa.string()), *((n, pa.int64()) for n in ("block", "release", "deadline", "slot", "start"))])
+    more = True
+    while more:
+        part = [row for _, row in zip(range(CHUNK), blocks)]
+        more = len(part) == CHUNK
+        columns = [pa.array(c, f.type) for c, f in zip(zip(*part) if part else [[]] * len(schema), schema)]
+        held = spark.createDataFrame(pa.Table.from_arrays(columns, schema=schema))
+        held.write.mode("append").parquet(path)
+    return spark.read.schema(held.schema).parquet(path)
 
 
 def mix(docs: DataFrame, weights: dict | None = None, source: str = "source", key: str = "doc_id", block: int = BLOCK) -> DataFrame:
     """(key, source, units, period, block, release, deadline, slot, position) of every row.
 
     Rows of a source go by the MD5 of their key into blocks of ``block`` rows;
-    null keys come first. The timetable repeats every period; a source that has
-    run out leaves its slots empty, so the rest keep their proportions.
-    ``position`` is the row's place in the mixture, from 0. No row is dropped
-    or repeated.
+    null keys come first. A source that has run out leaves its slots empty, so
+    the rest keep their proportions. ``position`` is the row's place in the
+    mixture, from 0. No row is dropped or repeated. The driver holds the
+    sources with their rows and times the blocks.
     """
+    spark = docs.sparkSession
     mixed = F.coalesce(F.md5(F.col(key).cast("string")), F.lit(""))
     rows = materialize(
         docs.select(
@@ -98,35 +115,15 @@ def mix(docs: DataFrame, weights: dict | None = None, source: str = "source", ke
             .otherwise(F.substring(mixed, 1, 2)).alias("_cell")),
         "mix-rows",
     )
-    table = materialize(timetable(target_shares(rows, "_source", weights)), "timetable")  # one row per slot of a period
-    numbered = number_rows(rows, "source_key", "_cell", ["_md5", "_key"], "_n")
-    shares = table.select("source_key", "units", "period").distinct()
-    blocks = numbered.join(F.broadcast(shares), "source_key").withColumns({
-        "block": F.floor(F.col("_n") / block), "_in": F.col("_n") % block,
-    }).withColumns({"turn": F.col("block") % F.col("units"), "_cycle": F.expr("(block div units) * period")})
-    turns = table.select("source_key", "turn", "release", "deadline", "offset")
-    timed = materialize(
-        blocks.join(F.broadcast(turns), ["source_key", "turn"]).withColumns({
-            "slot": F.col("_cycle") + F.col("offset"), "release": F.col("_cycle") + F.col("release"),
-            "deadline": F.col("_cycle") + F.col("deadline"), "_bucket": F.expr(f"(_cycle + offset) div {BUCKET}"),
-        }),
-        "timed",
-    )
-    sizes = timed.groupBy("_bucket", "slot").agg(F.count("*").alias("_rows"))
-    first = number_starts(sizes)
-    return timed.join(first, ["_bucket", "slot"]).select(
+    counts = {r["source_key"]: r["n"] for r in rows.groupBy("source_key").agg(F.count("*").alias("n")).collect()}
+    units, period = target_shares(counts, weights)
+    table = store_timetable(spark, timetable(counts, units, period, block))
+    shares = spark.createDataFrame(list(units.items()), "source_key STRING, units LONG").withColumn("period", F.lit(period).cast("long"))
+    numbered = number_rows(rows, "source_key", "_cell", ["_md5", "_key"], "_n").withColumns({
+        "block": F.floor(F.col("_n") / block), "_in": F.col("_n") % block})
+    return numbered.join(table.join(F.broadcast(shares), "source_key"), ["source_key", "block"]).select(
         F.col("_key").alias(key), F.col("_source").alias(source), "units", "period", "block", "release", "deadline", "slot",
-        (F.col("_start") + F.col("_in")).cast("long").alias("position"))
-
-
-def number_starts(sizes: DataFrame) -> DataFrame:
-    """First position of each slot: sums within a bucket of slots, plus the sums of the buckets before."""
-    total = sizes.groupBy("_bucket").agg(F.sum("_rows").alias("_total"))
-    before = Window.partitionBy(F.lit(0)).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
-    base = total.select("_bucket", F.coalesce(F.sum("_total").over(before), F.lit(0)).alias("_base"))
-    within = Window.partitionBy("_bucket").orderBy("slot").rowsBetween(Window.unboundedPreceding, -1)
-    return sizes.withColumn("_own", F.coalesce(F.sum("_rows").over(within), F.lit(0))).join(base, "_bucket").select(
-        "_bucket", "slot", (F.col("_own") + F.col("_base")).alias("_start"))
+        (F.col("start") + F.col("_in")).cast("long").alias("position"))
 
 
 def in_order(docs: DataFrame, mixed: DataFrame, key: str = "doc_id", position: str | None = None) -> DataFrame:

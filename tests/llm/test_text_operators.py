@@ -283,6 +283,28 @@ def test_given_weights_and_order(spark):
     assert mixing.mix(docs.limit(0)).count() == 0
 
 
+def test_lag_against_the_weights_does_not_grow():
+    weights = {"a": 20, **{f"r{i:02d}": 1 for i in range(20)}}
+    counts = {f"={k}": w * 4000 for k, w in weights.items()}
+    units, period = mixing.target_shares(counts, weights)
+    done = dict.fromkeys(counts, 0)
+    for key, block, release, deadline, slot, start in mixing.timetable(counts, units, period, 32):
+        assert release <= slot < deadline and start == 32 * slot and block == done[key]
+        done[key] += 1
+        assert all(abs(n * 40 - (slot + 1) * weights[k[1:]]) < 40 for k, n in done.items())
+    assert done == {k: n // 32 for k, n in counts.items()}
+
+
+def test_small_weights_are_exact(spark, monkeypatch):
+    monkeypatch.setattr(mixing, "CHUNK", 3)
+    docs = frame(spark, [(i, "t", "en", "ab"[i % 2], 1) for i in range(20)])
+    got = mixing.mix(docs, {"b": 10000, "a": 1}, block=1).collect()
+    assert {r["source"]: (r["units"], r["period"]) for r in got} == {"a": (1, 10001), "b": (10000, 10001)}
+    assert sorted(r["position"] for r in got) == list(range(20))
+    assert all(r["release"] <= r["slot"] < r["deadline"] for r in got)
+    assert mixing.target_shares({"=a": 1, "=b": 1}, {"a": 0.1, "b": 0.2}) == ({"=a": 334, "=b": 668}, 1002)
+
+
 # --- language ---
 
 def test_languages_are_told_apart(spark):
