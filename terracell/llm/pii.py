@@ -19,7 +19,7 @@ _MARK = {"email": "@", "ip": ".", "card": None, "phone": "+"}
 CONTEXT = "context"
 
 TOKEN = r"(?:\G|(?<![A-Za-z0-9._%+@/-]))(?=[A-Za-z._%+@/-]*+[0-9])[A-Za-z0-9._%+@/-]{6,}+"  # identifier-shaped
-ROUNDS = 3
+REACH = 48          # code points before an instance that its pattern may reach
 MIN_KNOWN = 5       # different known instances a pattern needs
 PRECISION = 0.8     # share of known among a pattern's instances
 BELIEF = 0.8        # score from which an instance counts as known
@@ -79,23 +79,41 @@ def base_spans(docs: DataFrame, text: str = "text") -> DataFrame:
     return out.withColumn("base", F.concat(*parts)).drop(*steps, *(f"_s_{k}" for k in KINDS))
 
 
+def _tail(before: Column) -> Column:
+    """The pattern of a place: the last two chunks of the text before it, in lower case, digits as 0."""
+    return F.regexp_replace(F.lower(F.regexp_extract(F.right(before, F.lit(REACH)), r"(\S+\s+)?\S*\s*$", 0)), "[0-9]", "0")
+
+
 def _tokens(out: DataFrame) -> DataFrame:
     """``out`` with ``tokens``: identifier-shaped tokens (token, pattern, start, end, known) of ``_t``.
 
-    The pattern is lexical: the last two chunks of text before the token, in
-    lower case, digits as 0. A token is known when it overlaps a base span.
+    The pattern is lexical: the last two chunks of text before the token, back
+    to the token before it. A token is known when it overlaps a base span.
     """
     m, g = _pieces(F.col("_t"), TOKEN, F.col("_t").rlike("[0-9]"))
     out = out.withColumns({"_m": m, "_g": g}).withColumn("_s", _starts(F.col("_m"), F.col("_g")))
-    tail = lambda x: F.regexp_replace(F.lower(F.regexp_extract(F.right(x, F.lit(48)), r"(\S+\s+)?\S*\s*$", 0)), "[0-9]", "0")
     rows = F.zip_with(F.zip_with("_m", "_s", lambda t, s: F.struct(t.alias("t"), s.alias("s"))), F.slice("_g", 1, F.greatest(F.size("_m"), F.lit(0))),
-                      lambda p, x: F.struct(p["t"].alias("token"), tail(x).alias("pattern"), p["s"].alias("start"), (p["s"] + F.length(p["t"])).alias("end")))
+                      lambda p, x: F.struct(p["t"].alias("token"), _tail(x).alias("pattern"), p["s"].alias("start"), (p["s"] + F.length(p["t"])).alias("end")))
     known = lambda t: F.exists("base", lambda b: (b["start"] < t["end"]) & (t["start"] < b["end"]))
     return out.withColumn("_r", rows).withColumn("tokens", F.transform("_r", lambda t: F.struct(
         t["token"].alias("token"), t["pattern"].alias("pattern"), t["start"].alias("start"), t["end"].alias("end"), known(t).alias("known")))
     ).drop("_m", "_g", "_s", "_r")
 
 
+def _seeds(out: DataFrame) -> DataFrame:
+    """``out`` with ``seeds``: each base span as a known instance (token, pattern, known) as a whole.
+
+    Its pattern is that of a token at the start of the span.
+    """
+    def seed(b):
+        reach = F.least(b["start"], F.lit(REACH)).cast("int")
+        before = F.substring(F.col("_t"), (b["start"] - reach + 1).cast("int"), reach)
+        gap = F.element_at(F.split(before, TOKEN, -1), -1)
+        whole = F.substring(F.col("_t"), (b["start"] + 1).cast("int"), (b["end"] - b["start"]).cast("int"))
+        return F.struct(whole.alias("token"), _tail(gap).alias("pattern"), F.lit(True).alias("known"))
+    return out.withColumn("seeds", F.transform("base", seed))
+
+
 def bootstrap(links: DataFrame) -> DataFrame:
     """(pattern, token) pairs whose token is discovered and whose pattern is trusted.
 
@@ -103,13 +121,13 @@ def bootstrap(links: DataFrame) -> DataFrame:
     graph. In each round a pattern's precision is the share of known among its
     different instances, and patterns of enough known instances and precision
     are trusted; an instance's belief is the chance that not all trusted
-    patterns it occurs with are wrong, and from BELIEF on it is known.
+    patterns it occurs with are wrong, and from BELIEF on it is known. Known
+    instances stay known, so the rounds end: when one changes nothing.
     """
     edges = materialize(links.where("pattern <> ''").groupBy("pattern", "token").agg(F.max("known").alias("seed")), "edges")
     seeds = edges.groupBy("token").agg(F.max("seed").alias("known"))
     state = materialize(seeds.withColumn("found", F.lit(False)), "instances")
-    trusted = None
-    for _ in range(ROUNDS):
+    while True:
         joined = edges.join(state, "token")
         scores = joined.groupBy("pattern").agg(F.count("*").alias("n"), F.count_if("known").alias("k"))
         trusted = materialize(scores.where((F.col("k") >= MIN_KNOWN) & (F.col("k") >= PRECISION * F.col("n"))).select(
@@ -130,13 +148,15 @@ def extract(docs: DataFrame, text: str = "text", key: str = "doc_id") -> DataFra
 
     ``contexts`` are the spans of kind ``context``: identifier-shaped tokens
     outside all base spans that bootstrapping discovered, where they follow a
-    trusted pattern. ``spans`` lists base and context spans as kind:start:end,
+    trusted pattern. Base spans and known tokens are the seeds. ``spans`` lists base and context spans as kind:start:end,
     comma-joined, by kind and start. Rows are told apart by a stored number, so keys may be null or repeat.
     """
     rows = docs.select(F.col(key).alias("key"), F.col(text).alias("text"))
-    held = materialize(_tokens(base_spans(rows)).select("key", "base", "tokens", F.monotonically_increasing_id().alias("row")), "spans")
+    held = materialize(_seeds(_tokens(base_spans(rows))).select(
+        "key", "base", "tokens", "seeds", F.monotonically_increasing_id().alias("row")), "spans")
     seen = held.select("row", F.inline("tokens"))
-    good = bootstrap(seen.select("pattern", "token", "known"))
+    seeds = held.select(F.inline("seeds")).select("pattern", "token", "known")
+    good = bootstrap(seen.select("pattern", "token", "known").unionAll(seeds))
     more = seen.where("NOT known").join(good, ["pattern", "token"]).groupBy("row").agg(
         F.sort_array(F.collect_list(F.struct("start", "end"))).alias("more"))
     named = F.transform("more", lambda s: F.struct(F.lit(CONTEXT).alias("kind"), s["start"].alias("start"), s["end"].alias("end")))

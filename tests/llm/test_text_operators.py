@@ -428,6 +428,25 @@ def test_contexts_discover_identifiers(spark):
     assert extract(texts(spark, [])).count() == 0
 
 
+def test_whole_spans_are_seeds(spark):
+    phones = [f"please dial: +1 (017) 555-77{i:02d} now" for i in range(10, 20)] + ["please dial: x5557713 now"]
+    cards = [f"paid by card# {c} ok" for c in ("4111 1111 1111 1111", "5500 0000 0000 0004", "4012 8888 8888 1881", "5555 5555 5555 4444", "5105 1051 0510 5100")]
+    emails = [f"write to mail> {'abcdefgh'[i]}.doe@example.com soon" for i in range(8)]
+    values = [*phones, *cards, "paid by card# 4111x1111y ok", *emails, "write to mail> jd4711(at)x soon"]
+    got = {r["doc_id"]: [values[r["doc_id"]][c["start"]:c["end"]] for c in r["contexts"]] for r in extract(texts(spark, values)).collect()}
+    assert {i: c for i, c in got.items() if c} == {10: ["x5557713"], 16: ["4111x1111y"], 25: ["jd4711"]}
+
+
+def test_bootstrapping_goes_on_until_nothing_changes(spark):
+    known, values = [f"user{i}@mail.com" for i in range(5)], []
+    for level in "abcde":
+        new = [f"id{level}{j}999" for j in "vwxyz"]
+        values += [f"step{level} way{t[3]}: {x} end" for t in new for x in [*known, t]]
+        known = new
+    found = {values[r["doc_id"]][c["start"]:c["end"]] for r in extract(texts(spark, values)).collect() for c in r["contexts"]}
+    assert found == {f"id{level}{j}999" for level in "abcde" for j in "vwxyz"}
+
+
 # --- nearest neighbours ---
 
 def test_neighbours_reach_the_recall(spark):
