@@ -54,7 +54,8 @@ def qa_ranges(spark, sf):
 
 def qa_extent_gaps(spark, sf):
     cells = st.cells(spark, sf).withColumn("value", F.when(F.col("value") >= 0, F.col("value")))
-    return qa.extent_gaps(cells, st.GRID.width)
+    height = cells.agg(F.coalesce(F.max("row") + 1, F.lit(0))).first()[0]
+    return qa.extent_gaps(cells, st.GRID.width, height)
 
 
 def qa_outside_extent(spark, sf):

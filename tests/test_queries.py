@@ -3,6 +3,7 @@
 import pytest
 
 import __spark_entry__ as entry
+from catalogue import quality, standins
 from check_queries import compare, connect
 
 SF = "/root/testdata/sf0.01"
@@ -28,3 +29,13 @@ def test_query(spark, con, name):
 
 def test_entry(spark):
     assert entry.entry(spark).count() > 0
+
+
+def test_extent_gaps_of_a_missing_row(spark, tmp_path):
+    cells = standins.cells(spark, "/root/testdata/sf0.001").where("row = 1").select("cell_id")
+    customers = standins.table(spark, "/root/testdata/sf0.001", "customer")
+    customers.join(cells, customers["c_custkey"] == cells["cell_id"], "left_anti").write.parquet(f"{tmp_path}/customer.parquet")
+    got = {tuple(r) for r in quality.qa_extent_gaps(spark, str(tmp_path)).collect()}
+    assert {(r, c) for r, c in got if r == 1} == {(1, c) for c in range(50)} and max(r for r, _ in got) <= 2
+    customers.limit(0).write.parquet(f"{tmp_path}/none/customer.parquet")
+    assert quality.qa_extent_gaps(spark, f"{tmp_path}/none").count() == 0
