@@ -163,8 +163,10 @@ def search(
     most ``sample`` vectors (those of smallest hashed id) and holds every usable
     row, each in its most probable partition. A query goes to its most probable
     partitions until their probabilities reach the mass that gave RECALL on the
-    sample. Partitions and queries are compared in blocks of about BLOCK, so
-    no task holds more, whatever the size of a partition. Vectors must have one length.
+    sample; one that finds fewer than ``k`` rows there goes to all the others too,
+    so a list is short only if the table has no more candidates. Partitions
+    and queries are compared in blocks of about BLOCK, so no task holds more,
+    whatever the size of a partition. Vectors must have one length.
     """
     spark = vectors.sparkSession
     rows = usable(vectors, key, vector).select(F.col(key).cast("long").alias("id"), F.col(vector).alias("v"))
@@ -188,13 +190,8 @@ def search(
     routed = add_columns(rows, [("part", T.IntegerType(), pa.int32()), ("ask", T.ArrayType(T.IntegerType()), pa.list_(pa.int32()))], start, ["id", "v"])
     routed = materialize(routed.withColumn("seq", F.monotonically_increasing_id()), "vectors")
     sizes = routed.groupBy("part").agg(F.count("*").alias("n")).withColumn("blocks", F.ceil(F.col("n") / BLOCK).cast("int")).drop("n")
-    asked = routed.where(F.col("id") % every == 0)
-    turns = max(1, -(-asked.count() // BLOCK))
+    asked = routed.where(F.col("id") % every == 0).select(F.col("id").alias("qid"), F.col("v").alias("q"), "seq", "ask")
     sides = F.broadcast(sizes)  # one row per partition, PARTS rows
-    stored = routed.join(sides, "part").select(
-        "part", F.pmod("seq", "blocks").cast("int").alias("block"), F.explode(F.sequence(F.lit(0), F.lit(turns - 1))).alias("turn"), "id", "v")
-    posed = asked.select(F.col("id").alias("qid"), F.col("v").alias("q"), F.pmod("seq", F.lit(turns)).cast("int").alias("q_turn"), F.explode("ask").alias("part")).join(sides, "part").select(
-        F.col("part").alias("q_part"), F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("q_block"), "q_turn", "qid", "q")
 
     def compare(left: pa.Table, right: pa.Table) -> pa.Table:
         out = []
@@ -214,6 +211,24 @@ def search(
         cols = [np.concatenate(c) for c in zip(*out)] if out else [np.zeros(0, "int64"), np.zeros(0, "int64"), np.zeros(0)]
         return pa.table({"query_id": pa.array(cols[0], pa.int64()), "vec_id": pa.array(cols[1], pa.int64()), "score": pa.array(cols[2], pa.float64())})
 
-    found = posed.groupBy("q_part", "q_block", "q_turn").cogroup(stored.groupBy("part", "block", "turn")).applyInArrow(compare, "query_id BIGINT, vec_id BIGINT, score DOUBLE")
-    rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))
-    return found.withColumn("rank", rank).where(F.col("rank") <= k).select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")
+    def ranked(found):
+        rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))
+        return found.withColumn("rank", rank).where(F.col("rank") <= k).select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")
+
+    def compared(asked):
+        turns = max(1, -(-asked.count() // BLOCK))
+        stored = routed.join(sides, "part").select(
+            "part", F.pmod("seq", "blocks").cast("int").alias("block"), F.explode(F.sequence(F.lit(0), F.lit(turns - 1))).alias("turn"), "id", "v")
+        posed = asked.select("qid", "q", F.pmod("seq", F.lit(turns)).cast("int").alias("q_turn"), F.explode("ask").alias("part")).join(sides, "part").select(
+            F.col("part").alias("q_part"), F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("q_block"), "q_turn", "qid", "q")
+        return posed.groupBy("q_part", "q_block", "q_turn").cogroup(stored.groupBy("part", "block", "turn")).applyInArrow(
+            compare, "query_id BIGINT, vec_id BIGINT, score DOUBLE")
+
+    near = materialize(ranked(compared(asked)), "near")
+    # queries whose partitions held too few rows go to all the others that hold any
+    full = near.where(F.col("rank") == k).select("query_id")
+    others = F.array_except(F.lit([r["part"] for r in sizes.select("part").collect()]).cast("array<int>"), "ask")
+    short = asked.join(full, asked["qid"] == full["query_id"], "left_anti").withColumn("ask", others).where(F.size("ask") > 0)
+    if short.isEmpty():
+        return near
+    return ranked(near.drop("rank").unionAll(compared(materialize(short, "short"))))

@@ -9,7 +9,7 @@ import zlib
 import numpy as np
 import pytest
 
-from terracell.llm import jaccard, mixing, records, sharding, suffix, toxicity
+from terracell.llm import ann, jaccard, mixing, records, sharding, suffix, toxicity
 from terracell.llm.ann import search
 from terracell.llm.decontam import decontaminate, remove_spans
 from terracell.llm.langid import identify
@@ -474,3 +474,13 @@ def test_few_and_no_vectors(spark):
     some = spark.createDataFrame([(0, [1.0, 0.0]), (1, [0.5, 0.0]), (2, [0.5, 1.0])], "vec_id BIGINT, embedding ARRAY<FLOAT>")
     assert [(r["rank"], r["vec_id"]) for r in search(some).orderBy("rank").collect()] == [(1, 1), (2, 2)]
     assert search(some.limit(0)).count() == 0
+
+
+def test_short_lists_are_filled_from_other_partitions(spark, monkeypatch):
+    fit = ann.fit
+    monkeypatch.setattr(ann, "fit", lambda x, parts, k: (fit(x, parts, k)[0], 0.01))
+    x = np.random.default_rng(4).normal(size=(640, 8))
+    x[:300] = x[0] + x[:300] * 0.01
+    got = search(spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id BIGINT, embedding ARRAY<DOUBLE>")).toPandas()
+    assert {q: sorted(own["rank"]) for q, own in got.groupby("query_id")} == {q: list(range(1, 21)) for q in range(0, 640, 20)}
+    assert not got.duplicated(["query_id", "vec_id"]).any() and (got["query_id"] != got["vec_id"]).all()
