@@ -9,7 +9,7 @@ import zlib
 import numpy as np
 import pytest
 
-from terracell.llm import ann, jaccard, mixing, records, sharding, suffix, toxicity
+from terracell.llm import ann, jaccard, langid, mixing, records, sharding, suffix, toxicity
 from terracell.llm.ann import search
 from terracell.llm.decontam import decontaminate, remove_spans
 from terracell.llm.langid import identify
@@ -324,6 +324,15 @@ def test_language_without_anything_to_learn(spark):
     assert identify(docs).first()["lang_pred"] == "und" and identify(docs.limit(0)).count() == 0
 
 
+def test_different_ngrams_stay_apart(spark):
+    r = random.Random(6)
+    values = ["".join(chr(r.randrange(0x4E00, 0x9000)) for _ in range(40)) for _ in range(600)]
+    got = langid.counts(texts(spark, values)).where("ord = 4 AND kind = 'g'")
+    padded = ["\x02" * 3 + v + "\x03" for v in values]
+    want = {p[i:i + 4] for p in padded for i in range(len(p) - 3)}
+    assert {r["slot"] for r in got.collect()} == {langid._slot(g) for g in want} and got.count() == len(want)
+
+
 # --- toxicity ---
 
 def test_toxicity_is_learned_and_labels_stay_apart(spark):
