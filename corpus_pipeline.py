@@ -15,7 +15,7 @@ Rows with null columns pass as each operator's docstring says.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from terracell.llm.common import materialize, scratch_path, table
 from terracell.llm.decontam import decontaminate
@@ -28,8 +28,15 @@ SHARDS = 16
 POSITION = "mix_position"
 
 
+def apart(docs: DataFrame, work) -> DataFrame:
+    """The columns of ``docs`` in ``work`` of it, kept from being replaced by columns of the same name that ``work`` adds."""
+    held = {c: f"_own_{i}" for i, c in enumerate(docs.columns) if c not in ("doc_id", "text", "lang", "source")}
+    out = work(docs.withColumnsRenamed(held))
+    return out.select(*[F.col(held.get(c, c)).alias(c) for c in docs.columns])
+
+
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return identify(docs).where("accepted").select(*docs.columns)
+    return apart(docs, lambda rows: identify(rows).where("accepted"))
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -37,7 +44,8 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def clean_of_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return decontaminate(docs, table(spark, sf_dir, "benchmark")).where("NOT contaminated").select(*docs.columns)
+    items = table(spark, sf_dir, "benchmark")
+    return apart(docs, lambda rows: decontaminate(rows, items).where("NOT contaminated"))
 
 
 def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
