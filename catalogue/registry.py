@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from terracell.functions import boxes as bx, crs, rings as rg
 from terracell.functions.codes import normalize_code
 from terracell.operators import dissolve as ds, regions as ops, repair as rp
+from terracell.operators.junctions import split_edges
 from terracell.plans.prep_regions import prepare_regions
 from terracell.session import scratch_path
 from terracell.sources import catalog, polygons as layers
@@ -120,6 +121,37 @@ def outline_rings(spark, sf):
     )
 
 
+def _bricks(spark, sf):
+    """Cells of the raster grid as polygons, in every other row as bricks of two: T-junctions along the rows."""
+    c = st.cells(spark, sf).join(st.table(spark, sf, "customer").select(F.col("c_custkey").alias("cell_id"), "c_nationkey"), "cell_id")
+    x, y, v = F.col("col"), F.col("row"), st.vertex
+    wide = F.when(y % 2 == 0, 2).otherwise(1)
+    ring = F.array(v(x, y), v(x + wide, y), v(x + wide, y + 1), v(x, y + 1), v(x, y))
+    return c.where("row % 2 = 1 OR col % 2 = 0").select((F.col("c_nationkey") % 3).alias("code"), F.array(ring).alias("geom"))
+
+
+def dissolve_t_junction(spark, sf):
+    edges = split_edges(ds.feature_edges(_bricks(spark, sf), ["code"]), "code")
+    return ds.edge_measures(ds.dissolve_outline(edges, "code"), ["code"]).drop("n_edges")
+
+
+def nested_rings(spark, sf):
+    """Shells, holes and islands of each nation, drawn in either direction."""
+    x, y, k = F.col("x").cast("double"), F.col("y").cast("double"), F.col("feature_id")
+    def ring(j):
+        a, b = x + 0.05 + 0.1 * j, y + 0.05 + 0.1 * j
+        e, f = x + 0.95 - 0.1 * j, y + 0.95 - 0.1 * j
+        v = st.vertex
+        left, right = [v(a, b), v(e, b), v(e, f), v(a, f), v(a, b)], [v(a, b), v(a, f), v(e, f), v(e, b), v(a, b)]
+        return F.when((k + j) % 3 == 0, F.array(*right)).otherwise(F.array(*left))
+    rings = F.slice(F.array(*[ring(j) for j in range(4)]), F.lit(1), (k % 4 + 1).cast("int"))
+    drawn = st.corners(spark, sf).groupBy(F.col("US_L3CODE").alias("code")).agg(F.flatten(F.collect_list(rings)).alias("geom"))
+    signed = F.transform("geom", rg.signed_area)
+    return rp.repair_features(drawn).select(
+        "code", F.size("geom").alias("n_rings"), F.size(F.filter(signed, lambda s: s > 0)).alias("n_shells"),
+        F.round(F.aggregate(signed, F.lit(0.0), lambda a, b: a + b), 6).alias("area"))
+
+
 def polygon_area_km2(spark, sf):
     edges = ds.feature_edges(st.geo_polygons(spark, sf), ["feature_id", "code"])
     area = ds.area_km2(edges, ["feature_id", "code"], "EPSG:4326")
@@ -252,7 +284,8 @@ _ASIA = f"SELECT uid, code, name FROM regions WHERE scheme = '{SCHEME}' AND leve
 
 QUERIES = {f.__name__: f for f in (
     code_normalize, region_select, dup_codes, wanted_codes, missing_codes, code_sample, code_field_scores,
-    coerce_bbox, union_bbox, aoi_resolve, region_bounds, feature_bounds, dissolve_edges, dissolve_by_name, outline_rings,
+    coerce_bbox, union_bbox, aoi_resolve, region_bounds, feature_bounds, dissolve_edges, dissolve_by_name, dissolve_t_junction,
+    nested_rings, outline_rings,
     polygon_area_km2, reproject_albers, transform_bounds, repair_flags, simplify, valid_geometry_sorted,
     prepared_regions, merge_suspects, catalog_load,
 )}

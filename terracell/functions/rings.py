@@ -1,7 +1,7 @@
 """Polygon columns: ARRAY of rings, a ring being an ARRAY<STRUCT<x, y>>.
 
-Outer rings run counter-clockwise and holes clockwise once ``repair`` has been
-applied, so signed areas add up across parts and holes.
+Outer rings run counter-clockwise and holes clockwise once a feature has been
+repaired, so signed areas add up across parts and holes.
 """
 
 from __future__ import annotations
@@ -92,38 +92,19 @@ def _without_repeats(ring: Column) -> Column:
     return F.filter(ring, lambda v, i: (i == 0) | (v != F.get(ring, i - 1)))
 
 
-def point_in_ring(x: Column, y: Column, ring: Column) -> Column:
-    """Even-odd rule; the lower end of an edge counts, the upper does not."""
-    hits = F.aggregate(
-        ring_edges(ring), F.lit(0),
-        lambda acc, e: acc + F.when(
-            ((e.y1 > y) != (e.y2 > y))
-            & (x < e.x1 + (y - e.y1) * (e.x2 - e.x1) / F.nullif(e.y2 - e.y1, F.lit(0.0))),
-            1,
-        ).otherwise(0),
-    )
-    return hits % 2 == 1
-
-
-def repair(geom: Column) -> Column:
-    """Repair what row-local rules can: repeated vertices, open rings, rings
-    without area, and orientation (by how many other rings hold each ring)."""
+def clean_rings(geom: Column) -> Column:
+    """Repair what a ring shows by itself: repeated vertices, open rings, rings without area."""
     rings = F.transform(geom, lambda r: close_ring(_without_repeats(r)))
-    usable = F.filter(rings, lambda r: (F.size(r) >= 4) & (signed_area(r) != 0))
+    return F.filter(rings, lambda r: (F.size(r) >= 4) & (signed_area(r) != 0))
 
-    def orient_all(kept):
-        def oriented(ring, i):
-            first = F.get(ring, F.lit(0))
-            holders = F.filter(
-                kept,
-                lambda other, j: (i != j) & point_in_ring(first.getField("x"), first.getField("y"), other),
-            )
-            outer = F.size(holders) % 2 == 0
-            return F.when(outer == (signed_area(ring) > 0), ring).otherwise(F.reverse(ring))
 
-        return F.transform(kept, oriented)
+def orient(geom: Column, shells: Column | None = None) -> Column:
+    """Shells counter-clockwise, holes clockwise; ``shells`` says which is which, without it all are shells."""
+    def turned(ring, i):
+        outer = F.lit(True) if shells is None else F.get(shells, i)
+        return F.when(outer == (signed_area(ring) > 0), ring).otherwise(F.reverse(ring))
 
-    return let(usable, orient_all)
+    return F.transform(geom, turned)
 
 
 def ring_flags(geom: Column) -> Column:

@@ -13,6 +13,7 @@ from ..constants import AREA_CRS, M2_PER_KM2
 from ..functions.crs import reproject
 from ..functions.rings import geom_edges
 from ..session import materialize
+from .chains import rank_chains
 
 
 def feature_edges(features: DataFrame, keys: list[str]) -> DataFrame:
@@ -75,68 +76,40 @@ def first_metadata(features: DataFrame, key: str, columns: list[str], order: str
     )
 
 
+def _followers(edges: DataFrame, key: str) -> DataFrame:
+    """(key, id, nxt): the edge after each one, that starts where it ends and bounds the same ground.
+
+    Where rings touch, edges that arrive and edges that leave take turns around
+    the vertex, and the ground on the left of one that arrives reaches to the next
+    one that leaves, clockwise: the sharpest left turn. Numbering both kinds by angle pairs them
+    off one to one, whatever the outline.
+    """
+    angle = lambda x, y: F.atan2(F.col(f"y{y}") - F.col(f"y{x}"), F.col(f"x{y}") - F.col(f"x{x}"))
+    spoke = lambda end, kind, other: edges.select(
+        key, F.col(f"x{end}").alias("vx"), F.col(f"y{end}").alias("vy"), "id", F.lit(kind).alias("kind"), angle(end, other).alias("a"))
+    around = Window.partitionBy(key, "vx", "vy")
+    spokes = spoke(1, "out", 2).unionByName(spoke(2, "in", 1)).withColumn(
+        "place", F.row_number().over(Window.partitionBy(key, "vx", "vy", "kind").orderBy("a", "id")) - 1)
+    shift = F.when(F.min_by("kind", F.struct("a", "kind")).over(around) == "in", -1).otherwise(0)
+    outs = F.count(F.when(F.col("kind") == "out", 1)).over(around)
+    spokes = spokes.withColumns({"shift": shift, "outs": outs})
+    ends = spokes.where("kind = 'in'").select(
+        key, "vx", "vy", "id", F.pmod(F.col("place") + F.col("shift"), F.nullif("outs", F.lit(0))).alias("place"),
+        F.row_number().over(Window.partitionBy(key, "vx", "vy").orderBy("place")).alias("k"), "outs")
+    starts = spokes.where("kind = 'out'").select(key, "vx", "vy", F.col("id").alias("nxt"), "place")
+    # more edges may arrive than leave where an outline is not closed
+    return ends.where(F.col("k") <= F.col("outs")).join(starts, [key, "vx", "vy", "place"]).select(key, "id", "nxt")
+
+
 def outline_rings(outline: DataFrame, key: str = "uid") -> DataFrame:
     """Order outline edges into rings: (key, ring, pos, x, y).
 
-    Each edge is followed by the edge that starts at its end; where several
-    start there (rings touching in a vertex) the sharpest left turn is taken, which
-    keeps the interior on the left. Ring labels and positions come from
-    pointer doubling, so the number of rounds grows with the logarithm of the
-    longest ring and no ring is gathered in one task.
+    A ring is named by its smallest edge and counted from there. No ring is
+    gathered in one task, whatever its length; see ``rank_chains``.
     """
     ident = F.xxhash64(*[F.col(c) for c in (key, "x1", "y1", "x2", "y2")])
     edges = materialize(outline.withColumn("id", ident), "edges")
-    heading = F.atan2(F.col("y2") - F.col("y1"), F.col("x2") - F.col("x1"))
-    heads = edges.select(
-        key, F.col("x1").alias("vx"), F.col("y1").alias("vy"),
-        F.col("id").alias("nxt"), heading.alias("out_dir"),
-    )
-    tails = edges.select(
-        key, F.col("x2").alias("vx"), F.col("y2").alias("vy"), "id", heading.alias("in_dir")
-    )
-    turn = F.pmod(F.col("out_dir") - F.col("in_dir") + F.lit(3.141592653589793), F.lit(6.283185307179586))
-    links = tails.join(heads, [key, "vx", "vy"]).groupBy(key, "id").agg(F.max_by("nxt", turn).alias("nxt"))
-    state = materialize(links.select(
-        key, "id", F.col("nxt").alias("jump"), F.least("id", "nxt").alias("ring")
-    ), "links")
-    while True:
-        ahead = state.select(
-            key, F.col("id").alias("jump"), F.col("jump").alias("jump2"), F.col("ring").alias("ring2")
-        )
-        joined = state.join(ahead, [key, "jump"])
-        nxt = materialize(joined.select(
-            key, "id", F.col("jump2").alias("jump"), F.least("ring", "ring2").alias("ring"),
-            (F.col("ring2") < F.col("ring")).alias("changed"),
-        ), "links")
-        done = nxt.where("changed").isEmpty()
-        state = nxt.drop("changed")
-        if done:
-            break
-    # Cut every ring before its smallest edge and rank the edges from there.
-    order = materialize(
-        links.join(state.select(key, "id", "ring"), [key, "id"]).select(
-            key, "id", "ring",
-            F.when(F.col("nxt") != F.col("ring"), F.col("nxt")).alias("jump"),
-            F.when(F.col("nxt") != F.col("ring"), 1).otherwise(0).cast("bigint").alias("left"),
-        ),
-        "order",
-    )
-    while not order.where(F.col("jump").isNotNull()).isEmpty():
-        ahead = order.select(
-            key, F.col("id").alias("jump"), F.col("jump").alias("jump2"), F.col("left").alias("left2")
-        )
-        order = materialize(
-            order.join(ahead, [key, "jump"], "left").select(
-                key, "id", "ring", F.col("jump2").alias("jump"),
-                (F.col("left") + F.coalesce("left2", F.lit(0))).alias("left"),
-            ),
-            "order",
-        )
-    length = order.groupBy(key, "ring").agg(F.max("left").alias("last"))
-    return (
-        order.join(length, [key, "ring"]).join(edges.select(key, "id", "x1", "y1"), [key, "id"])
-        .select(
-            key, "ring", (F.col("last") - F.col("left")).alias("pos"),
-            F.col("x1").alias("x"), F.col("y1").alias("y"),
-        )
-    )
+    links = edges.select(key, "id").join(_followers(edges, key), [key, "id"], "left")
+    placed = rank_chains(links, key)
+    return placed.join(edges.select(key, "id", "x1", "y1"), [key, "id"]).select(
+        key, "ring", "pos", F.col("x1").alias("x"), F.col("y1").alias("y"))

@@ -4,12 +4,24 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from ..functions.rings import geom_area, geom_bounds, geom_edges, geom_perimeter, is_usable, repair, ring_flags
+from ..functions.rings import clean_rings, geom_area, geom_bounds, geom_edges, geom_perimeter, is_usable, orient, ring_flags
+from ..session import materialize
+from .nesting import shell_flags
 
 
 def repair_features(features: DataFrame) -> DataFrame:
-    """Row-local repair; geometries that end up empty are kept for the next step to drop."""
-    return features.withColumn("geom", repair(F.col("geom")))
+    """Clean rings, shells counter-clockwise, holes clockwise; geometries that end up empty are kept for the next step to drop.
+
+    A single ring is a shell. Features of several rings are stored, and their
+    rings are nested as rows of their own; only the flags come back.
+    """
+    cleaned = features.withColumn("geom", clean_rings(F.col("geom")))
+    several = materialize(cleaned.where(F.size("geom") > 1).withColumn("_row", F.monotonically_increasing_id()), "rings")
+    flags = shell_flags(several.select("_row", F.posexplode("geom").alias("i", "ring")), ["_row"])
+    shells = flags.groupBy("_row").agg(F.transform(F.array_sort(F.collect_list(F.struct("i", "shell"))), lambda f: f["shell"]).alias("_shells"))
+    nested = several.join(shells, "_row").withColumn("geom", orient(F.col("geom"), F.col("_shells"))).select(*features.columns)
+    single = cleaned.where(F.col("geom").isNull() | (F.size("geom") <= 1)).withColumn("geom", orient(F.col("geom")))
+    return single.unionByName(nested)
 
 
 def defect_flags(features: DataFrame, key: str = "feature_id") -> DataFrame:

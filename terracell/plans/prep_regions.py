@@ -11,6 +11,7 @@ from ..functions.codes import with_code
 from ..functions.crs import reproject
 from ..functions.rings import geom_area, map_vertices
 from ..operators import dissolve as ds, regions as rg
+from ..operators.junctions import split_edges
 from ..operators.repair import repair_features
 from ..session import materialize
 from ..sources.polygons import write_bounds, write_qa_csv, write_regions
@@ -68,7 +69,8 @@ def prepare_regions(
 
 def _dissolved(clean: DataFrame, crs: str, target_crs: str, area_crs: str) -> PreparedRegions:
     meta = ds.first_metadata(clean, "uid", ["scheme", "level", "code", "name"], "feature_id")
-    outline = materialize(ds.dissolve_outline(ds.feature_edges(clean, ["uid"])), "outline")
+    edges = split_edges(ds.feature_edges(clean, ["uid"]))
+    outline = materialize(ds.dissolve_outline(edges), "outline")
     area = ds.area_km2(outline, ["uid"], crs, area_crs)
     target = ds.project_edges(outline, crs, target_crs)
     boxes = ds.edge_measures(target, ["uid"]).select("uid", "xmin", "ymin", "xmax", "ymax")

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from conftest import ring, square
 from terracell import schemas
 from terracell.functions import boxes, climate, codes, crs, names, rings, windows
+from terracell.operators.repair import repair_features
 from terracell.operators import regions as rg
 from terracell.plans import fetch_plan as fp
 
@@ -144,7 +145,7 @@ def test_repair_orients_outer_rings_and_holes(spark):
     outer, hole, island = square(0, 0, 10, 10), square(2, 2, 4, 4), square(3, 3, 1, 1)
     flipped = [list(reversed(outer)), hole, island]
     df = geoms(spark, flipped, [outer[:-1]], [outer[:2] + outer[1:]], [ring((0, 0), (1, 1), (0, 0))], [])
-    fixed = df.select("feature_id", rings.repair(F.col("geom")).alias("geom"))
+    fixed = repair_features(df)
     area = dict(fixed.select("feature_id", rings.geom_area(F.col("geom"))).collect())
     assert area[0] == pytest.approx(100 - 16 + 1)
     assert area[1] == area[2] == 100.0

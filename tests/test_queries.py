@@ -7,7 +7,7 @@ from catalogue import quality, standins
 from check_queries import compare, connect
 
 SF = "/root/testdata/sf0.01"
-ROWS_ONLY = {"outline_rings", "rf_metrics"}
+ROWS_ONLY = {"rf_metrics"}
 QUERIES = {k: v for k, v in entry.queries().items() if v.__module__.startswith("catalogue.")}
 
 

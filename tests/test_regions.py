@@ -8,7 +8,12 @@ from pyspark.sql import functions as F
 from conftest import ring, square
 from terracell import schemas
 from terracell.functions.windows import Grid
-from terracell.operators import dissolve as ds, regions as rg, repair as rp, zones
+from terracell import session
+from terracell.functions import rings as rg_functions
+from terracell.operators import chains, dissolve as ds, nesting, regions as rg, repair as rp, zones
+from terracell.operators.chains import rank_chains
+from terracell.operators.junctions import split_edges
+from terracell.operators.repair import repair_features
 from terracell.plans import region_features as rf
 from terracell.plans.prep_regions import prepare_regions, store_regions
 from terracell.sources import catalog, polygons
@@ -187,6 +192,85 @@ def test_touching_corners_split_into_two_rings(spark):
     assert sorted(r["count"] for r in rings.groupBy("ring").count().collect()) == [4, 4]
 
 
+def test_chains_are_ranked_in_any_shape(spark):
+    r = random.Random(3)
+    links, want, at = [], {}, 0
+    for size, closed in [(1, True), (1, False), (2, True), (2, False), (3, True), (40, True), (55, False), (300, True)]:
+        ids = r.sample(range(at, at + 10 * size), size)
+        at += 10 * size
+        links += [("k", a, b) for a, b in zip(ids, ids[1:] + ids[:1])][: size if closed else size - 1] + ([] if closed else [("k", ids[-1], None)])
+        start = ids.index(min(ids)) if closed else 0
+        want.update({x: (min(ids), (i - start) % size) for i, x in enumerate(ids)})
+    got = rank_chains(spark.createDataFrame(links, "k STRING, id BIGINT, nxt BIGINT"), "k").collect()
+    assert {x["id"]: (x["ring"], x["pos"]) for x in got} == want and len(got) == len(want)
+
+
+def test_a_long_ring_stays_spread(spark, monkeypatch):
+    n, largest = 4000, []
+
+    def watched(df, stem="stage"):
+        out = session.materialize(df, stem)
+        if stem in ("chain", "left") and out.count() > 500:
+            largest.append(out.groupBy(F.spark_partition_id()).count().agg(F.max("count") / F.sum("count")).first()[0])
+        return out
+
+    monkeypatch.setattr(chains, "materialize", watched)
+    links = spark.range(n).select(F.lit("k").alias("k"), "id", ((F.col("id") + 1) % n).alias("nxt")).repartition(8)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        got = rank_chains(links, "k")
+        assert got.where("id <> pos OR ring <> 0").count() == 0 and got.count() == n
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert max(largest) < 0.4
+
+
+def brute_outline(boxes):
+    """(area, perimeter) of the union of integer boxes that do not overlap."""
+    cells = {(i, j) for x, y, w, h in boxes for i in range(x, x + w) for j in range(y, y + h)}
+    return len(cells), sum((i + a, j + b) not in cells for i, j in cells for a, b in ((0, 1), (1, 0), (0, -1), (-1, 0)))
+
+
+def test_t_junctions_leave_no_inner_edge(spark):
+    r, boxes, taken = random.Random(9), [], set()
+    for _ in range(600):
+        x, y, w, h = r.randrange(40), r.randrange(40), r.choice([1, 1, 2, 7, 30]), r.choice([1, 1, 3, 12])
+        own = {(i, j) for i in range(x, x + w) for j in range(y, y + h)}
+        if not own & taken:
+            taken |= own
+            boxes.append((x, y, w, h))
+    turn = lambda x, y: (x * 3 - y * 4 + 0.5, x * 4 + y * 3)
+    for place, scale, tolerance in ((lambda x, y: (x, y), 1, 0.0), (turn, 5, 0.0), (lambda x, y: (x / 10, y * 0.7), None, 1e-9)):
+        geoms = [[ring(*[place(*p) for p in ((x, y), (x + w, y), (x + w, y + h), (x, y + h), (x, y))])] for x, y, w, h in boxes]
+        feats = layer(spark, *[("a", g) for g in geoms]).withColumnRenamed("US_L3CODE", "uid")
+        edges = split_edges(ds.feature_edges(feats, ["uid"]), tolerance=tolerance)
+        got = ds.edge_measures(ds.dissolve_outline(edges), ["uid"]).first()
+        area, perimeter = brute_outline(boxes)
+        if scale:
+            assert got["area"] == pytest.approx(area * scale ** 2) and got["perimeter"] == pytest.approx(perimeter * scale)
+        else:
+            assert got["area"] == pytest.approx(area * 0.07)
+        rings = ds.outline_rings(ds.dissolve_outline(edges))
+        assert rings.count() == ds.dissolve_outline(edges).count()
+    assert split_edges(ds.feature_edges(feats, ["uid"]).limit(0)).count() == 0
+
+
+def test_many_rings_are_nested_over_tasks(spark, monkeypatch):
+    monkeypatch.setattr(nesting, "EDGES_PER_KEY", 64)
+    r, rows, want = random.Random(2), [], []
+    for i in range(25):
+        for j in range(20):
+            for depth in range(r.randrange(1, 6)):
+                sq = square(i + 0.1 * depth, j + 0.1 * depth, 1 - 0.2 * depth - 0.01, 1 - 0.2 * depth - 0.01)
+                rows.append(sq[::-1] if r.random() < 0.5 else sq)
+                want.append(depth % 2 == 0)
+    big = [square(-1, -1, 40, 40)]  # one ring around all turns every other over
+    feats = layer(spark, ("a", rows), ("b", big + rows), ("c", [square(0, 0)]))
+    got = {x["US_L3CODE"]: [s > 0 for s in x["s"]] for x in repair_features(feats).select(
+        "US_L3CODE", F.transform("geom", rg_functions.signed_area).alias("s")).collect()}
+    assert got == {"a": want, "b": [True] + [not w for w in want], "c": [True]}
+
+
 def inside(x, y, rings):
     odd = False
     for r in rings:
