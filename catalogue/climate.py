@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from terracell import constants as k
 from terracell.operators import seasonal as sn, series as sr
+from terracell.session import materialize
 
 from . import standins as st
 
@@ -94,6 +95,20 @@ def regime_shift(spark, sf):
     return _shown(r, "month", shift=4)
 
 
+def gap_series(spark, sf):
+    """Differences, volatility, slope and shift of a series that lacks every seventh month."""
+    full = materialize(st.monthly(spark, sf).where((F.year("month") * 12 + F.month("month")) % 7 != 3), "gaps")
+    parts = [
+        sr.acceleration(full, KEY, "month", "v").drop("v"), sr.volatility(full, KEY, "month", "v", k.VOLATILITY_MONTHS),
+        sr.trend(full, KEY, "month", "v", k.TREND_MONTHS),
+        sr.regime_shift(full, KEY, "month", "v", k.REGIME_MONTHS, k.REGIME_SIGMAS).drop("is_shift"),
+    ]
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.join(p, [*KEY, "month"], "left")
+    return _shown(out, "month", delta=6, acceleration=6, volatility=4, slope=4, shift=4)
+
+
 def seasonal_summary(spark, sf):
     s = sn.seasonal_summary(st.monthly(spark, sf), KEY, "month", "v")
     return s.withColumns({c: F.round(c, d) for c, d in (("mean", 4), ("peak", 6), ("amplitude", 6))})
@@ -168,13 +183,14 @@ _M = ", ".join(
 )
 _MONTH = "CAST(month AS VARCHAR) AS month"
 _BY = "PARTITION BY region ORDER BY month"
+_BY_T = "PARTITION BY region ORDER BY year(month) * 12 + month(month)"
 
 _YEARLY = """votes AS (SELECT l_partkey AS cell, CAST(year(l_shipdate) AS INTEGER) AS year, l_returnflag AS class, count(*) AS n FROM lineitem GROUP BY 1, 2, 3),
 yearly AS (SELECT cell, year, class FROM (SELECT *, row_number() OVER (PARTITION BY cell, year ORDER BY n DESC, class) AS r FROM votes) WHERE r = 1)"""
 
 QUERIES = {f.__name__: f for f in (
     drought_proxy, hot_extreme, cold_snap, dry_spell, event_stats, days_since_event, compound_heat_dry, heat_wave,
-    stress_signal, acceleration, volatility, trend_slope, regime_shift, seasonal_summary, phenology, monthly_anomaly,
+    stress_signal, acceleration, volatility, trend_slope, regime_shift, gap_series, seasonal_summary, phenology, monthly_anomaly,
     aridity, gdd, vpd, soil_bucket, yearly_landcover, transition_rates,
 )}
 
@@ -202,15 +218,26 @@ FROM t JOIN lim ON lim.region = t.region AND doy = dayofyear(day) GROUP BY 1""",
     "stress_signal": f"""WITH {st.MONTHLY} SELECT region, {_MONTH}, round(v, 6) AS v, round((v - avg(v) OVER (PARTITION BY region)) / nullif(stddev_pop(v) OVER (PARTITION BY region), 0), 6) AS z,
   round(percent_rank() OVER (PARTITION BY region ORDER BY v), 6) AS pct_rank,
   round((count(*) OVER (PARTITION BY region) + 1) / rank() OVER (PARTITION BY region ORDER BY v DESC), 6) AS return_period FROM monthly""",
-    "acceleration": f"""WITH {st.MONTHLY} SELECT region, {_MONTH}, round(v, 6) AS v, round(v - lag(v) OVER w, 6) AS delta,
-  round(v - 2 * lag(v) OVER w + lag(v, 2) OVER w, 6) AS acceleration FROM monthly WINDOW w AS ({_BY})""",
+    "acceleration": f"""WITH {st.MONTHLY} SELECT region, {_MONTH}, round(v, 6) AS v, round(v - max(v) OVER one, 6) AS delta,
+  round(v - 2 * max(v) OVER one + max(v) OVER two, 6) AS acceleration FROM monthly
+  WINDOW one AS ({_BY_T} RANGE BETWEEN 1 PRECEDING AND 1 PRECEDING), two AS ({_BY_T} RANGE BETWEEN 2 PRECEDING AND 2 PRECEDING)""",
     "volatility": f"""WITH {st.MONTHLY} SELECT region, {_MONTH},
-  round(stddev_samp(v) OVER ({_BY} ROWS BETWEEN 11 PRECEDING AND CURRENT ROW), 4) AS volatility FROM monthly""",
+  round(stddev_samp(v) OVER ({_BY_T} RANGE BETWEEN 11 PRECEDING AND CURRENT ROW), 4) AS volatility FROM monthly""",
     "trend_slope": f"""WITH {st.MONTHLY} SELECT region, {_MONTH}, round(CASE WHEN count(v) OVER w >= 2 THEN
-  regr_slope(v, (year(month) - 1970) * 12 + month(month)) OVER w END, 4) AS slope FROM monthly WINDOW w AS ({_BY} ROWS BETWEEN 59 PRECEDING AND CURRENT ROW)""",
-    "regime_shift": f"""WITH {st.MONTHLY}, s AS (SELECT region, month, avg(v) OVER ({_BY} ROWS BETWEEN CURRENT ROW AND 11 FOLLOWING)
-  - avg(v) OVER ({_BY} ROWS BETWEEN 12 PRECEDING AND 1 PRECEDING) AS shift, stddev_pop(v) OVER (PARTITION BY region) AS sd FROM monthly)
+  regr_slope(v, (year(month) - 1970) * 12 + month(month)) OVER w END, 4) AS slope FROM monthly WINDOW w AS ({_BY_T} RANGE BETWEEN 59 PRECEDING AND CURRENT ROW)""",
+    "regime_shift": f"""WITH {st.MONTHLY}, s AS (SELECT region, month, avg(v) OVER ({_BY_T} RANGE BETWEEN CURRENT ROW AND 11 FOLLOWING)
+  - avg(v) OVER ({_BY_T} RANGE BETWEEN 12 PRECEDING AND 1 PRECEDING) AS shift, stddev_pop(v) OVER (PARTITION BY region) AS sd FROM monthly)
 SELECT region, {_MONTH}, round(shift, 4) AS shift, abs(shift) > sd AS is_shift FROM s WHERE shift IS NOT NULL""",
+    "gap_series": f"""WITH {st.MONTHLY}, g AS (SELECT *, year(month) * 12 + month(month) AS t FROM monthly WHERE (year(month) * 12 + month(month)) % 7 <> 3),
+w AS (SELECT region, month, v, t, max(v) OVER (PARTITION BY region ORDER BY t RANGE BETWEEN 1 PRECEDING AND 1 PRECEDING) AS one,
+    max(v) OVER (PARTITION BY region ORDER BY t RANGE BETWEEN 2 PRECEDING AND 2 PRECEDING) AS two,
+    stddev_samp(v) OVER (PARTITION BY region ORDER BY t RANGE BETWEEN 11 PRECEDING AND CURRENT ROW) AS sd,
+    count(v) OVER (PARTITION BY region ORDER BY t RANGE BETWEEN 59 PRECEDING AND CURRENT ROW) AS n,
+    regr_slope(v, t) OVER (PARTITION BY region ORDER BY t RANGE BETWEEN 59 PRECEDING AND CURRENT ROW) AS slope,
+    avg(v) OVER (PARTITION BY region ORDER BY t RANGE BETWEEN CURRENT ROW AND 11 FOLLOWING)
+      - avg(v) OVER (PARTITION BY region ORDER BY t RANGE BETWEEN 12 PRECEDING AND 1 PRECEDING) AS shift FROM g)
+SELECT region, {_MONTH}, round(v - one, 6) AS delta, round(v - 2 * one + two, 6) AS acceleration, round(sd, 4) AS volatility,
+  round(CASE WHEN n >= 2 THEN slope END, 4) AS slope, round(shift, 4) AS shift FROM w""",
     "seasonal_summary": f"""WITH {st.MONTHLY} SELECT region, CAST(year(month) AS INTEGER) AS year, round(avg(v), 4) AS mean, round(max(v), 6) AS peak,
   round(max(v) - min(v), 6) AS amplitude FROM monthly GROUP BY 1, 2""",
     "phenology": f"""WITH {st.MONTHLY}, y AS (SELECT region, CAST(year(month) AS INTEGER) AS year, CAST(month(month) AS INTEGER) AS m, v, min(v) OVER w AS lo, max(v) OVER w AS hi

@@ -334,6 +334,33 @@ SELECT code, abs(sum(x1 * y2 - x2 * y1)) / 2 AS area, CAST(count(*) AS DOUBLE) A
   GROUP BY scheme, least(x1, x2), least(y1, y2), greatest(x1, x2), greatest(y1, y2) HAVING count(*) = 1)
 SELECT name, min(least(x1, x2)) AS xmin, min(least(y1, y2)) AS ymin, max(greatest(x1, x2)) AS xmax,
   max(greatest(y1, y2)) AS ymax, count(*) AS n_edges FROM o GROUP BY 1""",
+    "dissolve_t_junction": f"""WITH {st.CELLS}, brick AS (
+  SELECT c_nationkey % 3 AS code, col AS x, "row" AS y, CASE "row" % 2 WHEN 0 THEN 2 ELSE 1 END AS wide
+  FROM cells JOIN customer ON cell_id = c_custkey WHERE "row" % 2 = 1 OR col % 2 = 0),
+unit AS (SELECT code, x + i AS x, y FROM brick CROSS JOIN (VALUES (0), (1)) AS s(i) WHERE i < wide),
+e AS (SELECT code, x + a AS x1, y + b AS y1, x + c AS x2, y + d AS y2
+  FROM unit CROSS JOIN (VALUES (0,0,1,0), (1,0,1,1), (1,1,0,1), (0,1,0,0)) AS s(a, b, c, d)),
+o AS (SELECT code, min(x1) AS x1, min(y1) AS y1, min(x2) AS x2, min(y2) AS y2 FROM e
+  GROUP BY code, least(x1, x2), least(y1, y2), greatest(x1, x2), greatest(y1, y2) HAVING count(*) = 1),
+area AS (SELECT code, CAST(count(*) AS DOUBLE) AS area FROM unit GROUP BY code)
+SELECT code, area, CAST(count(*) AS DOUBLE) AS perimeter, CAST(min(least(x1, x2)) AS DOUBLE) AS xmin,
+  CAST(min(least(y1, y2)) AS DOUBLE) AS ymin, CAST(max(greatest(x1, x2)) AS DOUBLE) AS xmax,
+  CAST(max(greatest(y1, y2)) AS DOUBLE) AS ymax FROM o JOIN area USING (code) GROUP BY code, area""",
+    "nested_rings": """SELECT CAST(s_nationkey AS VARCHAR) AS code, CAST(count(*) AS INTEGER) AS n_rings,
+  CAST(count(*) FILTER (j % 2 = 0) AS INTEGER) AS n_shells,
+  round(sum(CASE j % 2 WHEN 0 THEN 1 ELSE -1 END * (0.9::DOUBLE - 0.2::DOUBLE * j) * (0.9::DOUBLE - 0.2::DOUBLE * j)), 6) AS area
+FROM supplier CROSS JOIN range(0, 4) AS r(j) WHERE j <= s_suppkey % 4 GROUP BY 1""",
+    "outline_rings": f"""WITH RECURSIVE {st.SQUARE_EDGES}, o AS MATERIALIZED (
+  SELECT row_number() OVER () AS id, * FROM (
+    SELECT code, min(x1) AS x1, min(y1) AS y1, min(x2) AS x2, min(y2) AS y2 FROM edges
+    GROUP BY code, least(x1, x2), least(y1, y2), greatest(x1, x2), greatest(y1, y2) HAVING count(*) = 1)),
+d AS (SELECT *, CASE WHEN x2 > x1 THEN 0 WHEN y2 > y1 THEN 1 WHEN x2 < x1 THEN 2 ELSE 3 END AS dir FROM o),
+nxt AS MATERIALIZED (SELECT a.code, a.id, arg_max(b.id, (b.dir - a.dir + 6) % 4) AS nxt
+  FROM d a JOIN d b ON a.code = b.code AND a.x2 = b.x1 AND a.y2 = b.y1 GROUP BY 1, 2),
+walk AS (SELECT code, id AS start, id AS cur, 0 AS step FROM nxt
+  UNION ALL SELECT w.code, w.start, n.nxt, w.step + 1 FROM walk w JOIN nxt n ON n.id = w.cur WHERE n.nxt <> w.start),
+ring AS (SELECT code, start, min(cur) AS ring, max(step) AS last FROM walk GROUP BY 1, 2)
+SELECT code, count(DISTINCT ring) AS n_rings, count(*) AS n_vertices, CAST(max(last) AS BIGINT) AS last_pos FROM ring GROUP BY 1""",
     "polygon_area_km2": f"WITH {_geo_edges_sql()} SELECT code, count(*) AS n, round(sum(a), 3) AS area_km2 FROM area GROUP BY code",
     "reproject_albers": f"""WITH {st.CELLS}, g AS (SELECT cell_id, cx - 100 AS lon, CAST("row" AS DOUBLE) % 20 + 25.25::DOUBLE AS lat FROM cells)
 SELECT cell_id, round({_AX}, 3) AS px, round({_AY}, 3) AS py, round(lon, 6) AS lon, round(lat, 6) AS lat FROM g""",

@@ -31,7 +31,7 @@ REGIME_SIGMAS = 1.0
 MAD_SCALE = 1.4826            # makes the MAD comparable to a deviation
 GDD_BASE_C = 10.0
 
-# Sides with more rows than this are never broadcast; they go through a
+# Sides of more bytes than this are never broadcast; they go through a
 # shuffle join whose keys are salted.
-BROADCAST_ROWS = 500_000
+BROADCAST_BYTES = 64 << 20
 SALTS = 32

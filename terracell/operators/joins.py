@@ -4,22 +4,41 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from ..constants import BROADCAST_ROWS, SALTS
+from ..constants import BROADCAST_BYTES, SALTS
 from ..session import materialize
 
 
+_FIXED = {"boolean": 1, "tinyint": 1, "smallint": 2, "int": 4, "float": 4, "date": 4}
+
+
+def held_bytes(df: DataFrame) -> int:
+    """Bytes the rows of ``df`` take, long values counted one by one."""
+    def size(field):
+        kind = field.dataType.simpleString()
+        if kind in ("string", "binary"):
+            return F.coalesce(F.octet_length(field.name), F.lit(0)) + 16
+        if kind.startswith(("array", "map", "struct")):
+            return F.coalesce(F.octet_length(F.to_json(F.struct(F.col(field.name)))), F.lit(0)) + 16
+        return F.lit(_FIXED.get(kind, 16 if kind.startswith("decimal") else 8))
+
+    total = F.lit(8)
+    for field in df.schema.fields:
+        total = total + size(field)
+    return df.agg(F.sum(total)).first()[0] or 0
+
+
 def lookup_join(
     facts: DataFrame,
     lookup: DataFrame,
     on: list[str],
     how: str = "inner",
     extra=None,
-    limit: int = BROADCAST_ROWS,
+    limit: int = BROADCAST_BYTES,
     stored: bool = False,
 ) -> DataFrame:
     """Join ``facts`` to ``lookup``, whose rows per key are few.
 
-    The lookup is stored once and counted (a footer read). Up to ``limit`` rows
+    The lookup is stored once and its bytes are added up. Up to ``limit`` bytes
     it is broadcast, so the large side is not moved at all. Beyond that both
     sides are shuffled, with the facts of each key dealt out over SALTS
     sub-keys and the lookup repeated for each, so no key ends up in one task.
@@ -28,7 +47,7 @@ def lookup_join(
     if how not in ("inner", "left", "left_semi", "left_anti"):
         raise ValueError(f"lookup_join does not support {how!r}")
     lookup = lookup if stored else materialize(lookup, "lookup")
-    if lookup.count() <= limit:
+    if held_bytes(lookup) <= limit:
         lookup, keys = F.broadcast(lookup), list(on)
     else:
         mix = F.xxhash64(*[F.col(c) for c in facts.columns if c not in on] or [F.lit(0)])

@@ -12,6 +12,9 @@ from pyspark.sql import DataFrame, functions as F, types as T
 from ..constants import TILE
 from ..session import materialize
 
+HUB = 10_000   # links of a node up to which they may share a task
+HUBS = 10_000  # nodes whose minimum is broadcast, at most
+
 # Executors get the tile function itself, so they need not have this package.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
@@ -84,7 +87,7 @@ def merge_labels(links: DataFrame) -> DataFrame:
 
     Alternates the large-star and small-star steps (Kiveris et al., 2014):
     first every larger neighbour, then every smaller one, is linked to the
-    smallest node around. Both are a group minimum joined back to the links, so
+    smallest node around. Both are a group minimum joined back to the links;
     a hub's links stay spread over tasks.
     """
     edges = materialize(links.where("u <> v"), "links")
@@ -105,9 +108,23 @@ def _fingerprint(edges: DataFrame) -> tuple:
 
 
 def _star(links: DataFrame, larger: bool) -> DataFrame:
-    """Link the (larger | smaller) neighbours of each u to the smallest node at u."""
-    low = links.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-    joined = links.join(low, "u")
+    """Link the (larger | smaller) neighbours of each u to the smallest node at u.
+
+    Minima combine map-side. Nodes with more than HUB links, or a share of them
+    that leaves at most HUBS such nodes, are hubs: their minima are broadcast, so that
+    their links stay where they are; only the others are shuffled to meet theirs.
+    """
+    low = materialize(links.groupBy("u").agg(F.min("v").alias("m"), F.count("*").alias("n")).select(
+        "u", F.least("u", "m").alias("m"), "n"), "low")
+    total, most = low.agg(F.coalesce(F.sum("n"), F.lit(0)), F.coalesce(F.max("n"), F.lit(0))).first()
+    many = max(HUB, total // HUBS)
+    if most > many:
+        hubs = low.where(F.col("n") > many).select("u", F.col("m").alias("hub"))  # fewer than HUBS
+        marked = links.join(F.broadcast(hubs), "u", "left")
+        joined = marked.where("hub IS NOT NULL").select("u", "v", F.col("hub").alias("m")).unionByName(
+            marked.where("hub IS NULL").select("u", "v").join(low.where(F.col("n") <= many).select("u", "m"), "u"))
+    else:
+        joined = links.join(low.select("u", "m"), "u")
     if larger:
         out = joined.where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
     else:

@@ -108,27 +108,38 @@ def days_since_last(df: DataFrame, keys: list[str], day: str, is_event: Column)
     return df.select(*keys, day, F.datediff(F.col(day), last).alias("days_since"))
 
 
-def acceleration(df: DataFrame, keys: list[str], period: str, value: str) -> DataFrame:
-    order = Window.partitionBy(*keys).orderBy(period)
-    one, two = F.lag(value, 1).over(order), F.lag(value, 2).over(order)
-    return df.select(
+def _period_number(period: str, per: str) -> Column:
+    """Months or days counted through the calendar, so that frames measure time, not rows."""
+    return (F.year(period) * 12 + F.month(period)).cast("long") if per == "month" else _day_number(period).cast("long")
+
+
+def _calendar(df: DataFrame, keys: list[str], period: str, per: str):
+    """``df`` with the number of its period, and the window in calendar order to put a RANGE frame on."""
+    return df.withColumn("_t", _period_number(period, per)), Window.partitionBy(*keys).orderBy("_t")
+
+
+def acceleration(df: DataFrame, keys: list[str], period: str, value: str, per: str = "month") -> DataFrame:
+    """First and second difference to the one and two periods before; NULL where one of them is missing."""
+    dated, order = _calendar(df, keys, period, per)
+    one, two = (F.max(value).over(order.rangeBetween(-k, -k)) for k in (1, 2))
+    return dated.select(
         *keys, period, value, (F.col(value) - one).alias("delta"),
         (F.col(value) - one * 2 + two).alias("acceleration"),
     )
 
 
-def volatility(df: DataFrame, keys: list[str], period: str, value: str, length: int) -> DataFrame:
-    frame = Window.partitionBy(*keys).orderBy(period).rowsBetween(-(length - 1), 0)
-    return df.select(*keys, period, F.stddev_samp(value).over(frame).alias("volatility"))
+def volatility(df: DataFrame, keys: list[str], period: str, value: str, length: int, per: str = "month") -> DataFrame:
+    """Deviation over the last ``length`` periods of the calendar; missing ones do not reach further back."""
+    dated, order = _calendar(df, keys, period, per)
+    return dated.select(*keys, period, F.stddev_samp(value).over(order.rangeBetween(-(length - 1), 0)).alias("volatility"))
 
 
 def trend(df: DataFrame, keys: list[str], period: str, value: str, length: int, per: str = "month") -> DataFrame:
-    """Slope per month over the last ``length`` rows; NULL for fewer than two."""
-    t = (F.year(period) - 1970) * 12 + F.month(period) if per == "month" else _day_number(period)
-    frame = Window.partitionBy(*keys).orderBy(period).rowsBetween(-(length - 1), 0)
-    base = df.withColumn("_t", t.cast("double"))
-    slope = F.when(F.count(value).over(frame) >= 2, F.regr_slope(F.col(value), F.col("_t")).over(frame))
-    return base.select(*keys, period, slope.alias("slope"))
+    """Slope per period over the last ``length`` periods of the calendar; NULL for fewer than two values."""
+    dated, order = _calendar(df, keys, period, per)
+    frame = order.rangeBetween(-(length - 1), 0)
+    slope = F.when(F.count(value).over(frame) >= 2, F.regr_slope(F.col(value), F.col("_t").cast("double")).over(frame))
+    return dated.select(*keys, period, slope.alias("slope"))
 
 
 def stress_signal(df: DataFrame, keys: list[str], period: str, value: str) -> DataFrame:
@@ -142,13 +153,13 @@ def stress_signal(df: DataFrame, keys: list[str], period: str, value: str) -> Da
     )
 
 
-def regime_shift(df: DataFrame, keys: list[str], period: str, value: str, length: int, sigmas: float) -> DataFrame:
-    """Compares the mean of the rows from here on with the mean of the rows before."""
-    order = Window.partitionBy(*keys).orderBy(period)
-    before = F.avg(value).over(order.rowsBetween(-length, -1))
-    after = F.avg(value).over(order.rowsBetween(0, length - 1))
+def regime_shift(df: DataFrame, keys: list[str], period: str, value: str, length: int, sigmas: float, per: str = "month") -> DataFrame:
+    """Compares the mean of the ``length`` periods from here on with the mean of those before; no row where one side is empty."""
+    dated, order = _calendar(df, keys, period, per)
+    before = F.avg(value).over(order.rangeBetween(-length, -1))
+    after = F.avg(value).over(order.rangeBetween(0, length - 1))
     sigma = F.stddev_pop(value).over(Window.partitionBy(*keys))
-    shift = df.select(*keys, period, (after - before).alias("shift"), sigma.alias("_s"))
+    shift = dated.select(*keys, period, (after - before).alias("shift"), sigma.alias("_s"))
     return shift.where("shift is not null").select(
         *keys, period, "shift", (F.abs("shift") > F.col("_s") * sigmas).alias("is_shift")
     )

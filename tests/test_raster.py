@@ -4,6 +4,7 @@ import math
 import random
 
 import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -22,23 +23,30 @@ def test_lookup_join_is_the_same_when_salted(spark):
     facts = spark.createDataFrame([(0 if i % 3 else rng.randint(0, 9), i) for i in range(600)], "k INT, v INT")
     lookup = spark.createDataFrame([(k, k * 10) for k in range(0, 8)], "k INT, w INT")
     for how in ("inner", "left", "left_semi", "left_anti"):
-        a, b = (sorted(joins.lookup_join(facts, lookup, ["k"], how, limit=n).collect()) for n in (100, 0)) if how != "left" else (
-            sorted(joins.lookup_join(facts, lookup, ["k"], how, limit=n).fillna(-1).collect()) for n in (100, 0))
+        a, b = (sorted(joins.lookup_join(facts, lookup, ["k"], how, limit=n).collect()) for n in (100_000, 0)) if how != "left" else (
+            sorted(joins.lookup_join(facts, lookup, ["k"], how, limit=n).fillna(-1).collect()) for n in (100_000, 0))
         assert a == b == sorted(facts.join(lookup, "k", how).fillna(-1).collect())
     extra = F.col("v") > F.col("w")
-    a, b = (sorted(joins.lookup_join(facts, lookup, ["k"], extra=extra, limit=n).collect()) for n in (100, 0))
+    a, b = (sorted(joins.lookup_join(facts, lookup, ["k"], extra=extra, limit=n).collect()) for n in (100_000, 0))
     assert a == b and len(a) == facts.join(lookup, "k").where("v > w").count()
 
 
-@pytest.mark.parametrize("limit", [100, 0])
-def test_grouped_quantiles_match_numpy(spark, limit, monkeypatch):
-    monkeypatch.setattr(quantiles, "CUT_ROWS", limit)
+def test_lookups_are_measured_in_bytes(spark):
+    df = spark.createDataFrame([("ab", 1, [1.0, 2.0]), (None, 2, None)], "s STRING, i INT, a ARRAY<DOUBLE>")
+    assert joins.held_bytes(df) >= 2 + 2 * 4 and joins.held_bytes(df.limit(0)) == 0
+    long = df.withColumn("s", F.repeat(F.lit("x"), 100_000))
+    assert joins.held_bytes(long) - joins.held_bytes(df) >= 199_000
+
+
+@pytest.mark.parametrize("target", [100_000, 300, 5])
+def test_grouped_quantiles_match_numpy(spark, target, monkeypatch):
+    monkeypatch.setattr(quantiles, "TARGET", target)
     rng = np.random.default_rng(3)
     groups = {
         "hot": rng.normal(size=20000), "ties": rng.integers(0, 3, 500).astype(float), "one": np.array([4.2]),
         "two": np.array([1.0, 2.0]), "skew": np.exp(rng.normal(size=3000) * 4),
     }
-    rows = [(g, float(v)) for g, vs in groups.items() for v in vs] + [("hot", None), ("two", float("nan"))]
+    rows = [(g, float(v)) for g, vs in groups.items() for v in vs] + [("hot", None), ("two", float("nan")), (None, 1.0)]
     df = spark.createDataFrame(rows, "g STRING, v DOUBLE")
     probs = {"q0": 0.0, "q13": 0.13, "q50": 0.5, "q999": 0.999, "q100": 1.0}
     got = {r.g: r for r in quantiles.grouped_quantiles(df, ["g"], "v", probs).collect()}
@@ -48,6 +56,14 @@ def test_grouped_quantiles_match_numpy(spark, limit, monkeypatch):
             assert got[g][name] == pytest.approx(np.quantile(vs, p), rel=1e-12, abs=1e-12), (g, name)
 
 
+def test_a_wrong_sketch_changes_no_quantile(spark, monkeypatch):
+    monkeypatch.setattr(quantiles, "TARGET", 50)
+    monkeypatch.setattr(quantiles, "_sketch", lambda c: F.array(*[F.max(c)] * (quantiles.STEPS - 1)))
+    df = spark.range(1000).select(F.lit("g").alias("g"), F.col("id").cast("double").alias("v"))
+    got = quantiles.grouped_quantiles(df, ["g"], "v", {"a": 0.25, "b": 0.999}).first()
+    assert (got["a"], got["b"]) == (249.75, pytest.approx(998.001))
+
+
 def test_zonal_statistics(spark):
     df = spark.createDataFrame([("a", 1.0, "x"), ("a", 3.0, "y"), ("a", None, None), ("b", 5.0, "x")], "uid STRING, value DOUBLE, class STRING")
     row = zs.zonal_stats(df, ["uid"]).where("uid = 'a'").first()
@@ -181,17 +197,58 @@ def test_merge_labels_on_a_chain_and_a_hub(spark):
     assert got[500] == 400 and got[7] == 3
 
 
-@pytest.mark.parametrize("block", [2048, 2])
-def test_membership_is_a_softmax(spark, block, monkeypatch):
-    monkeypatch.setattr(mb, "REGIONS_PER_BLOCK", block)
+def test_links_of_a_hub_stay_spread(spark, monkeypatch):
+    monkeypatch.setattr(pt, "HUB", 500)
+    n = 40_000
+    links = spark.range(1, n + 1, 1, 8).select(F.lit(0).cast("long").alias("u"), F.col("id").alias("v")).unionByName(
+        spark.range(n + 1, n + 900).select("id", (F.col("id") + 1).alias("v")).toDF("u", "v"))
+    off = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.coalescePartitions.enabled": "false", "spark.sql.shuffle.partitions": "8"}
+    before = {k: spark.conf.get(k) for k in off}
+    for k, v in off.items():
+        spark.conf.set(k, v)
+    try:
+        links = pt.materialize(links, "links")
+        star = pt._star(links, larger=True)
+        sizes = [r[0] for r in star.groupBy(F.spark_partition_id()).count().select("count").collect()]
+        assert max(sizes) < 2 * sum(sizes) / len(sizes)
+        got = pt.merge_labels(links).groupBy("root").count().collect()
+        assert {r["root"]: r["count"] for r in got} == {0: n, n + 1: 899}
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+
+
+@pytest.mark.parametrize("block", [None, 0.5, 64.0])
+def test_membership_is_a_softmax(spark, block):
     centres = [("a", 0.0, 0.0), ("b", 1.0, 0.0), ("c", 0.0, 2.0), ("d", 40.0, 40.0), ("e", 1.0, 1.0)]
-    pts = spark.createDataFrame([(1, 0.2, 0.1), (2, 39.0, 41.0)], "id INT, x DOUBLE, y DOUBLE")
-    out = mb.soft_membership(pts, spark.createDataFrame(centres, "code STRING, cx DOUBLE, cy DOUBLE"))
-    for r in out.select("*", mb.best_member(F.col("membership")).alias("best")).collect():
-        w = [math.exp(-((r.x - cx) ** 2 + (r.y - cy) ** 2)) for _, cx, cy in centres]
-        assert [m.code for m in r.membership] == [c[0] for c in centres]
-        assert [m.p for m in r.membership] == pytest.approx([v / sum(w) for v in w])
+    pts = spark.createDataFrame([(1, 0.2, 0.1), (2, 39.0, 41.0), (3, None, 1.0)], "id INT, x DOUBLE, y DOUBLE")
+    regions = spark.createDataFrame(centres, "code STRING, cx DOUBLE, cy DOUBLE")
+    for r in mb.soft_membership(pts, regions, block=block).select("*", mb.best_member(F.col("membership")).alias("best")).collect():
+        if r.id == 3:
+            assert not r.membership
+            continue
+        w = {c: math.exp(-((r.x - cx) ** 2 + (r.y - cy) ** 2)) for c, cx, cy in centres}
+        got = {m.code: m.p for m in r.membership}
+        assert sorted(got) == [m.code for m in r.membership] and sum(w[c] for c in set(w) - set(got)) < 2 ** -53 * max(w.values())
+        assert got == pytest.approx({c: w[c] / sum(w.values()) for c in got}, rel=1e-12)
         assert r.best.code == {1: "a", 2: "d"}[r.id]
+    assert mb.soft_membership(pts.limit(0), regions).count() == 0
+
+
+def test_membership_among_many_regions(spark):
+    rng = np.random.default_rng(6)
+    xy = np.concatenate([rng.uniform(0, 400, size=(99_000, 2)), rng.normal(size=(999, 2)) * 0.5 + 2000, [[-5000.0, 9000.0]]])
+    regions = spark.createDataFrame(pd.DataFrame({"code": [f"r{i:06d}" for i in range(len(xy))], "cx": xy[:, 0], "cy": xy[:, 1]}))
+    at = np.concatenate([rng.uniform(-20, 420, size=(80, 2)), rng.normal(size=(10, 2)) + 2000, [[1000.0, 1000.0], [-4000.0, 9000.0]]])
+    pts = spark.createDataFrame(pd.DataFrame({"id": range(len(at)), "x": at[:, 0], "y": at[:, 1]}))
+    got = mb.soft_membership(pts, regions, block=8.0).collect()
+    assert len(got) == len(at)
+    for r in got:
+        d = ((xy - at[r.id]) ** 2).sum(1)
+        w = np.exp(d.min() - d)
+        p = {int(m.code[1:]): m.p for m in r.membership}
+        assert set(np.flatnonzero(w > 1e-15)) <= set(p) and len(p) < 5000
+        assert all(v == pytest.approx(w[i] / w.sum(), rel=1e-9) for i, v in p.items())
 
 
 def cell_rows(spark, source, var, year, n, value):
