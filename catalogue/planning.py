@@ -114,14 +114,15 @@ def _audit(spark, sf):
     folder = F.concat(F.lit("data/raw/"), st.text("p_partkey"))
     sources = part.select(
         st.text("p_partkey").alias("source"),
-        F.when(F.col("p_size") <= 20, F.concat(folder, F.lit("/*A.tif"))).alias("local_glob"),
+        F.when(F.col("p_size") <= 10, F.concat(F.lit("./"), folder, F.lit("/*_[!A-M].tif")))
+        .when(F.col("p_size") <= 20, F.concat(folder, F.lit("/*A.t[hi]f"))).alias("local_glob"),
         F.when(F.col("p_size") <= 40, folder).otherwise(" ").alias("cache_dir"),
     )
     files = st.table(spark, sf, "lineitem").select(F.concat(
-        F.lit("data/raw/"), st.text("l_partkey"), F.lit("/"), st.text("l_orderkey"), F.lit("_"),
+        F.lit("file:/lake/data/raw/"), st.text("l_partkey"), F.lit("/"), st.text("l_orderkey"), F.lit("_"),
         st.text("l_linenumber"), F.lit("_"), F.col("l_returnflag"), F.lit(".tif"),
     ).alias("path"))
-    return manifest.audit_sources(sources, files)
+    return manifest.audit_sources(sources, files, root="/lake")
 
 
 def source_audit(spark, sf):
@@ -214,11 +215,11 @@ _HAVE = _PLAN + """, have AS (
   FROM lineitem JOIN req ON l_partkey = source)"""
 
 _AUDIT = """src AS (
-  SELECT p_partkey AS k, CAST(p_partkey AS VARCHAR) AS source,
+  SELECT p_partkey AS k, p_size, CAST(p_partkey AS VARCHAR) AS source,
     CASE WHEN p_size <= 20 THEN 'local_glob' WHEN p_size <= 40 THEN 'cache_dir' ELSE 'none' END AS rule FROM part),
 hits AS (
   SELECT source, 'data/raw/' || l_partkey || '/' || l_orderkey || '_' || l_linenumber || '_' || l_returnflag || '.tif' AS path
-  FROM src JOIN lineitem ON l_partkey = k WHERE rule = 'cache_dir' OR (rule = 'local_glob' AND l_returnflag = 'A')),
+  FROM src JOIN lineitem ON l_partkey = k WHERE rule = 'cache_dir' OR (rule = 'local_glob' AND l_returnflag IN ('N', 'R') = (p_size <= 10))),
 cnt AS (SELECT source, count(*) AS n, list_sort(list(path))[1:5] AS sample FROM hits GROUP BY 1),
 audit AS (
   SELECT source, rule = 'none' OR coalesce(n, 0) > 0 AS ok,

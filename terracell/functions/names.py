@@ -62,20 +62,49 @@ def aoi_name(name: Column) -> Column:
     return F.replace(name, F.lit(".tif"), F.lit("_AOI.tif"))
 
 
+def plain_path(path: Column) -> Column:
+    """Path without ``./`` steps, doubled and trailing separators."""
+    dots = F.regexp_replace(F.regexp_replace(path, "/+", "/"), r"(?<=^|/)(?:\./)+", "")
+    return F.regexp_replace(dots, "(?<=.)/+$", "")
+
+
+def relative_path(path: Column, root: str = "") -> Column:
+    """Path below ``root``, either with or without a scheme (file:, hdfs://host, s3a://bucket) in front."""
+    bare = lambda c: F.regexp_replace(plain_path(F.regexp_replace(c, r"^[A-Za-z][A-Za-z0-9+.-]*:(?://[^/]*)?(?=/)", "")), "/$", "")
+    inside, top = bare(path), bare(F.lit(root))
+    below = F.concat(top, F.lit("/"))
+    return F.when((F.lit(root) != "") & F.startswith(inside, below), F.substr(inside, F.length(below) + 1)).otherwise(inside)
+
+
+# What a glob consists of: any folders, anything, part of a name, one character, a class, a literal.
+_GLOB_PARTS = r"\*\*/|\*\*|\*|\?|\[!?\]?[^\]/]*\]|."
+
+
 def glob_regex(glob: Column) -> Column:
-    """Regular expression for a path glob: ``*`` and ``?`` stay inside one folder level."""
-    quoted = F.regexp_replace(glob, r"([.+^$(){}|\[\]\\])", r"\\$1")
-    deep = F.replace(quoted, F.lit("**/"), F.lit("\u0001"))
-    deep = F.replace(deep, F.lit("**"), F.lit("\u0002"))
-    flat = F.replace(deep, F.lit("*"), F.lit("[^/]*"))
-    flat = F.replace(flat, F.lit("?"), F.lit("[^/]"))
-    back = F.replace(flat, F.lit("\u0001"), F.lit("(?:.*/)?"))
-    return F.concat(F.lit("^"), F.replace(back, F.lit("\u0002"), F.lit(".*")), F.lit("$"))
+    """Regular expression for a path glob: ``*``, ``?`` and ``[…]`` stay inside one folder level.
+
+    Classes hold characters and ranges, ``!`` in front negates; an opening
+    bracket without its closing one is a literal.
+    """
+    def piece(part):
+        negated = F.startswith(part, F.lit("[!"))
+        inner = F.substr(part, F.when(negated, 3).otherwise(2), F.length(part) - F.when(negated, 3).otherwise(2))
+        inner = F.regexp_replace(inner, r"([\[\]\\^&])", r"\\$1")
+        literal = F.regexp_replace(part, r"([.+^$(){}|\[\]\\*?])", r"\\$1")
+        return (
+            F.when(part == "**/", "(?:.*/)?").when(part == "**", ".*").when(part == "*", "[^/]*").when(part == "?", "[^/]")
+            .when((F.length(part) > 2) & F.startswith(part, F.lit("[")), F.concat(
+                F.lit("(?!/)["), F.when(negated, "^").otherwise(""), inner, F.lit("]")))
+            .otherwise(literal)
+        )
+
+    parts = F.regexp_extract_all(plain_path(glob), F.lit(_GLOB_PARTS), F.lit(0))
+    return F.concat(F.lit("^"), F.array_join(F.transform(parts, piece), ""), F.lit("$"))
 
 
 def glob_folder(glob: Column) -> Column:
     """Deepest folder named before the first wildcard ('' when there is none)."""
-    fixed = F.regexp_extract(glob, r"^([^*?]*)", 1)
+    fixed = F.regexp_extract(plain_path(glob), r"^([^*?\[]*)", 1)
     return F.regexp_extract(fixed, r"^(.*)/[^/]*$", 1)
 
 

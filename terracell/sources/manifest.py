@@ -2,11 +2,21 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window, functions as F
+import sys
+from bisect import insort
+
+import pyarrow as pa
+from pyspark import cloudpickle
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..constants import FILE_SAMPLE
 from ..functions.codes import is_blank
-from ..functions.names import folder_at, folder_depth, glob_folder, glob_regex
+from ..functions.names import folder_at, folder_depth, glob_folder, glob_regex, plain_path, relative_path
+
+HELD = 100_000  # sources a task keeps samples of
+
+# Executors get the functions themselves, so they need not have this package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 
 def list_files(spark: SparkSession, root: str) -> DataFrame:
@@ -15,17 +25,49 @@ def list_files(spark: SparkSession, root: str) -> DataFrame:
     return files.select("path", "length")
 
 
-def audit_sources(sources: DataFrame, files: DataFrame, wanted: DataFrame | None = None) -> DataFrame:
+def _presence(hits: DataFrame) -> DataFrame:
+    """(source, n, sample): matches and the first few paths in order, in one pass.
+
+    A task keeps its count and its few smallest paths per source; those of the
+    tasks are merged by source.
+    """
+    def run(batches):
+        held: dict[str, list] = {}
+
+        def flush():
+            found = [(k, v[0], sorted(v[1])) for k, v in held.items()]
+            held.clear()
+            columns = list(zip(*found, strict=True)) or [[]] * 3
+            return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(
+                columns, (pa.string(), pa.int64(), pa.list_(pa.string())), strict=True)], names=["source", "n", "sample"])
+
+        for b in batches:
+            for source, path in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
+                own = held.setdefault(source, [0, []])
+                own[0] += 1
+                if len(own[1]) < FILE_SAMPLE or path < own[1][-1]:
+                    insort(own[1], path)
+                    del own[1][FILE_SAMPLE:]
+            if len(held) > HELD:
+                yield flush()
+        yield flush()
+
+    parts = hits.select(F.col("source").cast("string"), "path").mapInArrow(run, "source STRING, n BIGINT, sample ARRAY<STRING>")
+    return parts.groupBy("source").agg(
+        F.sum("n").alias("n"), F.slice(F.array_sort(F.flatten(F.collect_list("sample"))), 1, FILE_SAMPLE).alias("sample"))
+
+
+def audit_sources(sources: DataFrame, files: DataFrame, wanted: DataFrame | None = None, root: str = "") -> DataFrame:
     """Presence of the files each source declares.
 
-    ``sources`` has source, local_glob, cache_dir; ``files`` has path; both use
-    the same root. A glob rule needs one match, a folder rule one file at any
+    ``sources`` has source, local_glob, cache_dir, relative to ``root``;
+    ``files`` has path, as listed (absolute, with a scheme) or relative. A glob
+    rule needs one match, a folder rule one file at any
     depth, no rule passes as 'unchecked'. ``wanted`` (source) limits the audit
     and reports ids the catalog does not know.
 
-    Files meet rules by folder, so a rule is compared with the files of its
-    own folder only. Samples are ranked, not collected: a source with very many files
-    ships at most five rows per task.
+    Files meet rules by folder, at the depths rules have, so a rule is compared
+    with the files of its own folder only. The listing is read once.
     """
     catalog = sources.select(
         "source",
@@ -34,25 +76,21 @@ def audit_sources(sources: DataFrame, files: DataFrame, wanted: DataFrame | None
         .otherwise(F.lit("none")).alias("rule"),
         "local_glob", "cache_dir",
     )
+    glob = F.col("rule") == "local_glob"
     rules = catalog.where(F.col("rule") != "none").select(
-        "source", "rule",
-        F.when(F.col("rule") == "local_glob", glob_folder(F.col("local_glob")))
-        .otherwise(F.regexp_replace("cache_dir", "/+$", "")).alias("folder"),
-        F.when(F.col("rule") == "local_glob", glob_regex(F.col("local_glob"))).alias("pattern"),
-    )
-    levels = files.select("path", F.explode(F.sequence(F.lit(0), folder_depth(F.col("path")))).alias("depth"))
-    placed = levels.select("path", folder_at("path", "depth").alias("folder"))
+        F.col("source").cast("string").alias("source"), "rule",
+        F.when(glob, glob_folder(F.col("local_glob"))).otherwise(F.nullif(plain_path(F.col("cache_dir")), F.lit("."))).alias("folder"),
+        F.when(glob, glob_regex(F.col("local_glob"))).alias("pattern"),
+    ).withColumn("folder", F.coalesce("folder", F.lit("")))
+    depth = F.when(F.col("folder") == "", 0).otherwise(folder_depth(F.col("folder")) + 1)
+    depths = sorted(r[0] for r in rules.select(depth.alias("d")).distinct().collect())  # as many as folders can be nested
+    listed = files.select(relative_path(F.col("path"), root).alias("path"))
+    at = F.filter(F.array(*[F.lit(d) for d in depths]).cast("array<int>"), lambda d: d <= folder_depth(F.col("path")))
+    placed = listed.select("path", F.explode(at).alias("depth")).select("path", folder_at("path", "depth").alias("folder"))
     hits = placed.join(rules, "folder").where(
         F.col("pattern").isNull() | F.expr("path rlike pattern")
     ).select("source", "path")
-    counts = hits.groupBy("source").agg(F.count("*").alias("n"))
-    by_path = Window.partitionBy("source").orderBy("path")
-    samples = (
-        hits.withColumn("_rank", F.row_number().over(by_path))
-        .where(F.col("_rank") <= FILE_SAMPLE)
-        .groupBy("source").agg(F.array_sort(F.collect_list("path")).alias("sample"))
-    )
-    audit = catalog.join(counts, "source", "left").join(samples, "source", "left")
+    audit = catalog.join(_presence(hits), "source", "left")
     if wanted is not None:
         audit = wanted.select("source").distinct().join(audit, "source", "left")
     known = F.col("rule").isNotNull()

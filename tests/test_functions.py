@@ -102,12 +102,28 @@ def test_stem(spark, name, want):
     ("data/raw/*.7z", "data/raw/a.7z", True), ("data/raw/*.7z", "data/raw/x/a.7z", False),
     ("data/**/a?.tif", "data/x/y/ab.tif", True), ("data/**/a?.tif", "data/ab.tif", True),
     ("data/a+b(1).tif", "data/a+b(1).tif", True), ("data/a.tif", "data/axtif", False),
+    ("data/[ab]?.tif", "data/b1.tif", True), ("data/[ab]?.tif", "data/c1.tif", False), ("d/[!a-c]*", "d/dx", True), ("d/[!a-c]*", "d/bx", False),
+    ("./data//x/./*.tif", "data/x/a.tif", True), ("d/[]x].t", "d/].t", True), ("d/[^a].t", "d/^.t", True), ("d/[ab.t", "d/[ab.t", True),
+    ("d/[!a]b", "d//b", False), ("**/*.tif", "a.tif", True), ("**/*.tif", "x/y/a.tif", True), ("d/**", "d/x/y", True), ("d/a{1}$.t", "d/a{1}$.t", True),
 ])
 def test_globs(spark, glob, path, hit):
     df = spark.createDataFrame([(glob, path)], "g STRING, p STRING").withColumn("r", names.glob_regex(F.col("g")))
     assert df.select(F.expr("p rlike r")).first()[0] is hit
 
 
+@pytest.mark.parametrize("path, root, want", [
+    ("file:/lake/data/a", "/lake", "data/a"), ("hdfs://host:8020/lake/data/a", "hdfs://host:8020/lake/", "data/a"), ("./data//a", "", "data/a"),
+    ("/lake2/a", "/lake", "/lake2/a"), ("s3a://bucket/lake/./a", "s3a://bucket/lake", "a"), ("data/a", "/lake", "data/a"),
+])
+def test_relative_paths(spark, path, root, want):
+    assert one(spark, names.relative_path(F.lit(path), root).alias("p")).p == want
+
+
+def test_folder_before_the_first_wildcard(spark):
+    got = one(spark, *[names.glob_folder(F.lit(g)).alias(f"g{i}") for i, g in enumerate(("./a/b/*.t", "a/[bc]/d", "*.t", "a/b.t"))])
+    assert tuple(got) == ("a/b", "a", "", "a")
+
+
 def test_albers_reference_point_and_inverse(spark):
     x, y = crs.reproject(F.lit(-75.0), F.lit(35.0), "EPSG:4326", "epsg:5070")
     r = one(spark, x.alias("x"), y.alias("y"))
