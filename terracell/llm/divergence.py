@@ -38,7 +38,7 @@ from .common import materialize, utf8
 MIN_DOCS = 3
 UNIT = 1_000_000_000
 TOP = 200
-HELD = 200_000        # entries a task adds up before it passes them on
+HELD = 400_000        # entries a task adds up before it passes them on
 
 # letters lower-cased, bytes of other characters as they are, all else a space
 _TERM = bytes(b + 32 if 65 <= b <= 90 else b if 97 <= b <= 122 or b >= 128 else 32 for b in range(256))
@@ -48,32 +48,35 @@ def term_counts(docs: DataFrame) -> DataFrame:
     """(lang, source, term, n, docs) of every term, counted in the tasks before the shuffle."""
     rows = docs.select(*[F.coalesce(F.col(c).cast("string"), F.lit("")).alias(c) for c in ("lang", "source", "text")])
     names = ["lang", "source", "term", "n", "docs"]
+    one = 1 << 40  # occurrences below, documents above
 
-    def flush(n, docs):
-        keys = list(n)
-        columns = [pa.array([k[0] for k in keys], pa.string()), pa.array([k[1] for k in keys], pa.string()),
-                   pa.array([k[2] for k in keys], pa.binary()).cast(pa.string()),
-                   pa.array([n[k] for k in keys], pa.int64()), pa.array([docs[k] for k in keys], pa.int64())]
-        return pa.RecordBatch.from_arrays(columns, names=names)
+    def flush(held):
+        for (lang, source), found in held.items():
+            values = list(found.values())
+            term = pa.array(list(found), pa.binary()).cast(pa.string())
+            yield pa.RecordBatch.from_arrays([
+                pa.repeat(pa.scalar(lang, pa.string()), len(term)), pa.repeat(pa.scalar(source, pa.string()), len(term)), term,
+                pa.array([v % one for v in values], pa.int64()), pa.array([v >> 40 for v in values], pa.int64())], names=names)
 
     def run(batches):
-        n, found = {}, {}
+        held, entries = {}, 0
         for batch in batches:
             langs, sources = batch.column(0).to_pylist(), batch.column(1).to_pylist()
             for at in range(0, len(langs), 256):
                 for i, text in enumerate(utf8(batch.column(2).slice(at, 256)), at):
-                    lang, source = langs[i], sources[i]
+                    found = held.setdefault((langs[i], sources[i]), {})
+                    get, before = found.get, len(found)
                     for term, k in Counter(text.translate(_TERM).split()).items():
-                        key = (lang, source, term)
-                        n[key] = n.get(key, 0) + k
-                        found[key] = found.get(key, 0) + 1
-                    if len(n) > HELD:
-                        yield flush(n, found)
-                        n, found = {}, {}
-        yield flush(n, found)
+                        found[term] = get(term, 0) + one + k
+                    entries += len(found) - before
+                if entries > HELD:
+                    yield from flush(held)
+                    held, entries = {}, 0
+        yield from flush(held)
 
     parts = rows.mapInArrow(run, "lang STRING, source STRING, term STRING, n BIGINT, docs BIGINT")
-    return parts.groupBy("lang", "source", "term").agg(F.sum("n").alias("n"), F.sum("docs").alias("docs"))
+    # dealt by term alone, so that the rows of a term are together for the next step too; there are a few per task and source
+    return parts.repartition("lang", "term").groupBy("lang", "source", "term").agg(F.sum("n").alias("n"), F.sum("docs").alias("docs"))
 
 
 def kept_terms(counts: DataFrame, min_docs: int = MIN_DOCS) -> DataFrame:
@@ -130,8 +133,10 @@ def pair_counts(kept: DataFrame) -> DataFrame:
 
 
 def price(n: str, total: str, size: str):
-    """p of a term with ``n`` occurrences; decimals, so that no count is too large."""
-    return F.expr(f"1 + (CAST({UNIT} AS DECIMAL(10, 0)) * (CAST({n} AS DECIMAL(20, 0)) + 1)) div greatest({total} + {size}, 1L)")
+    """p of a term with ``n`` occurrences; in decimals where a long is too short."""
+    whole = f"greatest({total} + {size}, 1L)"
+    return F.expr(f"""1 + CASE WHEN {n} < 9000000000L THEN ({UNIT}L * ({n} + 1L)) div {whole}
+        ELSE (CAST({UNIT} AS DECIMAL(10, 0)) * (CAST({n} AS DECIMAL(20, 0)) + 1)) div {whole} END""")
 
 
 def gap(p: str, q: str):
