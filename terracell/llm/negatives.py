@@ -75,8 +75,9 @@ class Bucket:
         everything = np.arange(len(self.ids))
         if not self.longest or not anchor.length:
             return everything if low <= 0 <= high else everything[:0]
-        low_cos = low / (anchor.length * (self.longest if low >= 0 else self.shortest or self.longest))
-        high_cos = high / (anchor.length * (self.longest if high < 0 else self.shortest or self.longest))
+        # a row as short as can be needs the smallest angle, or may have the largest
+        low_cos = low / (anchor.length * (self.longest if low >= 0 else max(self.shortest, 1e-300)))
+        high_cos = high / (anchor.length * (self.longest if high < 0 else max(self.shortest, 1e-300)))
         if low_cos > 1 + _EDGE or high_cos < -1 - _EDGE:
             return everything[:0]
         widest, least = np.arccos(np.clip(low_cos, -1, 1)), np.arccos(np.clip(high_cos, -1, 1))
