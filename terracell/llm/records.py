@@ -4,18 +4,20 @@ A file is a run of records. A record is
 
     8 bytes   length of the body, little endian
     4 bytes   masked CRC-32 of those 8 bytes
-    body      1 byte (1: the document has an id), 8 bytes id, then the token ids
+    body      1 byte (1: the document has an id, 2: wide ids), 8 bytes id, then the token ids
     4 bytes   masked CRC-32 of the body
     1 byte    line feed, the end mark
 
 all little endian. A mask rotates the checksum right by 15 bits and adds a
 constant, so that a checksum of data that holds checksums stays meaningful.
-Token ids take two bytes where the vocabulary has at most 65,536, else four.
+Token ids take two bytes where the vocabulary has at most 65,536, else four
+(wide), and the record says which.
 """
 
 from __future__ import annotations
 
 import os
+import re
 import struct
 import sys
 import types
@@ -31,7 +33,7 @@ from .common import materialize
 END_ID = 0
 RANGE_BYTES = 8 << 20    # text per range of ids
 CHUNK_BYTES = 8 << 20    # a file is closed once its records reach this; one longer record has a file of its own
-CACHE = 150_000          # encodings of pieces of text after which the older half is forgotten
+CACHE = 300_000          # encodings of pieces of text after which all are forgotten
 
 _MASK = 0xA282EAD8       # fixed value: the constant of masked checksums
 _EXTRA = 17              # bytes of a record besides its body
@@ -76,20 +78,36 @@ def _byte_letters() -> list[str]:
 
 
 def _piece_encoder(tok):
-    """A function from a list of pieces to the ids of each; the model alone where pieces are byte-level BPE."""
+    """A function from a piece of text to its ids; the model alone where pieces are byte-level BPE."""
     import json
     made = json.loads(tok.to_str())
     if made["model"]["type"] == "BPE" and made["pre_tokenizer"] and made["pre_tokenizer"]["type"] == "ByteLevel" and not (
             made["pre_tokenizer"]["add_prefix_space"] or made["normalizer"]):
-        model, letters = tok.model, dict(enumerate(_byte_letters()))
-        return lambda pieces: [[t.id for t in model.tokenize(p.encode().decode("latin-1").translate(letters))] for p in pieces]
-    return lambda pieces: [e.ids for e in tok.encode_batch_fast(pieces, add_special_tokens=False)]
+        tokenize, letters = tok.model.tokenize, dict(enumerate(_byte_letters()))
+        return lambda p: [t.id for t in tokenize(p.encode().decode("latin-1").translate(letters))]
+    return lambda p: tok.encode(p, add_special_tokens=False).ids
 
 
-def _remembered(path: str):
-    """Encodings of pieces, newer and older, that outlive a task in its Python process."""
+class Known(dict):
+    """Encodings of pieces, made when first asked for; emptied by the caller when they are many."""
+
+    def __init__(self, make):
+        super().__init__()
+        self.make = make
+
+    def __missing__(self, piece):
+        ids = self.make(piece)
+        if len(piece) <= 64:
+            self[piece] = ids
+        return ids
+
+
+def _remembered(path: str, make) -> Known:
+    """Encodings that outlive a task in its Python process."""
     process = sys.modules.setdefault("terracell_process_cache", types.ModuleType("terracell_process_cache"))
-    return process.__dict__.setdefault(path, [{}, {}])
+    if path not in process.__dict__:
+        process.__dict__[path] = Known(make)
+    return process.__dict__[path]
 
 
 def encoder(path: str, pattern: str | None):
@@ -102,31 +120,30 @@ def encoder(path: str, pattern: str | None):
     """
     import regex
     tok = _tokenizer(path)
-    wide = tok.get_vocab_size(with_added_tokens=True) > 1 << 16
-    kind, code = ("<u4", "I") if wide else ("<u2", "H")
-    pack = lambda ids: array(code, ids).tobytes()
+    kind, code = ("<u4", "I") if wide_ids(tok) else ("<u2", "H")
     special = [t.content for t in tok.get_added_tokens_decoder().values()]
-    odd = regex.compile("|".join([regex.escape(s) for s in special] + [r"[\x1c-\x1f\x85]"]))
+    odd = re.compile("[\x1c-\x1f\x85]").search
     split = regex.compile(pattern).findall if pattern else None
-    ids_of, held = _piece_encoder(tok), _remembered(path)
+    ids_of = _piece_encoder(tok)
+    known = _remembered(f"{path} {code}", lambda piece: array(code, ids_of(piece)).tobytes())
 
     def encode(texts):
-        for at in range(0, len(texts), 256):
-            group = texts[at:at + 256]
-            pieces = [split(t) if split and not odd.search(t) else None for t in group]
-            if len(held[0]) > CACHE:
-                held[:] = [{}, held[0]]
-            known, old = held
-            new = set().union(*(ps for ps in pieces if ps)).difference(known)
-            known.update((p, old[p]) for p in new if p in old)
-            new = [p for p in new if p not in known]
-            known.update(zip(new, map(pack, ids_of(new)), strict=True))
-            for t, ps in zip(group, pieces, strict=True):
-                yield pack(tok.encode(t, add_special_tokens=False).ids) if ps is None else b"".join(map(known.__getitem__, ps))
+        for t in texts:
+            if split is None or odd(t) or any(s in t for s in special):
+                yield array(code, tok.encode(t, add_special_tokens=False).ids).tobytes()
+                continue
+            if len(known) > CACHE:
+                known.clear()
+            yield b"".join(map(known.__getitem__, split(t)))
 
     return encode, kind
 
 
+def wide_ids(tok) -> bool:
+    """Whether ids need four bytes."""
+    return tok.get_vocab_size(with_added_tokens=True) > 1 << 16
+
+
 def write(docs: DataFrame, path: str, tokenizer: str, pattern: str | None = None, text: str = "text", key: str = "doc_id") -> None:
     """Write the ids of each whole text, END_ID appended, to record files below ``path``, in ascending order of key.
 
@@ -141,14 +158,14 @@ def write(docs: DataFrame, path: str, tokenizer: str, pattern: str | None = None
 
     def run(batches):
         encode, kind = encoder(tokenizer, pattern)
-        end = np.array([END_ID], dtype=kind).tobytes()
+        end, wide = np.array([END_ID], dtype=kind).tobytes(), kind == "<u4"
         chunk = seq = size = 0
         for b in batches:
             keys, texts = b.column(0).to_pylist(), b.column(1)
             for at in range(0, b.num_rows, 256):
                 out = []
                 for k, ids in zip(keys[at:at + 256], encode(texts[at:at + 256].to_pylist()), strict=True):
-                    rec = frame(struct.pack("<?q", k is not None, k or 0) + ids + end)
+                    rec = frame(struct.pack("<Bq", (k is not None) + 2 * wide, k or 0) + ids + end)
                     if size and size + len(rec) > CHUNK_BYTES:
                         chunk, size = chunk + 1, 0
                     size += len(rec)
@@ -163,22 +180,20 @@ def write(docs: DataFrame, path: str, tokenizer: str, pattern: str | None = None
     framed.select("chunk", F.expr("substring(record, 1, length(record) - 1)").cast("string").alias("value")).write.partitionBy("chunk").text(path)
 
 
-def read(spark: SparkSession, path: str, wide: bool = False) -> DataFrame:
+def read(spark: SparkSession, path: str) -> DataFrame:
     """(key, file, range, chunk, number, offset, length, before, n_tokens, ids) of every record below ``path``, checked.
 
     ``before`` counts the ids of the records before it in its file.
     """
-    kind = "<u4" if wide else "<u2"
-
     def run(batches):
         for b in batches:
             for name, data in zip(b.column(0).to_pylist(), b.column(1), strict=True):
                 rows, before = [], 0
                 part, chunk = int(name.rsplit("/part-", 1)[1].split("-")[0]), int(name.rsplit("/chunk=", 1)[1].split("/")[0])
                 for i, (at, body) in enumerate(frames(data.as_py(), name)):
-                    has, k = struct.unpack_from("<?q", body)
-                    ids = np.frombuffer(body, dtype=kind, offset=9).astype("<u4")
-                    rows.append((k if has else None, name, part, chunk, i, at, len(body) + _EXTRA, before, len(ids), ids.tobytes()))
+                    marks, k = struct.unpack_from("<Bq", body)
+                    ids = np.frombuffer(body, dtype="<u4" if marks & 2 else "<u2", offset=9).astype("<u4")
+                    rows.append((k if marks & 1 else None, name, part, chunk, i, at, len(body) + _EXTRA, before, len(ids), ids.tobytes()))
                     before += len(ids)
                     if len(rows) == 256:
                         yield _records(rows)
@@ -198,14 +213,14 @@ def _records(rows):
     return pa.RecordBatch.from_arrays([pa.array(c, t) for c, (_, t) in zip(zip(*rows), _KINDS, strict=True)], names=[n for n, _ in _KINDS])
 
 
-def index(spark: SparkSession, path: str, wide: bool = False) -> DataFrame:
+def index(spark: SparkSession, path: str) -> DataFrame:
     """The offset index: (key, file, offset, length, start, n_tokens, ids_crc32), one row per record, read from the files.
 
     ``start`` counts the ids of all records before it, ``ids_crc32`` is the
     CRC-32 of the ids as four-byte integers. With it a reader fetches records
     in any order by file, offset and length.
     """
-    rows = read(spark, path, wide).withColumn("ids_crc32", F.crc32("ids")).drop("ids")
+    rows = read(spark, path).withColumn("ids_crc32", F.crc32("ids")).drop("ids")
     rows = materialize(rows, "records")
     files = rows.groupBy("range", "chunk").agg(F.sum("n_tokens").alias("_sum"))
     before = Window.partitionBy(F.lit(0)).orderBy("range", "chunk").rowsBetween(Window.unboundedPreceding, -1)

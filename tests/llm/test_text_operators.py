@@ -384,6 +384,18 @@ def test_token_files_round_trip(spark, tmp_path, monkeypatch):
     assert np.frombuffer(one["ids"], dtype="<u4").tolist() == tok.encode(values[5], add_special_tokens=False).ids + [0]
 
 
+def test_records_of_a_large_vocabulary(spark, tmp_path):
+    from tokenizers import Tokenizer, models, pre_tokenizers
+    tok = Tokenizer(models.WordLevel({"[end]": 0, **{f"w{i}": i for i in range(1, 70_001)}}, unk_token="[end]"))
+    tok.pre_tokenizer = pre_tokenizers.WhitespaceSplit()
+    tok.save(str(tmp_path / "wide.json"))
+    values = ["w70000 w5", "w1", None, "w65536 w65535 w69999"]
+    records.write(texts(spark, values), str(tmp_path / "t"), str(tmp_path / "wide.json"))
+    got = {r["key"]: np.frombuffer(r["ids"], "<u4").tolist() for r in records.read(spark, str(tmp_path / "t")).collect()}
+    assert got == {0: [70000, 5, 0], 1: [1, 0], 2: [0], 3: [65536, 65535, 69999, 0]}
+    assert [(r["start"], r["n_tokens"]) for r in records.index(spark, str(tmp_path / "t")).orderBy("key").collect()] == [(0, 3), (3, 2), (5, 1), (6, 4)]
+
+
 def test_damaged_records_are_refused():
     data = records.frame(b"\0" * 9 + b"ab") + records.frame(b"\0" * 9)
     assert [len(b) for _, b in records.frames(data)] == [11, 9]
