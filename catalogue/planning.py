@@ -162,6 +162,24 @@ def cells_by_source(spark, sf):
     )
 
 
+def cells_rewrite(spark, sf):
+    """A raster per class, stored, refused when stored again, half of them replaced; what the manifest and the cells say then."""
+    root = scratch_path(spark, "rewrite")
+    one = st.cells(spark, sf).select(
+        F.lit("customer").alias("source"), F.lower("class").alias("var"), F.lit(1995).alias("year"),
+        F.lit("01").alias("month"), F.lit(1).alias("band"), "row", "col", "value",
+    )
+    cs.write_cells(one, root)
+    try:
+        cs.write_cells(one.where("var = 'building'"), root)
+        raise AssertionError("a stored raster was written again")
+    except ValueError:
+        pass
+    cs.write_cells(one.where("var < 'c'").withColumn("value", F.col("value") + 1).where("row % 2 = 0"), root, overwrite=True)
+    listed = cs.read_manifest(spark, root).select("var", "version")
+    return cs.read_cells(spark, root).groupBy("var").agg(F.count("*").alias("n"), F.round(F.sum("value"), 2).alias("total")).join(listed, "var")
+
+
 def sink_roundtrip(spark, sf):
     root = scratch_path(spark, "sinks")
     wanted = ops.wanted_regions(st.regions(spark, sf), "ASIA", 3)
@@ -231,7 +249,7 @@ audit AS (
 
 QUERIES = {f.__name__: f for f in (
     fetch_plan, plan_limit, plan_skip_existing, plan_dry_run, coverage_resolve, archive_plan, archive_actions, source_audit,
-    source_audit_overall, source_audit_json, crs_filter, cells_by_source, sink_roundtrip,
+    source_audit_overall, source_audit_json, crs_filter, cells_by_source, cells_rewrite, sink_roundtrip,
 )}
 
 SQL = {
@@ -259,6 +277,9 @@ SELECT * FROM c WHERE upper(trim(crs)) IN ('EPSG:4326', 'WGS84')""",
 SELECT 'customer' AS source, 'acctbal' AS var, 1995 AS year, '01' AS month, count(*) AS n, round(sum(c_acctbal), 2) AS total FROM customer
 UNION ALL SELECT 'orders', 'tas', CAST(year(month) AS INTEGER), lpad(CAST(month(month) AS VARCHAR), 2, '0'), count(*), round(sum(v), 2)
 FROM monthly WHERE year(month) BETWEEN 1996 AND 1998 AND month(month) IN (1, 6) AND region BETWEEN 5 AND 20 GROUP BY 3, 4""",
+    "cells_rewrite": """WITH c AS (SELECT lower(c_mktsegment) AS var, c_custkey // 50 AS r, c_acctbal AS v FROM customer)
+SELECT var, count(*) AS n, round(sum(CASE WHEN var < 'c' THEN v + 1 ELSE v END), 2) AS total, 1 AS version
+FROM c WHERE var >= 'c' OR r % 2 = 0 GROUP BY 1""",
     "sink_roundtrip": f"""WITH {st.REGIONS}, {st.LABELLED}, u AS (SELECT uid, count(*) AS n FROM squares
   JOIN (SELECT uid, code FROM regions WHERE scheme = 'ASIA') USING (code) GROUP BY 1)
 SELECT artifact, uid, n FROM u CROSS JOIN (VALUES ('regions'), ('bounds'), ('csv')) AS t(artifact)

@@ -105,7 +105,7 @@ def qa_distribution(spark, sf):
 
 
 def qa_alignment(spark, sf):
-    gaps = qa.missing_periods(st.daily(spark, sf).select("region", "day"), ["region"], "day", "1995-01-01", "1995-12-31", "1 day")
+    gaps = qa.missing_periods(st.daily(spark, sf).select("region", "day"), ["region"], "day", None, None, "1 day")
     return gaps.withColumn("day", st.text("day"))
 
 
@@ -209,7 +209,8 @@ r AS (SELECT *, variance / nullif(lag(variance) OVER (PARTITION BY region ORDER
 SELECT region, period, n, round(variance, 4) AS variance, is_constant, round(ratio, 4) AS ratio,
   CASE WHEN coalesce(ratio > 2.0, false) THEN 'fail' WHEN is_constant THEN 'warn' ELSE 'pass' END AS status FROM r""",
     "qa_alignment": f"""WITH {st.DAILY} SELECT region, CAST(d AS VARCHAR) AS day FROM (
-  SELECT region, CAST(d AS DATE) AS d FROM (SELECT DISTINCT region FROM daily) CROSS JOIN range(DATE '1995-01-01', DATE '1996-01-01', INTERVAL 1 DAY) AS c(d)
+  SELECT region, CAST(d AS DATE) AS d FROM (SELECT DISTINCT region FROM daily) CROSS JOIN (
+    SELECT unnest(range(min(day), max(day) + INTERVAL 1 DAY, INTERVAL 1 DAY)) AS d FROM daily)
   EXCEPT SELECT region, day FROM daily)""",
     "qa_duplicates": """SELECT l_suppkey, CAST(CAST(l_shipdate AS DATE) AS VARCHAR) AS day, count(*) AS n FROM lineitem GROUP BY 1, 2 HAVING count(*) > 1""",
     "qa_leakage": """SELECT l_orderkey AS k, l_linenumber, l_partkey, CAST(datediff('day', CAST(o_orderdate AS DATE), CAST(l_shipdate AS DATE)) AS INTEGER) AS ahead

@@ -9,9 +9,12 @@ from terracell.functions.climate import to_celsius
 from terracell.functions.rings import geom_bounds
 from terracell.functions.windows import window_of, window_origin
 from terracell.operators.dissolve import feature_edges
-from terracell.operators import clip, grid, regions as ops, zonal as zs, zones
-from terracell.plans.region_features import label_by_region
-from terracell.session import materialize
+from terracell import schemas
+from terracell.functions.windows import Grid
+from terracell.operators import clip, grid, legend as lg, regions as ops, zonal as zs, zones
+from terracell.plans.prep_regions import prepare_regions, store_regions
+from terracell.plans.region_features import label_by_region, run_zonal
+from terracell.session import materialize, scratch_path
 
 from . import standins as st
 
@@ -26,7 +29,7 @@ def _aoi(spark, sf):
 
 
 def _labelled(spark, sf):
-    return label_by_region(st.cells(spark, sf), st.polygons(spark, sf).drop("code").withColumnRenamed("US_L3CODE", "code"), st.GRID, "code")
+    return label_by_region(st.cells(spark, sf), st.polygons(spark, sf).drop("code").withColumnRenamed("US_L3CODE", "code"), st.GRID, "code", repaired=True)
 
 
 def window_clip(spark, sf):
@@ -82,11 +85,42 @@ def unit_convert(spark, sf):
 
 
 def class_names(spark, sf):
-    legend = F.create_map(*[F.lit(v) for v in (
-        "AUTOMOBILE", "developed", "BUILDING", "barren", "FURNITURE", "forest", "HOUSEHOLD", "wetland")])
-    return st.cells(spark, sf).select(
-        "cell_id", F.coalesce(F.try_element_at(legend, F.col("class")), F.lit("unclassified")).alias("class_name")
-    )
+    rows = [("AUTOMOBILE", "developed"), ("BUILDING", "barren"), ("FURNITURE", "forest"), ("HOUSEHOLD", "wetland")]
+    return lg.class_names(st.cells(spark, sf), spark.createDataFrame(rows, "class STRING, name STRING")).select("cell_id", "class_name")
+
+
+def legend_cover(spark, sf):
+    """Share of each named class in each region; the nations outside the first world region are the legend."""
+    legend = st.table(spark, sf, "nation").where("n_regionkey <> 0").select(F.col("n_nationkey").alias("class"), F.col("n_name").alias("name"))
+    classes = st.table(spark, sf, "customer").select(F.col("c_custkey").alias("cell_id"), F.col("c_nationkey").alias("nation"))
+    cells = _labelled(spark, sf).drop("class").join(classes, "cell_id")
+    cover = zs.class_cover(lg.class_names(cells, legend, "nation").withColumnRenamed("class_name", "class"), ["code"])
+    return cover.withColumn("pct", F.round("pct", 6))
+
+
+def zonal_holes(spark, sf):
+    """Statistics of regions with holes and islands, drawn in either direction, on a raster whose rows run downwards."""
+    cells = st.cells(spark, sf)
+    height = cells.agg(F.coalesce(F.max("row") + 1, F.lit(1))).first()[0]
+    grid_down = Grid(x0=0.0, y0=height * st.DY, dx=0.2, dy=-st.DY, width=50)
+    flipped = cells.withColumn("row", F.lit(height - 1) - F.col("row"))
+    labelled = label_by_region(flipped, st.nested(spark, sf), grid_down, "code")
+    z = zs.zonal_stats(labelled, ["code"])
+    return z.select("code", "n", *[F.round(s, 6).alias(s) for s in ("mean", "min", "max")])
+
+
+def zonal_run(spark, sf):
+    """From the region catalog to stored zonal statistics and features: prepare, store, label by the stored outline, aggregate, store, reread."""
+    root = scratch_path(spark, "zonal-run")
+    present = st.polygons(spark, sf).select("code").distinct().select(F.lpad("code", 2, "0").alias("code"))
+    wanted = st.regions(spark, sf).join(present, "code", "left_semi")
+    prepared = prepare_regions(wanted, st.polygons(spark, sf).drop("code"), scheme="ASIA")
+    store_regions(prepared, root, version="v0")
+    run_zonal(spark, root, st.cells(spark, sf), st.GRID, source="customer", variable="acctbal", version="v0")
+    stats = spark.read.schema(schemas.ZONAL).parquet(f"{root}/zonal_stats")
+    wide = spark.read.parquet(f"{root}/region_features")
+    long = wide.unpivot("region_uid", [c for c in wide.columns if c != "region_uid"], "stat", "value").withColumn("variable", F.lit("feature"))
+    return stats.select("region_uid", "variable", "stat", "value").unionByName(long).withColumn("value", F.round("value", 6))
 
 
 def grid_align(spark, sf):
@@ -153,7 +187,8 @@ long AS (
   UNION ALL SELECT code, 'customer', lower(class), 'pct', pct FROM cov)"""
 
 QUERIES = {f.__name__: f for f in (
-    window_clip, window_profile, boundless_clip, nodata_filter, region_clip, region_overlap, unit_convert, class_names, grid_align,
+    window_clip, window_profile, boundless_clip, nodata_filter, region_clip, region_overlap, unit_convert, class_names, legend_cover, grid_align,
+    zonal_holes, zonal_run,
     zonal_basic, zonal_quantiles, zonal_class_pct, zonal_counts, zonal_long, zonal_wide,
 )}
 
@@ -174,6 +209,19 @@ SELECT code, count(*) AS n_cells, count(*) FILTER (k > 1) AS n_overlap FROM c GR
     "unit_convert": """SELECT c_custkey AS cell_id, round(CASE WHEN c_mktsegment = 'BUILDING' THEN c_acctbal - 273.15::DOUBLE ELSE c_acctbal END, 6) AS value FROM customer""",
     "class_names": """SELECT c_custkey AS cell_id, CASE c_mktsegment WHEN 'AUTOMOBILE' THEN 'developed' WHEN 'BUILDING' THEN 'barren'
   WHEN 'FURNITURE' THEN 'forest' WHEN 'HOUSEHOLD' THEN 'wetland' ELSE 'unclassified' END AS class_name FROM customer""",
+    "legend_cover": f"""WITH {st.LABELLED}, n AS (SELECT l.code, CASE WHEN n_regionkey <> 0 THEN n_name ELSE 'unclassified' END AS class
+  FROM labelled l JOIN customer ON cell_id = c_custkey LEFT JOIN nation ON c_nationkey = n_nationkey WHERE value IS NOT NULL)
+SELECT code, class, count(*) AS n, round(count(*) / sum(count(*)) OVER (PARTITION BY code), 6) AS pct FROM n GROUP BY 1, 2""",
+    "zonal_holes": f"""WITH {st.LABELLED}, near AS (SELECT l.code, value, s_suppkey,
+    least(cx - s_suppkey % 10, s_suppkey % 10 + 1 - cx, cy - s_suppkey // 10, s_suppkey // 10 + 1 - cy) AS d
+  FROM (SELECT code, cell_id, value, (cell_id % 50 + 0.5::DOUBLE) * 0.2::DOUBLE AS cx, (cell_id // 50 + 0.5::DOUBLE) * 0.3333333333333333::DOUBLE AS cy FROM labelled) l
+  JOIN supplier ON cx >= s_suppkey % 10 AND cx < s_suppkey % 10 + 1 AND cy >= s_suppkey // 10 AND cy < s_suppkey // 10 + 1)
+SELECT code, count(*) AS n, round(avg(value), 6) AS mean, round(min(value), 6) AS min, round(max(value), 6) AS max FROM near
+WHERE least(floor((d + 0.05) / 0.1), s_suppkey % 4 + 1) % 2 = 1 GROUP BY 1""",
+    "zonal_run": f"""WITH {_ZONAL}, {st.REGIONS}, l AS (SELECT uid, stat, long.value FROM long JOIN regions ON region_uid = code
+  WHERE scheme = 'ASIA' AND level = 3 AND variable = 'acctbal')
+SELECT uid AS region_uid, 'acctbal' AS variable, stat, round(value, 6) AS value FROM l
+UNION ALL SELECT uid, 'feature', 'acctbal_' || stat, round(value, 6) FROM l""",
     "grid_align": f"""WITH {st.CELLS}, v AS (SELECT "row" // 5 AS r, col // 5 AS c, class, count(*) AS n, sum(value) AS s FROM cells GROUP BY 1, 2, 3),
 k AS (SELECT *, row_number() OVER (PARTITION BY r, c ORDER BY n DESC, class) AS k FROM v)
 SELECT r AS "row", c AS col, round(sum(s) / sum(n), 6) AS mean, CAST(sum(n) AS BIGINT) AS n_cells, max(class) FILTER (k = 1) AS majority FROM k GROUP BY 1, 2""",

@@ -137,21 +137,23 @@ def dissolve_t_junction(spark, sf):
 
 def nested_rings(spark, sf):
     """Shells, holes and islands of each nation, drawn in either direction."""
-    x, y, k = F.col("x").cast("double"), F.col("y").cast("double"), F.col("feature_id")
-    def ring(j):
-        a, b = x + 0.05 + 0.1 * j, y + 0.05 + 0.1 * j
-        e, f = x + 0.95 - 0.1 * j, y + 0.95 - 0.1 * j
-        v = st.vertex
-        left, right = [v(a, b), v(e, b), v(e, f), v(a, f), v(a, b)], [v(a, b), v(a, f), v(e, f), v(e, b), v(a, b)]
-        return F.when((k + j) % 3 == 0, F.array(*right)).otherwise(F.array(*left))
-    rings = F.slice(F.array(*[ring(j) for j in range(4)]), F.lit(1), (k % 4 + 1).cast("int"))
-    drawn = st.corners(spark, sf).groupBy(F.col("US_L3CODE").alias("code")).agg(F.flatten(F.collect_list(rings)).alias("geom"))
     signed = F.transform("geom", rg.signed_area)
-    return rp.repair_features(drawn).select(
+    return rp.repair_features(st.nested(spark, sf)).select(
         "code", F.size("geom").alias("n_rings"), F.size(F.filter(signed, lambda s: s > 0)).alias("n_shells"),
         F.round(F.aggregate(signed, F.lit(0.0), lambda a, b: a + b), 6).alias("area"))
 
 
+def prepared_regions_albers(spark, sf):
+    """As prepared_regions, from a layer whose own CRS is the equal-area one."""
+    to_flat = lambda x, y: crs.reproject(x, y, "EPSG:4326", "EPSG:5070")
+    features = st.geo_polygons(spark, sf).withColumn("geom", rg.map_vertices(F.col("geom"), to_flat)).withColumn("crs", F.lit("epsg:5070"))
+    present = features.select(F.lpad("code", 2, "0").alias("code"))
+    wanted = st.regions(spark, sf).join(present, "code", "left_semi")
+    b = prepare_regions(wanted, features.drop("code"), scheme=SCHEME).bounds
+    return b.select("uid", "code", "name", *[F.round(c, 6).alias(c) for c in ("xmin", "ymin", "xmax", "ymax")],
+                    F.round("area_km2", 3).alias("area_km2"))
+
+
 def polygon_area_km2(spark, sf):
     edges = ds.feature_edges(st.geo_polygons(spark, sf), ["feature_id", "code"])
     area = ds.area_km2(edges, ["feature_id", "code"], "EPSG:4326")
@@ -240,6 +242,28 @@ def merge_suspects(spark, sf):
     return ops.merge_suspects(rows)
 
 
+def geojson_columns(spark, sf):
+    """Layer written as GeoJSON and read back: attributes as columns, CRS from the layer, code field inferred."""
+    root = scratch_path(spark, "geojson")
+    x, y = F.col("x").cast("double"), F.col("y").cast("double")
+    points = lambda *p: F.array(*[F.array(a, b) for a, b in p])
+    ring = points((x, y), (x + 1, y), (x + 1, y + 1), (x, y + 1), (x, y))
+    several = F.col("feature_id") % 2 == 0
+    line = st.corners(spark, sf).select(F.to_json(F.struct(
+        F.lit("Feature").alias("type"), F.col("feature_id").alias("id"),
+        F.struct(F.lit("name").alias("type"), F.struct(F.lit("urn:ogc:def:crs:EPSG::4326").alias("name")).alias("properties")).alias("crs"),
+        F.struct(F.when(several, "MultiPolygon").otherwise("Polygon").alias("type"),
+                 F.when(several, F.to_json(F.array(F.array(ring)))).otherwise(F.to_json(F.array(ring))).alias("coordinates")).alias("geometry"),
+        F.struct("US_L3CODE", F.concat(F.lit("region "), F.col("US_L3CODE")).alias("US_L3NAME"),
+                 F.when(F.col("amount") > 0, F.col("amount")).alias("amount")).alias("properties"))).alias("value"))
+    # coordinates as JSON, not as text
+    line.select(F.regexp_replace(F.regexp_replace("value", r'"coordinates":"', '"coordinates":'), r'\]"\}', "]}").alias("value")).write.text(root)
+    layer = layers.read_features(spark, root, "geojsonl")
+    field = ops.pick_code_field([c for c in layer.columns if c not in ("geom", "crs")])
+    return layer.select("feature_id", normalize_code(F.col(field)).alias("code"), F.col("US_L3NAME").alias("name"), "crs",
+                        F.col("amount").cast("double").alias("amount"), rg.geom_area(F.col("geom")).alias("area"))
+
+
 def catalog_load(spark, sf):
     root = scratch_path(spark, "catalog")
     regions = st.regions(spark, sf).withColumn("bounds", F.array(F.lit("0"), F.lit("0"), F.lit("1"), F.lit("1")))
@@ -287,7 +311,7 @@ QUERIES = {f.__name__: f for f in (
     coerce_bbox, union_bbox, aoi_resolve, region_bounds, feature_bounds, dissolve_edges, dissolve_by_name, dissolve_t_junction,
     nested_rings, outline_rings,
     polygon_area_km2, reproject_albers, transform_bounds, repair_flags, simplify, valid_geometry_sorted,
-    prepared_regions, merge_suspects, catalog_load,
+    prepared_regions, prepared_regions_albers, merge_suspects, catalog_load, geojson_columns,
 )}
 
 SQL = {
@@ -380,6 +404,12 @@ WHERE NOT amount < 0 AND NOT amount > 9000 ORDER BY code""",
 SELECT uid, code, name, round(min(lon), 6) AS xmin, round(min(lat), 6) AS ymin, round(max(lon + 0.1::DOUBLE), 6) AS xmax,
   round(max(lat + 0.1::DOUBLE), 6) AS ymax, round(sum(a), 3) AS area_km2
 FROM geo JOIN area USING (feature_id, code) JOIN ({_ASIA}) USING (code) GROUP BY 1, 2, 3""",
+    "prepared_regions_albers": f"""WITH {st.REGIONS}, {_geo_edges_sql()}
+SELECT uid, code, name, round(min(lon), 6) AS xmin, round(min(lat), 6) AS ymin, round(max(lon + 0.1::DOUBLE), 6) AS xmax,
+  round(max(lat + 0.1::DOUBLE), 6) AS ymax, round(sum(a), 3) AS area_km2
+FROM geo JOIN area USING (feature_id, code) JOIN ({_ASIA}) USING (code) GROUP BY 1, 2, 3""",
+    "geojson_columns": """SELECT s_suppkey AS feature_id, CAST(s_nationkey AS VARCHAR) AS code, 'region ' || s_nationkey AS name, 'EPSG:4326' AS crs,
+  CASE WHEN s_acctbal > 0 THEN s_acctbal END AS amount, 1.0::DOUBLE AS area FROM supplier""",
     "merge_suspects": f"""WITH {_RAW_SQL} SELECT 'l3_' || lpad(CAST(c.c_nationkey AS VARCHAR), 3, '0') AS uid,
   count(DISTINCT c.c_mktsegment) AS n_names, count(DISTINCT code) AS n_codes FROM norm JOIN customer c USING (c_custkey)
 GROUP BY 1 HAVING count(DISTINCT c.c_mktsegment) > 1 OR count(DISTINCT code) > 1""",

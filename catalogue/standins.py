@@ -67,6 +67,19 @@ def polygons(spark, sf) -> DataFrame:
     )
 
 
+def nested(spark, sf) -> DataFrame:
+    """A feature per nation: in the square of each supplier one to four rings in each other, drawn in either direction."""
+    x, y, k = F.col("x").cast("double"), F.col("y").cast("double"), F.col("feature_id")
+
+    def ring(j):
+        west, south, east, north = x + 0.05 + 0.1 * j, y + 0.05 + 0.1 * j, x + 0.95 - 0.1 * j, y + 0.95 - 0.1 * j
+        a, b, c, d = vertex(west, south), vertex(east, south), vertex(east, north), vertex(west, north)
+        return F.when((k + j) % 3 == 0, F.array(a, d, c, b, a)).otherwise(F.array(a, b, c, d, a))
+
+    rings = F.slice(F.array(*[ring(j) for j in range(4)]), F.lit(1), (k % 4 + 1).cast("int"))
+    return corners(spark, sf).groupBy(F.col("US_L3CODE").alias("code")).agg(F.flatten(F.collect_list(rings)).alias("geom"))
+
+
 SQUARES = """squares AS (
   SELECT s_suppkey AS feature_id, CAST(s_nationkey AS VARCHAR) AS code,
          s_suppkey % 10 AS x, s_suppkey // 10 AS y, s_acctbal AS amount

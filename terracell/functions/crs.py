@@ -27,6 +27,13 @@ E2 = 2 * _F - _F * _F
 E1 = math.sqrt(E2)
 
 
+def crs_code(name: Column) -> Column:
+    """One spelling of a reference system: upper case, URNs and WGS 84 as EPSG codes; NULL stays."""
+    text = F.upper(F.trim(name))
+    short = F.regexp_replace(text, r"^URN:OGC:DEF:CRS:(EPSG):[^:]*:", "$1:")
+    return F.when(short.isin("WGS84", "WGS 84", "CRS84", "OGC:CRS84", "URN:OGC:DEF:CRS:OGC:1.3:CRS84"), "EPSG:4326").otherwise(short)
+
+
 def _authalic(sin_phi: float) -> float:
     return (1 - E2) * (
         sin_phi / (1 - E2 * sin_phi**2)

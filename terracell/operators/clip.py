@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions.windows import window_of, window_origin
+from .joins import lookup_join
 
 
 def clip_to_window(cells: DataFrame, window: DataFrame) -> DataFrame:
@@ -60,12 +61,13 @@ def drop_empty_windows(cells: DataFrame, keys: list[str], nodata: Column) -> Dat
     """Without the windows (``keys``) in which every value is nodata.
 
     ``nodata`` may be NULL (nothing is dropped) or NaN (NaN equals NaN here).
-    The flags are partially aggregated; only the keys to drop meet the cells.
+    The flags are partially aggregated, and the keys to drop go to the cells,
+    which are not moved unless those keys take too many bytes to send.
     """
     empty = cells.groupBy(*keys).agg(
         F.bool_and(F.col("value").eqNullSafe(nodata) & nodata.isNotNull()).alias("_empty")
     ).where("_empty").drop("_empty")
-    return cells.join(empty, keys, "left_anti")
+    return lookup_join(cells, empty, keys, "left_anti")
 
 
 def clipped_meta(meta: DataFrame, bbox: Column) -> DataFrame:

@@ -173,9 +173,11 @@ def distribution(df: DataFrame, keys: list[str], period: Column, value: str, max
     )
 
 
-def missing_periods(df: DataFrame, keys: list[str], period: str, start: str, end: str, step: str) -> DataFrame:
-    """Periods of a calendar that an entity lacks."""
-    calendar = F.sequence(F.lit(start).cast("date"), F.lit(end).cast("date"), F.expr(f"interval {step}"))
+def missing_periods(df: DataFrame, keys: list[str], period: str, start: str | None, end: str | None, step: str) -> DataFrame:
+    """Periods of a calendar that an entity lacks; without ``start`` or ``end`` it runs from the first or to the last period of all."""
+    ends = df.agg(F.min(period).alias("lo"), F.max(period).alias("hi"))
+    bound = lambda given, name: F.lit(given).cast("date") if given else ends.select(F.col(name).cast("date")).scalar()
+    calendar = F.sequence(bound(start, "lo"), bound(end, "hi"), F.expr(f"interval {step}"))
     expected = df.select(*keys).distinct().withColumn(period, F.explode(calendar))
     return expected.join(df.select(*keys, period), [*keys, period], "left_anti")
 

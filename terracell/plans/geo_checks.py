@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, functions as F
 from ..constants import WORKING_CRS
 from ..functions.crs import same_crs
 from ..operators import qa
+from ..operators.joins import lookup_join
 
 CHECKS = ("crs", "bounds", "nodata")
 
@@ -41,6 +42,6 @@ def run_checks(
         parts.append(qa.finding(marked, "bounds", F.col("uid"), qa.verdict(F.col("unknown"), ~F.col("within")), F.lit(None)))
     if "nodata" in wanted:
         nodata = meta.select(*keys, "nodata")
-        shares = qa.nodata_shares(cells.join(nodata, keys, "left"), keys, F.col("nodata"), nodata_limit)
+        shares = qa.nodata_shares(lookup_join(cells, nodata, keys, "left"), keys, F.col("nodata"), nodata_limit)
         parts.append(qa.finding(shares, "nodata", raster, F.col("status"), F.round("nodata_share", 6)))
     return qa.all_findings(*parts)

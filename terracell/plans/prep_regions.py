@@ -14,7 +14,7 @@ from ..operators import dissolve as ds, regions as rg
 from ..operators.junctions import split_edges
 from ..operators.repair import repair_features
 from ..session import materialize
-from ..sources.polygons import write_bounds, write_qa_csv, write_regions
+from ..sources.polygons import layer_crs, write_bounds, write_qa_csv, write_regions
 
 
 @dataclass
@@ -34,7 +34,7 @@ def prepare_regions(
     scheme: str = DEFAULT_SCHEME,
     level: int = DEFAULT_LEVEL,
     code_field: str | None = None,
-    crs: str = WORKING_CRS,
+    crs: str | None = None,
     target_crs: str = WORKING_CRS,
     area_crs: str = AREA_CRS,
     dissolve: bool = True,
@@ -42,10 +42,12 @@ def prepare_regions(
 ) -> PreparedRegions:
     """Select, clean, dissolve, measure and reproject.
 
+    Coordinates are in ``crs``, by default that of the layer (its ``crs`` column).
     Area is measured after the dissolve, so shared ground counts once. The
     completeness check comes last: a region whose only geometry was empty is
     missing.
     """
+    crs = crs or layer_crs(features)
     wanted = rg.wanted_regions(regions, scheme, level)
     if check:
         rg.check_wanted(wanted, scheme, level)

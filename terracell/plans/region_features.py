@@ -4,20 +4,51 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from .. import schemas
+from ..constants import DEFAULT_STATS
 from ..functions.windows import Grid
 from ..operators import dissolve as ds, zones as zn, zonal as zs
+from ..operators.repair import repair_features
+from ..sources.cells import write_table
+from ..sources.polygons import read_regions
 
 
-def label_by_region(cells: DataFrame, features: DataFrame, grid: Grid, key: str = "uid") -> DataFrame:
-    """Cells with the region that holds their centre."""
-    runs = zn.row_runs(ds.feature_edges(features, [key]), grid, key)
-    return zn.label_cells(cells, runs)
+def label_by_region(cells: DataFrame, features: DataFrame, grid: Grid, key: str = "uid", repaired: bool = False) -> DataFrame:
+    """Cells with the region that holds their centre.
+
+    Rings of ``features`` may run either way: they are repaired first, unless ``repaired`` says they are.
+    """
+    clean = features if repaired else repair_features(features)
+    return label_by_outline(cells, ds.feature_edges(clean, [key]), grid, key)
+
+
+def label_by_outline(cells: DataFrame, outline: DataFrame, grid: Grid, key: str = "uid") -> DataFrame:
+    """As ``label_by_region``, from edges: those of repaired features or the stored outline of dissolved regions."""
+    return zn.label_cells(cells, zn.row_runs(outline, grid, key))
+
+
+def run_zonal(spark: SparkSession, root: str, cells: DataFrame, grid: Grid, *, source: str, variable: str, stats: list[str] | None = None,
+              layer: str = "regions", version: str | None = None, wanted: dict[str, list[str]] | None = None) -> None:
+    """Zonal statistics of the regions stored below ``root`` and the features made of them, stored beside.
+
+    Dissolved layers are labelled by their outline, others by their features.
+    Writes ``zonal_stats`` and ``region_features``.
+    """
+    regions = read_regions(spark, root, layer, version)
+    if "geom" in regions.columns:
+        labelled = label_by_region(cells, regions, grid)
+    else:
+        labelled = label_by_outline(cells, read_regions(spark, root, f"{layer}_outline", version), grid)
+    names = stats or DEFAULT_STATS
+    write_table(zonal_table(labelled, "uid", F.lit(source), F.lit(variable), names), f"{root}/zonal_stats")
+    stored = spark.read.schema(schemas.ZONAL).parquet(f"{root}/zonal_stats")
+    write_table(pivot_features(stored, wanted or {variable: names}), f"{root}/region_features")
 
 
 def zonal_table(labelled: DataFrame, key: str, source: Column, variable: Column, stats: list[str] | None = None) -> DataFrame:
-    names = stats or ["mean", "std", "min", "max"]
+    names = stats or DEFAULT_STATS
     return zs.to_long(zs.zonal_stats(labelled, [key], names), key, source, variable, names)
 
 

@@ -9,6 +9,7 @@ from .. import schemas
 from ..constants import TILE
 
 RASTER_KEYS = ["source", "var", "year", "month"]
+MANIFEST = "_rasters"
 
 
 def read_cells(
@@ -50,11 +51,13 @@ def write_cells(df: DataFrame, path: str, overwrite: bool = False, keys: list[st
     """One folder per raster. Rows are ordered by tile inside each file, so a
     window read skips row groups; ``overwrite`` replaces only the rasters
     present in ``df``, without it a raster that is there already is an error.
-    A large raster is spread over several files by row tile.
+    A large raster is spread over several files by row tile. The rasters stored are listed in a
+    manifest beside them, so that finding out costs no look at the cells.
     """
     keys = keys or RASTER_KEYS
+    before = read_manifest(df.sparkSession, path)
     if not overwrite:
-        _refuse_present(df, path, keys)
+        _refuse_present(df, before if before is not None else _stored(df, path), path, keys)
     tile_row = F.floor(F.col("row") / TILE)
     tile_col = F.floor(F.col("col") / TILE)
     laid_out = df.repartition(*keys, tile_row).sortWithinPartitions(*keys, tile_row, tile_col, "row", "col")
@@ -64,6 +67,7 @@ def write_cells(df: DataFrame, path: str, overwrite: bool = False, keys: list[st
     else:
         writer = writer.mode("append")
     writer.parquet(path)
+    _list_rasters(df, path, keys, before)
 
 
 def write_region_clips(clips: DataFrame, path: str) -> None:
@@ -74,13 +78,42 @@ def write_region_clips(clips: DataFrame, path: str) -> None:
     write_cells(clips, path, overwrite=True, keys=["source", "region_uid", "var", "year", "month"])
 
 
-def _refuse_present(df: DataFrame, path: str, keys: list[str]) -> None:
-    """Raise if a raster of ``df`` is stored below ``path`` already."""
+def _found(read):
+    """The table, or None where its path does not exist."""
     try:
-        stored = df.sparkSession.read.schema(df.schema).parquet(path)
+        return read()
     except AnalysisException as e:
         if e.getCondition() != "PATH_NOT_FOUND":
             raise
+        return None
+
+
+def _stored(df: DataFrame, path: str) -> DataFrame | None:
+    return _found(lambda: df.sparkSession.read.schema(df.schema).parquet(path))
+
+
+def read_manifest(spark: SparkSession, path: str) -> DataFrame | None:
+    """The raster keys stored below ``path`` in their last version, or None without a manifest.
+
+    Its name begins with an underscore, so readers of the cells pass over it.
+    """
+    versions = _found(lambda: spark.read.parquet(f"{path}/{MANIFEST}"))
+    if versions is None:
+        return None
+    last = versions.agg(F.max("version")).first()[0]
+    return versions.where(F.col("version") == last)
+
+
+def _list_rasters(df: DataFrame, path: str, keys: list[str], before: DataFrame | None) -> None:
+    """Write the next version of the manifest, from the folders that are there now; older versions stay."""
+    folders = _stored(df, path).select(*keys).distinct()
+    version = 0 if before is None else before.agg(F.max("version")).first()[0] + 1
+    folders.write.mode("append").parquet(f"{path}/{MANIFEST}/version={version}")
+
+
+def _refuse_present(df: DataFrame, stored: DataFrame | None, path: str, keys: list[str]) -> None:
+    """Raise if a raster of ``df`` is among those stored below ``path``."""
+    if stored is None:
         return
     again = df.select(*keys).distinct().join(stored.select(*keys).distinct(), keys, "left_semi").orderBy(*keys).first()
     if again:
@@ -91,7 +124,7 @@ def write_meta(meta: DataFrame, path: str) -> None:
     """Add raster_meta rows: one per (source, var, year, month); rows of a raster that is there already are an error."""
     if not meta.groupBy(*RASTER_KEYS).count().where("count > 1").isEmpty():
         raise ValueError("several metadata rows for one raster")
-    _refuse_present(meta, path, RASTER_KEYS)
+    _refuse_present(meta, _stored(meta, path), path, RASTER_KEYS)
     meta.write.mode("append").parquet(path)
 
 

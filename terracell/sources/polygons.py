@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from .. import schemas
+from ..functions.crs import crs_code
 
 
 def read_features(spark: SparkSession, path: str, fmt: str = "parquet", crs: str | None = None) -> DataFrame:
@@ -17,7 +18,7 @@ def read_features(spark: SparkSession, path: str, fmt: str = "parquet", crs: str
     if fmt == "parquet":
         df = spark.read.parquet(path)
     elif fmt == "geojsonl":
-        df = _from_geojson(spark.read.text(path), crs or "EPSG:4326")
+        df = _from_geojson(spark.read.text(path), crs)
     else:
         raise ValueError(f"unsupported polygon format {fmt!r}")
     if df.isEmpty():
@@ -30,10 +31,23 @@ def require_crs(df: DataFrame) -> DataFrame:
     return df.withColumn("crs", F.when(F.col("crs").isNull(), missing.cast("string")).otherwise(F.col("crs")))
 
 
-def _from_geojson(lines: DataFrame, crs: str) -> DataFrame:
+def layer_crs(features: DataFrame) -> str:
+    """The one reference system all features of a layer are in."""
+    found = sorted(r[0] for r in require_crs(features).select(crs_code(F.col("crs")).alias("c")).distinct().limit(3).collect())
+    if len(found) != 1:
+        raise ValueError(f"a layer needs one CRS, not {found or 'none'}")
+    return found[0]
+
+
+def _from_geojson(lines: DataFrame, crs: str | None) -> DataFrame:
+    """A column per property of any feature, as text; of properties that differ in case only, the first keeps its name.
+
+    The CRS is the feature's own, else ``crs``, else geographic degrees.
+    """
     point, ring = "ARRAY<DOUBLE>", "ARRAY<ARRAY<DOUBLE>>"
     head = F.from_json(
-        "value", "STRUCT<id: BIGINT, geometry: STRUCT<type: STRING, coordinates: STRING>, properties: MAP<STRING, STRING>>",
+        "value", "STRUCT<id: BIGINT, geometry: STRUCT<type: STRING, coordinates: STRING>, properties: MAP<STRING, STRING>, "
+        "crs: STRUCT<properties: STRUCT<name: STRING>>>",
         {"mode": "FAILFAST"},
     )
     df = lines.where(F.trim("value") != "").select(head.alias("f"))
@@ -47,9 +61,16 @@ def _from_geojson(lines: DataFrame, crs: str) -> DataFrame:
             r, lambda p: F.struct(F.get(p, F.lit(0)).alias("x"), F.get(p, F.lit(1)).alias("y"))
         ),
     )
+    own = {"feature_id", "geom", "crs"}
+    names = [r[0] for r in df.select(F.explode(F.map_keys("f.properties")).alias("k")).distinct().orderBy("k").collect()]
+    columns = []
+    for name in names:  # as many as the layer has attributes
+        title = f"{name}_" if name.lower() in own else name
+        own.add(title.lower())
+        columns.append(F.try_element_at("f.properties", F.lit(name)).alias(title))
     return df.select(
-        F.col("f.id").alias("feature_id"), F.col("f.properties").alias("properties"),
-        geom.alias("geom"), F.lit(crs).alias("crs"),
+        F.col("f.id").alias("feature_id"), *columns, geom.alias("geom"),
+        F.coalesce(crs_code(F.col("f.crs.properties.name")), F.lit(crs or "EPSG:4326")).alias("crs"),
     )
 
 

@@ -9,6 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from terracell.functions.windows import Grid
+from terracell.operators import legend as lg
 from terracell.operators import clip, fingerprint, grid, joins, membership as mb, patches as pt, quantiles, zonal as zs
 from terracell.sources import cells as cs, manifest
 
@@ -324,3 +325,42 @@ def test_clips_of_two_variables_stay(spark, tmp_path):
     for var in ("pr", "tas"):
         cs.write_region_clips(cell_rows(spark, "s", var, 2000, 10, 1).withColumn("region_uid", F.lit("u")), path)
     assert {r["var"] for r in spark.read.parquet(path).select("var").distinct().collect()} == {"pr", "tas"}
+
+
+def test_legend_names_and_guards(spark):
+    cells = spark.createDataFrame([(1, "a"), (2, "b"), (3, "z"), (4, None)], "id INT, class STRING")
+    table = spark.createDataFrame([("a", "water"), ("b", "forest"), ("c", "ice")], "class STRING, name STRING")
+    assert {r.id: r.class_name for r in lg.class_names(cells, table).collect()} == {1: "water", 2: "forest", 3: "unclassified", 4: None}
+    assert [r["class"] for r in lg.unused_classes(cells, table).collect()] == ["c"]
+    for bad in ([("a", "x"), ("a", "y")], [("a", None)]):
+        with pytest.raises(ValueError, match="'a'"):
+            lg.class_names(cells, spark.createDataFrame(bad, "class STRING, name STRING"))
+
+
+def test_the_manifest_lists_versions_of_stored_rasters(spark, tmp_path):
+    path = str(tmp_path / "cells")
+    assert cs.read_manifest(spark, path) is None
+    cs.write_cells(cell_rows(spark, "s", "tas", 2000, 20, 1), path)
+    cs.write_cells(cell_rows(spark, "s", "tas", 2001, 20, 1), path)
+    with pytest.raises(ValueError, match="2001"):
+        cs.write_cells(cell_rows(spark, "s", "tas", 2001, 20, 1), path)
+    cs.write_cells(cell_rows(spark, "s", "tas", 2001, 8, 5), path, overwrite=True)
+    listed = [(r["year"], r["month"], r["version"]) for r in cs.read_manifest(spark, path).orderBy("year").collect()]
+    assert listed == [(2000, "01", 2), (2001, "01", 2)]
+    assert cs.read_cells(spark, path).count() == 28
+
+
+def test_a_table_without_a_manifest_is_read_once(spark, tmp_path):
+    path = str(tmp_path / "cells")
+    cell_rows(spark, "s", "tas", 2000, 20, 1).write.partitionBy(*cs.RASTER_KEYS).parquet(path)
+    with pytest.raises(ValueError, match="2000"):
+        cs.write_cells(cell_rows(spark, "s", "tas", 2000, 20, 1), path)
+
+
+def test_cells_are_not_moved_to_drop_windows(spark, tmp_path):
+    cs.write_cells(cell_rows(spark, "s", "tas", 2000, 100, 1).unionByName(cell_rows(spark, "s", "pr", 2000, 100, -1)), str(tmp_path / "c"))
+    cells = cs.read_cells(spark, str(tmp_path / "c"))
+    kept = clip.drop_empty_windows(cells, cs.RASTER_KEYS, F.lit(-1.0))
+    assert {r["var"] for r in kept.select("var").distinct().collect()} == {"tas"} and kept.count() == 100
+    plan = kept._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange hashpartitioning" not in plan and "BroadcastHashJoin" in plan

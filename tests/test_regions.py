@@ -352,3 +352,43 @@ def test_self_crossings_match_brute_force(spark):
     got = {r.feature_id for r in rp.crossing_features(df).collect()}
     want = {i for i, g in enumerate(shapes) if crosses(g)}
     assert got == want and 0 < len(want) < len(shapes)
+
+
+def test_the_layer_says_its_crs(spark):
+    flat = layer(spark, ("1", [square(0, 0, 1000, 1000)]), ("1", [square(1000, 0, 1000, 1000)]), crs=" epsg:5070 ")
+    regions = catalog_rows(spark, ("EPA_US", "3", "1", "a"))
+    got = prepare_regions(regions, flat, target_crs="EPSG:5070")
+    assert got.regions.first().area_km2 == pytest.approx(2.0)
+    mixed = flat.unionByName(layer(spark, ("1", [square(0, 0)])))
+    for bad in (mixed, flat.withColumn("crs", F.lit(None).cast("string")), flat.limit(0)):
+        with pytest.raises(Exception, match="CRS"):
+            prepare_regions(regions, bad)
+
+
+def test_geojson_attributes_keep_their_names(spark, tmp_path):
+    lines = [
+        '{"type":"Feature","id":1,"geometry":{"type":"Polygon","coordinates":[[[0,0],[1,0],[1,1],[0,0]]]},"properties":{"NA_L3CODE":"07","geom":"x","n":3}}',
+        '{"type":"Feature","id":2,"geometry":null,"properties":{"NA_L3CODE":"8","crs":"y"},"crs":{"type":"name","properties":{"name":"urn:ogc:def:crs:OGC:1.3:CRS84"}}}',
+        '{"type":"Feature","id":3,"geometry":{"type":"Polygon","coordinates":[]},"properties":null}',
+    ]
+    (tmp_path / "l.geojsonl").write_text("\n".join(lines))
+    got = polygons.read_features(spark, str(tmp_path / "l.geojsonl"), "geojsonl", crs="EPSG:5070")
+    assert set(got.columns) == {"feature_id", "NA_L3CODE", "crs_", "geom_", "n", "geom", "crs"}
+    rows = {r.feature_id: r for r in got.collect()}
+    assert (rows[1].NA_L3CODE, rows[1].geom_, rows[1].n, rows[1].crs) == ("07", "x", "3", "EPSG:5070")
+    assert (rows[2].crs, rows[2].crs_, rows[2].geom) == ("EPSG:4326", "y", None) and rows[3].NA_L3CODE is None
+
+
+@pytest.mark.parametrize("dissolve", [True, False])
+def test_from_the_registry_to_stored_features(spark, tmp_path, dissolve):
+    outer, hole = square(0, 0, 6, 6)[::-1], square(1, 1, 2, 2)[::-1]
+    feats = layer(spark, ("7", [outer, hole]), ("8", [square(6, 0, 2, 6)]), crs="EPSG:5070")
+    regions = catalog_rows(spark, ("EPA_US", "3", "7", "a"), ("EPA_US", "3", "8", "b"))
+    store_regions(prepare_regions(regions, feats, target_crs="EPSG:5070", dissolve=dissolve), str(tmp_path))
+    for name, grid in (("up", Grid(0.0, 0.0, 1.0, 1.0, 8, 6)), ("down", Grid(0.0, 6.0, 1.0, -1.0, 8, 6))):
+        cells = spark.createDataFrame([(r, c, float(r * 8 + c)) for r in range(6) for c in range(8)], "row BIGINT, col BIGINT, value DOUBLE")
+        rf.run_zonal(spark, str(tmp_path), cells, grid, source="s", variable="v", stats=["mean", "max"])
+        own = [(r, c) for r in range(6) for c in range(6) if not (1 <= c < 3 and 1 <= (r if name == "up" else 5 - r) < 3)]
+        wide = {r.region_uid: r for r in spark.read.parquet(str(tmp_path / "region_features")).collect()}
+        assert wide["l3_7"].v_mean == pytest.approx(sum(r * 8 + c for r, c in own) / len(own)) and wide["l3_8"].v_max == 47.0
+        assert spark.read.parquet(str(tmp_path / "zonal_stats")).count() == 4
