@@ -9,10 +9,10 @@ from pyspark.sql import DataFrame, functions as F
 from terracell import schemas
 from terracell.functions import crs
 from terracell.functions.names import aoi_name, file_name, pad_month, render_template, stem
-from terracell.plans import fetch_plan as fp, region_features as rf
+from terracell.plans import fetch_plan as fp, ingest, region_features as rf
 from terracell.session import scratch_path
-from terracell.sources import cells as cs, manifest, polygons as layers
-from terracell.operators import regions as ops
+from terracell.sources import catalog, cells as cs, manifest, polygons as layers
+from terracell.operators import regions as ops, zones
 
 from . import raster, standins as st
 
@@ -180,6 +180,60 @@ def cells_rewrite(spark, sf):
     return cs.read_cells(spark, root).groupBy("var").agg(F.count("*").alias("n"), F.round(F.sum("value"), 2).alias("total")).join(listed, "var")
 
 
+def ingest_chain(spark, sf):
+    """Plan to stored clips: a raster per market segment, one of them only nodata, one asked for that does not exist."""
+    root = scratch_path(spark, "ingest")
+    cells = st.cells(spark, sf).select(
+        F.lit("customer").alias("source"), F.lower("class").alias("var"), F.lit(1995).alias("year"), F.lit("01").alias("month"),
+        F.lit(1).alias("band"), "row", "col",
+        F.when((F.col("value") < 0) | (F.col("class") == "BUILDING"), F.lit(raster.NODATA)).otherwise(F.col("value")).alias("value"))
+    meta = cells.groupBy("source", "var", "year", "month").agg(F.max("row").alias("r")).select(
+        "source", "var", "year", "month", F.lit("EPSG:4326").alias("crs"), F.lit(st.GRID.x0).alias("x0"), F.lit(st.GRID.y0).alias("y0"),
+        F.lit(st.GRID.dx).alias("dx"), F.lit(st.GRID.dy).alias("dy"), F.lit(50).cast("long").alias("width"),
+        (F.col("r") + 1).alias("height"), F.lit(raster.NODATA).alias("nodata"))
+    plan = meta.select("source", "var", "year", "month").unionByName(meta.select("source", "var", F.lit(1996).alias("year"), "month").where("var = 'machinery'"))
+    done = ingest.run_ingest(plan, cells, meta, raster.wide_aoi(spark, sf), root)
+    again = ingest.run_ingest(plan.where("var = 'machinery'"), cells, meta, raster.wide_aoi(spark, sf), root).where("status = 'present'")
+    kept = cs.read_cells(spark, f"{root}/cells").groupBy("var", "year").agg(
+        F.count("*").alias("n_cells"), F.count_if(F.col("value") != raster.NODATA).alias("n_valid"))
+    sizes = cs.read_meta(spark, f"{root}/meta").select("var", "year", "width", "height")
+    report = done.select("var", "year", "status").unionByName(again.select("var", "year", "status"))
+    return report.join(kept, ["var", "year"], "left").join(sizes, ["var", "year"], "left")
+
+
+def source_catalog(spark, sf):
+    """Source catalog written as JSON and loaded under its schema: a row per source and variable."""
+    root = scratch_path(spark, "sources")
+    words = F.array_distinct(F.split("p_name", " "))
+    define = lambda w: F.struct(w.alias("var_name"), F.lit("1").alias("var_units"), (F.length(w) > 4).alias("active"))
+    st.table(spark, sf, "part").select(
+        st.text("p_partkey").alias("source"), F.col("p_brand").alias("provider"), F.lit("raster").alias("type"),
+        F.lit(MONTHLY_TEMPLATE).alias("url_template"), F.slice(words, 1, 1).alias("vars_active"),
+        F.struct(F.lit("monthly").alias("kind"), (F.lit(1980) + F.col("p_size")).alias("start_year")).alias("temporal"),
+        F.map_from_arrays(words, F.transform(words, define)).alias("vars"),
+    ).write.json(root)
+    loaded = catalog.load_sources(spark, root)
+    named = catalog.source_variables(loaded).select("source", "var", "active", "listed")
+    return named.join(loaded.select("source", "provider", F.col("temporal.start_year").alias("start_year"),
+                                    F.col("cache_dir").isNull().alias("no_cache")), "source")
+
+
+def region_clips(spark, sf):
+    """Two variables clipped to the box of each region, stored as one raster per region, one of them replaced."""
+    root = scratch_path(spark, "clips")
+    boxes = zones.box_tiles(ops.region_bounds(st.polygons(spark, sf), ["code"]), st.GRID, ["code"])
+    clipped = zones.cells_in_boxes(st.cells(spark, sf), boxes).select(
+        F.lit("customer").alias("source"), F.col("code").alias("region_uid"), F.explode(F.array(
+            F.struct(F.lit("acctbal").alias("var"), F.col("value").alias("value")),
+            F.struct(F.lit("key").alias("var"), F.col("cell_id").cast("double").alias("value")))).alias("v"),
+        F.lit(1995).alias("year"), F.lit("01").alias("month"), F.lit(1).alias("band"), "row", "col")
+    clipped = clipped.select("source", "region_uid", "v.var", "year", "month", "band", "row", "col", "v.value")
+    cs.write_region_clips(clipped, root)
+    cs.write_region_clips(clipped.where("var = 'key' AND region_uid = '7'").withColumn("value", -F.col("value")), root)
+    back = spark.read.schema(clipped.schema).parquet(root)
+    return back.groupBy("region_uid", "var").agg(F.count("*").alias("n"), F.round(F.sum("value"), 2).alias("total"))
+
+
 def sink_roundtrip(spark, sf):
     root = scratch_path(spark, "sinks")
     wanted = ops.wanted_regions(st.regions(spark, sf), "ASIA", 3)
@@ -249,7 +303,8 @@ audit AS (
 
 QUERIES = {f.__name__: f for f in (
     fetch_plan, plan_limit, plan_skip_existing, plan_dry_run, coverage_resolve, archive_plan, archive_actions, source_audit,
-    source_audit_overall, source_audit_json, crs_filter, cells_by_source, cells_rewrite, sink_roundtrip,
+    source_audit_overall, source_audit_json, crs_filter, cells_by_source, cells_rewrite, ingest_chain, source_catalog, region_clips,
+    sink_roundtrip,
 )}
 
 SQL = {
@@ -280,6 +335,22 @@ FROM monthly WHERE year(month) BETWEEN 1996 AND 1998 AND month(month) IN (1, 6)
     "cells_rewrite": """WITH c AS (SELECT lower(c_mktsegment) AS var, c_custkey // 50 AS r, c_acctbal AS v FROM customer)
 SELECT var, count(*) AS n, round(sum(CASE WHEN var < 'c' THEN v + 1 ELSE v END), 2) AS total, 1 AS version
 FROM c WHERE var >= 'c' OR r % 2 = 0 GROUP BY 1""",
+    "ingest_chain": f"""WITH {raster._WIDE}, g AS (SELECT r0 + i AS "row", c0 + j AS col FROM win, LATERAL unnest(range(0, h)) AS a(i), LATERAL unnest(range(0, w)) AS b(j)),
+k AS (SELECT DISTINCT lower(class) AS var FROM cells),
+f AS (SELECT var, count(*) AS n_cells, count(*) FILTER (value >= 0 AND class <> 'BUILDING') AS n_valid
+  FROM k CROSS JOIN g LEFT JOIN cells ON cells."row" = g."row" AND cells.col = g.col AND lower(class) = var GROUP BY 1),
+s AS (SELECT *, CASE WHEN n_valid > 0 THEN 'written' ELSE 'empty' END AS status FROM f),
+rows_ AS (SELECT var, 1995 AS year, status FROM s UNION ALL SELECT 'machinery', 1996, 'missing' UNION ALL SELECT var, 1995, 'present' FROM s WHERE var = 'machinery' AND status = 'written')
+SELECT r.var, r.year, r.status, CASE WHEN r.year = 1995 AND s.status = 'written' THEN n_cells END AS n_cells,
+  CASE WHEN r.year = 1995 AND s.status = 'written' THEN n_valid END AS n_valid, CASE WHEN r.year = 1995 AND s.status = 'written' THEN w END AS width,
+  CASE WHEN r.year = 1995 AND s.status = 'written' THEN h END AS height FROM rows_ r JOIN s USING (var) CROSS JOIN win""",
+    "source_catalog": """WITH w AS (SELECT CAST(p_partkey AS VARCHAR) AS source, p_brand AS provider, 1980 + p_size AS start_year, string_split(p_name, ' ') AS ws FROM part)
+SELECT DISTINCT source, x AS var, length(x) > 4 AS active, x = ws[1] AS listed, provider, CAST(start_year AS INTEGER) AS start_year, true AS no_cache
+FROM w, LATERAL unnest(ws) AS t(x)""",
+    "region_clips": f"""WITH {st.CELLS}, {st.BOUNDS}, c AS (SELECT code AS region_uid, cell_id, value FROM cells
+  JOIN bounds ON cx BETWEEN xmin AND xmax AND cy BETWEEN ymin AND ymax)
+SELECT region_uid, 'acctbal' AS var, count(*) AS n, round(sum(value), 2) AS total FROM c GROUP BY 1
+UNION ALL SELECT region_uid, 'key', count(*), round(sum(CASE WHEN region_uid = '7' THEN -cell_id ELSE cell_id END), 2) FROM c GROUP BY 1""",
     "sink_roundtrip": f"""WITH {st.REGIONS}, {st.LABELLED}, u AS (SELECT uid, count(*) AS n FROM squares
   JOIN (SELECT uid, code FROM regions WHERE scheme = 'ASIA') USING (code) GROUP BY 1)
 SELECT artifact, uid, n FROM u CROSS JOIN (VALUES ('regions'), ('bounds'), ('csv')) AS t(artifact)

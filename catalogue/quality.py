@@ -54,8 +54,11 @@ def qa_ranges(spark, sf):
 
 def qa_extent_gaps(spark, sf):
     cells = st.cells(spark, sf).withColumn("value", F.when(F.col("value") >= 0, F.col("value")))
-    height = cells.agg(F.coalesce(F.max("row") + 1, F.lit(0))).first()[0]
-    return qa.extent_gaps(cells, st.GRID.width, height)
+    cells = cells.withColumn("raster", F.lit("customer"))
+    # the extent is known from elsewhere: the highest customer that any order names
+    known = st.table(spark, sf, "orders").agg((F.floor(F.max("o_custkey") / 50) + 1).alias("height")).where("height IS NOT NULL")
+    meta = known.select(F.explode(F.array(F.lit("customer"), F.lit("absent"))).alias("raster"), F.lit(st.GRID.width).alias("width"), "height")
+    return qa.extent_gaps(cells, keys=["raster"], meta=meta)
 
 
 def qa_outside_extent(spark, sf):
@@ -193,8 +196,9 @@ SELECT feature_id, CASE WHEN area <= 0 THEN 'no_area' WHEN area < 0.1 THEN 'tiny
 SELECT region_uid, variable, stat FROM (SELECT DISTINCT region_uid FROM l) CROSS JOIN (VALUES {_EXPECTED}) AS w(variable, stat)
 EXCEPT SELECT region_uid, variable, stat FROM l WHERE value IS NOT NULL""",
     "qa_ranges": f"WITH {st.CELLS} SELECT cell_id, class, value FROM cells WHERE {_RANGE}",
-    "qa_extent_gaps": f"""WITH {st.CELLS} SELECT r."row", c.col FROM (SELECT DISTINCT "row" FROM cells) r CROSS JOIN range(0, 50) AS c(col)
-WHERE NOT EXISTS (SELECT 1 FROM cells x WHERE x."row" = r."row" AND x.col = c.col AND x.value >= 0)""",
+    "qa_extent_gaps": f"""WITH {st.CELLS}, r AS (SELECT unnest(range(0, max(o_custkey) // 50 + 1)) AS "row" FROM orders)
+SELECT raster, r."row", c.col FROM (VALUES ('customer'), ('absent')) AS k(raster) CROSS JOIN r CROSS JOIN range(0, 50) AS c(col)
+WHERE raster = 'absent' OR NOT EXISTS (SELECT 1 FROM cells x WHERE x."row" = r."row" AND x.col = c.col AND x.value >= 0)""",
     "qa_outside_extent": f"""WITH {st.CELLS}, {st.BOUNDS}, e AS (SELECT min(cx) AS x0, min(cy) AS y0, max(cx) AS x1, max(cy) AS y1 FROM cells WHERE value > 9000)
 SELECT code FROM bounds CROSS JOIN e WHERE xmin < x0 OR ymin < y0 OR xmax > x1 OR ymax > y1""",
     "qa_geo_checks": f"""WITH {st.MONTHLY}, {st.BOUNDS}, r AS (SELECT 'orders/tas/' || year(month) || '/' || lpad(CAST(month(month) AS VARCHAR), 2, '0') AS entity,

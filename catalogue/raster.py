@@ -46,10 +46,15 @@ def window_profile(spark, sf):
     )
 
 
-def boundless_clip(spark, sf):
+def wide_aoi(spark, sf):
+    """The box of the region with two degrees around it, in part beyond the raster."""
     c = F.col
     wide = box(c("bbox.xmin") - 2, c("bbox.ymin") - 2, c("bbox.xmax") + 2, c("bbox.ymax") + 2)
-    window = _aoi(spark, sf).select(st.GRID.window(wide).alias("win"))
+    return _aoi(spark, sf).select(wide.alias("bbox"))
+
+
+def boundless_clip(spark, sf):
+    window = wide_aoi(spark, sf).select(st.GRID.window(F.col("bbox")).alias("win"))
     return clip.boundless_clip(st.cells(spark, sf).select("row", "col", "value"), window, NODATA)
 
 

@@ -96,6 +96,13 @@ def content_hash(spark, sf):
     return fingerprint.content_hash(table, ["code", "class", "n", "lo", "hi"])
 
 
+def rf_split(spark, sf):
+    """Share of each region's months that the model learns from; the same at any partitioning."""
+    train, test = model.split_by_key(st.monthly(spark, sf), F.concat_ws("|", "region", "month"))
+    parts = train.withColumn("part", F.lit("train")).unionByName(test.withColumn("part", F.lit("test")))
+    return parts.groupBy("region", "part").agg(F.count("*").alias("n"), F.min(st.text("month")).alias("first"), F.max(st.text("month")).alias("last"))
+
+
 def rf_metrics(spark, sf):
     """Next month's value from this month's features, by region and month."""
     m = sn.monthly_anomaly(st.monthly(spark, sf), ["region"], "month", "v")
@@ -126,7 +133,7 @@ b AS (SELECT *, row_number() OVER (PARTITION BY cell_id ORDER BY p DESC, code) A
 
 QUERIES = {f.__name__: f for f in (
     neighborhood_mean, edge_density, patches, patch_sizes, soft_membership, region_features, noise_augment,
-    scenario_delta, sensitivity, content_hash, rf_metrics,
+    scenario_delta, sensitivity, content_hash, rf_split, rf_metrics,
 )}
 
 SQL = {
@@ -145,6 +152,9 @@ i AS (SELECT region, month - CAST(row_number() OVER (PARTITION BY region ORDER B
 ev AS (SELECT CAST(region AS VARCHAR) AS region_uid, count(DISTINCT g) AS n_hot FROM i GROUP BY 1)
 SELECT region_uid, round(a, 6) AS acctbal_mean, round(b, 6) AS acctbal_max, round(c, 6) AS building_pct, round(d, 6) AS furniture_pct,
   round(amp, 6) AS max_amplitude, n_hot FROM zz FULL JOIN se USING (region_uid) FULL JOIN ev USING (region_uid)""",
+    "rf_split": f"""WITH {st.MONTHLY}, u AS (SELECT region, CAST(month AS VARCHAR) AS month,
+  CAST('0x' || substr(md5(region || '|' || CAST(month AS VARCHAR) || '|split'), 1, 8) AS BIGINT) / 4294967296.0::DOUBLE AS u FROM monthly)
+SELECT region, CASE WHEN u < 0.8::DOUBLE THEN 'train' ELSE 'test' END AS part, count(*) AS n, min(month) AS first, max(month) AS last FROM u GROUP BY 1, 2""",
     "noise_augment": """SELECT c_custkey AS cell_id, round(c_acctbal + (CAST('0x' || substr(md5(c_custkey || '|s1'), 1, 8) AS BIGINT) / 4294967296.0::DOUBLE * 2 - 1) * 0.5::DOUBLE, 6) AS noisy FROM customer""",
     "scenario_delta": f"""WITH {st.DAILY} SELECT region, scenario, round(avg(v / 10000 + delta), 6) AS mean_t, count(*) FILTER (v / 10000 + delta > 30) AS n_hot
 FROM daily CROSS JOIN (VALUES ('base', 0.0::DOUBLE), ('plus2', 2.0), ('minus2', -2.0)) AS s(scenario, delta) GROUP BY 1, 2""",

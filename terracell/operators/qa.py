@@ -83,12 +83,15 @@ def out_of_range(df: DataFrame, variable: str, value: str, rules: dict[str, tupl
     return df.where(known & broken)
 
 
-def extent_gaps(cells: DataFrame, width: int, height: int | None = None, keys: list[str] | None = None) -> DataFrame:
+def extent_gaps(cells: DataFrame, width: int | None = None, height: int | None = None, keys: list[str] | None = None,
+                meta: DataFrame | None = None) -> DataFrame:
     """Cells of the raster extent without a value, as (row, col), per raster if ``keys`` name its columns.
 
     The columns present are folded into one bit mask per 64 columns before the
     shuffle, so one row moves for 64 cells and only words with a gap are
-    unfolded. Without ``height`` the rows are those of the table.
+    unfolded. The extent is ``width`` and ``height``, or that of each raster in
+    ``meta`` (keys, width, height): then rasters without any cell are reported
+    too. With neither ``height`` nor ``meta`` the rows are those of the table.
     """
     bit = F.when(F.col("value").isNotNull(), F.call_function(
         "shiftleft", F.lit(1).cast("bigint"), F.pmod(F.col("col"), F.lit(64)).cast("int")
@@ -97,15 +100,20 @@ def extent_gaps(cells: DataFrame, width: int, height: int | None = None, keys: l
     words = cells.groupBy(*keys, "row", F.floor(F.col("col") / 64).alias("word")).agg(
         F.coalesce(F.bit_or(bit), F.lit(0).cast("bigint")).alias("seen")
     )
-    if height is None:
+    if meta is not None:
+        rows = meta.where("height > 0 AND width > 0").select(
+            *keys, F.col("width").alias("_width"), F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("height").cast("bigint") - 1)).alias("row"))
+    elif height is None:
         rows = cells.select(*keys, "row").distinct()
     elif keys:
         rows = cells.select(*keys).distinct().withColumn("row", F.explode(F.sequence(F.lit(0), F.lit(height - 1)).cast("array<bigint>")))
     else:
         rows = cells.sparkSession.range(height).select(F.col("id").alias("row"))
-    last = (width - 1) // 64
-    expected = rows.select(*keys, "row", F.explode(F.sequence(F.lit(0), F.lit(last)).cast("array<bigint>")).alias("word"))
-    bits = F.when(F.col("word") < last, 64).otherwise(width - 64 * last)
+    if meta is None:
+        rows = rows.withColumn("_width", F.lit(width))
+    last = F.floor((F.col("_width") - 1) / 64)
+    expected = rows.select(*keys, "row", "_width", F.explode(F.sequence(F.lit(0).cast("bigint"), last)).alias("word"))
+    bits = F.when(F.col("word") < last, 64).otherwise(F.col("_width") - last * 64).cast("int")
     full = F.call_function("shiftrightunsigned", F.lit(-1).cast("bigint"), F.lit(64) - bits)
     seen = F.coalesce("seen", F.lit(0).cast("bigint"))
     partial = expected.join(words, [*keys, "row", "word"], "left").where(seen.bitwiseAND(full) != full)

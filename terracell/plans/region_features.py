@@ -15,6 +15,9 @@ from ..sources.cells import write_table
 from ..sources.polygons import read_regions
 
 
+MAX_FEATURES = 5000  # columns a feature table may get
+
+
 def label_by_region(cells: DataFrame, features: DataFrame, grid: Grid, key: str = "uid", repaired: bool = False) -> DataFrame:
     """Cells with the region that holds their centre.
 
@@ -54,7 +57,9 @@ def zonal_table(labelled: DataFrame, key: str, source: Column, variable: Column,
 
 def definitions(table: DataFrame) -> dict[str, list[str]]:
     """variable → statistics, from a (variable, stat) definition table."""
-    rows = table.select("variable", "stat").distinct().orderBy("variable", "stat").collect()
+    rows = table.select("variable", "stat").distinct().orderBy("variable", "stat").limit(MAX_FEATURES + 1).collect()
+    if len(rows) > MAX_FEATURES:
+        raise ValueError(f"more than {MAX_FEATURES} features are defined")
     wanted: dict[str, list[str]] = {}
     for r in rows:
         wanted.setdefault(r["variable"], []).append(r["stat"])

@@ -1,6 +1,7 @@
 """Every registered query against its SQL twin."""
 
 import pytest
+from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
 from catalogue import quality, standins
@@ -35,7 +36,11 @@ def test_extent_gaps_of_a_missing_row(spark, tmp_path):
     cells = standins.cells(spark, "/root/testdata/sf0.001").where("row = 1").select("cell_id")
     customers = standins.table(spark, "/root/testdata/sf0.001", "customer")
     customers.join(cells, customers["c_custkey"] == cells["cell_id"], "left_anti").write.parquet(f"{tmp_path}/customer.parquet")
+    orders = standins.table(spark, "/root/testdata/sf0.001", "orders")
+    orders.withColumn("o_custkey", F.lit(449)).write.parquet(f"{tmp_path}/orders.parquet")
     got = {tuple(r) for r in quality.qa_extent_gaps(spark, str(tmp_path)).collect()}
-    assert {(r, c) for r, c in got if r == 1} == {(1, c) for c in range(50)} and max(r for r, _ in got) <= 2
+    assert {g for g in got if g[1] == 1} == {(k, 1, c) for k in ("customer", "absent") for c in range(50)}
+    assert {(k, r) for k, r, _ in got if r >= 4} == {(k, r) for k in ("customer", "absent") for r in range(4, 9)}
     customers.limit(0).write.parquet(f"{tmp_path}/none/customer.parquet")
+    orders.limit(0).write.parquet(f"{tmp_path}/none/orders.parquet")
     assert quality.qa_extent_gaps(spark, f"{tmp_path}/none").count() == 0
