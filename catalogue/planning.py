@@ -48,16 +48,16 @@ def _plan(spark, sf):
 
 
 def _existing(spark, sf):
-    """Outputs that are there: the months in which the part was shipped, for its first variable."""
+    """Outputs that are there: the months in which the part was shipped, for each of its variables."""
     shipped = st.table(spark, sf, "lineitem").select(
         F.col("l_partkey").alias("source"), F.year("l_shipdate").alias("year"),
         pad_month(F.month("l_shipdate")).alias("month"),
     ).distinct()
-    first = _requests(spark, sf).select("source", "path", F.get("vars", F.lit(0)).alias("var"))
+    wanted = _requests(spark, sf).select("source", "path", F.explode("vars").alias("var"))
     url = render_template(MONTHLY_TEMPLATE, {
         **_context(), "var": F.col("var"), "year": F.col("year"), "month": F.col("month")
     })
-    return shipped.join(first, "source").select("source", aoi_name(file_name(url)).alias("out_name"))
+    return shipped.join(wanted, "source").select("source", aoi_name(file_name(url)).alias("out_name"))
 
 
 def fetch_plan(spark, sf):
@@ -283,8 +283,8 @@ plan AS (
     'CHELSA_' || var || '_' || month || '_' || year || '_V.2.1_AOI.tif' AS out_name FROM loop)"""
 
 _HAVE = _PLAN + """, have AS (
-  SELECT DISTINCT l_partkey AS source, 'CHELSA_' || vars[1] || '_' || lpad(CAST(month(l_shipdate) AS VARCHAR), 2, '0') || '_' || year(l_shipdate) || '_V.2.1_AOI.tif' AS out_name
-  FROM lineitem JOIN req ON l_partkey = source)"""
+  SELECT DISTINCT l_partkey AS source, 'CHELSA_' || var || '_' || lpad(CAST(month(l_shipdate) AS VARCHAR), 2, '0') || '_' || year(l_shipdate) || '_V.2.1_AOI.tif' AS out_name
+  FROM lineitem JOIN (SELECT source, unnest(vars) AS var FROM req) ON l_partkey = source)"""
 
 _AUDIT = """src AS (
   SELECT p_partkey AS k, p_size, CAST(p_partkey AS VARCHAR) AS source,

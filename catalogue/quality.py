@@ -29,9 +29,10 @@ def qa_crs(spark, sf):
 
 
 def qa_precision(spark, sf):
-    e = lambda i: F.get("embedding", F.lit(i)).cast("double")
-    pts = st.table(spark, sf, "embeddings").select("vec_id", e(0).alias("x"), e(1).alias("y"))
-    return qa.precision_loss(pts, "x", "y", 2, 0.004).select("vec_id")
+    pairs = F.transform(F.sequence(F.lit(0), F.floor(F.size("embedding") / 2).cast("int") - 1), lambda i: F.slice("embedding", i * 2 + 1, F.lit(2)))
+    e = lambda i: F.get("q", F.lit(i)).cast("double")
+    pts = st.table(spark, sf, "embeddings").select("vec_id", F.posexplode(pairs).alias("i", "q")).select("vec_id", "i", e(0).alias("x"), e(1).alias("y"))
+    return qa.precision_loss(pts, "x", "y", 2, 0.004).select("vec_id", "i")
 
 
 def qa_geometry(spark, sf):
@@ -43,7 +44,8 @@ def qa_geometry(spark, sf):
 
 
 def qa_missing_stats(spark, sf):
-    long = raster._long(spark, sf).where((F.col("stat") != "pct") | (F.col("value") >= 0.15))
+    # small shares count as not measured
+    long = raster._long(spark, sf).withColumn("value", F.when((F.col("stat") != "pct") | (F.col("value") >= 0.15), F.col("value")))
     return qa.missing_stats(long, spark.createDataFrame(STATS, "variable STRING, stat STRING"))
 
 
@@ -62,7 +64,7 @@ def qa_extent_gaps(spark, sf):
 
 
 def qa_outside_extent(spark, sf):
-    c = st.cells(spark, sf).where(F.col("value") > 9000)
+    c = st.cells(spark, sf)
     x, y = st.GRID.x(F.col("col")), st.GRID.y(F.col("row"))
     extent = c.agg(F.min(x).alias("xmin"), F.min(y).alias("ymin"), F.max(x).alias("xmax"), F.max(y).alias("ymax"))
     return qa.outside_extent(ops.region_bounds(st.polygons(spark, sf), ["code"]), extent).select("code")
@@ -187,19 +189,20 @@ SQL = {
     "qa_row_counts": f"WITH {_COUNTS} SELECT * FROM counts",
     "qa_crs": f"""WITH {st.CELLS}, c AS (SELECT cell_id, {st.CRS_SQL} AS crs FROM cells)
 SELECT * FROM c WHERE crs IS NULL OR upper(trim(crs)) NOT IN ('EPSG:4326', 'WGS84')""",
-    "qa_precision": """WITH p AS (SELECT vec_id, CAST(embedding[1] AS DOUBLE) AS x, CAST(embedding[2] AS DOUBLE) AS y FROM embeddings)
-SELECT vec_id FROM p WHERE sqrt((x - round(x, 2)) ** 2 + (y - round(y, 2)) ** 2) > 0.004""",
+    "qa_precision": """WITH p AS (SELECT vec_id, CAST(i AS INTEGER) AS i, CAST(embedding[2 * i + 1] AS DOUBLE) AS x, CAST(embedding[2 * i + 2] AS DOUBLE) AS y
+  FROM embeddings, LATERAL unnest(range(0, len(embedding) // 2)) AS t(i))
+SELECT vec_id, i FROM p WHERE sqrt((x - round(x, 2)) ** 2 + (y - round(y, 2)) ** 2) > 0.004""",
     "qa_geometry": """WITH g AS (SELECT s_suppkey AS feature_id, abs(s_acctbal / 10000) AS h FROM supplier),
 m AS (SELECT feature_id, h AS area, 4 * pi() * h / ((2 + 2 * h) * (2 + 2 * h)) AS c FROM g)
 SELECT feature_id, CASE WHEN area <= 0 THEN 'no_area' WHEN area < 0.1 THEN 'tiny' ELSE 'sliver' END AS issue FROM m WHERE area < 0.1 OR c < 0.5""",
-    "qa_missing_stats": f"""WITH {raster._ZONAL}, l AS (SELECT * FROM long WHERE stat <> 'pct' OR value >= 0.15)
+    "qa_missing_stats": f"""WITH {raster._ZONAL}, l AS (SELECT region_uid, variable, stat, CASE WHEN stat <> 'pct' OR value >= 0.15 THEN value END AS value FROM long)
 SELECT region_uid, variable, stat FROM (SELECT DISTINCT region_uid FROM l) CROSS JOIN (VALUES {_EXPECTED}) AS w(variable, stat)
 EXCEPT SELECT region_uid, variable, stat FROM l WHERE value IS NOT NULL""",
     "qa_ranges": f"WITH {st.CELLS} SELECT cell_id, class, value FROM cells WHERE {_RANGE}",
     "qa_extent_gaps": f"""WITH {st.CELLS}, r AS (SELECT unnest(range(0, max(o_custkey) // 50 + 1)) AS "row" FROM orders)
 SELECT raster, r."row", c.col FROM (VALUES ('customer'), ('absent')) AS k(raster) CROSS JOIN r CROSS JOIN range(0, 50) AS c(col)
 WHERE raster = 'absent' OR NOT EXISTS (SELECT 1 FROM cells x WHERE x."row" = r."row" AND x.col = c.col AND x.value >= 0)""",
-    "qa_outside_extent": f"""WITH {st.CELLS}, {st.BOUNDS}, e AS (SELECT min(cx) AS x0, min(cy) AS y0, max(cx) AS x1, max(cy) AS y1 FROM cells WHERE value > 9000)
+    "qa_outside_extent": f"""WITH {st.CELLS}, {st.BOUNDS}, e AS (SELECT min(cx) AS x0, min(cy) AS y0, max(cx) AS x1, max(cy) AS y1 FROM cells)
 SELECT code FROM bounds CROSS JOIN e WHERE xmin < x0 OR ymin < y0 OR xmax > x1 OR ymax > y1""",
     "qa_geo_checks": f"""WITH {st.MONTHLY}, {st.BOUNDS}, r AS (SELECT 'orders/tas/' || year(month) || '/' || lpad(CAST(month(month) AS VARCHAR), 2, '0') AS entity,
   month(month) AS m, count(*) FILTER (v < 250000) / count(*) AS share FROM monthly GROUP BY 1, 2)

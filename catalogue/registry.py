@@ -77,8 +77,8 @@ def code_field_scores(spark, sf):
 
 def coerce_bbox(spark, sf):
     return st.boxes(spark, sf).select(
-        "vec_id", bx.coerce_bbox(F.col("bounds")).alias("b")
-    ).select("vec_id", F.col("b").isNotNull().alias("valid"), bx.format_bbox(F.col("b")).alias("shown"))
+        "vec_id", "i", bx.coerce_bbox(F.col("bounds")).alias("b")
+    ).select("vec_id", "i", F.col("b").isNotNull().alias("valid"), bx.format_bbox(F.col("b")).alias("shown"))
 
 
 def union_bbox(spark, sf):
@@ -337,7 +337,7 @@ p AS (SELECT dataset, "column",
   - CASE WHEN n LIKE '%name%' OR n LIKE '%desc%' OR n LIKE '%label%' THEN 2 ELSE 0 END AS score FROM s),
 r AS (SELECT *, row_number() OVER (PARTITION BY dataset ORDER BY score DESC, "column" DESC) AS k FROM p)
 SELECT dataset, "column", score, score >= 3 AS confident FROM r WHERE k = 1""",
-    "coerce_bbox": f"""WITH {st.BOXES} SELECT vec_id, valid, CASE WHEN valid THEN
+    "coerce_bbox": f"""WITH {st.BOXES} SELECT vec_id, i, valid, CASE WHEN valid THEN
   printf('[%.5f, %.5f, %.5f, %.5f]', xmin, ymin, xmax, ymax) ELSE '[null, null, null, null]' END AS shown FROM boxes""",
     "union_bbox": f"""WITH {st.BOXES} SELECT label, min(xmin) FILTER (valid) AS xmin, min(ymin) FILTER (valid) AS ymin,
   max(xmax) FILTER (valid) AS xmax, max(ymax) FILTER (valid) AS ymax FROM boxes GROUP BY label""",

@@ -230,22 +230,24 @@ RAIN = """rain AS (
 # -- boxes ------------------------------------------------------------------------------
 
 def boxes(spark, sf) -> DataFrame:
-    """Box texts from embeddings; some too short, some not numeric, some with a NULL."""
-    e = lambda i: F.get("embedding", F.lit(i)).cast("double")
+    """Box texts from every four numbers of embeddings; some too short, some not numeric, some with a NULL."""
+    quads = F.transform(F.sequence(F.lit(0), F.floor(F.size("embedding") / 4).cast("int") - 1), lambda i: F.slice("embedding", i * 4 + 1, F.lit(4)))
+    rows = table(spark, sf, "embeddings").select("vec_id", "label", F.posexplode(quads).alias("i", "q"))
+    e = lambda i: F.get("q", F.lit(i)).cast("double")
     corners_ = [F.least(e(0), e(2)), F.least(e(1), e(3)), F.greatest(e(0), e(2)), F.greatest(e(1), e(3))]
     t = [c.cast("string") for c in corners_]
-    kind = F.col("vec_id") % 5
+    kind = (F.col("vec_id") + F.col("i")) % 5
     bounds = (
         F.when(kind == 1, F.array(*t[:3]))
         .when(kind == 2, F.array(*t[:3], F.concat(F.lit("x"), t[3])))
         .when(kind == 3, F.array(t[0], F.lit(None).cast("string"), t[2], t[3]))
         .otherwise(F.array(*t))
     )
-    return table(spark, sf, "embeddings").select("vec_id", "label", bounds.alias("bounds"))
+    return rows.select("vec_id", "i", "label", bounds.alias("bounds"))
 
 
 BOXES = """boxes AS (
-  SELECT vec_id, label, vec_id % 5 IN (0, 4) AS valid,
-         CAST(least(embedding[1], embedding[3]) AS DOUBLE) AS xmin, CAST(least(embedding[2], embedding[4]) AS DOUBLE) AS ymin,
-         CAST(greatest(embedding[1], embedding[3]) AS DOUBLE) AS xmax, CAST(greatest(embedding[2], embedding[4]) AS DOUBLE) AS ymax
-  FROM embeddings)"""
+  SELECT vec_id, CAST(i AS INTEGER) AS i, label, (vec_id + i) % 5 IN (0, 4) AS valid,
+         CAST(least(q[1], q[3]) AS DOUBLE) AS xmin, CAST(least(q[2], q[4]) AS DOUBLE) AS ymin,
+         CAST(greatest(q[1], q[3]) AS DOUBLE) AS xmax, CAST(greatest(q[2], q[4]) AS DOUBLE) AS ymax
+  FROM (SELECT vec_id, label, i, embedding[4 * i + 1 : 4 * i + 4] AS q FROM embeddings, LATERAL unnest(range(0, len(embedding) // 4)) AS t(i)))"""
