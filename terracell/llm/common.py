@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import contextlib
 import pickle
 import sys
 
@@ -11,12 +12,40 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from ..session import materialize, scratch_path
 
-__all__ = ["materialize", "scratch_path", "table", "without", "id_remainder", "add_columns", "utf8", "share", "shared"]
+__all__ = ["materialize", "materialize_small", "small_batches", "scratch_path", "table", "without", "id_remainder", "add_columns", "utf8", "share", "shared"]
 
 # Python functions travel to the executors with their code, so these need no copy of the package.
 cloudpickle.register_pickle_by_value(sys.modules[__package__])
 
 
+_BATCH = {  # rows handed to Python at once: long texts and sets must not add up
+    "spark.sql.execution.arrow.maxRecordsPerBatch": "1000",
+    "spark.sql.execution.arrow.maxBytesPerBatch": str(4 << 20),
+}
+
+
+@contextlib.contextmanager
+def small_batches(spark: SparkSession):
+    """Small Arrow batches for what is run inside."""
+    before = {k: spark.conf.get(k, None) for k in _BATCH}
+    for k, v in _BATCH.items():
+        spark.conf.set(k, v)
+    try:
+        yield
+    finally:
+        for k, v in before.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
+
+
+def materialize_small(df: DataFrame, stem: str = "stage") -> DataFrame:
+    """``materialize`` with small batches."""
+    with small_batches(df.sparkSession):
+        return materialize(df, stem)
+
+
 def share(spark: SparkSession, value):
     """Broadcast of a Python object whose class the executors may not know."""
     return spark.sparkContext.broadcast(cloudpickle.dumps(value))

@@ -5,7 +5,7 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 
-CHUNK = 1 << 20     # bytes hashed together
+CHUNK = 1 << 18     # bytes hashed together
 _PRIME = 0x9E3779B97F4A7C15 | 1
 
 _LOWER = np.arange(256, dtype="uint8")
