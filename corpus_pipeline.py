@@ -15,9 +15,11 @@ Rows with null columns pass as each operator's docstring says.
 
 from __future__ import annotations
 
+import functools
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from terracell.llm.common import materialize, scratch_path, table
+from terracell.llm.common import materialize, scratch_path, small_batches, table
 from terracell.llm.decontam import decontaminate
 from terracell.llm.jaccard import keep_one
 from terracell.llm.langid import identify
@@ -35,23 +37,37 @@ def apart(docs: DataFrame, work) -> DataFrame:
     return out.select(*[F.col(held.get(c, c)).alias(c) for c in docs.columns])
 
 
+def bounded(stage):
+    """``stage`` with small batches for what it runs, so that stages of one session leave memory to each other."""
+    @functools.wraps(stage)
+    def run_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        with small_batches(spark):
+            return stage(spark, docs, sf_dir)
+    return run_stage
+
+
+@bounded
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return apart(docs, lambda rows: identify(rows).where("accepted"))
 
 
+@bounded
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return keep_one(docs)
 
 
+@bounded
 def clean_of_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     items = table(spark, sf_dir, "benchmark")
     return apart(docs, lambda rows: decontaminate(rows, items).where("NOT contaminated"))
 
 
+@bounded
 def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return in_order(docs, mix(docs), position=POSITION)
 
 
+@bounded
 def shards(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return shard(docs, scratch_path(spark, "slot-map"), SHARDS, position=POSITION)
 
