@@ -14,7 +14,7 @@ from .mixing import mix
 from .negatives import mine
 from .packing import pack_documents
 from .pii import extract
-from .records import index, write
+from .records import write, write_index
 from .sharding import shard
 from .suffix import remove_repeats
 from .toxicity import score, train
@@ -48,7 +48,7 @@ def op6_tokens(spark: SparkSession, sf_dir: str, tokenizer: str | None = None) -
     import public_tokenizers
     path = scratch_path(spark, "token-records")
     write(table(spark, sf_dir, "documents"), path, tokenizer or public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.PATTERN)
-    return index(spark, path).withColumnRenamed("key", "doc_id").select("doc_id", "start", "n_tokens", "ids_crc32", "offset", "length")
+    return write_index(spark, path).withColumnRenamed("key", "doc_id").select("doc_id", "start", "n_tokens", "ids_crc32", "offset", "length")
 
 
 def op7_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:

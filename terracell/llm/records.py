@@ -33,7 +33,9 @@ from .common import materialize
 END_ID = 0
 RANGE_BYTES = 8 << 20    # text per range of ids
 CHUNK_BYTES = 8 << 20    # a file is closed once its records reach this; one longer record has a file of its own
-CACHE = 300_000          # encodings of pieces of text after which all are forgotten
+CACHE = 100_000          # encodings of pieces of text after which all are forgotten
+
+INDEX = ".index"         # what the folder of the offset index has after the name of the files' folder
 
 _MASK = 0xA282EAD8       # fixed value: the constant of masked checksums
 _EXTRA = 17              # bytes of a record besides its body
@@ -102,19 +104,26 @@ class Known(dict):
         return ids
 
 
-def _remembered(path: str, make) -> Known:
-    """Encodings that outlive a task in its Python process."""
+def _remembered(name: str, make):
+    """What ``make`` gives, kept for later tasks of the same Python process."""
     process = sys.modules.setdefault("terracell_process_cache", types.ModuleType("terracell_process_cache"))
-    if path not in process.__dict__:
-        process.__dict__[path] = Known(make)
-    return process.__dict__[path]
+    if name not in process.__dict__:
+        process.__dict__[name] = make()
+    return process.__dict__[name]
 
 
 def encoder(path: str, pattern: str | None):
+    """``_encoder``, made once per Python process."""
+    return _remembered(f"{path} {pattern}", lambda: _encoder(path, pattern))
+
+
+def _encoder(path: str, pattern: str | None):
     """A function from texts to their ids as bytes, and the id type.
 
     ``pattern`` is the tokenizer's own split of a text into pieces that are
-    encoded one by one. Given it, a piece is encoded once and remembered. Texts
+    encoded one by one; no piece may go from other characters on into white space.
+    Then a word with the white space before it always has the same pieces, and
+    it is split and encoded once and remembered, as are its pieces. Texts
     that hold a special token, or control characters on whose class regular
     expression engines differ, are encoded whole.
     """
@@ -125,7 +134,15 @@ def encoder(path: str, pattern: str | None):
     odd = re.compile("[\x1c-\x1f\x85]").search
     split = regex.compile(pattern).findall if pattern else None
     ids_of = _piece_encoder(tok)
-    known = _remembered(f"{path} {code}", lambda piece: array(code, ids_of(piece)).tobytes())
+    words = re.compile(r"\s*\S+|\s+").findall
+
+    def ids(chunk):
+        pieces = split(chunk)
+        if len(pieces) == 1:
+            return array(code, ids_of(chunk)).tobytes()
+        return b"".join([known[p] for p in pieces])
+
+    known = Known(ids)
 
     def encode(texts):
         for t in texts:
@@ -134,7 +151,7 @@ def encoder(path: str, pattern: str | None):
                 continue
             if len(known) > CACHE:
                 known.clear()
-            yield b"".join(map(known.__getitem__, split(t)))
+            yield b"".join(map(known.__getitem__, words(t)))
 
     return encode, kind
 
@@ -180,6 +197,12 @@ def write(docs: DataFrame, path: str, tokenizer: str, pattern: str | None = None
     framed.select("chunk", F.expr("substring(record, 1, length(record) - 1)").cast("string").alias("value")).write.partitionBy("chunk").text(path)
 
 
+def _decoded(body: bytes):
+    """(key, ids) of a record's body."""
+    marks, key = struct.unpack_from("<Bq", body)
+    return key if marks & 1 else None, np.frombuffer(body, dtype="<u4" if marks & 2 else "<u2", offset=9).astype("<u4")
+
+
 def read(spark: SparkSession, path: str) -> DataFrame:
     """(key, file, range, chunk, number, offset, length, before, n_tokens, ids) of every record below ``path``, checked.
 
@@ -191,9 +214,8 @@ def read(spark: SparkSession, path: str) -> DataFrame:
                 rows, before = [], 0
                 part, chunk = int(name.rsplit("/part-", 1)[1].split("-")[0]), int(name.rsplit("/chunk=", 1)[1].split("/")[0])
                 for i, (at, body) in enumerate(frames(data.as_py(), name)):
-                    marks, k = struct.unpack_from("<Bq", body)
-                    ids = np.frombuffer(body, dtype="<u4" if marks & 2 else "<u2", offset=9).astype("<u4")
-                    rows.append((k if marks & 1 else None, name, part, chunk, i, at, len(body) + _EXTRA, before, len(ids), ids.tobytes()))
+                    k, ids = _decoded(body)
+                    rows.append((k, name, part, chunk, i, at, len(body) + _EXTRA, before, len(ids), ids.tobytes()))
                     before += len(ids)
                     if len(rows) == 256:
                         yield _records(rows)
@@ -216,7 +238,7 @@ def _records(rows):
 def index(spark: SparkSession, path: str) -> DataFrame:
     """The offset index: (key, file, offset, length, start, n_tokens, ids_crc32), one row per record, read from the files.
 
-    ``start`` counts the ids of all records before it, ``ids_crc32`` is the
+    ``file`` is relative to ``path``. ``start`` counts the ids of all records before it, ``ids_crc32`` is the
     CRC-32 of the ids as four-byte integers. With it a reader fetches records
     in any order by file, offset and length.
     """
@@ -226,4 +248,51 @@ def index(spark: SparkSession, path: str) -> DataFrame:
     before = Window.partitionBy(F.lit(0)).orderBy("range", "chunk").rowsBetween(Window.unboundedPreceding, -1)
     first = files.select("range", "chunk", F.coalesce(F.sum("_sum").over(before), F.lit(0)).alias("_first"))
     return rows.join(first, ["range", "chunk"]).select(
-        "key", "file", "offset", "length", (F.col("before") + F.col("_first")).alias("start"), "n_tokens", "ids_crc32")
+        "key", _relative(F.col("file")).alias("file"), "offset", "length", (F.col("before") + F.col("_first")).alias("start"), "n_tokens", "ids_crc32")
+
+
+def _relative(file):
+    return F.regexp_extract(file, "(chunk=[0-9]+/[^/]+)$", 1)
+
+
+def write_index(spark: SparkSession, path: str) -> DataFrame:
+    """Store the offset index beside the files, at ``path`` + INDEX; the stored table."""
+    index(spark, path).write.parquet(path + INDEX)
+    return read_index(spark, path)
+
+
+def read_index(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.parquet(path + INDEX)
+
+
+def fetch(spark: SparkSession, path: str, wanted: DataFrame) -> DataFrame:
+    """(place, key, n_tokens, ids) of the records that ``wanted`` (place, file, offset) names, in any order and as often as it does.
+
+    Each file is opened once and gives the wanted stretches of it; only those
+    are checked and decoded. ``wanted`` comes from the index.
+    """
+    stretch = F.struct("place", "offset", "length")
+    asked = wanted.join(read_index(spark, path).select("file", "offset", "length"), ["file", "offset"]).groupBy("file").agg(
+        F.collect_list(stretch).alias("asked"))  # at most the records of a file, times how often each is named
+    files = spark.read.format("binaryFile").load(path).select(_relative(F.col("path")).alias("file"), "content").join(asked, "file")
+    cut = F.transform("asked", lambda a: F.struct(a["place"].alias("place"), F.substring(
+        F.col("content"), (a["offset"] + 1).cast("int"), a["length"].cast("int")).alias("record")))
+
+    def run(batches):
+        for b in batches:
+            rows = []
+            for place, data in zip(b.column(0).to_pylist(), b.column(1), strict=True):
+                for _, body in frames(data.as_py(), "record"):
+                    key, ids = _decoded(body)
+                    rows.append((place, key, len(ids), ids.tobytes()))
+            names, kinds = ["place", "key", "n_tokens", "ids"], [pa.int64(), pa.int64(), pa.int64(), pa.binary()]
+            columns = list(zip(*rows, strict=True)) or [[]] * 4
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, kinds, strict=True)], names=names)
+
+    return files.select(F.inline(cut)).mapInArrow(run, "place BIGINT, key BIGINT, n_tokens BIGINT, ids BINARY")
+
+
+def shuffled(spark: SparkSession, path: str, seed: int) -> DataFrame:
+    """All records in an order that depends on ``seed`` only: by ranges of the shuffled place, sorted within."""
+    place = F.xxhash64("file", "offset", F.lit(seed))
+    return fetch(spark, path, read_index(spark, path).select(place.alias("place"), "file", "offset")).repartitionByRange("place").sortWithinPartitions("place")
