@@ -28,9 +28,10 @@ class Automaton:
     """Suffix automaton of several word sequences, with the items of each window.
 
     ``step`` keeps the longest suffix of the words read so far that occurs in
-    some item. ``items`` maps a state to the items that hold the window ending
-    there; ``short`` maps a state to the (length, item) of whole items shorter
-    than a window that end there.
+    some item. ``items`` maps a state to the set of items that hold the window
+    ending there, by its number in ``sets``. ``own`` maps a state to whole items shorter than a
+    window that end there, as (length, set) with one set for all equal items;
+    ``short`` leads from a state to the nearest of its suffixes that has such items.
     """
 
     def __init__(self, pieces, window: int):
@@ -82,7 +83,7 @@ class Automaton:
 
     def _mark(self, coded):
         held: dict[int, set] = {}
-        own: dict[int, list] = {}
+        whole_items: dict[tuple[int, int], set] = {}
         for item, whole, ids in coded:
             v = 0
             for i, c in enumerate(ids):
@@ -90,19 +91,27 @@ class Automaton:
                 if i + 1 >= self.window:
                     held.setdefault(self._level(v, self.window), set()).add(item)
             if whole and 0 < len(ids) < self.window:
-                own.setdefault(self._level(v, len(ids)), []).append((len(ids), item))
+                whole_items.setdefault((self._level(v, len(ids)), len(ids)), set()).add(item)
+        self.sets: list[set] = []
+        number = {}
+        for v, found in held.items():
+            number[v] = len(self.sets)
+            self.sets.append(found)
+        self.own: dict[int, list[tuple[int, int]]] = {}
+        for (v, length), found in whole_items.items():
+            self.own.setdefault(v, []).append((length, len(self.sets)))
+            self.sets.append(found)
         self.items: list = [None] * len(self.size)
         self.short: list = [None] * len(self.size)
         for v in sorted(range(1, len(self.size)), key=self.size.__getitem__):
             if self.size[v] >= self.window:
-                self.items[v] = held.get(self._level(v, self.window))
-            if own:
-                self.short[v] = (self.short[self.link[v]] or []) + own.get(v, []) or None
+                self.items[v] = number.get(self._level(v, self.window))
+            self.short[v] = v if v in self.own else self.short[self.link[v]]
 
     def scan(self, text_words):
         """(spans, items) of a document: maximal hit spans [start, end) in words, items found."""
         follow, link, size, items, short, window = self.next, self.link, self.size, self.items, self.short, self.window
-        spans, found, v, n, code = [], set(), 0, 0, self.vocab.get
+        spans, hits, v, n, code = [], set(), 0, 0, self.vocab.get
         for i, c in enumerate(map(code, text_words)):
             if c is None:
                 v = n = 0
@@ -114,19 +123,22 @@ class Automaton:
                 to = follow[v].get(c)
             v, n = to, n + 1
             cover = 0
-            if n >= window and items[v]:
-                cover, found = window, found | items[v] if not items[v] <= found else found
-            if short[v]:
-                for length, item in short[v]:
+            if n >= window and items[v] is not None:
+                cover = window
+                hits.add(items[v])
+            u = short[v]
+            while u is not None:  # fewer steps than a window has words
+                for length, found in self.own[u]:
                     if length <= n:
                         cover = max(cover, length)
-                        found.add(item)
+                        hits.add(found)
+                u = short[link[u]]
             if cover:
                 a = i + 1 - cover
                 while spans and spans[-1][1] >= a:
                     a = min(a, spans.pop()[0])
                 spans.append((a, i + 1))
-        return spans, found
+        return spans, set().union(*(self.sets[h] for h in hits))
 
 
 def _pieces(items: DataFrame, item_id: str, item_text: str, window: int) -> DataFrame:
