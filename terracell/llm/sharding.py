@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import heapq
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from .common import materialize, without
@@ -86,11 +87,28 @@ def read_map(spark: SparkSession, path: str, version: int) -> DataFrame:
     return spark.read.parquet(f"{path}/version={version}").withColumn("map_version", F.lit(version))
 
 
+def latest_version(spark: SparkSession, path: str) -> int | None:
+    """The number of the last map below ``path``, or None where there is none."""
+    try:
+        return spark.read.parquet(path).agg(F.max("version")).first()[0]
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return None
+
+
 def next_version(spark: SparkSession, path: str, version: int, sized: DataFrame, shards: int, slots: int = SLOTS) -> int:
-    """Edit map ``version`` for the bytes of ``sized`` and ``shards`` shards; returns the new version."""
-    old = {r["virtual_slot"]: r["shard"] for r in read_map(spark, path, version).collect()}
+    """Edit map ``version`` for the bytes of ``sized`` and ``shards`` shards.
+
+    Returns the new version, or ``version`` where no slot has to move.
+    """
+    held = read_map(spark, path, version).collect()
+    old = {r["virtual_slot"]: r["shard"] for r in held}
     weight = slot_bytes(sized)
-    write_map(spark, path, version + 1, shards, rebalance(old, weight, shards, slots), weight)
+    new = rebalance(old, weight, shards, slots)
+    if new == old and all(r["shards"] == shards for r in held):
+        return version
+    write_map(spark, path, version + 1, shards, new, weight)
     return version + 1
 
 
@@ -99,8 +117,10 @@ def shard(
 ) -> DataFrame:
     """Rows (key, size, text_crc32, virtual_slot, map_version, law, shard, slot, grown_shard) for every row of ``docs``.
 
-    The law is ``bytes``: the first version of the map, stored below ``path``,
-    spreads the slots so that shards have nearly equal bytes. ``slot`` numbers
+    The law is ``bytes``: the map stored below ``path`` spreads the slots so
+    that shards have nearly equal bytes. Where there is a map already, its last
+    version is edited for these rows: only slots move that the balance asks for, and
+    a version is added if any does. ``slot`` numbers
     the rows of a shard from 0, in the order of the column ``position`` if one
     is named, rows without a position first. Rows with equal keys share a
     virtual slot and a shard; an empty table gives no rows.
@@ -112,9 +132,13 @@ def shard(
             key, "size", "text_crc32", "virtual_slot", "_place", F.pmod(F.spark_partition_id(), F.lit(PARTS)).alias("_part")),
         "sized",
     )
-    weight = slot_bytes(thin)
-    write_map(spark, path, 0, shards, rebalance({}, weight, shards, slots), weight)
-    held = read_map(spark, path, 0).select("virtual_slot", "shard", "map_version")  # SLOTS rows
+    version = latest_version(spark, path)
+    if version is None:
+        version, weight = 0, slot_bytes(thin)
+        write_map(spark, path, version, shards, rebalance({}, weight, shards, slots), weight)
+    else:
+        version = next_version(spark, path, version, thin, shards, slots)
+    held = read_map(spark, path, version).select("virtual_slot", "shard", "map_version")  # SLOTS rows
     if position:
         cell = F.coalesce(F.floor(F.col("_place") / RANGE), F.col("_part") - PARTS)
     else:
