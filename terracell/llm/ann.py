@@ -166,10 +166,12 @@ def search(
     sample; one that finds fewer than ``k`` rows there goes to all the others too,
     so a list is short only if the table has no more candidates. Partitions
     and queries are compared in blocks of about BLOCK, so no task holds more,
-    whatever the size of a partition. Vectors must have one length.
+    whatever the size of a partition. Vectors must have one length. Rows equal
+    in id and vector count once; other rows of one id are candidates each, and
+    queries each with a list of their own.
     """
     spark = vectors.sparkSession
-    rows = usable(vectors, key, vector).select(F.col(key).cast("long").alias("id"), F.col(vector).alias("v"))
+    rows = usable(vectors, key, vector).select(F.col(key).cast("long").alias("id"), F.col(vector).alias("v")).dropDuplicates()
     taken = rows.orderBy(F.xxhash64("id"), "id").limit(sample).select("v").toArrow()["v"].combine_chunks()
     parts = PARTS
     router, mass = fit(_matrix(taken), parts, k)
@@ -197,7 +199,7 @@ def search(
         out = []
         if left.num_rows and right.num_rows:
             ids, x = right["id"].to_numpy(), _matrix(right["v"].combine_chunks())
-            qid, q = left["qid"].to_numpy(), _matrix(left["q"].combine_chunks())
+            qid, qseq, q = left["qid"].to_numpy(), left["qseq"].to_numpy(), _matrix(left["q"].combine_chunks())
             for a in range(0, len(q), 256):
                 s = q[a:a + 256] @ x.T
                 s[qid[a:a + 256, None] == ids[None, :]] = -np.inf
@@ -207,28 +209,29 @@ def search(
                     at = np.flatnonzero((s[i] >= limit[i] - 1e-9 * (1 + abs(limit[i]))) & (s[i] > -np.inf))
                     exact = (q[a + i] * x[at]).sum(axis=1)
                     best = np.lexsort((ids[at], -exact))[:k]
-                    out.append((np.full(len(best), qid[a + i]), ids[at][best], exact[best]))
-        cols = [np.concatenate(c) for c in zip(*out)] if out else [np.zeros(0, "int64"), np.zeros(0, "int64"), np.zeros(0)]
-        return pa.table({"query_id": pa.array(cols[0], pa.int64()), "vec_id": pa.array(cols[1], pa.int64()), "score": pa.array(cols[2], pa.float64())})
+                    out.append((np.full(len(best), qseq[a + i]), np.full(len(best), qid[a + i]), ids[at][best], exact[best]))
+        cols = [np.concatenate(c) for c in zip(*out)] if out else [*[np.zeros(0, "int64")] * 3, np.zeros(0)]
+        names, kinds = ["qseq", "query_id", "vec_id", "score"], [pa.int64()] * 3 + [pa.float64()]
+        return pa.table({n: pa.array(c, t) for n, c, t in zip(names, cols, kinds, strict=True)})
 
     def ranked(found):
-        rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))
-        return found.withColumn("rank", rank).where(F.col("rank") <= k).select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")
+        rank = F.row_number().over(Window.partitionBy("qseq").orderBy(F.desc("score"), "vec_id"))
+        return found.withColumn("rank", rank).where(F.col("rank") <= k).select("qseq", "query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")
 
     def compared(asked):
         turns = max(1, -(-asked.count() // BLOCK))
         stored = routed.join(sides, "part").select(
             "part", F.pmod("seq", "blocks").cast("int").alias("block"), F.explode(F.sequence(F.lit(0), F.lit(turns - 1))).alias("turn"), "id", "v")
-        posed = asked.select("qid", "q", F.pmod("seq", F.lit(turns)).cast("int").alias("q_turn"), F.explode("ask").alias("part")).join(sides, "part").select(
-            F.col("part").alias("q_part"), F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("q_block"), "q_turn", "qid", "q")
+        posed = asked.select(F.col("seq").alias("qseq"), "qid", "q", F.pmod("seq", F.lit(turns)).cast("int").alias("q_turn"), F.explode("ask").alias("part")).join(sides, "part").select(
+            F.col("part").alias("q_part"), F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("q_block"), "q_turn", "qseq", "qid", "q")
         return posed.groupBy("q_part", "q_block", "q_turn").cogroup(stored.groupBy("part", "block", "turn")).applyInArrow(
-            compare, "query_id BIGINT, vec_id BIGINT, score DOUBLE")
+            compare, "qseq BIGINT, query_id BIGINT, vec_id BIGINT, score DOUBLE")
 
     near = materialize(ranked(compared(asked)), "near")
     # queries whose partitions held too few rows go to all the others that hold any
-    full = near.where(F.col("rank") == k).select("query_id")
+    full = near.where(F.col("rank") == k).select("qseq")
     others = F.array_except(F.lit([r["part"] for r in sizes.select("part").collect()]).cast("array<int>"), "ask")
-    short = asked.join(full, asked["qid"] == full["query_id"], "left_anti").withColumn("ask", others).where(F.size("ask") > 0)
+    short = asked.join(full, asked["seq"] == full["qseq"], "left_anti").withColumn("ask", others).where(F.size("ask") > 0)
     if short.isEmpty():
-        return near
-    return ranked(near.drop("rank").unionAll(compared(materialize(short, "short"))))
+        return near.drop("qseq")
+    return ranked(near.drop("rank").unionAll(compared(materialize(short, "short")))).drop("qseq")
