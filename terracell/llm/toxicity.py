@@ -12,6 +12,7 @@ from .wordhash import Powers, mix, text_words
 BITS = 20                      # the model has at most 2^20 weights, 4 MB
 STEMS = (4, 5)                 # first bytes of words that are features too
 SHARD_ROWS = 8192              # labelled rows per learner; learners' weights are averaged
+SHARD_BYTES = 48 << 20    # of text in a shard, about
 EPOCHS = 3
 ALPHA, BETA, L1, L2 = 0.2, 1.0, 1.0, 1.0
 HELD_OUT, HELD = 4, 2          # rows whose id remainder of 4 is 2 are never learned from
@@ -61,18 +62,22 @@ def train(docs: DataFrame, labels: DataFrame, text: str = "text", key: str = "do
     """(indices, weights) of the averaged model, indices sorted; empty without labelled rows.
 
     All rows with a text, a label of 0 or 1 and an id remainder other than HELD
-    are learned from, in shards of about SHARD_ROWS by a hash of the key. Of
-    several labels of a key the highest counts; repeated keys each count.
+    are learned from, in shards of about SHARD_ROWS, fewer where they are longer than
+    SHARD_BYTES, by a hash of the row. Of several labels of a key the highest
+    counts; rows of a repeated key each count.
     """
     marks = labels.where(F.col(label).isin(0, 1) & F.col(key).isNotNull()).groupBy(F.col(key).alias("_key")).agg(
         F.max(label).cast("double").alias("y")).where(id_remainder(F.col("_key"), HELD_OUT) != HELD)
     count = marks.count()
     if not count:
         return np.zeros(0, "int64"), np.zeros(0)
-    shards = -(-count // SHARD_ROWS)
     rows = docs.where(F.col(text).isNotNull()).select(F.col(key).alias("_key"), F.col(text).alias("t"))
-    rows = rows.join(F.broadcast(marks) if count <= LABELS_BROADCAST else marks, "_key").select(
-        F.pmod(F.xxhash64("_key"), F.lit(shards)).alias("shard"), "t", "y")
+    rows = rows.join(F.broadcast(marks) if count <= LABELS_BROADCAST else marks, "_key")
+    size, number = rows.agg(F.coalesce(F.sum(F.octet_length("t")), F.lit(0)), F.count("*")).first()
+    if not number:
+        return np.zeros(0, "int64"), np.zeros(0)
+    shards = max(-(-number // SHARD_ROWS), -(-size // SHARD_BYTES))
+    rows = rows.select(F.pmod(F.xxhash64("_key", "t"), F.lit(shards)).alias("shard"), "t", "y")
 
     def fit(table: pa.Table) -> pa.Table:
         powers = Powers()
