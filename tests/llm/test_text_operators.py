@@ -9,7 +9,7 @@ import zlib
 import numpy as np
 import pytest
 
-from terracell.llm import ann, jaccard, langid, mixing, records, sharding, suffix, toxicity
+from terracell.llm import ann, decontam, jaccard, langid, mixing, records, sharding, suffix, toxicity
 from terracell.llm.ann import search
 from terracell.llm.decontam import decontaminate, remove_spans
 from terracell.llm.langid import identify
@@ -254,6 +254,26 @@ def test_blind_trie_sorts():
         assert [rows[i] for i in suffix.blind_order(rows)] == sorted(rows)
 
 
+def test_a_second_batch_edits_the_map(spark, tmp_path):
+    path = str(tmp_path / "map")
+    first = texts(spark, [prose(i, 30) for i in range(400)])
+    one = {r["doc_id"]: r for r in sharding.shard(first, path, 4).collect()}
+    same = {r["doc_id"]: r["shard"] for r in sharding.shard(first, path, 4).collect()}
+    assert {r["map_version"] for r in one.values()} == {0} and same == {i: r["shard"] for i, r in one.items()}
+    assert sharding.latest_version(spark, path) == 0
+    grown = first.unionByName(texts(spark, [prose(i, 300) for i in range(400, 460)], range(400, 460)))
+    two = sharding.shard(grown, path, 4).collect()
+    assert {r["map_version"] for r in two} == {1} == {sharding.latest_version(spark, path)}
+    moved = sum(one[r["doc_id"]]["shard"] != r["shard"] for r in two if r["doc_id"] in one)
+    load = collections.Counter()
+    for r in two:
+        load[r["shard"]] += r["size"]
+    assert moved < 200 and max(load.values()) < 1.1 * sum(load.values()) / 4
+    five = sharding.shard(grown, path, 5).collect()
+    assert {r["map_version"] for r in five} == {2} and {r["shard"] for r in five} == set(range(5))
+    assert sharding.latest_version(spark, str(tmp_path / "none")) is None
+
+
 # --- mixing ---
 
 def test_blocks_meet_their_windows_and_targets(spark):
@@ -305,6 +325,22 @@ def test_small_weights_are_exact(spark, monkeypatch):
     assert mixing.target_shares({"=a": 1, "=b": 1}, {"a": 0.1, "b": 0.2}) == ({"=a": 334, "=b": 668}, 1002)
 
 
+def test_many_equal_short_items(spark):
+    import time
+    items = [(i, "lorem") for i in range(8000)] + [(9000 + i, "ipsum lorem") for i in range(500)]
+    value = "lorem ipsum " * 5000
+    start = time.time()
+    automaton = decontam.Automaton([(str(i), True, t.encode().split()) for i, t in items], 13)
+    built = time.time()
+    spans, found = automaton.scan(decontam.words(value.encode()))
+    assert time.time() - built < 1.0 and built - start < 2.0
+    assert spans == [(0, 9999)] and found == {str(i) for i, _ in items}
+    docs = [(1, value[:120]), (2, "ipsum"), (3, "ipsum lorem x")]
+    got = {r["doc_id"]: (r["n_words"], r["n_hit"], r["n_items"], r["items_sha256"], r["contaminated"]) for r in decontaminate(
+        texts(spark, [t for _, t in docs], [d for d, _ in docs]), spark.createDataFrame(items, "item_id BIGINT, text STRING")).collect()}
+    assert got == brute_hits(docs, items)
+
+
 # --- language ---
 
 def test_languages_are_told_apart(spark):
@@ -319,6 +355,49 @@ def test_languages_are_told_apart(spark):
     assert got[None]["lang_pred"] == got[903]["lang_pred"] == "y"
 
 
+def brute_bits(words_of, word):
+    """Bits of a word under interpolated Kneser-Ney 4-grams, from the counts of the words learned."""
+    grams = {4: collections.Counter()}
+    for w, n in words_of.items():
+        p = "\x02" * 3 + w + "\x03"
+        for i in range(len(p) - 3):
+            grams[4][p[i:i + 4]] += n
+    for k in (3, 2, 1):
+        grams[k] = collections.Counter(g[1:] for g in grams[k + 1])
+    total, types, cut = {}, {}, {}
+    for k, own in grams.items():
+        total[k], types[k] = collections.Counter(), collections.Counter()
+        for g, c in own.items():
+            total[k][g[:-1]] += c
+            types[k][g[:-1]] += 1
+        once, twice = sum(c == 1 for c in own.values()), sum(c == 2 for c in own.values())
+        cut[k] = once / (once + 2 * twice) if once and twice else 0.5
+    p, bits = "\x02" * 3 + word + "\x03", 0.0
+    for i in range(len(p) - 3):
+        q = 1 / (len(grams[1]) + 1)
+        for k in (1, 2, 3, 4):
+            g = p[i + 4 - k:i + 4]
+            if total[k][g[:-1]]:
+                q = (max(grams[k][g] - cut[k], 0) + cut[k] * types[k][g[:-1]] * q) / total[k][g[:-1]]
+        bits -= np.log2(q)
+    return bits
+
+
+def test_cross_entropies_equal_brute_force(spark):
+    r = random.Random(12)
+    make = lambda letters: " ".join("".join(r.choice(letters) for _ in range(r.randrange(1, 7))) for _ in range(r.randrange(1, 12)))
+    rows = [(i, make("abcdeé你" if i % 2 else "cdefgß"), ["x", "y"][i % 2], "s", 1) for i in range(120)]
+    rows += [(500, "zzz qqq ab", None, "s", 1), (501, "Cd CD cd" * 40, "x", "s", 1), (501, "Cd CD cd" * 40, "x", "s", 1)]
+    learned = {"x": collections.Counter(), "y": collections.Counter()}
+    for i, t, la, _, _ in rows:
+        if la and zlib.crc32(str(i).encode()) % 5:
+            learned[la].update(langid.words(t))
+    for got in identify(frame(spark, rows)).collect():
+        ws = langid.words(got["text"])
+        bits = {la: sum(brute_bits(own, w) for w in ws) / sum(len(w) + 1 for w in ws) for la, own in learned.items()}
+        assert got["bits_per_char"] == pytest.approx(min(bits.values()), rel=1e-9) and bits[got["lang_pred"]] == min(bits.values())
+
+
 def test_language_without_anything_to_learn(spark):
     docs = frame(spark, [(1, "abc", None, "s", 1)])
     assert identify(docs).first()["lang_pred"] == "und" and identify(docs.limit(0)).count() == 0
@@ -361,6 +440,35 @@ def test_toxicity_is_learned_and_labels_stay_apart(spark):
     assert toxicity.score(docs, none).first()["score"] == 0.5
 
 
+def test_ftrl_equals_the_plain_updates():
+    r = np.random.default_rng(5)
+    rows = [np.append(np.unique(r.choice(50, size=r.integers(1, 9))), toxicity._SIZE).astype("int32") for _ in range(300)]
+    labels = np.array([float(3 in row or 7 in row) for row in rows])
+    z, n, order = collections.defaultdict(float), collections.defaultdict(float), np.random.default_rng(7)
+    weight = lambda j: 0.0 if abs(z[j]) <= toxicity.L1 else (
+        (toxicity.L1 if z[j] > 0 else -toxicity.L1) - z[j]) / ((toxicity.BETA + n[j] ** 0.5) / toxicity.ALPHA + toxicity.L2)
+    for _ in range(toxicity.EPOCHS):
+        for i in order.permutation(len(rows)):
+            w = {j: weight(j) for j in rows[i].tolist()}
+            g = 1 / (1 + np.exp(-sum(w.values()))) - labels[i]
+            for j, v in w.items():
+                z[j] += g - ((n[j] + g * g) ** 0.5 - n[j] ** 0.5) / toxicity.ALPHA * v
+                n[j] += g * g
+    got = toxicity.fit_shard(rows, labels)
+    assert np.allclose([got[j] for j in sorted(z)], [weight(j) for j in sorted(z)], atol=1e-9)
+    assert 0 < np.count_nonzero(got) < len(z) and not got[[j for j in range(100, 200)]].any()
+
+
+def test_shards_are_bounded_by_bytes(spark, monkeypatch):
+    monkeypatch.setattr(toxicity, "SHARD_BYTES", 20_000)
+    key, other = [k for k in range(20) if zlib.crc32(str(k).encode()) % 4 != 2][:2]
+    rows = [(key, f"{'vile' if i % 2 else 'kind'} {prose(i, 100, 30)}", "en", "s", 1) for i in range(200)]  # one key holds all rows
+    docs, marks = frame(spark, rows), frame(spark, [(key, 1)], "doc_id BIGINT, toxic INT")
+    model = toxicity.train(docs, marks)
+    assert len(model[0]) and toxicity.score(docs, model).where("score > 0.3").count() == 200
+    assert not len(toxicity.train(docs, frame(spark, [(other, 1)], "doc_id BIGINT, toxic INT"))[0])
+
+
 # --- token records ---
 
 def test_token_files_round_trip(spark, tmp_path, monkeypatch):
@@ -396,6 +504,22 @@ def test_records_of_a_large_vocabulary(spark, tmp_path):
     assert [(r["start"], r["n_tokens"]) for r in records.index(spark, str(tmp_path / "t")).orderBy("key").collect()] == [(0, 3), (3, 2), (5, 1), (6, 4)]
 
 
+def test_records_are_fetched_through_the_index(spark, tmp_path, monkeypatch):
+    import public_tokenizers
+    monkeypatch.setattr(records, "CHUNK_BYTES", 2000)
+    path, values = str(tmp_path / "t"), [prose(i, 60) for i in range(50)]
+    records.write(texts(spark, values), path, public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.PATTERN)
+    stored = records.write_index(spark, path)
+    assert stored.count() == 50 and stored.select("file").distinct().count() > 3
+    whole = {r["key"]: bytes(r["ids"]) for r in records.read(spark, path).collect()}
+    order = random.Random(4).choices(range(50), k=80)
+    place = spark.createDataFrame(list(enumerate(order)), "place BIGINT, key BIGINT")
+    got = sorted(records.fetch(spark, path, place.join(stored.select("key", "file", "offset"), "key")).collect(), key=lambda r: r["place"])
+    assert [r["key"] for r in got] == order and all(bytes(r["ids"]) == whole[r["key"]] and 4 * r["n_tokens"] == len(r["ids"]) for r in got)
+    one, again, two = ([r["key"] for r in records.shuffled(spark, path, seed).collect()] for seed in (1, 1, 2))
+    assert sorted(one) == list(range(50)) and one == again and one != two
+
+
 def test_damaged_records_are_refused():
     data = records.frame(b"\0" * 9 + b"ab") + records.frame(b"\0" * 9)
     assert [len(b) for _, b in records.frames(data)] == [11, 9]
@@ -491,6 +615,19 @@ def test_neighbours_reach_the_recall(spark):
     assert hit >= 0.9 * 20 * 150
 
 
+def test_repeated_ids_have_whole_lists(spark):
+    x = np.random.default_rng(9).normal(size=(61, 8))
+    rows = [(i, x[i].tolist()) for i in range(60)] + [(20, x[20].tolist()), (20, x[60].tolist()), (31, x[31].tolist())]
+    got = search(spark.createDataFrame(rows, "vec_id BIGINT, embedding ARRAY<DOUBLE>"), k=5).collect()
+    lists = collections.defaultdict(list)
+    for i, v in {(i, tuple(v)) for i, v in rows}:
+        if i % 20 == 0:
+            near = sorted((-float((np.array(v) * np.array(w)).sum()), j) for j, w in {(j, tuple(w)) for j, w in rows} if j != i)[:5]
+            lists[i].append([j for _, j in near])
+    want = collections.Counter((i, k + 1, j) for i, own in lists.items() for own_list in own for k, j in enumerate(own_list))
+    assert collections.Counter((r["query_id"], r["rank"], r["vec_id"]) for r in got) == want and len(lists[20]) == 2
+
+
 def test_few_and_no_vectors(spark):
     some = spark.createDataFrame([(0, [1.0, 0.0]), (1, [0.5, 0.0]), (2, [0.5, 1.0])], "vec_id BIGINT, embedding ARRAY<FLOAT>")
     assert [(r["rank"], r["vec_id"]) for r in search(some).orderBy("rank").collect()] == [(1, 1), (2, 2)]
