@@ -10,11 +10,11 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, functions as F, types as T
 
+from ..operators.quantiles import grouped_quantiles
 from .common import add_columns, id_remainder, materialize, share, shared, without
 
 ORDER = 4
 BLOCK_ENTRIES = 8 << 20  # entries scored against at once; more languages take more passes
-CALIBRATION_ROWS = 20_000
 REJECT = 0.5             # scores below are rejected by ``identify(...).accepted``
 HELD_OUT = 5             # rows whose id remainder is 0 of this many are never learned from
 
@@ -225,19 +225,57 @@ def cross_entropies(docs: DataFrame, models: dict[str, Model], text: str, name:
     return add_columns(docs, [(name, kind, pa_kind)], start, [text])
 
 
-def _fit(x, y, steps=50, ridge=1e-3):
-    """Logistic regression by Newton steps."""
-    x = np.column_stack([np.ones(len(x)), x])
-    w = np.zeros(x.shape[1])
+def _exact(column, bits: int):
+    """Sum of a column as a whole number of 2^-bits: the same for any order of the rows."""
+    return F.sum(F.rint(column * float(1 << bits)).cast("decimal(20,0)"))
+
+
+def _chance(weights, x):
+    """Logistic function of a linear form in the columns of ``x``."""
+    z = F.lit(float(weights[0]))
+    for w, c in zip(weights[1:], x, strict=True):
+        z = z + float(w) * c
+    return 1 / (1 + F.exp(-F.greatest(F.lit(-30.0), F.least(F.lit(30.0), z))))
+
+
+def _fit(rows: DataFrame, x: list[str], y: str, steps=50, ridge=1e-3):
+    """Logistic regression by Newton steps, each one aggregate over all ``rows``.
+
+    A wrong row of zeros is added, so the fit stays finite when all are right.
+    """
+    one = [F.lit(1.0), *map(F.col, x)]
+    n = len(one)
+    pairs = [(i, j) for i in range(n) for j in range(i, n)]
+    w = np.zeros(n)
     for _ in range(steps):
-        p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
-        grad = x.T @ (y - p) - ridge * w
-        hess = (x * (p * (1 - p) + 1e-9)[:, None]).T @ x + ridge * np.eye(len(w))
+        p = F.col("_p")
+        sums = rows.withColumn("_p", _chance(w, one[1:])).agg(
+            *[_exact((F.col(y) - p) * c, 50) for c in one], *[_exact(one[i] * one[j] * (p * (1 - p) + 1e-9), 50) for i, j in pairs]).first()
+        sums = [float(v or 0) / (1 << 50) for v in sums]
+        added = 1 / (1 + np.exp(-np.clip(w[0], -30, 30)))
+        grad, hess = np.array(sums[:n]) - ridge * w, ridge * np.eye(n)
+        grad[0] -= added
+        hess[0, 0] += added * (1 - added) + 1e-9
+        for (i, j), v in zip(pairs, sums[n:], strict=True):
+            hess[i, j] += v
+            hess[j, i] = hess[i, j]
         move = np.linalg.solve(hess, grad)
         w += move
         if np.abs(move).max() < 1e-8:
             break
-    return w
+    return [float(v) for v in w]
+
+
+def _usual(rows: DataFrame) -> dict[str, float]:
+    """Per language the bits per character up to which a text is usual: the median and eight deviations."""
+    rows = rows.where("_size >= 20")
+    middle = {r["lang"]: r["middle"] for r in grouped_quantiles(rows, ["lang"], "_bits", {"middle": 0.5}).collect()}
+    fine = F.rint(F.col("_bits") * (1 << 20)) / (1 << 20)
+    found = {}
+    for lang, n, total, squares in rows.groupBy("lang").agg(F.count("*"), _exact(fine, 20), _exact(fine * fine, 40)).collect():
+        spread = (n * int(squares) - int(total) ** 2) ** 0.5 / n / (1 << 20)
+        found[lang] = middle[lang] + 8 * max(spread, 0.05)
+    return found
 
 
 def _blocks(sizes: dict[str, int]):
@@ -253,7 +291,7 @@ def _blocks(sizes: dict[str, int]):
         yield block
 
 
-def identify(docs: DataFrame, text: str = "text", lang: str = "lang", key: str = "doc_id") -> DataFrame:
+def identify(docs: DataFrame, text: str = "text", lang: str = "lang", key: str = "doc_id", keep: list[str] | None = None) -> DataFrame:
     """``docs`` with ``held_out``, ``lang_pred``, ``score``, ``bits_per_char`` and ``accepted``.
 
     One character model per value of ``lang``, learned from every row with a
@@ -261,10 +299,15 @@ def identify(docs: DataFrame, text: str = "text", lang: str = "lang", key: str =
     counts as remainder 0, so such rows are held out). The prediction is the
     language of lowest cross-entropy per character, ties to the first by name.
     ``score`` is the chance that it is right, from a logistic fit of the lead over the runner-up and the
-    text's length on at most CALIBRATION_ROWS learned rows, times the chance
+    text's length on all learned rows, times the chance
     of so high a cross-entropy among learned rows of that language. Below
     REJECT a row is not accepted. Texts that are null or without letters are
     ``und`` with score 0 and not accepted, as is everything when nothing can be learned.
+
+    The fit needs the scores of the learned rows before any row has its final
+    one. With ``keep``, the columns of ``docs`` to return, all rows are scored
+    once and stored with those columns; without it texts would have to be
+    stored again, so the learned rows are scored twice instead.
     """
     added = ["held_out", "lang_pred", "score", "bits_per_char", "accepted"]
     rest = without(docs, added).withColumn("held_out", id_remainder(F.col(key), HELD_OUT) == 0)
@@ -272,8 +315,9 @@ def identify(docs: DataFrame, text: str = "text", lang: str = "lang", key: str =
     arrays = materialize(counts(learned, text, lang), "language-models")
     sizes = {r[0]: r[1] for r in arrays.groupBy("lang").count().collect()}
     blocks = list(_blocks(sizes))
+    kept = rest.columns if keep is None else [*without(rest.select(*keep), added).columns, "held_out"]
     if not blocks:
-        return rest.withColumns({
+        return rest.select(*kept).withColumns({
             "lang_pred": F.lit("und"), "score": F.lit(0.0), "bits_per_char": F.lit(None).cast("double"), "accepted": F.lit(False)})
 
     def scored(rows):
@@ -289,29 +333,28 @@ def identify(docs: DataFrame, text: str = "text", lang: str = "lang", key: str =
         return rows.withColumns({"_lang": best["lang"], "_bits": best["bits"], "_second": F.get(marks, F.lit(1)),
                                  "_size": F.col(f"{names[0]}.size")}).drop(*names)
 
-    # only hashes go to one task to find the last of the sample; its texts are scored where they lie
-    picked = learned.select(text, lang, F.xxhash64(key, text, lang).alias("_hash"))
-    last = picked.select("_hash").orderBy("_hash").limit(CALIBRATION_ROWS).agg(F.max("_hash")).first()[0]
-    sample = scored(picked.where(F.col("_hash") <= F.lit(last))).select(
-        "_hash", F.col(lang).alias("lang"), "_lang", "_bits", "_second", "_size").orderBy("_hash").limit(CALIBRATION_ROWS).where(
-        "_lang IS NOT NULL").toPandas()
-    weights, centre = [5.0, 0.0, 0.0], {}
-    if len(sample):
-        lead = (sample["_second"].astype(float).fillna(np.inf) - sample["_bits"]).clip(0, 4)
-        right = (sample["_lang"] == sample["lang"]).to_numpy("float64")
-        # a wrong row of each kind is added, so the fit stays finite when all are right
-        x = np.column_stack([np.append(np.log1p(lead * sample["_size"]), 0.0), np.append(lead, 0.0)])
-        weights = [float(v) for v in _fit(x, np.append(right, 0.0))]
-        for k, own in sample[sample["_size"] >= 20].groupby("lang")["_bits"]:
-            centre[k] = (float(own.median()), float(max(own.std(ddof=0), 0.05)))
-    table = F.create_map(*[F.lit(v) for k, (m, s) in centre.items() for v in (k, m + 8 * s)]) if centre else None
-    most = F.coalesce(F.element_at(table, F.col("_lang")), F.lit(1e9)) if centre else F.lit(1e9)
+    own = F.col(lang).cast("string").alias("_own")
+    marks = ["_lang", "_bits", "_second", "_size"]
+    if keep is None:
+        every = None
+        fitted = materialize(scored(learned.select(text, own)).select("_own", *marks), "calibration")
+    else:
+        every = materialize(scored(rest.select(text, own, *without(rest.select(*kept), [text]).columns)).select(*kept, "_own", *marks), "scores")
+        fitted = every.where(~F.col("held_out") & F.col("_own").isNotNull())
     spread = F.least(F.coalesce(F.col("_second") - F.col("_bits"), F.lit(4.0)), F.lit(4.0))
-    right = 1 / (1 + F.exp(-(F.lit(weights[0]) + weights[1] * F.log1p(spread * F.col("_size")) + weights[2] * spread)))
+    sure = F.log1p(spread * F.col("_size"))
+    fitted = fitted.where("_lang IS NOT NULL").select(
+        F.col("_own").alias("lang"), "_bits", "_size", sure.alias("sure"), spread.alias("lead"), (F.col("_lang") == F.col("_own")).cast("double").alias("right"))
+    weights, limits = [5.0, 0.0, 0.0], {}
+    if not fitted.isEmpty():
+        weights, limits = _fit(fitted, ["sure", "lead"], "right"), _usual(fitted)
+    table = F.create_map(*[F.lit(v) for pair in sorted(limits.items()) for v in pair]) if limits else None
+    most = F.coalesce(F.element_at(table, F.col("_lang")), F.lit(1e9)) if limits else F.lit(1e9)
+    right = 1 / (1 + F.exp(-(F.lit(weights[0]) + weights[1] * sure + weights[2] * spread)))
     # short texts scatter more, so the limit on bits per character widens with one over the root of the length
     usual = 1 / (1 + F.exp(F.greatest(F.lit(-30.0), F.least(F.lit(30.0), 4 * (F.col("_bits") - most - 8 / F.sqrt(F.col("_size").cast("double")))))))
     score = F.coalesce(right * usual, F.lit(0.0))
-    return scored(rest).withColumns({
+    return (scored(rest) if every is None else every.drop("_own")).withColumns({
         "lang_pred": F.coalesce("_lang", F.lit("und")), "score": score, "bits_per_char": F.col("_bits"),
         "accepted": F.col("_lang").isNotNull() & (score >= REJECT),
-    }).drop("_lang", "_bits", "_second", "_size")
+    }).drop(*marks)

@@ -398,6 +398,40 @@ def test_cross_entropies_equal_brute_force(spark):
         assert got["bits_per_char"] == pytest.approx(min(bits.values()), rel=1e-9) and bits[got["lang_pred"]] == min(bits.values())
 
 
+def test_calibration_counts_every_learned_row(spark, monkeypatch):
+    rows = [(i, f"{'abcdefgh'[i % 8]}a{'cdef'[i // 8 % 4]}" if i % 2 else f"{'xyzuvw'[i % 6]}z", ["x", "y"][i % 2], "s", 1) for i in range(26_000)]
+    learned = sum(zlib.crc32(str(i).encode()) % 5 != 0 for i in range(26_000))
+    seen, fit = [], langid._fit
+    monkeypatch.setattr(langid, "_fit", lambda x, *more: seen.append(x.count()) or fit(x, *more))
+    docs = frame(spark, rows)
+    whole = {r["doc_id"]: (r["lang_pred"], r["score"], r["bits_per_char"], r["accepted"]) for r in identify(docs).collect()}
+    slim = identify(docs, keep=["doc_id"])
+    assert slim.columns == ["doc_id", "held_out", "lang_pred", "score", "bits_per_char", "accepted"]
+    assert {r["doc_id"]: (r["lang_pred"], r["score"], r["bits_per_char"], r["accepted"]) for r in slim.collect()} == whole
+    assert seen == [learned, learned] and learned > 20_000
+
+
+def test_calibration_equals_numpy(spark):
+    r = np.random.default_rng(3)
+    n = 400
+    x = np.abs(r.normal(size=(n, 2)) * [4, 1])
+    right = (r.random(n) < 1 / (1 + np.exp(1 - x[:, 0]))).astype(float)
+    w = np.zeros(3)
+    full, y = np.column_stack([np.ones(n + 1), np.vstack([x, np.zeros((1, 2))])]), np.append(right, 0.0)
+    for _ in range(50):
+        p = 1 / (1 + np.exp(-np.clip(full @ w, -30, 30)))
+        w += np.linalg.solve((full * (p * (1 - p) + 1e-9)[:, None]).T @ full + 1e-3 * np.eye(3), full.T @ (y - p) - 1e-3 * w)
+    bits, sizes, langs = 2 + r.random(n) * 4, r.integers(10, 60, n), [["x", "y", "z"][i % 3] for i in range(n)]
+    rows = spark.createDataFrame(
+        [(float(a), float(b), float(c), float(d), int(e), f) for (a, b), c, d, e, f in zip(x, right, bits, sizes, langs)],
+        "sure DOUBLE, lead DOUBLE, right DOUBLE, _bits DOUBLE, _size BIGINT, lang STRING")
+    assert langid._fit(rows, ["sure", "lead"], "right") == pytest.approx(list(w), rel=1e-6)
+    got = langid._usual(rows)
+    for k in "xyz":
+        own = np.array([b for b, s, la in zip(bits, sizes, langs) if la == k and s >= 20])
+        assert got[k] == pytest.approx(np.median(own) + 8 * max(own.std(), 0.05), rel=1e-5)
+
+
 def test_language_without_anything_to_learn(spark):
     docs = frame(spark, [(1, "abc", None, "s", 1)])
     assert identify(docs).first()["lang_pred"] == "und" and identify(docs.limit(0)).count() == 0
