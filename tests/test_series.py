@@ -42,6 +42,15 @@ def test_limit_counts_skipped_items(spark):
     assert {r.action for r in fp.mark_actions(plan, have, ["out_name"], True).collect()} == {"fetch"}
 
 
+def test_dry_run_never_gathers_the_names_there(spark):
+    plan = spark.createDataFrame([(1, 10, "a"), (2, 10, "a"), (3, 11, "a"), (4, None, "b"), (5, 10, None)], "n INT, source INT, out_name STRING")
+    have = spark.createDataFrame([("a", 10), ("a", 10), ("b", None), ("a", 12), (None, 10)], "out_name STRING, source INT")
+    marked = fp.mark_actions(plan, have, ["source", "out_name"])
+    assert marked.columns == ["source", "out_name", "n", "action"]
+    assert sorted((r.n, r.action) for r in marked.collect()) == [(1, "skip"), (2, "skip"), (3, "fetch"), (4, "fetch"), (5, "fetch")]
+    assert "Aggregate" not in marked._jdf.queryExecution().executedPlan().toString()
+
+
 def test_dry_run_writes_nothing(spark, tmp_path):
     out = tmp_path / "out"
     fp.mark_actions(
