@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import sys
-from bisect import insort
 
 import pyarrow as pa
 from pyspark import cloudpickle
@@ -35,19 +34,29 @@ def _presence(hits: DataFrame) -> DataFrame:
         held: dict[str, list] = {}
 
         def flush():
-            found = [(k, v[0], sorted(v[1])) for k, v in held.items()]
+            found = [(k, n, paths) for k, (n, paths) in held.items()]
             held.clear()
             columns = list(zip(*found, strict=True)) or [[]] * 3
             return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(
                 columns, (pa.string(), pa.int64(), pa.list_(pa.string())), strict=True)], names=["source", "n", "sample"])
 
         for b in batches:
-            for source, path in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
-                own = held.setdefault(source, [0, []])
-                own[0] += 1
-                if len(own[1]) < FILE_SAMPLE or path < own[1][-1]:
-                    insort(own[1], path)
-                    del own[1][FILE_SAMPLE:]
+            sources, paths = (c.to_numpy(zero_copy_only=False).tolist() for c in b.columns)
+            ends = [i for i in range(1, len(sources)) if sources[i] != sources[i - 1]] + [len(sources)] * bool(sources)
+            start = 0
+            for end in ends:  # a run of rows of one source, long where the join has sorted by folder
+                source, part = sources[start], paths[start:end]
+                own = held.get(source)
+                if own is None:
+                    part.sort()
+                    held[source] = [end - start, part[:FILE_SAMPLE]]
+                else:
+                    own[0] += end - start
+                    if len(own[1]) < FILE_SAMPLE or min(part) < own[1][-1]:
+                        part += own[1]
+                        part.sort()
+                        own[1] = part[:FILE_SAMPLE]
+                start = end
             if len(held) > HELD:
                 yield flush()
         yield flush()
@@ -85,8 +94,9 @@ def audit_sources(sources: DataFrame, files: DataFrame, wanted: DataFrame | None
     depth = F.when(F.col("folder") == "", 0).otherwise(folder_depth(F.col("folder")) + 1)
     depths = sorted(r[0] for r in rules.select(depth.alias("d")).distinct().collect())  # as many as folders can be nested
     listed = files.select(relative_path(F.col("path"), root).alias("path"))
-    at = F.filter(F.array(*[F.lit(d) for d in depths]).cast("array<int>"), lambda d: d <= folder_depth(F.col("path")))
-    placed = listed.select("path", F.explode(at).alias("depth")).select("path", folder_at("path", "depth").alias("folder"))
+    at = F.filter(F.array(*[F.lit(d) for d in depths]).cast("array<int>"), lambda d: d <= F.col("deep"))
+    deep = listed.withColumn("deep", folder_depth(F.col("path")))
+    placed = deep.select("path", F.explode(at).alias("depth")).select("path", folder_at("path", "depth").alias("folder"))
     hits = placed.join(rules, "folder").where(
         F.col("pattern").isNull() | F.expr("path rlike pattern")
     ).select("source", "path")

@@ -119,6 +119,16 @@ def test_relative_paths(spark, path, root, want):
     assert one(spark, names.relative_path(F.lit(path), root).alias("p")).p == want
 
 
+def test_plain_paths_are_left_alone_without_replacing(spark):
+    odd = ["", "/", "//", "./", ".//", "a/", "a//", "a/./", "./a/./././b", "a.b/c", "a./b", "a/.b", "/./a", "a/\n", "x:/y/", "s3a://b//c/./d/", None, "a/b.tif"]
+    df = spark.createDataFrame([(p,) for p in odd], "p STRING")
+    old = lambda c: F.regexp_replace(F.regexp_replace(F.regexp_replace(c, "/+", "/"), r"(?<=^|/)(?:\./)+", ""), "(?<=.)/+$", "")
+    bare = F.regexp_replace(old(F.regexp_replace("p", r"^[A-Za-z][A-Za-z0-9+.-]*:(?://[^/]*)?(?=/)", "")), "/$", "")
+    got = df.select("p", names.plain_path(F.col("p")).alias("a"), old(F.col("p")).alias("b"), names.relative_path(F.col("p")).alias("c"), bare.alias("d"))
+    assert all(r.a == r.b and r.c == r.d for r in got.collect())
+    assert "Contains" in df.select(names.plain_path(F.col("p")))._jdf.queryExecution().executedPlan().toString()  # told by a look first
+
+
 def test_folder_before_the_first_wildcard(spark):
     got = one(spark, *[names.glob_folder(F.lit(g)).alias(f"g{i}") for i, g in enumerate(("./a/b/*.t", "a/[bc]/d", "*.t", "a/b.t"))])
     assert tuple(got) == ("a/b", "a", "", "a")
