@@ -225,9 +225,9 @@ def cross_entropies(docs: DataFrame, models: dict[str, Model], text: str, name:
     return add_columns(docs, [(name, kind, pa_kind)], start, [text])
 
 
-def _exact(column, bits: int):
-    """Sum of a column as a whole number of 2^-bits: the same for any order of the rows."""
-    return F.sum(F.rint(column * float(1 << bits)).cast("decimal(20,0)"))
+def _exact(column):
+    """Sum of a column as a whole number of 2^-50: the same for any order of the rows."""
+    return F.sum(F.rint(column * float(1 << 50)).cast("decimal(20,0)"))
 
 
 def _chance(weights, x):
@@ -250,7 +250,7 @@ def _fit(rows: DataFrame, x: list[str], y: str, steps=50, ridge=1e-3):
     for _ in range(steps):
         p = F.col("_p")
         sums = rows.withColumn("_p", _chance(w, one[1:])).agg(
-            *[_exact((F.col(y) - p) * c, 50) for c in one], *[_exact(one[i] * one[j] * (p * (1 - p) + 1e-9), 50) for i, j in pairs]).first()
+            *[_exact((F.col(y) - p) * c) for c in one], *[_exact(one[i] * one[j] * (p * (1 - p) + 1e-9)) for i, j in pairs]).first()
         sums = [float(v or 0) / (1 << 50) for v in sums]
         added = 1 / (1 + np.exp(-np.clip(w[0], -30, 30)))
         grad, hess = np.array(sums[:n]) - ridge * w, ridge * np.eye(n)
@@ -270,10 +270,10 @@ def _usual(rows: DataFrame) -> dict[str, float]:
     """Per language the bits per character up to which a text is usual: the median and eight deviations."""
     rows = rows.where("_size >= 20")
     middle = {r["lang"]: r["middle"] for r in grouped_quantiles(rows, ["lang"], "_bits", {"middle": 0.5}).collect()}
-    fine = F.rint(F.col("_bits") * (1 << 20)) / (1 << 20)
+    fine = F.rint(F.col("_bits") * float(1 << 36)).cast("decimal(14,0)")
     found = {}
-    for lang, n, total, squares in rows.groupBy("lang").agg(F.count("*"), _exact(fine, 20), _exact(fine * fine, 40)).collect():
-        spread = (n * int(squares) - int(total) ** 2) ** 0.5 / n / (1 << 20)
+    for lang, n, total, squares in rows.groupBy("lang").agg(F.count("*"), F.sum(fine), F.sum(fine * fine)).collect():
+        spread = (n * int(squares) - int(total) ** 2) ** 0.5 / n / (1 << 36)
         found[lang] = middle[lang] + 8 * max(spread, 0.05)
     return found
 
