@@ -16,6 +16,7 @@ Token ids take two bytes where the vocabulary has at most 65,536, else four
 
 from __future__ import annotations
 
+import itertools
 import os
 import re
 import struct
@@ -33,10 +34,16 @@ from .common import materialize
 END_ID = 0
 RANGE_BYTES = 8 << 20    # text per range of ids
 CHUNK_BYTES = 8 << 20    # a file is closed once its records reach this; one longer record has a file of its own
-CACHE = 100_000          # encodings of pieces of text after which all are forgotten
+CACHE = 200_000          # encodings of pieces of text after which only those used again are kept
+GROUP = 1 << 18          # characters of the texts whose pieces are looked up together; one longer text has a group of its own
+JOINED = 200             # new pieces per call of the model
 
 INDEX = ".index"         # what the folder of the offset index has after the name of the files' folder
 
+# letters up to U+017F, whose class no version of Unicode changes, and what is neither those, ASCII (less separators) nor common punctuation
+_LETTERS = "A-Za-z\xaa\xb5\xba\xc0-\xd6\xd8-\xf6\xf8-\u017f"
+_UNUSUAL = f"[^\x00-\x1b\x20-\x7f{_LETTERS}\u2013\u2014\u2018\u2019\u201c\u201d\u2026]"
+
 _MASK = 0xA282EAD8       # fixed value: the constant of masked checksums
 _EXTRA = 17              # bytes of a record besides its body
 
@@ -79,29 +86,37 @@ def _byte_letters() -> list[str]:
     return [chr(b) if b not in rest else chr(256 + rest.index(b)) for b in range(256)]
 
 
-def _piece_encoder(tok):
-    """A function from a piece of text to its ids; the model alone where pieces are byte-level BPE."""
-    import json
-    made = json.loads(tok.to_str())
-    if made["model"]["type"] == "BPE" and made["pre_tokenizer"] and made["pre_tokenizer"]["type"] == "ByteLevel" and not (
-            made["pre_tokenizer"]["add_prefix_space"] or made["normalizer"]):
-        tokenize, letters = tok.model.tokenize, dict(enumerate(_byte_letters()))
-        return lambda p: [t.id for t in tokenize(p.encode().decode("latin-1").translate(letters))]
-    return lambda p: tok.encode(p, add_special_tokens=False).ids
-
-
-class Known(dict):
-    """Encodings of pieces, made when first asked for; emptied by the caller when they are many."""
+def _pieces_encoder(tok, kind: str):
+    """A function from pieces of text to the ids of each as bytes; the model alone where pieces are byte-level BPE.
 
-    def __init__(self, make):
-        super().__init__()
-        self.make = make
+    A byte that no UTF-8 text has and no merge names keeps its neighbours apart:
+    pieces joined by it get the ids that each has alone, in one call.
+    """
+    import json
 
-    def __missing__(self, piece):
-        ids = self.make(piece)
-        if len(piece) <= 64:
-            self[piece] = ids
-        return ids
+    from tokenizers import Tokenizer
+    made = json.loads(tok.to_str())
+    model, split, letters = made["model"], made["pre_tokenizer"], _byte_letters()
+    if not (model["type"] == "BPE" and split and split["type"] == "ByteLevel" and not (split["add_prefix_space"] or made["normalizer"])):
+        return lambda pieces: [np.array(tok.encode(p, add_special_tokens=False).ids, dtype=kind).tobytes() for p in pieces]
+    between = letters[0xFF]
+    other = ("dropout", "unk_token", "continuing_subword_prefix", "end_of_word_suffix", "byte_fallback", "ignore_merges")
+    if any(model.get(k) for k in other) or between not in model["vocab"] or any(between in part for m in model["merges"] for part in m):
+        tokenize, table = tok.model.tokenize, dict(enumerate(letters))
+        return lambda pieces: [np.array([t.id for t in tokenize(p.encode().decode("latin-1").translate(table))], dtype=kind).tobytes() for p in pieces]
+    bare, mark, table = Tokenizer(tok.model), model["vocab"][between], dict(enumerate(letters))
+
+    def ids(pieces):
+        out = []
+        for at in range(0, len(pieces), JOINED):
+            # the escaped byte 0xFF is the mark
+            text = "\udcff".join(pieces[at: at + JOINED]).encode("utf-8", "surrogateescape").decode("latin-1").translate(table)
+            found = np.array(bare.encode_batch_fast([text], add_special_tokens=False)[0].ids, dtype=kind)
+            cuts, data = np.flatnonzero(found == mark) * found.itemsize, found.tobytes()
+            out.extend([data[a:b] for a, b in zip([0, *(cuts + found.itemsize).tolist()], [*cuts.tolist(), len(data)], strict=True)])
+        return out
+
+    return ids
 
 
 def _remembered(name: str, make):
@@ -117,41 +132,69 @@ def encoder(path: str, pattern: str | None):
     return _remembered(f"{path} {pattern}", lambda: _encoder(path, pattern))
 
 
+def _plain_split(pattern: str):
+    """``pattern`` for the standard library's engine, or None; the same pieces of texts without characters that ``_UNUSUAL`` names."""
+    here = pattern.replace(r"[^\s\p{L}\p{N}]", rf"[^\s{_LETTERS}0-9]").replace(r"\p{L}", f"[{_LETTERS}]").replace(r"\p{N}", "[0-9]")
+    return None if r"\p" in here else re.compile(here).findall
+
+
 def _encoder(path: str, pattern: str | None):
     """A function from texts to their ids as bytes, and the id type.
 
     ``pattern`` is the tokenizer's own split of a text into pieces that are
-    encoded one by one; no piece may go from other characters on into white space.
-    Then a word with the white space before it always has the same pieces, and
-    it is split and encoded once and remembered, as are its pieces. Texts
-    that hold a special token, or control characters on whose class regular
-    expression engines differ, are encoded whole.
+    encoded one by one. New pieces of a group of texts are encoded
+    together and remembered; once there are too many, those that a later group
+    used again stay. Texts that hold a special token, or control characters on
+    whose class regular expression engines differ, are encoded whole.
     """
     import regex
     tok = _tokenizer(path)
     kind, code = ("<u4", "I") if wide_ids(tok) else ("<u2", "H")
     special = [t.content for t in tok.get_added_tokens_decoder().values()]
-    odd = re.compile("[\x1c-\x1f\x85]").search
+    odd, unusual = re.compile("[\x1c-\x1f\x85]").search, re.compile(_UNUSUAL).search
     split = regex.compile(pattern).findall if pattern else None
-    ids_of = _piece_encoder(tok)
-    words = re.compile(r"\s*\S+|\s+").findall
-
-    def ids(chunk):
-        pieces = split(chunk)
-        if len(pieces) == 1:
-            return array(code, ids_of(chunk)).tobytes()
-        return b"".join([known[p] for p in pieces])
-
-    known = Known(ids)
+    plain = (_plain_split(pattern) if pattern else None) or split
+    ids_of = _pieces_encoder(tok, kind)
+    known: dict[str, bytes] = {}
+    again: set[str] = set()
+
+    def pieces_of(t):
+        rare = unusual(t)
+        if split is None or (rare and odd(t)) or any(s in t for s in special):
+            return None
+        return split(t) if rare else plain(t)
+
+    def group(texts):
+        pieces = [pieces_of(t) for t in texts]
+        wanted = set().union(*filter(None, pieces))
+        new = list(itertools.filterfalse(known.__contains__, wanted))
+        wanted.difference_update(new)
+        again.update(wanted)
+        known.update(zip(new, ids_of(new), strict=True))
+        for t, found in zip(texts, pieces, strict=True):
+            if found is None:
+                yield array(code, tok.encode(t, add_special_tokens=False).ids).tobytes()
+            else:
+                yield b"".join(map(known.__getitem__, found))
+        for p in new:
+            if len(p) > 64:
+                del known[p]
+        if len(known) > CACHE:
+            if len(again) > CACHE // 2:
+                again.clear()
+            kept = {p: known[p] for p in again}
+            known.clear()
+            known.update(kept)
 
     def encode(texts):
+        held, size = [], 0
         for t in texts:
-            if split is None or odd(t) or any(s in t for s in special):
-                yield array(code, tok.encode(t, add_special_tokens=False).ids).tobytes()
-                continue
-            if len(known) > CACHE:
-                known.clear()
-            yield b"".join(map(known.__getitem__, words(t)))
+            if held and size + len(t) > GROUP:
+                yield from group(held)
+                held, size = [], 0
+            held.append(t)
+            size += len(t)
+        yield from group(held)
 
     return encode, kind
 

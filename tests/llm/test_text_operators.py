@@ -526,6 +526,25 @@ def test_token_files_round_trip(spark, tmp_path, monkeypatch):
     assert np.frombuffer(one["ids"], dtype="<u4").tolist() == tok.encode(values[5], add_special_tokens=False).ids + [0]
 
 
+def test_new_pieces_are_encoded_together_and_forgotten(monkeypatch):
+    import public_tokenizers
+    monkeypatch.setattr(records, "CACHE", 200)
+    monkeypatch.setattr(records, "GROUP", 300)
+    monkeypatch.setattr(records, "JOINED", 7)
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    tok, rng = records._tokenizer(path), np.random.default_rng(5)
+    parts = [*" \t\n\r\x0b\x00az09'.,!_-\xaa\xb5\xba\xd7\xdf\xe9\xff\u0149\u017f\u0180\xb2\xbd\u0663\u2019\u2014\u2026\u4e2d\U0001f600\u200b\u3000\xa0\x7f\x85\x1c\u0301",
+             "'ll", " the", " words", "  ", "<|endoftext|>", "q" * 70, " repeated"]
+    values = ["".join(rng.choice(parts, rng.integers(0, 30))) for _ in range(600)]
+    calls = []
+    made = records._pieces_encoder(tok, "<u2")
+    monkeypatch.setattr(records, "_pieces_encoder", lambda *_: lambda pieces: calls.append(list(pieces)) or made(pieces))
+    encode, kind = records._encoder(path, public_tokenizers.PATTERN)
+    assert [np.frombuffer(g, kind).tolist() for g in encode(values)] == [tok.encode(v, add_special_tokens=False).ids for v in values]
+    assert max(map(len, calls)) > 1 and all(len(set(c)) == len(c) for c in calls)
+    assert sum(c.count(" repeated") for c in calls) < len(calls) / 4  # what comes again outlives the others
+
+
 def test_records_of_a_large_vocabulary(spark, tmp_path):
     from tokenizers import Tokenizer, models, pre_tokenizers
     tok = Tokenizer(models.WordLevel({"[end]": 0, **{f"w{i}": i for i in range(1, 70_001)}}, unk_token="[end]"))
