@@ -34,8 +34,8 @@ from .common import materialize
 END_ID = 0
 RANGE_BYTES = 8 << 20    # text per range of ids
 CHUNK_BYTES = 8 << 20    # a file is closed once its records reach this; one longer record has a file of its own
-CACHE = 200_000          # encodings of pieces of text after which only those used again are kept
-GROUP = 1 << 18          # characters of the texts whose pieces are looked up together; one longer text has a group of its own
+CACHE = 300_000          # encodings of pieces of text after which only those used again are kept
+GROUP = 1 << 19          # characters of the texts whose pieces are looked up together; one longer text has a group of its own
 JOINED = 200             # new pieces per call of the model
 
 INDEX = ".index"         # what the folder of the offset index has after the name of the files' folder
@@ -251,6 +251,16 @@ def read(spark: SparkSession, path: str) -> DataFrame:
 
     ``before`` counts the ids of the records before it in its file.
     """
+    return _scan(spark, path, "ids", "BINARY", pa.binary(), bytes)
+
+
+def _scan(spark: SparkSession, path: str, last: str, kind: str, arrow: pa.DataType, made) -> DataFrame:
+    """The rows of ``read`` with what ``made`` gives for the bytes of the ids as column ``last``."""
+    kinds = [*_KINDS, (last, arrow)]
+
+    def batch(rows):
+        return pa.RecordBatch.from_arrays([pa.array(c, t) for c, (_, t) in zip(zip(*rows), kinds, strict=True)], names=[n for n, _ in kinds])
+
     def run(batches):
         for b in batches:
             for name, data in zip(b.column(0).to_pylist(), b.column(1), strict=True):
@@ -258,24 +268,20 @@ def read(spark: SparkSession, path: str) -> DataFrame:
                 part, chunk = int(name.rsplit("/part-", 1)[1].split("-")[0]), int(name.rsplit("/chunk=", 1)[1].split("/")[0])
                 for i, (at, body) in enumerate(frames(data.as_py(), name)):
                     k, ids = _decoded(body)
-                    rows.append((k, name, part, chunk, i, at, len(body) + _EXTRA, before, len(ids), ids.tobytes()))
+                    rows.append((k, name, part, chunk, i, at, len(body) + _EXTRA, before, len(ids), made(ids.tobytes())))
                     before += len(ids)
                     if len(rows) == 256:
-                        yield _records(rows)
+                        yield batch(rows)
                         rows = []
                 if rows:
-                    yield _records(rows)
+                    yield batch(rows)
 
     return spark.read.format("binaryFile").load(path).select("path", "content").mapInArrow(
-        run, "key BIGINT, file STRING, range INT, chunk INT, number BIGINT, offset BIGINT, length BIGINT, before BIGINT, n_tokens BIGINT, ids BINARY")
+        run, f"key BIGINT, file STRING, range INT, chunk INT, number BIGINT, offset BIGINT, length BIGINT, before BIGINT, n_tokens BIGINT, {last} {kind}")
 
 
 _KINDS = [("key", pa.int64()), ("file", pa.string()), ("range", pa.int32()), ("chunk", pa.int32()), ("number", pa.int64()), ("offset", pa.int64()),
-          ("length", pa.int64()), ("before", pa.int64()), ("n_tokens", pa.int64()), ("ids", pa.binary())]
-
-
-def _records(rows):
-    return pa.RecordBatch.from_arrays([pa.array(c, t) for c, (_, t) in zip(zip(*rows), _KINDS, strict=True)], names=[n for n, _ in _KINDS])
+          ("length", pa.int64()), ("before", pa.int64()), ("n_tokens", pa.int64())]
 
 
 def index(spark: SparkSession, path: str) -> DataFrame:
@@ -285,8 +291,7 @@ def index(spark: SparkSession, path: str) -> DataFrame:
     CRC-32 of the ids as four-byte integers. With it a reader fetches records
     in any order by file, offset and length.
     """
-    rows = read(spark, path).withColumn("ids_crc32", F.crc32("ids")).drop("ids")
-    rows = materialize(rows, "records")
+    rows = materialize(_scan(spark, path, "ids_crc32", "BIGINT", pa.int64(), zlib.crc32), "records")
     files = rows.groupBy("range", "chunk").agg(F.sum("n_tokens").alias("_sum"))
     before = Window.partitionBy(F.lit(0)).orderBy("range", "chunk").rowsBetween(Window.unboundedPreceding, -1)
     first = files.select("range", "chunk", F.coalesce(F.sum("_sum").over(before), F.lit(0)).alias("_first"))
