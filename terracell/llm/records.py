@@ -34,7 +34,7 @@ from .common import materialize
 END_ID = 0
 RANGE_BYTES = 8 << 20    # text per range of ids
 CHUNK_BYTES = 8 << 20    # a file is closed once its records reach this; one longer record has a file of its own
-CACHE = 300_000          # encodings of pieces of text after which only those used again are kept
+CACHE = 400_000          # encodings of pieces of text after which only those used again are kept
 GROUP = 1 << 19          # characters of the texts whose pieces are looked up together; one longer text has a group of its own
 JOINED = 200             # new pieces per call of the model
 
